@@ -1,0 +1,16 @@
+"""Join-side sizing.
+
+A broadcast is only requested for a frame whose row count has been proven
+below a bound by a bounded count (``limit(bound + 1).count()`` stops reading
+after bound + 1 rows).  Above the bound the frame is returned unchanged and
+the planner/AQE choose a shuffle join, splitting skewed partitions.
+"""
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

@@ -1,0 +1,82 @@
+"""Run every registered query and its DuckDB oracle on one scale factor and
+compare row count, column names and an order-insensitive value hash.
+
+    python tests/oracle_compare.py /root/testdata/sf0.01 [name ...]
+"""
+from __future__ import annotations
+
+import datetime
+import decimal
+import hashlib
+import math
+import os
+import sys
+import time
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+          "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
+
+
+def _norm(v):
+    if v is None:
+        return "∅"
+    if isinstance(v, float):
+        if math.isnan(v):
+            return "nan"
+        return repr(round(v, 6))
+    if isinstance(v, decimal.Decimal):
+        return repr(round(float(v), 6))
+    if isinstance(v, datetime.datetime):
+        return v.isoformat()
+    if isinstance(v, datetime.date):
+        return v.isoformat()
+    return str(v)
+
+
+def digest(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    lines = sorted("\x1f".join(_norm(r[i]) for i in order) for r in rows)
+    return hashlib.sha256("\n".join(lines).encode()).hexdigest()
+
+
+def compare(spark, sf_dir, names=None, verbose=True):
+    import duckdb
+    import __spark_entry__ as E
+
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    qs, sqls = E.queries(), E.oracle_sql()
+    results = {}
+    for name in names or qs:
+        t0 = time.time()
+        df = qs[name](spark, sf_dir)
+        rows = [tuple(r) for r in df.collect()]
+        cols = df.columns
+        secs = time.time() - t0
+        if name not in sqls:
+            results[name] = ("rows-only", len(rows), secs)
+            if verbose:
+                print(f"{name:32s} rows-only {len(rows)} {secs:.2f}s")
+            continue
+        cur = con.execute(sqls[name])
+        ocols = [d[0] for d in cur.description]
+        orows = cur.fetchall()
+        ok = (len(rows) == len(orows) and sorted(cols) == sorted(ocols)
+              and digest(cols, rows) == digest(ocols, orows))
+        results[name] = (ok, len(rows), len(orows), secs)
+        if verbose:
+            print(f"{name:32s} {'OK ' if ok else 'BAD'} spark={len(rows)} oracle={len(orows)} "
+                  f"cols={'same' if sorted(cols) == sorted(ocols) else (cols, ocols)} {secs:.2f}s")
+    return results
+
+
+if __name__ == "__main__":
+    from tessera.session import build_session
+    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    spark = build_session("local[8]", shuffle_partitions=8)
+    res = compare(spark, sf, sys.argv[2:] or None)
+    bad = [k for k, v in res.items() if v[0] is False]
+    print("BAD:", bad)
