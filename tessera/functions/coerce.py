@@ -27,15 +27,16 @@ FALSE_TOKENS = ["false", "0", "no", "f"]
 # Cells read as NULL from delimited local-concept files.
 NULL_TOKENS = ["", "NULL", "null", "None"]
 
-# Characters Python's str.strip() removes (str.isspace()).
-_PY_SPACE = r"[\s\x1c-\x1f\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+# Characters Python's str.strip() removes: exactly those with str.isspace().
+_PY_SPACE = "".join(chr(i) for i in range(0x110000) if chr(i).isspace())
 # What float() accepts, minus inf/nan: sign, digits with single underscores
 # between them, optional fraction, optional exponent, at least one digit.
 _PY_FLOAT = r"^[+-]?(?=[.]?[0-9])([0-9](_?[0-9])*)?([.]([0-9](_?[0-9])*)?)?([eE][+-]?[0-9](_?[0-9])*)?$"
 
 
 def py_strip(c: Column) -> Column:
-    return F.regexp_replace(c, f"^{_PY_SPACE}+|{_PY_SPACE}+$", "")
+    """``str.strip()``: a character-set trim, no regular expression."""
+    return F.btrim(c, F.lit(_PY_SPACE))
 
 
 def empty_to_null(c: Column) -> Column:
@@ -67,8 +68,15 @@ def to_int(c: Column, spark_type: str = "int") -> tuple[Column, Column]:
     Values outside the target type raise under ANSI, like an out-of-range
     insert does."""
     s = py_strip(c)
-    ok = s.rlike(_PY_FLOAT)
-    as_double = F.regexp_replace(s, "_", "").cast("double")
+    # Cheap screen first: only characters a decimal float literal can hold
+    # (this rules out Java's d/f suffixes, hex, Infinity and NaN), then the
+    # cast itself.  The underscore placement rule needs the full pattern,
+    # which only runs for the rare values that contain one.
+    plain = F.translate(s, "0123456789eE.+-_", "") == F.lit("")
+    has_us = s.contains("_")
+    digits = F.when(has_us, F.replace(s, F.lit("_"), F.lit(""))).otherwise(s)
+    as_double = digits.try_cast("double")
+    ok = plain & as_double.isNotNull() & F.when(has_us, s.rlike(_PY_FLOAT)).otherwise(F.lit(True))
     value = F.when(ok, as_double.cast(spark_type))
     return value, _err(c.isNotNull() & ~F.coalesce(ok, F.lit(False)), c, "int")
 
