@@ -1,0 +1,79 @@
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from tessera.contracts import ColumnSpec
+from tessera.functions import coerce as C
+
+
+def _apply(spark, values, fn):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, s string")
+    v, e = fn(F.col("s"))
+    return [(r.v, r.e) for r in df.select("i", v.alias("v"), e.alias("e")).orderBy("i").collect()]
+
+
+def test_int_matches_python_int_of_float(spark):
+    ok = {"7": 7, " 7 ": 7, "7.0": 7, "7.9": 7, "-7.9": -7, "1e3": 1000, "1_0": 10, "+7": 7,
+          ".5": 0, "5.": 5, "\t8\n": 8, "1E+2": 100}
+    got = _apply(spark, list(ok), C.to_int)
+    assert [v for v, _ in got] == list(ok.values())
+    assert all(e is None for _, e in got)
+    for bad in ["1d", "1f", "nan", "inf", "abc", "  ", ".", "1__0", "_1", "1e", "0x10", "Infinity"]:
+        (v, e), = _apply(spark, [bad], C.to_int)
+        assert v is None and e is not None, bad
+        with pytest.raises((ValueError, OverflowError)):
+            int(float(bad.strip()))
+
+
+def test_int_null_passes(spark):
+    assert _apply(spark, [None], C.to_int) == [(None, None)]
+
+
+def test_int_overflow_raises(spark):
+    df = spark.createDataFrame([("3000000000",)], "s string")
+    v, e = C.to_int(F.col("s"))
+    with pytest.raises(PySparkException):
+        df.select(C.strict(v, e)).collect()
+
+
+def test_bool_tokens(spark):
+    vals = ["TRUE", " yes ", "t", "1", "F", "no", "0", "false"]
+    got = _apply(spark, vals, C.to_bool)
+    assert [v for v, _ in got] == [True, True, True, True, False, False, False, False]
+    for bad in ["y", "Null", "2", " "]:
+        (v, e), = _apply(spark, [bad], C.to_bool)
+        assert v is None and e is not None
+
+
+def test_strict_raises_on_bad_cell(spark):
+    df = spark.createDataFrame([("y",)], "s string")
+    v, e = C.to_bool(F.col("s"))
+    with pytest.raises(PySparkException, match="Cannot coerce"):
+        df.select(C.strict(v, e)).collect()
+
+
+def test_empty_and_null_tokens(spark):
+    df = spark.createDataFrame([("",), ("NULL",), ("null",), ("None",), ("Null",), (" ",)], "s string")
+    got = [r[0] for r in df.select(C.null_tokens(F.col("s"))).collect()]
+    assert got == [None, None, None, None, "Null", " "]
+    got = [r[0] for r in df.select(C.empty_to_null(F.col("s"))).collect()]
+    assert got == [None, "NULL", "null", "None", "Null", " "]
+
+
+def test_json_values(spark):
+    df = spark.createDataFrame([('{"a": 1}',), ("[1,2]",), ("not json",), (None,)], "s string")
+    v, _ = C.to_json_value(F.col("s"))
+    got = [r[0] for r in df.select(F.to_json(v)).collect()]
+    assert got == ['{"a":1}', "[1,2]", '"not json"', None]
+
+
+def test_copy_dates_and_varchar(spark):
+    (v, e), (v2, e2), (v3, e3) = _apply(spark, ["19700101", "1970-01-01", "1970-13-01"],
+                                        lambda c: C.copy_cast(c, ColumnSpec("d", "date")))
+    assert str(v) == str(v2) == "1970-01-01" and e is None and e2 is None
+    assert v3 is None and e3 is not None
+    spec = ColumnSpec("x", "vc", length=3)
+    got = _apply(spark, ["abc", "abcd", "abc  "], lambda c: C.copy_cast(c, spec))
+    assert got[0] == ("abc", None)
+    assert got[1][1] is not None
+    assert got[2] == ("abc", None)  # excess blanks are cut, not an error

@@ -1,0 +1,49 @@
+import pytest
+
+from tessera import contracts as c
+
+
+def test_table_counts_per_schema():
+    assert len(c.tables("shared")) == 17
+    assert len(c.tables("cohort")) == 35
+    assert len(c.tables("orphan")) == 2
+
+
+def test_foreign_keys_uniques_and_navigations():
+    fks = sum(len(t.foreign_keys) for s in ("shared", "cohort", "orphan") for t in c.tables(s).values())
+    assert fks == 192
+    uniques = sum(len(t.uniques) for s in ("shared", "cohort") for t in c.tables(s).values())
+    assert uniques == 6
+    navs = c.navigations()
+    assert len(navs) == 50
+    names = {(child, fwd) for child, _, _, fwd, _ in navs}
+    assert ("visit_occurrence", "preceding_visit_occurrence") in names
+    assert ("visit_detail", "parent_visit_detail") in names
+    assert ("death", "person") not in names
+
+
+def test_layer_subsets():
+    assert len(c.tables("shared", "silver")) == 12
+    assert len(c.tables("cohort", "silver")) == 33
+    assert len(c.tables("cohort", "gold")) == 30
+    assert "places" in c.tables("shared", "gold")
+    assert "red_measurement" in c.tables("cohort", "silver")
+    assert "red_measurement" not in c.tables("cohort", "gold")
+    with pytest.raises(ValueError):
+        c.tables("orphan", "silver")
+    with pytest.raises(ValueError):
+        c.tables("shared", "platinum")
+
+
+def test_column_types_and_defaults():
+    lc = c.contract("local_concept")
+    assert lc.column("is_active").default == "true" and not lc.column("is_active").nullable
+    assert lc.column("source_field_range").kind == "json"
+    concept = c.contract("concept")
+    assert concept.column("concept_name").length == 255
+    assert concept.primary_key == ("concept_id",)
+    ep = c.contract("episode", "cohort")
+    assert ep.column("person_id").kind == "bigint"
+    assert c.contract("red_measurement", "cohort").column("status").default == "0"
+    assert c.contract("identifier_errors", "cohort").column("data").default == "{}"
+    assert [f.cascade for f in c.contract("red_observation", "cohort").foreign_keys] == [True]
