@@ -15,6 +15,9 @@ def read_delimited(spark: SparkSession, path: str, tokens=NULL_TOKENS, sep: str
            .option("header", "true")
            .option("sep", sep)
            .option("inferSchema", "false")
+           .option("quote", '"')
+           .option("escape", '"')  # RFC 4180: a quote inside quotes is doubled
+           .option("multiLine", "true")
            .option("ignoreLeadingWhiteSpace", "false")
            .option("ignoreTrailingWhiteSpace", "false")
            .option("nullValue", "\u0000never\u0000")

@@ -26,4 +26,5 @@ def workdir():
 def rows(df, *cols):
     """Sorted plain tuples of the given columns."""
     cols = cols or df.columns
-    return sorted((tuple(r) for r in df.select(*cols).collect()), key=repr)
+    key = lambda t: tuple((x is None, x if x is not None else 0) for x in t)
+    return sorted((tuple(r) for r in df.select(*cols).collect()), key=key)
