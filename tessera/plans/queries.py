@@ -357,11 +357,13 @@ ORACLE_SQL = {
                    "(value < 0 OR value > 200) AS is_red FROM events",
     "checksum_dedupe": "SELECT min(doc_id) AS doc_id, sha256(text) AS checksum FROM documents GROUP BY text",
     "era_events": (
-        "WITH x AS (SELECT user_id, event_type, CAST(ts AS DATE) AS d FROM events), "
-        "g AS (SELECT *, CASE WHEN date_diff('day', lag(d) OVER (PARTITION BY user_id, event_type ORDER BY d), d) "
-        "<= 2 THEN 0 ELSE 1 END AS brk FROM x), "
-        "i AS (SELECT *, sum(brk) OVER (PARTITION BY user_id, event_type ORDER BY d ROWS UNBOUNDED PRECEDING) "
-        "AS era FROM g) "
+        # both windows need the same total order: with ORDER BY d alone, tied
+        # days may be ordered differently by lag() and by the running sum
+        "WITH x AS (SELECT user_id, event_type, event_id, CAST(ts AS DATE) AS d FROM events), "
+        "g AS (SELECT *, CASE WHEN date_diff('day', lag(d) OVER (PARTITION BY user_id, event_type "
+        "ORDER BY d, event_id), d) <= 2 THEN 0 ELSE 1 END AS brk FROM x), "
+        "i AS (SELECT *, sum(brk) OVER (PARTITION BY user_id, event_type ORDER BY d, event_id "
+        "ROWS UNBOUNDED PRECEDING) AS era FROM g) "
         "SELECT user_id, event_type, min(d) AS era_start, max(d) AS era_end, count(*) AS n FROM i "
         "GROUP BY user_id, event_type, era"),
     "row_counts": "SELECT 'orders' AS tbl, count(*) AS n FROM orders UNION ALL "

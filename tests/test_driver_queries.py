@@ -1,0 +1,28 @@
+"""Every registered query against its DuckDB oracle on the smallest scale
+factor, plus the flagship entry point."""
+import os
+
+import pytest
+
+import __spark_entry__ as E
+
+from .oracle_compare import compare
+
+SF = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
+
+
+def test_every_query_has_an_oracle():
+    assert set(E.queries()) == set(E.oracle_sql())
+
+
+def test_queries_match_oracle(spark):
+    results = compare(spark, SF, verbose=False)
+    bad = {k: v for k, v in results.items() if v[0] is not True}
+    assert not bad
+
+
+def test_entry_smoke(spark):
+    df = E.entry(spark)
+    assert df.columns == ["nation", "n"]
+    assert df.count() > 0

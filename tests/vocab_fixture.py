@@ -7,7 +7,7 @@ CLEAN = {
     "VOCABULARY.csv": ["vocabulary_name\tvocabulary_id\tvocabulary_concept_id\tvocabulary_reference\tvocabulary_version",
                        "Vocabulary\tVocabulary\t2\t\tv5"],
     "CONCEPT_CLASS.csv": ["concept_class_id\tconcept_class_name\tconcept_class_concept_id",
-                          "Domain\tDomain\t3", "Ingredient\tIngredient\t3"],
+                          "Domain\tDomain\t3", "Ingredient\tIngredient\t3", "Vocabulary\tVocabulary\t3"],
     "RELATIONSHIP.csv": ["relationship_id\trelationship_name\tis_hierarchical\tdefines_ancestry\t"
                          "reverse_relationship_id\trelationship_concept_id",
                          "Is a\tIs a\t1\t1\tSubsumes\t4", "Subsumes\tSubsumes\t1\t0\tIs a\t4"],
