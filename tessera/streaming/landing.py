@@ -1,0 +1,53 @@
+"""Incremental landing of local-concept files with Structured Streaming.
+
+The same load as ``plans.jobs.load_local_concepts`` (default: upsert),
+triggered by files arriving in a landing folder instead of by hand.  The
+stream carries only file paths (the binary-file source does not read the
+bytes when ``content`` is not selected); each micro-batch loads its new files
+in arrival order.  Progress is kept in a checkpoint folder under the shared
+``spark.checkpoint.dir``, so a restarted query resumes after the last
+committed batch.  A batch replayed after a failure re-applies the same
+upserts, which is idempotent.
+"""
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..plans.jobs import load_local_concepts
+from ..session import shared_dir
+from ..sinks.warehouse import Warehouse
+
+
+def landed_files(spark, landing_dir: str, glob: str = "*.csv", max_files: int = 100) -> DataFrame:
+    schema = "path string, modificationTime timestamp, length long, content binary"
+    return (spark.readStream.format("binaryFile").schema(schema)
+            .option("pathGlobFilter", glob)
+            .option("maxFilesPerTrigger", max_files)
+            .load(landing_dir)
+            .select(F.col("path"), F.col("modificationTime")))
+
+
+def stream_local_concepts(wh: Warehouse, landing_dir: str, checkpoint: str | None = None,
+                          mode: str = "upsert", schema: str = "shared", available_now: bool = True):
+    """Start the landing query; returns the StreamingQuery.
+
+    ``available_now`` processes what has landed and stops (batch-like
+    scheduling); otherwise the query keeps polling the folder.
+    """
+    spark = wh.spark
+    checkpoint = checkpoint or f"{shared_dir(spark).rstrip('/')}/landing-{schema}-local_concept"
+    results = []
+
+    def load_batch(batch: DataFrame, epoch_id: int) -> None:
+        # one row per new file (bounded by maxFilesPerTrigger)
+        for row in batch.orderBy("modificationTime", "path").collect():
+            results.append((epoch_id, row.path, load_local_concepts(wh, row.path, schema=schema, mode=mode)))
+
+    writer = (landed_files(spark, landing_dir).writeStream
+              .foreachBatch(load_batch)
+              .option("checkpointLocation", checkpoint))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
+    query = writer.start()
+    query.results = results
+    return query

@@ -1,0 +1,29 @@
+import os
+
+from tessera.plans import jobs
+from tessera.sinks import Warehouse
+from tessera.streaming.landing import stream_local_concepts
+
+
+def _csv(folder, name, lines):
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, name), "w") as f:
+        f.write("\n".join(lines) + "\n")
+
+
+def test_landing_stream_upserts_new_files_once(spark, workdir):
+    wh = Warehouse(spark, os.path.join(workdir, "wh"), "bronze")
+    jobs.setup_layer(wh)
+    landing, ckpt = os.path.join(workdir, "landing"), os.path.join(workdir, "ckpt")
+    _csv(landing, "a.csv", ["id,source_field_name", "1,a", "2,b"])
+    q = stream_local_concepts(wh, landing, ckpt)
+    q.awaitTermination(120)
+    assert sorted((r.id, r.source_field_name) for r in wh.read("shared", "local_concept").collect()) == \
+        [(1, "a"), (2, "b")]
+    # a second run sees only the new file
+    _csv(landing, "b.csv", ["id,source_field_name", "2,B", "3,c"])
+    q2 = stream_local_concepts(wh, landing, ckpt)
+    q2.awaitTermination(120)
+    assert [p.rsplit("/", 1)[-1] for _, p, _ in q2.results] == ["b.csv"]
+    assert sorted((r.id, r.source_field_name) for r in wh.read("shared", "local_concept").collect()) == \
+        [(1, "a"), (2, "B"), (3, "c")]
