@@ -191,18 +191,24 @@ def column_report(df: DataFrame, target: TableContract) -> DataFrame:
 # --- C6 --------------------------------------------------------------------
 
 def validate_tables(frames: dict[str, DataFrame], contracts: dict[str, TableContract],
-                    parents: dict[str, DataFrame] | None = None) -> DataFrame:
+                    parents: dict[str, DataFrame] | None = None,
+                    new_rows: dict[str, DataFrame] | None = None) -> DataFrame:
     """All checks for a set of staged tables, in constraint order: keys,
     uniques, column checks, then foreign keys (after every table is staged, so
     circular references such as concept <-> domain resolve).
 
     ``parents`` supplies referenced tables that are not part of ``frames``
     (e.g. shared tables for a cohort load); a referenced table that is in
-    neither is skipped.
+    neither is skipped.  ``new_rows`` (appends) limits the row-local checks -
+    NOT NULL, length and foreign keys - to the appended rows: published rows
+    passed them already and parents only grow.  Key and unique checks always
+    see the whole table.
     """
     spark = next(iter(frames.values())).sparkSession
     lookup = dict(parents or {})
     lookup.update(frames)
+    local = dict(frames)
+    local.update(new_rows or {})
     reports = []
     for name, df in frames.items():
         t = contracts[name]
@@ -210,7 +216,7 @@ def validate_tables(frames: dict[str, DataFrame], contracts: dict[str, TableCont
             reports.append(pk_report(df, t))
         for u in t.uniques:
             reports.append(unique_report(df, t, u))
-        reports.append(column_report(df, t))
+        reports.append(column_report(local[name], t))
     # group single-column FKs by their parent key
     groups: dict[tuple[str, str], dict[str, list[str]]] = {}
     for name, df in frames.items():
@@ -219,7 +225,7 @@ def validate_tables(frames: dict[str, DataFrame], contracts: dict[str, TableCont
                 continue
             groups.setdefault((fk.ref_table, fk.ref_columns[0]), {}).setdefault(name, []).extend(fk.columns)
     for (parent, pkey), edges in groups.items():
-        reports.append(fk_report(frames, lookup[parent], pkey, edges, parent))
+        reports.append(fk_report(local, lookup[parent], pkey, edges, parent))
     if not reports:
         return empty_report(spark)
     return reduce(lambda a, b: a.unionByName(b), reports)

@@ -135,3 +135,13 @@ def test_typed_frame_input(spark, workdir):
     jobs.load_local_concepts(wh, "sheet.xlsx", typed=typed)
     r = wh.read("shared", "local_concept").first()
     assert (r.id, r.cohort, r.is_active) == (1, 3, True)
+
+
+def test_upsert_small_source_path_equals_outer_join(spark):
+    from tessera.sinks import upsert_frames
+    t = spark.createDataFrame([(i, f"n{i}", float(i)) for i in range(200)], "k long, name string, v double")
+    s = spark.createDataFrame([(i, f"m{i}", -1.0) for i in range(150, 260)], "k long, name string, v double")
+    full = upsert_frames(t, s, "k", ["name", "v"], preserve=(), touch=None)
+    small = upsert_frames(t, s, "k", ["name", "v"], preserve=(), touch=None, small_source_rows=1000)
+    assert sorted(map(tuple, full.collect())) == sorted(map(tuple, small.collect()))
+    assert full.count() == 260
