@@ -29,7 +29,8 @@ def union_cohorts(frames: dict[str, DataFrame], tag_col: str = "cohort") -> Data
 
 # R3 / R8 -----------------------------------------------------------------
 
-def enrich_concepts(df: DataFrame, concept: DataFrame, columns, take=("concept_name",)) -> DataFrame:
+def enrich_concepts(df: DataFrame, concept: DataFrame, columns, take=("concept_name",),
+                    concept_key: str = "concept_id") -> DataFrame:
     """Name (or otherwise describe) every ``*_concept_id`` column.
 
     The vocabulary is large, so it is first cut to the ids this frame uses
@@ -40,12 +41,13 @@ def enrich_concepts(df: DataFrame, concept: DataFrame, columns, take=("concept_n
     columns = list(columns)
     if not columns:
         return df
-    used = (df.select(F.explode(F.array(*[_q(c).cast("int") for c in columns])).alias("concept_id"))
-              .where("concept_id IS NOT NULL").distinct())
-    subset = concept.select("concept_id", *take).join(used, "concept_id", "left_semi")
+    ktype = dict(concept.dtypes)[concept_key]
+    used = (df.select(F.explode(F.array(*[_q(c).cast(ktype) for c in columns])).alias(concept_key))
+              .where(F.col(concept_key).isNotNull()).distinct())
+    subset = concept.select(concept_key, *take).join(used, concept_key, "left_semi")
     out = df
     for c in columns:
-        out = navigate.many_to_one(out, subset, c, "concept_id", list(take), prefix=f"{c}__")
+        out = navigate.many_to_one(out, subset, c, concept_key, list(take), prefix=f"{c}__")
     return out
 
 

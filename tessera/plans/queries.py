@@ -200,6 +200,27 @@ def lineitems_per_nation(spark, d):
     return named.groupBy(F.col("n_name").alias("nation")).agg(F.sum("n").alias("n"))
 
 
+# R3 ----------------------------------------------------------------------
+def enrich_lineitem_parts(spark, d):
+    """Attribute lookup for key columns: the dimension is first cut to the
+    keys the fact uses, then joined once per column."""
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    out = derive.enrich_concepts(li, table(spark, d, "part"), ["l_partkey"], take=("p_name",),
+                                 concept_key="p_partkey")
+    return out.withColumnRenamed("l_partkey__p_name", "part_name")
+
+
+# R12 ---------------------------------------------------------------------
+def overlay_events(spark, d):
+    """Red-flag rows get a correction row (original and new value as text);
+    the overlay applies ``coalesce(new_value, original_value)``."""
+    ev = table(spark, d, "events").select("event_id", "value")
+    red = ev.where(F.col("value") > 200).select(
+        "event_id", F.col("value").cast("string").alias("original_value"),
+        F.lit("200.0").alias("new_value"))
+    return derive.overlay_corrections(ev, red, "event_id", "value")
+
+
 # R4 ----------------------------------------------------------------------
 def mapping_validity_join(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate")
@@ -268,6 +289,8 @@ QUERIES = {
     "codebook_duplicates": codebook_duplicates,
     "concept_rollup": concept_rollup,
     "lineitems_per_nation": lineitems_per_nation,
+    "enrich_lineitem_parts": enrich_lineitem_parts,
+    "overlay_events": overlay_events,
     "mapping_validity_join": mapping_validity_join,
     "quarantine_split": quarantine_split,
     "red_overlay": red_overlay,
@@ -345,6 +368,9 @@ ORACLE_SQL = {
     "lineitems_per_nation": "SELECT n_name AS nation, count(*) AS n FROM lineitem "
                             "JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey "
                             "JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name",
+    "enrich_lineitem_parts": "SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, p.p_name AS part_name "
+                             "FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey",
+    "overlay_events": "SELECT event_id, CASE WHEN value > 200 THEN 200.0 ELSE value END AS value FROM events",
     "mapping_validity_join": (
         "WITH m AS (SELECT DISTINCT o_orderpriority AS source_code, y AS target_id, "
         "make_date(CAST(y AS BIGINT),1,1) AS vs, make_date(CAST(y AS BIGINT),12,31) AS ve "
