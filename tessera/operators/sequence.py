@@ -40,10 +40,13 @@ def assign_ids(df: DataFrame, order, id_col: str = "id", start: int = 1,
 
     One range shuffle; per-partition row counts (one row per partition) are
     turned into offsets on a tiny frame and broadcast - its size is bounded
-    by the partition count, not by the data.  Rows that tie on ``order`` get
-    distinct ids in an unspecified order, as with ROW_NUMBER.
+    by the partition count, not by the data.  Rows that tie on ``order`` are
+    ordered by a hash of the whole row (any order is valid for ROW_NUMBER;
+    this one is reproducible), which also lets range partitioning split a
+    heavily repeated order value across tasks instead of sending it to one.
     """
     order = [F.col(o) if isinstance(o, str) else o for o in order]
+    order.append(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
     x = _range_sorted(df, order, partitions)
     counts = x.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

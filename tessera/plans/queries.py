@@ -122,9 +122,13 @@ def key_checks_lineitem(spark, d):
 
 # K3 J6 -------------------------------------------------------------------
 def upsert_customer(spark, d):
-    c = table(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal")
-    target = c.where("c_custkey < 1000")
-    source = c.where("c_custkey >= 500").withColumn("c_acctbal", F.col("c_acctbal") + 1)
+    """The whole customer table split by segment: the target lacks the
+    AUTOMOBILE rows, the source brings AUTOMOBILE (inserts) and BUILDING
+    (updates, balance + 1); the other segments stay untouched."""
+    c = table(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    target = c.where(F.col("c_mktsegment") != "AUTOMOBILE").drop("c_mktsegment")
+    source = (c.where(F.col("c_mktsegment").isin("AUTOMOBILE", "BUILDING"))
+               .select("c_custkey", "c_name", (F.col("c_acctbal") + 1).alias("c_acctbal")))
     return upsert_frames(target, source, "c_custkey", ["c_name", "c_acctbal"], preserve=(), touch=None)
 
 
@@ -339,8 +343,9 @@ ORACLE_SQL = {
         "count(*) FROM lineitem l WHERE l_orderkey IS NOT NULL AND NOT EXISTS "
         "(SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey) GROUP BY l_orderkey"),
     "upsert_customer": (
-        "WITH t AS (SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_custkey < 1000), "
-        "s AS (SELECT c_custkey, c_name, c_acctbal + 1 AS c_acctbal FROM customer WHERE c_custkey >= 500) "
+        "WITH t AS (SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_mktsegment <> 'AUTOMOBILE'), "
+        "s AS (SELECT c_custkey, c_name, c_acctbal + 1 AS c_acctbal FROM customer "
+        "WHERE c_mktsegment IN ('AUTOMOBILE', 'BUILDING')) "
         "SELECT coalesce(t.c_custkey, s.c_custkey) AS c_custkey, "
         "CASE WHEN s.c_custkey IS NOT NULL THEN s.c_name ELSE t.c_name END AS c_name, "
         "CASE WHEN s.c_custkey IS NOT NULL THEN s.c_acctbal ELSE t.c_acctbal END AS c_acctbal "
