@@ -85,18 +85,14 @@ def null_key_rows(df: DataFrame, cols) -> DataFrame:
 def pk_report(df: DataFrame, target: TableContract, pk=None) -> DataFrame:
     """Primary key must be unique and not NULL.
 
-    Narrow keys: one grouped count serves both parts (keys with a NULL part
-    form their own groups, summed into one row), so the table is scanned and
-    shuffled once; the second consumer reuses the same exchange."""
+    Two branches over the same scan source: duplicates are counted over rows
+    whose key has no NULL part (``IsNotNull`` reaches the Parquet reader), and
+    the NULL-key branch pushes ``IsNull`` down, so row groups whose statistics
+    show no NULLs are skipped without being decoded."""
     pk = list(pk or target.primary_key)
-    if _is_wide(df, pk):
-        dup = duplicate_keys(df, pk)
-        nulls = null_key_rows(df, pk).agg(F.count(F.lit(1)).alias("n")).where("n > 0")
-    else:
-        counts = df.groupBy(*[_q(c) for c in pk]).agg(F.count(F.lit(1)).alias("n"))
-        has_null = reduce(lambda a, b: a | b, [_q(c).isNull() for c in pk])
-        dup = counts.where(~has_null & (F.col("n") > 1))
-        nulls = counts.where(has_null).agg(F.sum("n").alias("n")).where("n > 0")
+    notnull = reduce(lambda a, b: a & b, [_q(c).isNotNull() for c in pk])
+    dup = duplicate_keys(df.where(notnull), pk)
+    nulls = null_key_rows(df, pk).agg(F.count(F.lit(1)).alias("n")).where("n > 0")
     return (_report(dup, target.name, "primary_key", pk, _key_json(pk), F.col("n"))
             .unionByName(_report(nulls, target.name, "primary_key_null", pk, F.lit(None), F.col("n"))))
 
