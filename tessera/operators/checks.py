@@ -113,7 +113,9 @@ def fk_violation_rows(child: DataFrame, parent: DataFrame, fk, pk) -> DataFrame:
     handling, which covers anti-joins.
     """
     fk, pk = list(fk), list(pk)
-    keys = parent.select(*[_q(p).alias(f) for p, f in zip(pk, fk)]).distinct()
+    # no distinct() on the parent: repeated parent keys do not change an
+    # anti-join's result (and are reported by the parent's key check)
+    keys = parent.select(*[_q(p).alias(f) for p, f in zip(pk, fk)])
     notnull = reduce(lambda a, b: a & b, [_q(c).isNotNull() for c in fk])
     return child.where(notnull).join(keys, fk, "left_anti")
 
@@ -136,7 +138,7 @@ def fk_report(children: dict[str, DataFrame], parent: DataFrame, parent_key: str
 
     ``edges`` maps child table -> FK columns.  All keys are stacked and
     deduplicated per (table, column, key) before a single anti-join against
-    the distinct parent keys, so a skewed concept id costs one row per task.
+    the parent keys, so a skewed concept id costs one row per task.
     """
     parts = []
     for table, cols in edges.items():
@@ -147,7 +149,7 @@ def fk_report(children: dict[str, DataFrame], parent: DataFrame, parent_key: str
     if not parts:
         return empty_report(parent.sparkSession)
     stacked = reduce(lambda a, b: a.unionByName(b), parts)
-    keys = parent.select(_q(parent_key).alias("key")).distinct()
+    keys = parent.select(_q(parent_key).alias("key"))
     missing = stacked.join(keys, "key", "left_anti")
     return missing.select(
         "table_name", F.concat(F.lit(f"foreign_key:{parent_name}.{parent_key}")).alias("constraint_name"),

@@ -120,6 +120,78 @@ def key_checks_lineitem(spark, d):
     return checks.pk_report(li, lc).unionByName(fk)
 
 
+# C6 ----------------------------------------------------------------------
+# Contracts for the driver's star schema, in the library's notation.
+STAR = {
+    "region": contracts.ad_hoc("region", "r_regionkey int!, r_name vc25!", pk="r_regionkey"),
+    "nation": contracts.ad_hoc("nation", "n_nationkey int!, n_name vc25!, n_regionkey int!", pk="n_nationkey",
+                               fks=["n_regionkey -> x.region.r_regionkey"]),
+    "supplier": contracts.ad_hoc("supplier", "s_suppkey bigint!, s_name vc25!, s_nationkey int!",
+                                 pk="s_suppkey", fks=["s_nationkey -> x.nation.n_nationkey"]),
+    "customer": contracts.ad_hoc("customer", "c_custkey bigint!, c_name vc25!, c_nationkey int!, "
+                                 "c_mktsegment vc10", pk="c_custkey",
+                                 fks=["c_nationkey -> x.nation.n_nationkey"]),
+    "part": contracts.ad_hoc("part", "p_partkey bigint!, p_name vc10!, p_brand vc10", pk="p_partkey"),
+    "orders": contracts.ad_hoc("orders", "o_orderkey bigint!, o_custkey bigint!, o_orderpriority vc15",
+                               pk="o_orderkey", fks=["o_custkey -> x.customer.c_custkey"]),
+    "lineitem": contracts.ad_hoc("lineitem", "l_orderkey bigint!, l_partkey bigint!, l_suppkey bigint!, "
+                                 "l_linenumber int!", pk="l_orderkey, l_linenumber",
+                                 fks=["l_orderkey -> x.orders.o_orderkey", "l_partkey -> x.part.p_partkey",
+                                      "l_suppkey -> x.supplier.s_suppkey"]),
+}
+
+
+def validate_star(spark, d):
+    """Every declared check over the star schema in one report: keys, column
+    checks, and foreign keys stacked per parent (customer and supplier share
+    one anti-join against nation)."""
+    frames = {t: table(spark, d, t).select(*c.column_names) for t, c in STAR.items()}
+    return checks.validate_tables(frames, STAR)
+
+
+def _star_oracle() -> str:
+    parts = []
+    for t, c in STAR.items():
+        pk = list(c.primary_key)
+        key = "to_json(struct_pack(" + ", ".join(f"{k} := {k}" for k in pk) + "))"
+        nn = " AND ".join(f"{k} IS NOT NULL" for k in pk)
+        anynull = " OR ".join(f"{k} IS NULL" for k in pk)
+        parts.append(f"SELECT '{t}' AS table_name, 'primary_key' AS constraint_name, '{','.join(pk)}' AS columns, "
+                     f"CAST({key} AS VARCHAR) AS key, count(*) AS n FROM {t} WHERE {nn} "
+                     f"GROUP BY {', '.join(pk)} HAVING count(*) > 1")
+        parts.append(f"SELECT '{t}', 'primary_key_null', '{','.join(pk)}', NULL, count(*) FROM {t} "
+                     f"WHERE {anynull} HAVING count(*) > 0")
+        for col in c.columns:
+            if not col.nullable:
+                parts.append(f"SELECT '{t}', 'not_null', '{col.name}', NULL, count(*) FROM {t} "
+                             f"WHERE {col.name} IS NULL HAVING count(*) > 0")
+            if col.kind == "vc":
+                parts.append(f"SELECT '{t}', 'max_length_{col.length}', '{col.name}', NULL, count(*) FROM {t} "
+                             f"WHERE length({col.name}) > {col.length} HAVING count(*) > 0")
+        for fk in c.foreign_keys:
+            f, r, rc = fk.columns[0], fk.ref_table, fk.ref_columns[0]
+            parts.append(f"SELECT '{t}', 'foreign_key:{r}.{rc}', '{f}', CAST({f} AS VARCHAR), count(*) FROM {t} "
+                         f"WHERE {f} IS NOT NULL AND {f} NOT IN (SELECT {rc} FROM {r} WHERE {rc} IS NOT NULL) "
+                         f"GROUP BY {f}")
+    return " UNION ALL ".join(parts)
+
+
+# R5 ----------------------------------------------------------------------
+# A field registry in the shape of local_concept rows (cohort, field, concept, target table).
+PART_FIELDS = [(1, "p_brand", 2000000101, "observation", True),
+               (1, "p_type", 2000000102, "observation", True),
+               (1, "p_size", 2000000103, "measurement", True)]
+
+
+def route_part_fields(spark, d):
+    """Wide records unpivoted to one row per field, each routed to its
+    registered concept and target table."""
+    wide = table(spark, d, "part").select("p_partkey", "p_brand", "p_type", "p_size")
+    registry = spark.createDataFrame(PART_FIELDS, "cohort int, source_field_name string, concept_id int, "
+                                                   "table string, is_active boolean")
+    return derive.route_fields(wide, registry, ["p_partkey"], 1)
+
+
 # K3 J6 -------------------------------------------------------------------
 def upsert_customer(spark, d):
     """The whole customer table split by segment: the target lacks the
@@ -283,6 +355,8 @@ QUERIES = {
     "not_null_violations_labels": not_null_violations_labels,
     "column_checks_documents": column_checks_documents,
     "key_checks_lineitem": key_checks_lineitem,
+    "validate_star": validate_star,
+    "route_part_fields": route_part_fields,
     "upsert_customer": upsert_customer,
     "replace_restart_identity": replace_restart_identity,
     "nav_many_to_one": nav_many_to_one,
@@ -342,6 +416,13 @@ ORACLE_SQL = {
         "UNION ALL SELECT 'lineitem', 'foreign_key:orders.o_orderkey', 'l_orderkey', CAST(l_orderkey AS VARCHAR), "
         "count(*) FROM lineitem l WHERE l_orderkey IS NOT NULL AND NOT EXISTS "
         "(SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey) GROUP BY l_orderkey"),
+    "route_part_fields": (
+        "SELECT p_partkey, f AS source_field_name, v AS value, r.concept_id, r.target_table FROM ("
+        "SELECT p_partkey, 'p_brand' AS f, p_brand AS v FROM part UNION ALL "
+        "SELECT p_partkey, 'p_type', p_type FROM part UNION ALL "
+        "SELECT p_partkey, 'p_size', CAST(p_size AS VARCHAR) FROM part) u "
+        "LEFT JOIN (VALUES ('p_brand', 2000000101, 'observation'), ('p_type', 2000000102, 'observation'), "
+        "('p_size', 2000000103, 'measurement')) r(field, concept_id, target_table) ON u.f = r.field"),
     "upsert_customer": (
         "WITH t AS (SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_mktsegment <> 'AUTOMOBILE'), "
         "s AS (SELECT c_custkey, c_name, c_acctbal + 1 AS c_acctbal FROM customer "
@@ -400,3 +481,4 @@ ORACLE_SQL = {
     "row_counts": "SELECT 'orders' AS tbl, count(*) AS n FROM orders UNION ALL "
                   "SELECT 'lineitem' AS tbl, count(*) AS n FROM lineitem",
 }
+ORACLE_SQL["validate_star"] = _star_oracle()
