@@ -297,6 +297,25 @@ def overlay_events(spark, d):
     return derive.overlay_corrections(ev, red, "event_id", "value")
 
 
+# R15 ---------------------------------------------------------------------
+ORDER_DOMAIN, PART_DOMAIN, CONTAINS = 1, 2, 3
+
+
+def link_order_parts(spark, d):
+    """Fact links in ``fact_relationship`` form (domain + id on each side),
+    here derived from lineitem (order contains part), resolved to the facts
+    on both sides with two equi-joins."""
+    fr = table(spark, d, "lineitem").select(
+        F.lit(ORDER_DOMAIN).alias("domain_concept_id_1"), F.col("l_orderkey").alias("fact_id_1"),
+        F.lit(PART_DOMAIN).alias("domain_concept_id_2"), F.col("l_partkey").alias("fact_id_2"),
+        F.lit(CONTAINS).alias("relationship_concept_id"))
+    orders = table(spark, d, "orders").select("o_orderkey", "o_orderpriority")
+    part = table(spark, d, "part").select("p_partkey", "p_brand")
+    linked = derive.link_facts(fr, orders, ORDER_DOMAIN, "o_orderkey", part, PART_DOMAIN, "p_partkey")
+    return linked.select(F.col("fact_id_1").alias("o_orderkey"), F.col("fact_id_2").alias("p_partkey"),
+                         "o_orderpriority", "p_brand")
+
+
 # R4 ----------------------------------------------------------------------
 def mapping_validity_join(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate")
@@ -369,6 +388,7 @@ QUERIES = {
     "lineitems_per_nation": lineitems_per_nation,
     "enrich_lineitem_parts": enrich_lineitem_parts,
     "overlay_events": overlay_events,
+    "link_order_parts": link_order_parts,
     "mapping_validity_join": mapping_validity_join,
     "quarantine_split": quarantine_split,
     "red_overlay": red_overlay,
@@ -457,6 +477,9 @@ ORACLE_SQL = {
     "enrich_lineitem_parts": "SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, p.p_name AS part_name "
                              "FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey",
     "overlay_events": "SELECT event_id, CASE WHEN value > 200 THEN 200.0 ELSE value END AS value FROM events",
+    "link_order_parts": "SELECT l.l_orderkey AS o_orderkey, l.l_partkey AS p_partkey, o.o_orderpriority, p.p_brand "
+                        "FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey "
+                        "JOIN part p ON l.l_partkey = p.p_partkey",
     "mapping_validity_join": (
         "WITH m AS (SELECT DISTINCT o_orderpriority AS source_code, y AS target_id, "
         "make_date(CAST(y AS BIGINT),1,1) AS vs, make_date(CAST(y AS BIGINT),12,31) AS ve "
