@@ -145,3 +145,9 @@ def test_upsert_small_source_path_equals_outer_join(spark):
     small = upsert_frames(t, s, "k", ["name", "v"], preserve=(), touch=None, small_source_rows=1000)
     assert sorted(map(tuple, full.collect())) == sorted(map(tuple, small.collect()))
     assert full.count() == 260
+
+
+def test_dry_run_still_coerces_every_cell(spark, workdir):
+    wh = _wh(spark, workdir)
+    with pytest.raises(PySparkException, match="Cannot coerce"):
+        jobs.load_local_concepts(wh, _csv(workdir, "bad.csv", ["id,is_active", "1,y"]), dry_run=True)
