@@ -104,9 +104,10 @@ class Warehouse:
         return self.schemas(COHORT_PREFIX)
 
     # -- reads ----------------------------------------------------------
-    def read(self, schema: str, table: str) -> DataFrame:
+    def read(self, schema: str, table: str, entries: dict[str, list[str]] | None = None) -> DataFrame:
         target = self.contracts(schema)[table]
-        _, entries = self.manifest(schema)
+        if entries is None:
+            _, entries = self.manifest(schema)
         if table not in entries:
             raise KeyError(f"{self.layer}.{schema}.{table} does not exist; create the schema first")
         paths = entries[table]
@@ -116,7 +117,7 @@ class Warehouse:
 
     def frames(self, schema: str) -> dict[str, DataFrame]:
         _, entries = self.manifest(schema)
-        return {t: self.read(schema, t) for t in entries}
+        return {t: self.read(schema, t, entries) for t in entries}
 
     # -- staging --------------------------------------------------------
     def _stage(self, schema: str, table: str, df: DataFrame) -> tuple[str, int]:
