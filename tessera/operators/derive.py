@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import navigate
+from .joins import broadcast_if_bounded
 
 
 def _q(c: str) -> Column:
@@ -63,13 +64,15 @@ def synonyms(concept: DataFrame, concept_synonym: DataFrame) -> DataFrame:
 
 def map_source_codes(events: DataFrame, mapping: DataFrame, code_col: str, date_col: Column | str,
                      take=("target_concept_id",), vocabulary_col: str | None = None,
-                     valid_only: bool = True) -> DataFrame:
+                     valid_only: bool = True, mapping_max_rows: int | None = None) -> DataFrame:
     """Source code -> target concept valid on the event's date.
 
     Equi-join on the code (and vocabulary when given) with the validity
-    window as a join condition, LEFT so unmapped events stay.  A hot code on
-    the event side is split by AQE's skew-join handling; the mapping side is
-    broadcast only when AQE measures it small.
+    window as a join condition, LEFT so unmapped events stay.  With
+    ``mapping_max_rows`` the mapping is broadcast after a bounded count
+    proves its size, so the event side is never shuffled on a
+    low-cardinality code; otherwise a hot code on the event side is split by
+    AQE's skew-join handling.
     """
     m = mapping
     if valid_only and "invalid_reason" in mapping.columns:
@@ -78,6 +81,8 @@ def map_source_codes(events: DataFrame, mapping: DataFrame, code_col: str, date_
     if vocabulary_col:
         keep.append("source_vocabulary_id")
     m = m.select(*[F.col(c).alias(f"_m_{c}") for c in dict.fromkeys(keep)])
+    if mapping_max_rows is not None:
+        m = broadcast_if_bounded(m, mapping_max_rows)
     d = F.col(date_col) if isinstance(date_col, str) else date_col
     cond = (events[f"`{code_col}`"] == F.col("_m_source_code")) & \
         d.between(F.col("_m_valid_start_date"), F.col("_m_valid_end_date"))
@@ -89,12 +94,18 @@ def map_source_codes(events: DataFrame, mapping: DataFrame, code_col: str, date_
 
 # R5 ----------------------------------------------------------------------
 
-def route_fields(wide: DataFrame, local_concept: DataFrame, id_cols, cohort: int | Column) -> DataFrame:
+def route_fields(wide: DataFrame, local_concept: DataFrame, id_cols, cohort: int | Column,
+                 registry_max_rows: int = 1_000_000) -> DataFrame:
     """Unpivot a wide record to (ids..., source_field_name, value), then attach
     the local concept and target ``table`` registered for the field.  The
-    caller splits by ``table``.  ``unpivot`` is a narrow operation; the join
-    to the (small, per-cohort) concept registry is left so unknown fields
-    surface with NULL concept."""
+    caller splits by ``table``.  ``unpivot`` is a narrow operation.
+
+    The join key is the field name, which has only as many values as there
+    are fields, so a shuffle join would send all unpivoted rows to a handful
+    of tasks.  The registry is broadcast once a bounded count proves it holds
+    at most ``registry_max_rows`` rows (a registry that large has enough
+    distinct keys for a shuffle join to spread).  The join is left so
+    unknown fields surface with a NULL concept."""
     id_cols = list(id_cols)
     value_cols = [c for c in wide.columns if c not in id_cols]
     long = wide.select(*[_q(c) for c in id_cols],
@@ -103,6 +114,7 @@ def route_fields(wide: DataFrame, local_concept: DataFrame, id_cols, cohort: int
     reg = local_concept.where(F.col("is_active"))
     reg = reg.where(F.col("cohort") == (cohort if isinstance(cohort, Column) else F.lit(cohort)))
     reg = reg.select("source_field_name", "concept_id", F.col("table").alias("target_table"))
+    reg = broadcast_if_bounded(reg, registry_max_rows)
     return navigate.many_to_one(long, reg, "source_field_name", "source_field_name",
                                 ["concept_id", "target_table"])
 

@@ -13,7 +13,6 @@ from .. import contracts
 from ..functions import coerce
 from ..functions.variant import json_field
 from ..operators import checks, codebook, derive, navigate, sequence
-from ..operators.joins import broadcast_if_bounded
 from ..session import scratch_path
 from ..sinks.warehouse import upsert_frames
 from ..sources.vocab import read_vocab_file
@@ -325,9 +324,8 @@ def mapping_validity_join(spark, d):
                     .select("source_code", F.col("y").alias("target_concept_id"),
                             F.make_date("y", F.lit(1), F.lit(1)).alias("valid_start_date"),
                             F.make_date("y", F.lit(12), F.lit(31)).alias("valid_end_date")))
-    mapping = broadcast_if_bounded(mapping, 100_000)
     out = derive.map_source_codes(o, mapping, "o_orderpriority", F.to_date("o_orderdate"),
-                                  take=("target_concept_id",), valid_only=False)
+                                  take=("target_concept_id",), valid_only=False, mapping_max_rows=100_000)
     return out.select("o_orderkey", F.col("target_concept_id").alias("target_id"))
 
 
