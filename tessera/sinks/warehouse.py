@@ -119,6 +119,36 @@ class Warehouse:
         _, entries = self.manifest(schema)
         return {t: self.read(schema, t, entries) for t in entries}
 
+    # -- SQL access -----------------------------------------------------
+    def database(self, schema: str) -> str:
+        return f"{self.layer}_{schema}"
+
+    def register(self, schema: str) -> str:
+        """Expose the current version of every table to SQL as
+        ``<layer>_<schema>.<table>`` views (e.g. ``bronze_cohort_101.person``).
+        Each view reads the published data folders; re-register after a
+        publish to move the views to the new version."""
+        db = self.database(schema)
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
+        _, entries = self.manifest(schema)
+        for table, paths in entries.items():
+            target = self.contracts(schema)[table]
+            cols = ", ".join(f"CAST(`{c.name}` AS {c.spark_type.simpleString()}) AS `{c.name}`"
+                             for c in target.columns)
+            if paths:
+                body = " UNION ALL ".join(f"SELECT {cols} FROM parquet.`{p}`" for p in paths)
+            else:
+                nulls = ", ".join(f"CAST(NULL AS {c.spark_type.simpleString()}) AS `{c.name}`"
+                                  for c in target.columns)
+                body = f"SELECT {nulls} WHERE false"
+            self.spark.sql(f"CREATE OR REPLACE VIEW `{db}`.`{table}` AS {body}")
+        return db
+
+    def registered_cohorts(self) -> list[str]:
+        """S8 through the catalog: registered cohort databases of this layer."""
+        prefix = f"{self.layer}_{COHORT_PREFIX}"
+        return sorted(d.name[len(self.layer) + 1:] for d in self.spark.catalog.listDatabases(f"{prefix}*"))
+
     # -- staging --------------------------------------------------------
     def _stage(self, schema: str, table: str, df: DataFrame) -> tuple[str, int]:
         """Write one new data folder; returns it with the number of rows written.
