@@ -82,19 +82,34 @@ def null_key_rows(df: DataFrame, cols) -> DataFrame:
     return df.where(reduce(lambda a, b: a | b, [_q(c).isNull() for c in cols]))
 
 
-def pk_report(df: DataFrame, target: TableContract, pk=None) -> DataFrame:
+def key_counts(df: DataFrame, pk) -> DataFrame:
+    """Rows per non-NULL key value (the grouping behind a key check)."""
+    pk = list(pk)
+    notnull = reduce(lambda a, b: a & b, [_q(c).isNotNull() for c in pk])
+    return df.where(notnull).groupBy(*[_q(c) for c in pk]).agg(F.count(F.lit(1)).alias("n"))
+
+
+def pk_report(df: DataFrame, target: TableContract, pk=None, include_nulls: bool = True,
+              counts: DataFrame | None = None) -> DataFrame:
     """Primary key must be unique and not NULL.
 
-    Two branches over the same scan source: duplicates are counted over rows
-    whose key has no NULL part (``IsNotNull`` reaches the Parquet reader), and
-    the NULL-key branch pushes ``IsNull`` down, so row groups whose statistics
-    show no NULLs are skipped without being decoded."""
+    Duplicates are counted over rows whose key has no NULL part
+    (``IsNotNull`` reaches the Parquet reader); the NULL-key branch pushes
+    ``IsNull`` down, so row groups whose statistics show no NULLs are
+    skipped.  ``include_nulls=False`` leaves NULL keys to the NOT NULL column
+    check when that runs anyway; ``counts`` passes a shared ``key_counts``.
+    """
     pk = list(pk or target.primary_key)
-    notnull = reduce(lambda a, b: a & b, [_q(c).isNotNull() for c in pk])
-    dup = duplicate_keys(df.where(notnull), pk)
-    nulls = null_key_rows(df, pk).agg(F.count(F.lit(1)).alias("n")).where("n > 0")
-    return (_report(dup, target.name, "primary_key", pk, _key_json(pk), F.col("n"))
-            .unionByName(_report(nulls, target.name, "primary_key_null", pk, F.lit(None), F.col("n"))))
+    if counts is not None:
+        dup = counts.where(F.col("n") > 1)
+    else:
+        notnull = reduce(lambda a, b: a & b, [_q(c).isNotNull() for c in pk])
+        dup = duplicate_keys(df.where(notnull), pk)
+    out = _report(dup, target.name, "primary_key", pk, _key_json(pk), F.col("n"))
+    if include_nulls:
+        nulls = null_key_rows(df, pk).agg(F.count(F.lit(1)).alias("n")).where("n > 0")
+        out = out.unionByName(_report(nulls, target.name, "primary_key_null", pk, F.lit(None), F.col("n")))
+    return out
 
 
 def unique_report(df: DataFrame, target: TableContract, cols) -> DataFrame:
@@ -133,12 +148,15 @@ def stacked_keys(child: DataFrame, columns, key_type: str | None = None) -> Data
 
 
 def fk_report(children: dict[str, DataFrame], parent: DataFrame, parent_key: str,
-              edges: dict[str, list[str]], parent_name: str) -> DataFrame:
+              edges: dict[str, list[str]], parent_name: str,
+              parent_keys: DataFrame | None = None) -> DataFrame:
     """C2 for many children and columns referencing one parent key.
 
     ``edges`` maps child table -> FK columns.  All keys are stacked and
     deduplicated per (table, column, key) before a single anti-join against
     the parent keys, so a skewed concept id costs one row per task.
+    ``parent_keys`` (one column named ``parent_key``) replaces a fresh scan
+    of the parent, e.g. the grouping its key check already shuffled.
     """
     parts = []
     for table, cols in edges.items():
@@ -149,8 +167,16 @@ def fk_report(children: dict[str, DataFrame], parent: DataFrame, parent_key: str
     if not parts:
         return empty_report(parent.sparkSession)
     stacked = reduce(lambda a, b: a.unionByName(b), parts)
-    keys = parent.select(_q(parent_key).alias("key"))
-    missing = stacked.join(keys, "key", "left_anti")
+    if parent_keys is not None:  # already one row per key
+        keys = parent_keys.select(_q(parent_key).alias("key"))
+    else:
+        keys = parent.select(_q(parent_key).alias("key")).where(F.col("key").isNotNull()).distinct()
+    # A left join on unique parent keys plus a NULL filter, not a left_anti
+    # join: the optimizer pushes anti-joins below the aggregation of the
+    # stacked keys, which would join every child row instead of one row per
+    # distinct key.
+    missing = (stacked.join(keys.withColumn("_parent", F.lit(True)), "key", "left")
+                      .where(F.col("_parent").isNull()))
     return missing.select(
         "table_name", F.concat(F.lit(f"foreign_key:{parent_name}.{parent_key}")).alias("constraint_name"),
         F.col("column").alias("columns"), F.col("key").cast("string").alias("key"),
@@ -218,10 +244,23 @@ def validate_tables(frames: dict[str, DataFrame], contracts: dict[str, TableCont
     local = dict(frames)
     local.update(new_rows or {})
     reports = []
+    shared_keys: dict[tuple[str, str], DataFrame] = {}
     for name, df in frames.items():
         t = contracts[name]
         if t.primary_key:
-            reports.append(pk_report(df, t))
+            pk = list(t.primary_key)
+            # PK columns are NOT NULL columns: the column report counts NULLs
+            nulls_checked = all(not t.column(c).nullable for c in pk)
+            if len(pk) == 1 and not _is_wide(df, pk):
+                # one grouping serves the duplicate check and, for tables
+                # referenced by foreign keys, the parent side of the
+                # anti-join (the same exchange is reused, already
+                # partitioned by the key)
+                counts = key_counts(df, pk)
+                shared_keys[(name, pk[0])] = counts.where(F.col("n") >= 1).select(pk[0])
+                reports.append(pk_report(df, t, include_nulls=not nulls_checked, counts=counts))
+            else:
+                reports.append(pk_report(df, t, include_nulls=not nulls_checked))
         for u in t.uniques:
             reports.append(unique_report(df, t, u))
         reports.append(column_report(local[name], t))
@@ -233,7 +272,8 @@ def validate_tables(frames: dict[str, DataFrame], contracts: dict[str, TableCont
                 continue
             groups.setdefault((fk.ref_table, fk.ref_columns[0]), {}).setdefault(name, []).extend(fk.columns)
     for (parent, pkey), edges in groups.items():
-        reports.append(fk_report(local, lookup[parent], pkey, edges, parent))
+        reports.append(fk_report(local, lookup[parent], pkey, edges, parent,
+                                 parent_keys=shared_keys.get((parent, pkey))))
     if not reports:
         return empty_report(spark)
     return reduce(lambda a, b: a.unionByName(b), reports)

@@ -158,8 +158,9 @@ def _star_oracle() -> str:
         parts.append(f"SELECT '{t}' AS table_name, 'primary_key' AS constraint_name, '{','.join(pk)}' AS columns, "
                      f"CAST({key} AS VARCHAR) AS key, count(*) AS n FROM {t} WHERE {nn} "
                      f"GROUP BY {', '.join(pk)} HAVING count(*) > 1")
-        parts.append(f"SELECT '{t}', 'primary_key_null', '{','.join(pk)}', NULL, count(*) FROM {t} "
-                     f"WHERE {anynull} HAVING count(*) > 0")
+        if any(c.column(k).nullable for k in pk):  # else the NOT NULL checks below cover it
+            parts.append(f"SELECT '{t}', 'primary_key_null', '{','.join(pk)}', NULL, count(*) FROM {t} "
+                         f"WHERE {anynull} HAVING count(*) > 0")
         for col in c.columns:
             if not col.nullable:
                 parts.append(f"SELECT '{t}', 'not_null', '{col.name}', NULL, count(*) FROM {t} "

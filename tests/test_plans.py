@@ -68,3 +68,16 @@ def test_fk_check_stacks_columns_into_one_scan(spark):
     rep = checks.fk_report({"lineitem": li}, keys, "k", {"lineitem": ["l_partkey", "l_suppkey"]}, "k")
     s = summary(rep)
     assert [t for t, _, _ in s["scans"]].count("lineitem") == 1
+
+
+def test_fk_check_joins_distinct_keys_not_rows(spark):
+    """The stacked child keys are aggregated before they meet the parent (an
+    anti-join would be pushed below that aggregation by the optimizer)."""
+    from tessera.operators import checks
+    li = spark.read.parquet(f"{SF}/lineitem.parquet")
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    rep = checks.fk_report({"lineitem": li}, orders, "o_orderkey", {"lineitem": ["l_orderkey"]}, "orders")
+    plan = rep._jdf.queryExecution().optimizedPlan().toString()
+    join_at = plan.index("Join ")
+    assert "Aggregate [column" in plan[join_at:]  # the aggregate sits under the join
+    assert "LeftAnti" not in plan
