@@ -141,17 +141,31 @@ def rollup(events: DataFrame, key: str, edges: DataFrame, descendant: str, ances
 
 # R7 ----------------------------------------------------------------------
 
-def related(concept_relationship: DataFrame, relationship_id: str, as_of: Column | None = None) -> DataFrame:
-    """Valid (concept_id_1 -> concept_id_2) edges of one relationship."""
-    e = concept_relationship.where((F.col("relationship_id") == relationship_id) &
-                                   F.col("invalid_reason").isNull())
+def related(concept_relationship: DataFrame, relationship_id: str | DataFrame,
+            as_of: Column | None = None, ids_max_rows: int = 100_000) -> DataFrame:
+    """Valid (concept_id_1 -> concept_id_2) edges of one relationship.
+
+    ``relationship_id`` is an id, or a one-column frame of ids such as
+    ``reverse_of(...)``; that frame is a slice of the relationship table and
+    is broadcast only after a bounded count proves it small, so the edge
+    table is never shuffled for the lookup.  ``as_of`` keeps edges whose
+    validity window contains that date.
+    """
+    e = concept_relationship.where(F.col("invalid_reason").isNull())
+    if isinstance(relationship_id, DataFrame):
+        ids = relationship_id.select(F.col(relationship_id.columns[0]).alias("_rid")).distinct()
+        ids = broadcast_if_bounded(ids, ids_max_rows)
+        e = e.join(ids, F.col("relationship_id") == F.col("_rid"), "left_semi")
+    else:
+        e = e.where(F.col("relationship_id") == relationship_id)
     if as_of is not None:
         e = e.where(as_of.between(F.col("valid_start_date"), F.col("valid_end_date")))
     return e.select("concept_id_1", "concept_id_2")
 
 
 def reverse_of(relationship: DataFrame, relationship_id: str) -> DataFrame:
-    """The reverse relationship id, as a one-row frame."""
+    """The reverse relationship id, as a one-column frame (``related`` takes
+    it in place of an id)."""
     return relationship.where(F.col("relationship_id") == relationship_id) \
                        .select(F.col("reverse_relationship_id"))
 

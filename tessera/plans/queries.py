@@ -6,6 +6,8 @@ output columns match between the two.
 """
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -330,6 +332,42 @@ def mapping_validity_join(spark, d):
     return out.select("o_orderkey", F.col("target_concept_id").alias("target_id"))
 
 
+# R7 ----------------------------------------------------------------------
+# Fixed values of the traversal query: the two relationship ids, the open
+# end date of a valid edge and the reference date.
+SUPPLIED_BY, SUPPLIES = "Supplied by", "Supplies"
+OPEN_END = datetime.date(2099, 12, 31)
+AS_OF = datetime.date(1998, 1, 1)
+
+
+def supply_relationships(spark, d) -> DataFrame:
+    """An edge table in the concept_relationship shape, both directions,
+    from every lineitem: part 'Supplied by' supplier and supplier 'Supplies'
+    part, valid from the ship date on; returned items are invalid edges."""
+    li = table(spark, d, "lineitem").select("l_partkey", "l_suppkey", "l_shipdate", "l_returnflag")
+    pair = F.explode(F.array(
+        F.struct(F.col("l_partkey").alias("concept_id_1"), F.col("l_suppkey").alias("concept_id_2"),
+                 F.lit(SUPPLIED_BY).alias("relationship_id")),
+        F.struct(F.col("l_suppkey").alias("concept_id_1"), F.col("l_partkey").alias("concept_id_2"),
+                 F.lit(SUPPLIES).alias("relationship_id"))))
+    return li.select(pair.alias("e"), F.to_date("l_shipdate").alias("valid_start_date"),
+                     F.lit(OPEN_END).alias("valid_end_date"),
+                     F.when(F.col("l_returnflag") == "R", F.lit("D")).alias("invalid_reason")) \
+             .select("e.*", "valid_start_date", "valid_end_date", "invalid_reason")
+
+
+def relationship_traversal(spark, d):
+    """Suppliers of each part valid on a date, found through the reverse
+    of 'Supplies' (looked up in the relationship table, not hard-wired)."""
+    relationship = spark.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(a).alias("relationship_id"), F.lit(b).alias("reverse_relationship_id"))
+        for a, b in [(SUPPLIED_BY, SUPPLIES), (SUPPLIES, SUPPLIED_BY)]])))
+    edges = derive.related(supply_relationships(spark, d), derive.reverse_of(relationship, SUPPLIES),
+                           as_of=F.lit(AS_OF))
+    return edges.groupBy(F.col("concept_id_1").alias("part_id")) \
+                .agg(F.count_distinct("concept_id_2").alias("n_suppliers"))
+
+
 # R10 ---------------------------------------------------------------------
 def quarantine_split(spark, d):
     attributed = derive.attribute(table(spark, d, "documents").select("doc_id"),
@@ -389,6 +427,7 @@ QUERIES = {
     "overlay_events": overlay_events,
     "link_order_parts": link_order_parts,
     "mapping_validity_join": mapping_validity_join,
+    "relationship_traversal": relationship_traversal,
     "quarantine_split": quarantine_split,
     "red_overlay": red_overlay,
     "checksum_dedupe": checksum_dedupe,
@@ -485,6 +524,18 @@ ORACLE_SQL = {
         "FROM orders, (VALUES (1996),(1997)) v(y)) "
         "SELECT o.o_orderkey, m.target_id FROM orders o LEFT JOIN m ON o.o_orderpriority = m.source_code "
         "AND CAST(o.o_orderdate AS DATE) BETWEEN m.vs AND m.ve"),
+    "relationship_traversal":
+        "WITH e AS (SELECT l_partkey AS concept_id_1, l_suppkey AS concept_id_2, 'Supplied by' AS relationship_id, "
+        "CAST(l_shipdate AS DATE) AS valid_start_date, DATE '2099-12-31' AS valid_end_date, "
+        "CASE WHEN l_returnflag = 'R' THEN 'D' END AS invalid_reason FROM lineitem "
+        "UNION ALL SELECT l_suppkey, l_partkey, 'Supplies', CAST(l_shipdate AS DATE), DATE '2099-12-31', "
+        "CASE WHEN l_returnflag = 'R' THEN 'D' END FROM lineitem), "
+        "r AS (SELECT * FROM (VALUES ('Supplied by', 'Supplies'), ('Supplies', 'Supplied by')) "
+        "v(relationship_id, reverse_relationship_id)) "
+        "SELECT concept_id_1 AS part_id, count(DISTINCT concept_id_2) AS n_suppliers FROM e "
+        "WHERE invalid_reason IS NULL AND DATE '1998-01-01' BETWEEN valid_start_date AND valid_end_date "
+        "AND relationship_id IN (SELECT reverse_relationship_id FROM r WHERE relationship_id = 'Supplies') "
+        "GROUP BY concept_id_1",
     "quarantine_split": "SELECT CASE WHEN l.doc_id IS NULL THEN 'orphan' ELSE 'cohort' END AS dest, "
                         "count(*) AS n FROM documents d LEFT JOIN labels l USING (doc_id) GROUP BY 1",
     "red_overlay": "SELECT event_id, CASE WHEN value < 0 OR value > 200 THEN NULL ELSE value END AS value, "
