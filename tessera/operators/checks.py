@@ -9,9 +9,9 @@ check is a query.  Two forms exist:
   whole layer's violations union into one DataFrame.
 
 Scale notes: every check aggregates map-side before it shuffles (a hot key
-collapses to one row per task), FK checks deduplicate child keys before the
-anti-join and stack all FK columns of a child that point to one parent into a
-single scan, and wide (string) keys are first grouped by a 64-bit hash so only
+collapses to one row per task), FK checks deduplicate child keys before they
+meet the parent keys and stack all FK columns of a child that point to one
+parent into a single scan, and wide (string) keys are first grouped by a 64-bit hash so only
 candidate duplicates move with their full text.
 """
 from __future__ import annotations
@@ -153,10 +153,10 @@ def fk_report(children: dict[str, DataFrame], parent: DataFrame, parent_key: str
     """C2 for many children and columns referencing one parent key.
 
     ``edges`` maps child table -> FK columns.  All keys are stacked and
-    deduplicated per (table, column, key) before a single anti-join against
-    the parent keys, so a skewed concept id costs one row per task.
+    deduplicated per (table, column, key) before a single join against the
+    parent keys, so a skewed concept id costs one row per task.
     ``parent_keys`` (one column named ``parent_key``) replaces a fresh scan
-    of the parent, e.g. the grouping its key check already shuffled.
+    of the parent, e.g. the grouping its key check already defines.
     """
     parts = []
     for table, cols in edges.items():
@@ -252,10 +252,9 @@ def validate_tables(frames: dict[str, DataFrame], contracts: dict[str, TableCont
             # PK columns are NOT NULL columns: the column report counts NULLs
             nulls_checked = all(not t.column(c).nullable for c in pk)
             if len(pk) == 1 and not _is_wide(df, pk):
-                # one grouping serves the duplicate check and, for tables
-                # referenced by foreign keys, the parent side of the
-                # anti-join (the same exchange is reused, already
-                # partitioned by the key)
+                # one grouping definition serves the duplicate check and,
+                # for tables referenced by foreign keys, the parent key set
+                # of the FK join (one row per key, no extra distinct)
                 counts = key_counts(df, pk)
                 shared_keys[(name, pk[0])] = counts.where(F.col("n") >= 1).select(pk[0])
                 reports.append(pk_report(df, t, include_nulls=not nulls_checked, counts=counts))
