@@ -85,15 +85,20 @@ def child_counts(parent: DataFrame, child: DataFrame, pk, fk, count_col: str = "
     return joined.withColumn(count_col, F.coalesce(F.col(count_col), F.lit(0)).cast("long"))
 
 
-def self_many_to_one(df: DataFrame, fk: str, pk: str, take, prefix: str) -> DataFrame:
+def self_many_to_one(df: DataFrame, fk: str, pk: str, take, prefix: str,
+                     parent: DataFrame | None = None) -> DataFrame:
     """Self reference (e.g. preceding visit): the referenced row's columns
-    under ``prefix``."""
-    return many_to_one(df, df, fk, pk, take, prefix)
+    under ``prefix``.  ``parent`` is the stored table when ``df`` is derived
+    from it (e.g. a computed reference), so the referenced side is a pruned
+    scan instead of a second evaluation of the derivation."""
+    return many_to_one(df, df if parent is None else parent, fk, pk, take, prefix)
 
 
-def self_one_to_many(df: DataFrame, fk: str, pk: str, take, prefix: str) -> DataFrame:
-    """Reverse self reference: rows that point at this row."""
-    return many_to_one(df, df, pk, fk, take, prefix)
+def self_one_to_many(df: DataFrame, fk: str, pk: str, take, prefix: str,
+                     parent: DataFrame | None = None) -> DataFrame:
+    """Reverse self reference: rows that point at this row (``parent``
+    as in ``self_many_to_one``)."""
+    return many_to_one(df, df if parent is None else parent, pk, fk, take, prefix)
 
 
 def cascade_survivors(child: DataFrame, deleted_parent_keys: DataFrame, fk, pk) -> DataFrame:

@@ -34,6 +34,32 @@ def _range_sorted(df: DataFrame, order, n: int | None) -> DataFrame:
                    .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))))
 
 
+def _per_partition(x: DataFrame, order, *aggs: Column) -> DataFrame:
+    """One row per range partition of ``x`` (a ``_range_sorted`` frame): the
+    given aggregates plus ``_head``, the partition's first order key.
+
+    The main branch and this one must see the same partitioning, but range
+    bounds come from sampling, so two separate range shuffles may split the
+    rows differently.  The tie-break below mentions every column, which makes
+    this branch's exchange identical to the main branch's, so Spark computes
+    the shuffle once and reuses it; ``_check_head`` then fails the job (rather
+    than return wrong rows) if the two ever disagree.
+    """
+    data_cols = [c for c in x.columns if c not in ("_mid", "_pid", "_pos")]
+    every = F.xxhash64(*[F.col(f"`{c}`") for c in data_cols])
+    pos = F.struct(F.col("_pos"), every)
+    return x.groupBy("_pid").agg(*aggs, F.min_by(F.struct(*order), pos).alias("_head"))
+
+
+def _check_head(order) -> Column:
+    """TRUE, or a task failure on a partition's first row whose key is not
+    the ``_head`` recorded for that partition."""
+    mine = F.struct(*order)
+    bad = (F.col("_pos") == 0) & ~F.coalesce(F.col("_head").eqNullSafe(mine), F.lit(False))
+    return F.when(bad, F.raise_error(F.lit("range partitions differ between two evaluations "
+                                           "of the same shuffle"))).otherwise(F.lit(True))
+
+
 def assign_ids(df: DataFrame, order, id_col: str = "id", start: int = 1,
                partitions: int | None = None, id_type: str = "int") -> DataFrame:
     """Dense identity ``start..start+N-1`` following ``order``.
@@ -48,12 +74,54 @@ def assign_ids(df: DataFrame, order, id_col: str = "id", start: int = 1,
     order = [F.col(o) if isinstance(o, str) else o for o in order]
     order.append(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
     x = _range_sorted(df, order, partitions)
-    counts = x.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    counts = _per_partition(x, order, F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    out = x.join(F.broadcast(offsets), "_pid")
+    offsets = counts.select("_pid", "_head", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    out = x.join(F.broadcast(offsets), "_pid", "left").where(_check_head(order))
     ident = (F.col("_off") + F.col("_pos") + F.lit(start)).cast(id_type)
-    return out.withColumn(id_col, ident).drop("_mid", "_pid", "_pos", "_off")
+    return out.withColumn(id_col, ident).drop("_mid", "_pid", "_pos", "_off", "_head")
+
+
+def _lag_in_partition(group, carry: dict[str, str]):
+    """Arrow function for ``mapInArrow``: LAG(1) of the ``carry`` sources
+    within runs of equal ``group`` values, over one partition's rows in their
+    sorted order, plus ``_first`` (no predecessor inside the partition).  The
+    last row of a batch is carried into the next batch of the same
+    partition."""
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        tail = None  # last row of the previous batch (a one-row batch)
+        for b in batches:
+            n = b.num_rows
+            if n == 0:
+                continue
+            same = None
+            for g in group:
+                col = b.column(g)
+                before = pa.concat_arrays([tail.column(g) if tail is not None else pa.nulls(1, col.type),
+                                           col.slice(0, n - 1)])
+                eq = pc.fill_null(pc.equal(col, before), False)
+                eq = pc.or_(eq, pc.and_(pc.is_null(col), pc.is_null(before)))  # NULL groups are one group
+                same = eq if same is None else pc.and_(same, eq)
+            if same is None:
+                same = pa.array([True] * n)
+            if tail is None:  # the partition's first row has no predecessor here
+                same = pa.concat_arrays([pa.array([False]), same.slice(1)])
+            arrays = [b.column(i) for i in range(b.num_columns)]
+            names = list(b.schema.names)
+            for out, src in carry.items():
+                col = b.column(src)
+                before = pa.concat_arrays([tail.column(src) if tail is not None else pa.nulls(1, col.type),
+                                           col.slice(0, n - 1)])
+                arrays.append(pc.if_else(same, before, pa.nulls(n, col.type)))
+                names.append(out)
+            arrays.append(pc.invert(same))
+            names.append("_first")
+            tail = b.slice(n - 1, 1)
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
+    return run
 
 
 def previous_in_order(df: DataFrame, group, order, carry: dict[str, str],
@@ -63,26 +131,32 @@ def previous_in_order(df: DataFrame, group, order, carry: dict[str, str],
 
     ``order`` should be a total order within the group (add a unique id as
     the last column).  The data are range-partitioned on group + order, so a
-    group holding a third of all rows is spread over many tasks; LAG runs per
-    (partition, group); the first row of each (partition, group) takes its
-    predecessor from the last row of the nearest non-empty earlier partition
-    when that row belongs to the same group.
+    group holding a third of all rows is spread over many tasks.  Inside a
+    partition the rows are sorted, so LAG is one sequential pass over Arrow
+    batches (``mapInArrow``, a narrow step): a window partitioned by (task,
+    group) would need a second full shuffle, since the planner cannot know
+    the rows are already placed.  The first row of each (partition, group)
+    takes its predecessor from the last row of the nearest non-empty earlier
+    partition when that row belongs to the same group.
     """
+    from pyspark.sql import types as T
+
     group, order = list(group), list(order)
     base = _range_sorted(df, [*group, *order], partitions)
-    w = Window.partitionBy("_pid", *group).orderBy("_pos")
-    x = base
-    for out, src in carry.items():
-        x = x.withColumn(out, F.lag(F.col(src)).over(w))
-    x = x.withColumn("_first", F.lag(F.lit(1)).over(w).isNull())
+    fields = {f.name: f for f in base.schema.fields}
+    schema = T.StructType([*base.schema.fields,
+                           *[T.StructField(out, fields[src].dataType, True) for out, src in carry.items()],
+                           T.StructField("_first", T.BooleanType(), False)])
+    x = base.mapInArrow(_lag_in_partition(group, carry), schema)
+    keys = [F.col(c) for c in [*group, *order]]
     # last row of every non-empty partition (<= one row per partition)
-    last = (base.groupBy("_pid")
-             .agg(F.max_by(F.struct(*[F.col(g) for g in group], *[F.col(s) for s in carry.values()]),
-                           F.col("_pos")).alias("_last")))
+    last = _per_partition(base, keys,
+                          F.max_by(F.struct(*[F.col(g) for g in group], *[F.col(s) for s in carry.values()]),
+                                   F.col("_pos")).alias("_last"))
     # predecessor partition = nearest earlier non-empty partition
     prev = Window.orderBy("_pid")
-    edges = last.select(F.col("_pid"), F.lag("_last").over(prev).alias("_edge"))
-    y = x.join(F.broadcast(edges), "_pid", "left")
+    edges = last.select(F.col("_pid"), "_head", F.lag("_last").over(prev).alias("_edge"))
+    y = x.join(F.broadcast(edges), "_pid", "left").where(_check_head(keys))
     same = None
     for i, g in enumerate(group):
         cond = F.col("_edge").getField(g).eqNullSafe(F.col(g))
@@ -90,7 +164,7 @@ def previous_in_order(df: DataFrame, group, order, carry: dict[str, str],
     fix = F.col("_first") & F.col("_edge").isNotNull() & same
     for out, src in carry.items():
         y = y.withColumn(out, F.when(fix, F.col("_edge").getField(src)).otherwise(F.col(out)))
-    return y.drop("_mid", "_pid", "_pos", "_first", "_edge")
+    return y.drop("_mid", "_pid", "_pos", "_first", "_edge", "_head")
 
 
 def eras(df: DataFrame, group, day: Column | str, gap_days: int,

@@ -231,7 +231,9 @@ def nav_one_to_many(spark, d):
 def nav_self_reference(spark, d):
     ev = table(spark, d, "events").select("event_id", "user_id", "ts", "event_type")
     chained = sequence.previous_in_order(ev, ["user_id"], ["ts", "event_id"], {"preceding_id": "event_id"})
-    nav = navigate.self_many_to_one(chained, "preceding_id", "event_id", ["event_type"], "preceding_")
+    # the referenced side is the stored table, not the derived chain
+    nav = navigate.self_many_to_one(chained, "preceding_id", "event_id", ["event_type"], "preceding_",
+                                    parent=ev)
     return nav.select("event_id", "preceding_id", F.col("preceding_event_type").alias("preceding_type"))
 
 

@@ -33,6 +33,58 @@ def test_previous_in_order_matches_lag(spark):
     assert rows(got, "event_id", "prev_id", "prev_kind") == expected
 
 
+def test_previous_in_order_null_groups_and_small_batches(spark):
+    """NULL group values form one group (as in a window), and the lag carries
+    across Arrow batches inside a partition."""
+    data = [(i, None if i % 5 == 0 else i % 3, datetime.datetime(2024, 1, 1) + datetime.timedelta(hours=i % 97),
+             "k%d" % (i % 4)) for i in range(1500)]
+    df = spark.createDataFrame(data, "event_id long, user_id long, ts timestamp_ntz, kind string")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
+    try:
+        got = rows(sequence.previous_in_order(df, ["user_id"], ["ts", "event_id"],
+                                              {"prev_id": "event_id"}, partitions=5),
+                   "event_id", "prev_id")
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    ordered = sorted(data, key=lambda r: (r[1] is not None, r[1] or 0, r[2], r[0]))  # NULLS FIRST
+    expected, prev = [], {}
+    for eid, user, _, _ in ordered:
+        expected.append((eid, prev.get(user)))
+        prev[user] = eid
+    assert got == sorted(expected, key=lambda t: (t[0],))
+
+
+def test_boundaries_never_silently_wrong_without_exchange_reuse(spark):
+    """Without exchange reuse the boundary branch samples its own range
+    bounds; the result must then be right or the job must fail - never wrong
+    rows.  Few output partitions over many rows, so the sampler draws a real
+    subset and the two samples differ."""
+    data = _events(6000, seed=11)
+    df = spark.createDataFrame(data, "event_id long, user_id long, ts timestamp_ntz, kind string")
+    pdf = pd.DataFrame(data, columns=["event_id", "user_id", "ts", "kind"]).sort_values(["user_id", "ts", "event_id"])
+    pdf["prev_id"] = pdf.groupby("user_id")["event_id"].shift(1)
+    expected = sorted((int(r.event_id), None if pd.isna(r.prev_id) else int(r.prev_id)) for r in pdf.itertuples())
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        got = sequence.previous_in_order(df, ["user_id"], ["ts", "event_id"], {"prev_id": "event_id"},
+                                         partitions=3)
+        try:
+            result = rows(got, "event_id", "prev_id")
+        except Exception as e:  # noqa: BLE001
+            assert "range partitions differ" in str(e)
+        else:
+            assert result == expected
+        ids = sequence.assign_ids(df, ["user_id", "ts"], "id", partitions=3)
+        try:
+            got_ids = sorted(r.id for r in ids.select("id").collect())
+        except Exception as e:  # noqa: BLE001
+            assert "range partitions differ" in str(e)
+        else:
+            assert got_ids == list(range(1, len(data) + 1))
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+
+
 def test_assign_ids_dense_in_order(spark):
     keys = [random.Random(5).randint(0, 10_000) for _ in range(2000)] + [42] * 1000
     df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k int, i int")
