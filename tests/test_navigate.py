@@ -36,6 +36,23 @@ def test_self_references(cdm):
     assert rows(rev, "visit_occurrence_id", "next_visit_occurrence_id") == [(7, 8), (8, 10), (9, None), (10, None)]
 
 
+def test_self_reference_on_a_derived_frame_reads_the_stored_table(cdm):
+    """A derived frame (here a filtered one) navigates to the stored table:
+    references to rows outside the derived frame still resolve."""
+    from pyspark.sql import functions as F
+    v = cdm["visit_occurrence"]
+    later = v.where(F.col("visit_occurrence_id") >= 8)
+    own = navigate.self_many_to_one(later, "preceding_visit_occurrence_id", "visit_occurrence_id",
+                                    ["person_id"], "preceding_")
+    stored = navigate.self_many_to_one(later, "preceding_visit_occurrence_id", "visit_occurrence_id",
+                                       ["person_id"], "preceding_", parent=v)
+    assert rows(own, "visit_occurrence_id", "preceding_person_id") == [(8, None), (9, None), (10, 1)]
+    assert rows(stored, "visit_occurrence_id", "preceding_person_id") == [(8, 1), (9, None), (10, 1)]
+    rev = navigate.self_one_to_many(later, "preceding_visit_occurrence_id", "visit_occurrence_id",
+                                    ["visit_occurrence_id"], "next_", parent=v)
+    assert rows(rev, "visit_occurrence_id", "next_visit_occurrence_id") == [(8, 10), (9, None), (10, None)]
+
+
 def test_path_equals_chained_left_joins(cdm):
     got = navigate.path(cdm["visit_occurrence"], [
         (cdm["person"], "person_id", "person_id", ["care_site_id"]),
