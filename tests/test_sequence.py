@@ -116,3 +116,23 @@ def test_eras_match_brute_force(spark):
             prev = d
         expected.append((u, k, start, prev, n))
     assert got == sorted(expected)
+
+
+def test_sequence_ops_without_adaptive_execution(spark):
+    """With AQE off the static planner's exchange reuse must give the same
+    results (a range-sampled subset: many rows over few partitions)."""
+    data = _events(6000, seed=13)
+    df = spark.createDataFrame(data, "event_id long, user_id long, ts timestamp_ntz, kind string")
+    exp, last = {}, {}
+    for e, u, t, _ in sorted(data, key=lambda r: (r[1], r[2], r[0])):
+        exp[e] = last.get(u)
+        last[u] = e
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = {r.event_id: r.prev for r in sequence.previous_in_order(
+            df, ["user_id"], ["ts", "event_id"], {"prev": "event_id"}, partitions=3).select("event_id", "prev").collect()}
+        ids = sorted(r.id for r in sequence.assign_ids(df, ["user_id", "ts"], "id", partitions=3).select("id").collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert got == exp
+    assert ids == list(range(1, len(data) + 1))
