@@ -3,10 +3,23 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import licenses, mixing, quality, sharding
+from . import bpe, licenses, mixing, quality, secrets, sharding
 from .common import table
 
 
+# 1 -----------------------------------------------------------------------
+def coded_digests(coded):
+    """The ids and the text decoded from them, as counts and digests."""
+    return bpe.decode(coded).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op1_bpe_roundtrip(spark, d):
+    return coded_digests(bpe.encode(table(spark, d, "documents").select("doc_id", "text")))
+
+
 # 2 -----------------------------------------------------------------------
 def op2_mix_sources(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "source")
@@ -90,6 +103,22 @@ def op5_shard_jump(spark, d):
     return sharding.shard_documents(table(spark, d, "documents"), 8)
 
 
+# 6 -----------------------------------------------------------------------
+def op6_secret_scan(spark, d):
+    found = secrets.scan_secrets(table(spark, d, "documents").select("doc_id", "text"))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"),
+                                                                     s["end"].cast("string"))), ",")
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    base = F.filter("spans", lambda s: s["kind"].isin(*secrets.BASE))
+    return found.select("doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"),
+                        count("hex").alias("n_hex"), F.sha2(joined(base), 256).alias("base_sha256"),
+                        joined(F.col("spans")).alias("spans"), count("novel").alias("n_novel"))
+
+
 # 7 -----------------------------------------------------------------------
 def op7_quality_hosts(spark, d):
     judged = quality.judge(table(spark, d, "documents").select("doc_id", "source", "text"))
@@ -138,7 +167,8 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged
 """
 
-QUERIES = {f.__name__: f for f in (op2_mix_sources, op4_license_scan, op5_shard_jump, op7_quality_hosts)}
+QUERIES = {f.__name__: f for f in (op1_bpe_roundtrip, op2_mix_sources, op4_license_scan, op5_shard_jump, op6_secret_scan,
+                                   op7_quality_hosts)}
 
 ORACLE_SQL = {
     "op2_mix_sources": _OP2_SQL,

@@ -1,0 +1,73 @@
+import hashlib
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tessera.llm import bpe
+
+PATH = bpe.default_path()
+
+
+def whole(text):
+    return bpe.tokenizer(PATH).encode(text or "", add_special_tokens=False).ids
+
+
+def strange(rng, n):
+    """Text of the characters that make joins hard."""
+    parts = ["a", "the", "'", "s", "'re", "!!", "<|endoftext|>", "<|start", "9", "é", "é", "́", "İ", "Σ", "ß", "한",
+             "하", "语", "🙂", "​", " ", "x" * 30, "...", "<|", "|>", "ing", "tion", "ll", "\x1f", "İ"]
+    spaces = ["", "", "", "", " ", "\n", "\t"]
+    return "".join(rng.choice(parts) + rng.choice(spaces) for _ in range(n))
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_tree_equals_whole(seed):
+    rng = random.Random(seed)
+    text = strange(rng, rng.randrange(1, 400))
+    if seed % 2:
+        text = "".join(text.split())
+    for leaf in (7, 50, 333):
+        assert bpe.encode_tree(bpe.tokenizer(PATH), text, leaf).ids.tolist() == whole(text)
+
+
+def test_long_unsplit_word():
+    rng = random.Random(5)
+    for letters in ("abcdefghinorst", "an", "!?.", "é'sre"):
+        text = "".join(rng.choice(letters) for _ in range(9000))
+        assert bpe.encode_tree(bpe.tokenizer(PATH), text, 500).ids.tolist() == whole(text)
+        assert bpe.word_encoder(PATH)([text])[0] == bpe.np.array(whole(text), dtype="int32").tobytes()
+
+
+def test_words_equal_whole():
+    rng = random.Random(11)
+    texts = [strange(rng, 60) for _ in range(100)] + ["", " ", "\n\n", "á ́b", "x\r\ny\x0bz\x85w"]
+    got = bpe.word_encoder(PATH)(texts)
+    assert [bpe.np.frombuffer(g, dtype="int32").tolist() for g in got] == [whole(x) for x in texts]
+
+
+def test_rows_and_leaves(spark):
+    rng = random.Random(3)
+    long = strange(rng, 3000)
+    rows = [(1, "The cat's <|endoftext|> here", "x"), (2, None, None), (3, "", "y"), (4, long, "z"), (4, long, "z"),
+            (None, long + "q", None), (5, "A" * 5000, "w")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, ids string")
+    out = bpe.decode(bpe.encode(df, leaf_chars=1000)).collect()
+    t = bpe.tokenizer(PATH)
+    want = sorted((-1 if i is None else i, whole(x), t.decode(whole(x), skip_special_tokens=False)) for i, x, _ in rows)
+    assert sorted((-1 if r.doc_id is None else r.doc_id, list(r.ids), r.decoded) for r in out) == want
+    assert bpe.decode(bpe.encode(df.limit(0))).collect() == []
+
+
+def test_query_digests(spark):
+    from tessera.llm.common import table
+    from tessera.llm.queries import QUERIES
+    d = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text for r in table(spark, d, "documents").collect()}
+    t, rows = bpe.tokenizer(PATH), QUERIES["op1_bpe_roundtrip"](spark, d).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        ids = whole(texts[r.doc_id])
+        assert r.n_tokens == len(ids)
+        assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(t.decode(ids, skip_special_tokens=False).encode()).hexdigest()
