@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, licenses, mixing, quality, secrets, sharding
+from . import bpe, jaccard, licenses, mixing, quality, secrets, sharding
 from .common import table
 
 
@@ -167,8 +167,14 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged
 """
 
+# 8 -----------------------------------------------------------------------
+def op8_ngram_jaccard(spark, d):
+    joined = jaccard.join_documents(table(spark, d, "documents").select("doc_id", "text"))
+    return joined.select("doc_id", F.col("component_id").alias("class_id"), "n_links", "n_shingles", "kept")
+
+
 QUERIES = {f.__name__: f for f in (op1_bpe_roundtrip, op2_mix_sources, op4_license_scan, op5_shard_jump, op6_secret_scan,
-                                   op7_quality_hosts)}
+                                   op7_quality_hosts, op8_ngram_jaccard)}
 
 ORACLE_SQL = {
     "op2_mix_sources": _OP2_SQL,
