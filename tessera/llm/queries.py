@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard, licenses, mixing, quality, secrets, sharding
+from . import bpe, jaccard, licenses, mixing, quality, secrets, sharding, vectors
 from .common import table
 
 
@@ -59,6 +59,11 @@ FROM e
 """
 
 
+# 3 -----------------------------------------------------------------------
+def op3_embedding_neardup(spark, d):
+    return vectors.near_duplicates(table(spark, d, "embeddings"))
+
+
 # 4 -----------------------------------------------------------------------
 def op4_license_scan(spark, d):
     found = licenses.scan_licenses(table(spark, d, "documents"))
@@ -173,7 +178,7 @@ def op8_ngram_jaccard(spark, d):
     return joined.select("doc_id", F.col("component_id").alias("class_id"), "n_links", "n_shingles", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe_roundtrip, op2_mix_sources, op4_license_scan, op5_shard_jump, op6_secret_scan,
+QUERIES = {f.__name__: f for f in (op1_bpe_roundtrip, op2_mix_sources, op3_embedding_neardup, op4_license_scan, op5_shard_jump, op6_secret_scan,
                                    op7_quality_hosts, op8_ngram_jaccard)}
 
 ORACLE_SQL = {
