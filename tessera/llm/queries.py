@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard, licenses, mixing, packing, quality, secrets, sharding, vectors
+from . import bpe, jaccard, licenses, lm, mixing, packing, quality, secrets, sharding, vectors
 from .common import table
 
 
@@ -178,13 +178,18 @@ def op8_ngram_jaccard(spark, d):
     return joined.select("doc_id", F.col("component_id").alias("class_id"), "n_links", "n_shingles", "kept")
 
 
+# 9 -----------------------------------------------------------------------
+def op9_context_mixing(spark, d):
+    return lm.score_documents(table(spark, d, "documents").select("doc_id", "text"))
+
+
 # 10 ----------------------------------------------------------------------
 def op10_pack_ids(spark, d):
     return packing.pack_documents(table(spark, d, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (op1_bpe_roundtrip, op2_mix_sources, op3_embedding_neardup, op4_license_scan, op5_shard_jump, op6_secret_scan,
-                                   op7_quality_hosts, op8_ngram_jaccard, op10_pack_ids)}
+                                   op7_quality_hosts, op8_ngram_jaccard, op9_context_mixing, op10_pack_ids)}
 
 ORACLE_SQL = {
     "op2_mix_sources": _OP2_SQL,
