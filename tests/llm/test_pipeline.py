@@ -1,0 +1,125 @@
+import hashlib
+from collections import Counter
+
+import pytest
+
+import corpus_pipeline
+from tessera.llm import bpe, quality, secrets
+from tessera.llm.common import table
+
+from .test_jaccard import brute as near_copies
+from .test_mixing import edf
+from .test_quality import brute as measures, shrunk
+
+RULES = {"symbols": lambda w, c, s, d, r, n: 10 * s > w, "dup_lines": lambda w, c, s, d, r, n: 100 * d > 30 * n,
+         "word_length": lambda w, c, s, d, r, n: c < 3 * w or c > 12 * w, "repetition": lambda w, c, s, d, r, n: 100 * r > 30 * w}
+
+
+def kept_by_quality(rows):
+    found = []
+    for r in rows:
+        lines = sum(bool(x.strip(" \t\n\x0b\x0c\r")) for x in (r.text or "").split("\n"))
+        m = measures(r.text)
+        found.append((r, m, {k: f(*m, lines) for k, f in RULES.items()}))
+    strict = {}
+    for k in RULES:
+        hosts = {}
+        for r, _, failed in found:
+            f, n = hosts.get(r.source, (0, 0))
+            hosts[r.source] = f + failed[k], n + 1
+        strict[k] = {h for h, rate in shrunk(hosts).items() if rate >= quality.HOST_LIMIT}
+    return [r for r, m, failed in found if m[0] >= 50 and 100 * m[4] <= 50 * m[0] and sum(failed.values()) < 2
+            and not any(f and r.source in strict[k] for k, f in failed.items())]
+
+
+def uses(rows, block=8, resolution=1000, smoothing=4):
+    """How often the mixture uses each row, slot by slot."""
+    n = Counter(r.source for r in rows)
+    sources = sorted(n, key=lambda s: (s is not None, s))
+    weights = [(smoothing - 1) * len(n) * n[s] + len(rows) for s in sources]
+    total, spare = sum(weights), resolution - len(n)
+    ticks = [1 + w * spare // total for w in weights]
+    for i in sorted(range(len(ticks)), key=lambda i: (-(weights[i] * spare % total), i))[:resolution - sum(ticks)]:
+        ticks[i] += 1
+    given = [0] * len(sources)
+    picks = edf(ticks, resolution)
+    t = 0
+    while any(g * block < n[s] for g, s in zip(given, sources)):
+        given[picks[t % resolution]] += 1
+        t += 1
+    out = Counter()
+    for g, s in zip(given, sources):
+        own = sorted((r for r in rows if r.source == s), key=lambda r: hashlib.md5(str(r.doc_id).encode()).hexdigest())
+        for i in range(g * block):
+            out[own[i % len(own)].doc_id] += 1
+    return out
+
+
+@pytest.fixture(scope="module")
+def steps(spark):
+    from tessera.llm.common import stored
+    d = "/root/testdata/sf0.001"
+    docs = table(spark, d, "documents")
+    out = [docs.collect()]
+    for name, stage in corpus_pipeline.STAGES:
+        columns = docs.columns
+        docs = stored(stage(spark, docs, d), name)
+        assert name == "encode" or docs.columns == columns
+        out.append(docs.collect())
+    return out
+
+
+def test_quality_stage(steps):
+    assert sorted(r.doc_id for r in steps[1]) == sorted(r.doc_id for r in kept_by_quality(steps[0]))
+    assert 0 < len(steps[1]) < len(steps[0])
+
+
+def test_deduplicate_stage(steps):
+    want = near_copies([(r.doc_id, r.text) for r in steps[1]])
+    assert sorted(r.doc_id for r in steps[2]) == sorted(i for i, (_, top) in want.items() if top == i)
+
+
+def test_secrets_stage(steps):
+    before = {r.doc_id: r for r in steps[2]}
+    assert len(steps[3]) == len(before)
+    for r in steps[3]:
+        old = before[r.doc_id]
+        spans = [dict(zip(("kind", "start", "end"), x)) for x in secrets.find(old.text)]
+        assert r.text == (secrets.redacted(old.text, spans, "[secret]") if spans else old.text)
+        assert r.n_chars == (len(r.text) if spans else old.n_chars) and (r.lang, r.source) == (old.lang, old.source)
+
+
+def test_mix_stage(steps):
+    assert Counter(r.doc_id for r in steps[4]) == uses(steps[3])
+    assert {tuple(r) for r in steps[4]} == {tuple(r) for r in steps[3]}
+
+
+def test_encode_stage(steps):
+    t = bpe.tokenizer(bpe.default_path())
+    texts = {r.doc_id: r.text for r in steps[4]}
+    assert Counter(r.doc_id for r in steps[5]) == Counter(r.doc_id for r in steps[4])
+    for r in steps[5]:
+        ids = t.encode(texts[r.doc_id], add_special_tokens=False).ids
+        assert list(r.ids) == ids and r.n_tokens == len(ids)
+        assert r.decoded_sha256 == hashlib.sha256(t.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_run_equals_its_stages(spark, steps):
+    got = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
+    key = lambda r: (r.doc_id, r.ids_sha256)
+    assert sorted(map(key, got)) == sorted(map(key, steps[-1]))
+
+
+def test_odd_rows(spark):
+    good = " ".join("word%d thing%d" % (i, i * 7 % 60) for i in range(60))
+    rows = [(1, good, "en", "a", 5), (1, good, "en", "a", 5), (None, None, None, None, None), (2, "", "en", "b", 0),
+            (None, good + " token = 0123456789abcdef0123456789abcdef " + good[::-1], None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, "")
+    got = docs.collect()
+    assert {r.doc_id for r in got} == {1, None} and all(r.n_tokens > 0 for r in got)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, "")
+    assert docs.collect() == []

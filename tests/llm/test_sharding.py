@@ -1,0 +1,51 @@
+import random
+import zlib
+
+import numpy as np
+
+from tessera.llm import sharding
+
+
+def slow_jump(key, shards):
+    b, j = -1, 0
+    while j < shards:
+        b = j
+        key = (key * 2862933555777941757 + 1) % (1 << 64)
+        j = int((b + 1) * (float(1 << 31) / ((key >> 33) + 1)))
+    return b
+
+
+def test_jump():
+    rng = random.Random(1)
+    keys = [0, 1, (1 << 64) - 1, *(rng.randrange(1 << 64) for _ in range(500))]
+    for n in (1, 2, 8, 9, 1000):
+        assert sharding.jump(np.array(keys, np.uint64), n).tolist() == [slow_jump(k, n) for k in keys]
+
+
+def test_documents(spark):
+    rows = [(i, "text é %d" % (i % 7), "x", 0) for i in range(3000)]
+    rows += [(None, None, "y", 1), (5000, "", None, 2), (17, rows[17][1], "x", 0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, shard string, _md5 int")
+    got = sharding.shard_documents(df, 8).collect()
+    assert len(got) == len(rows)
+    slots, shards = {}, {}
+    for r in got:
+        slots.setdefault(r.shard, []).append(r.slot)
+        shards.setdefault(r.doc_id, set()).add((r.shard, r.grown_shard))
+        assert r.grown_shard in (r.shard, 8) and r.law == "key"
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and sorted(slots) == list(range(8))
+    assert all(len(x) == 1 for x in shards.values())
+    sizes = np.array([len(s) for s in slots.values()])
+    assert abs(sizes - len(rows) / 8).max() < 5 * np.sqrt(len(rows) / 8)
+    want = sorted((-1 if i is None else i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t, *_ in rows)
+    assert sorted((-1 if r.doc_id is None else r.doc_id, r.size, r.text_crc32) for r in got) == want
+    assert sharding.shard_documents(df.limit(0), 8).collect() == []
+
+
+def test_more_shards_take_rows_only_into_themselves(spark):
+    df = spark.range(2000).withColumnRenamed("id", "doc_id")
+    for n in (1, 4, 20):
+        a = {r.doc_id: r.shard for r in sharding.shard(df, n).collect()}
+        b = {r.doc_id: r.shard for r in sharding.shard(df, n + 1).collect()}
+        moved = [k for k in a if a[k] != b[k]]
+        assert all(b[k] == n for k in moved) and abs(len(moved) - 2000 / (n + 1)) < 5 * np.sqrt(2000 / (n + 1))
