@@ -1,7 +1,8 @@
 """BPE encoding and decoding with the public ``tokenizers`` files.
 
-Ordinary text falls apart at spaces, so words are encoded (each distinct word
-once per batch) and their ids strung together.  Long unsplit text, which has
+Ordinary text falls apart at spaces and between kinds of characters, so words
+or pieces are encoded (once while a worker remembers them) and their ids
+strung together.  Long unsplit text, which has
 no such places, is encoded by tree concatenation: halves are encoded apart,
 and at each join a window around it is encoded again and grown until it
 agrees with both halves, that is until it shares a token (same id, same
@@ -15,15 +16,17 @@ cluster; their joins are resolved the same way.
 """
 from __future__ import annotations
 
+import re
 import unicodedata
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import without
+from .common import small_batches, without
 
 #: a word of more characters than this is encoded by tree concatenation
 UNSPLIT = 4096
@@ -32,8 +35,9 @@ TREE_LEAF, WINDOW = 2048, 64
 #: characters at a join that a shared token keeps away from: the longest
 #: contraction that the pre-tokenizer knows, and one more
 MARGIN = 4
-#: distinct words kept by a Python worker before it starts afresh
-CACHED_WORDS = 400_000
+#: distinct words that a Python worker keeps (twice as many in passing), and
+#: characters of texts encoded together
+CACHED_WORDS, TOGETHER = 200_000, 500_000
 
 
 def default_path() -> str:
@@ -134,28 +138,86 @@ def encode_tree(t, text: str, leaf: int = TREE_LEAF) -> Tokens:
     return join_tree(t, text, encode_spans(t, text, leaves(text, leaf)))
 
 
+#: texts of these characters alone (Latin-1 without controls, and common
+#: spaces) are cut into pieces here, as the tokenizer's own rules cut them:
+#: they are in normal form, and lower case maps each character to one
+PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ \t\r\n]*")
+PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[!-/:-`{-~]+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class WordEncoder:
-    """Ids of texts, put together from those of their words."""
+    """Ids of texts, put together from those of their words or pieces."""
 
     def __init__(self, path: str):
-        self.t, self.known = tokenizer(path), {"": b""}
+        self.t, self.known, self.older = tokenizer(path), {"": b""}, {}
+        self.pieces, self.old_pieces = {}, {}
+        self.letters = _byte_letters()
+        # the pieces above hold for the rules of this file
+        from tokenizers.models import BPE
+        self.plain = isinstance(self.t.model, BPE) and [
+            x.ids for x in self.t.encode_batch(["It's 42, É! ", "we'll"], add_special_tokens=False)] == [
+            np.frombuffer(b"".join(map(self._piece, PIECE.findall(x.lower()))), np.int32).tolist() for x in ("It's 42, É! ", "we'll")]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
+        out, part, size = [], [], 0
+        for x in texts:  # a few texts at a time, as their words take many times their room
+            part.append(x)
+            size += len(x)
+            if size > TOGETHER:
+                out += self._encode(part)
+                part, size = [], 0
+        return out + self._encode(part)
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        out = [self._plain(x) for x in texts]
+        rest = [i for i, x in enumerate(out) if x is None]
+        for i, ids in zip(rest, self._by_words([texts[i] for i in rest])):
+            out[i] = ids
+        return out
+
+    def _piece(self, piece: str) -> bytes:
+        spelled = "".join(map(self.letters.__getitem__, piece.encode()))
+        return np.array([x.id for x in self.t.model.tokenize(spelled)], dtype=np.int32).tobytes()
+
+    def _plain(self, text: str) -> bytes | None:
+        """None if the text is not plain, or has long unsplit pieces."""
+        if not self.plain or not PLAIN.fullmatch(text) or "<|" in text:
+            return None
+        pieces = PIECE.findall(text.lower())
+        if len(text) > UNSPLIT and max(map(len, pieces), default=0) > UNSPLIT:
+            return None
+        if len(self.pieces) > CACHED_WORDS:  # pieces met since stay known, and those before until the next turn
+            self.pieces, self.old_pieces = {}, self.pieces
+        known, older = self.pieces, self.old_pieces
+        for p in set(pieces).difference(known):
+            known[p] = older[p] if p in older else self._piece(p)
+        return b"".join(map(known.__getitem__, pieces))
+
+    def _by_words(self, texts: list[str]) -> list[bytes]:
         split = [x.replace("\n", " ").split(" ") for x in texts]
         if len(self.known) > CACHED_WORDS:
-            self.known = {"": b""}
-        known, out = self.known, []
-        for words in split:
-            new = [w for w in set(words) if w not in known]
-            short = [w for w in new if len(w) <= UNSPLIT]
-            for w, e in zip(short, self.t.encode_batch(short, add_special_tokens=False) if short else ()):
-                known[w] = np.array(e.ids, dtype=np.int32).tobytes()
-            long = [w for w in new if len(w) > UNSPLIT]
-            for w in long:
-                known[w] = encode_tree(self.t, w).ids.tobytes()
-            out.append(b"".join(map(known.__getitem__, words)))
-            for w in long:
-                del known[w]
+            self.known, self.older = {"": b""}, self.known
+        known, older = self.known, self.older
+        new = set().union(*split).difference(known)
+        back = new.intersection(older)
+        known.update((w, older[w]) for w in back)
+        new -= back
+        short = [w for w in new if len(w) <= UNSPLIT]
+        for w, e in zip(short, self.t.encode_batch(short, add_special_tokens=False) if short else ()):
+            known[w] = np.array(e.ids, dtype=np.int32).tobytes()
+        long = [w for w in new if len(w) > UNSPLIT]
+        for w in long:
+            known[w] = encode_tree(self.t, w).ids.tobytes()
+        out = [b"".join(map(known.__getitem__, words)) for words in split]
+        for w in long:
+            del known[w]
         return out
 
 
@@ -178,21 +240,28 @@ def encode_column(path: str):
 
 
 @lru_cache(maxsize=4)
-def _names(path: str) -> list[str] | None:
+def _names(path: str) -> pa.Array | None:
     """Token texts by id, for files whose decoding is joining them by spaces."""
     t = tokenizer(path)
-    return [t.id_to_token(i) for i in range(t.get_vocab_size())] if t.decoder is None else None
+    return pa.array([t.id_to_token(i) for i in range(t.get_vocab_size())]) if t.decoder is None else None
+
+
+def _decode(path: str, ids: pa.ListArray) -> pa.Array:
+    names, t = _names(path), tokenizer(path)
+    if names is None:
+        return pa.array([t.decode(x or [], skip_special_tokens=False) for x in ids.to_pylist()], pa.string())
+    ids = pc.fill_null(ids, pa.scalar([], ids.type))
+    start = ids.offsets[0].as_py()
+    values = names.take(ids.values.slice(start, ids.offsets[-1].as_py() - start))
+    return pc.binary_join(pa.ListArray.from_arrays(pc.subtract(ids.offsets, start), values), " ")
 
 
 def decode_column(path: str):
     """Arrow function: ids -> text, special tokens kept; null ids decode as ''."""
     @F.arrow_udf("string")
     def decode_(ids: pa.Array) -> pa.Array:
-        names, t, out = _names(path), tokenizer(path), []
-        for x in ids:
-            part = [] if x.values is None else x.values.to_pylist()
-            out.append(" ".join(map(names.__getitem__, part)) if names else t.decode(part, skip_special_tokens=False))
-        return pa.array(out, pa.string())
+        return pa.concat_arrays([_decode(path, ids.slice(lo, 500)) for lo in range(0, len(ids), 500)]
+                                or [pa.array([], pa.string())])
     return decode_
 
 
@@ -259,6 +328,7 @@ def encode(docs: DataFrame, path: str | None = None, text: str = "text", out: st
     column named ``out`` is replaced.
     """
     path = path or default_path()
+    small_batches(docs)
     docs = without(docs, [out])
     keep = [c for c in docs.columns if c != text]
     size = F.coalesce(F.char_length(text), F.lit(0))

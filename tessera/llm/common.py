@@ -19,6 +19,13 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(df: DataFrame, rows: int = 1000, size: str = "8m") -> None:
+    """From here on, Python tasks of the session get batches of this many rows
+    and bytes at most: rows with long texts take much room."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
 def without(df: DataFrame, names) -> DataFrame:
     """``df`` without input columns whose names an operator is about to add
     (names compare case-insensitively, as in Spark)."""

@@ -46,6 +46,18 @@ def test_words_equal_whole():
     assert [bpe.np.frombuffer(g, dtype="int32").tolist() for g in got] == [whole(x) for x in texts]
 
 
+def test_plain_pieces_equal_whole():
+    rng = random.Random(12)
+    parts = ["don't", "it's", "WE'LL", "''s", "x'd'", "Éa", "ÀÖØÞß", "ñandú", "42", "a1b2", "!!", "...", "'", "re", "[x]", "{|}~", "`_^", "ÿ",
+             "×", "÷", "ª", "µ", "\x7f", "<|", "<|endoftext|>", "\xa0", "\xad", "thing,"]
+    texts = ["".join(rng.choice(parts[:18 if k % 2 else None]) + rng.choice(["", "", " ", "\n", "\t", "\r\n"]) for _ in range(40))
+             for k in range(800)]
+    texts += ["".join(chr(c) for c in range(33, 256)), *map(chr, range(33, 256)), "".join(rng.choice(parts[:18]) for _ in range(3000))]
+    encoder = bpe.WordEncoder(PATH)
+    assert encoder.plain and sum(encoder._plain(x) is not None for x in texts) >= 400
+    assert [bpe.np.frombuffer(g, dtype="int32").tolist() for g in encoder(texts)] == [whole(x) for x in texts]
+
+
 def test_rows_and_leaves(spark):
     rng = random.Random(3)
     long = strange(rng, 3000)
