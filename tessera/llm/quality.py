@@ -95,10 +95,15 @@ def judge(docs: DataFrame, host: str = "source", text: str = "text") -> DataFram
 
     A null host is a host of its own; repeated rows are judged alike; an empty
     table gives no rows.  Input columns named like the added ones are
-    replaced.  The measured rows are written to the shared folder once, as
-    both the host rates and the result are made from them; the host table is
-    written too, so that Spark knows its size when it picks the join."""
-    rows = stored(measure(docs, text), "quality")
+    replaced."""
+    return verdicts(measure(docs, text), host)
+
+
+def verdicts(measured: DataFrame, host: str = "source") -> DataFrame:
+    """Measured rows with the verdicts.  They are written to the shared folder
+    once, as both the host rates and the result are made from them; the host
+    table is written too, so that Spark knows its size when it picks the join."""
+    rows = stored(measured, "quality")
     hosts = stored(host_rates(rows, host).select(
         "_host", *[(F.col(f"rate_{r}") >= HOST_LIMIT).alias(f"_strict_{r}") for r in RULES]), "hosts")
     rows = rows.join(hosts, F.col(host).eqNullSafe(F.col("_host")), "left")

@@ -126,7 +126,8 @@ def op6_secret_scan(spark, d):
 
 # 7 -----------------------------------------------------------------------
 def op7_quality_hosts(spark, d):
-    judged = quality.judge(table(spark, d, "documents").select("doc_id", "source", "text"))
+    measured = quality.measure(table(spark, d, "documents").select("doc_id", "source", "text")).drop("text")
+    judged = quality.verdicts(measured)
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                          "base_failed", "kept", "n_failed", "host_rejects")
 
