@@ -27,6 +27,8 @@ FALSE_TOKENS = ["false", "0", "no", "f"]
 # Cells read as NULL from delimited local-concept files.
 NULL_TOKENS = ["", "NULL", "null", "None"]
 
+_INT_RANGES = {f"{t}": (-(1 << b - 1), (1 << b - 1) - 1) for t, b in (("tinyint", 8), ("smallint", 16), ("int", 32), ("bigint", 64))}
+
 # Characters Python's str.strip() removes: exactly those with str.isspace().
 _PY_SPACE = "".join(chr(i) for i in range(0x110000) if chr(i).isspace())
 # What float() accepts, minus inf/nan: sign, digits with single underscores
@@ -50,8 +52,7 @@ def null_tokens(c: Column, tokens=NULL_TOKENS) -> Column:
 
 
 def _err(cond: Column, raw: Column, target: str) -> Column:
-    return F.when(cond, F.concat(F.lit("Cannot coerce "), F.coalesce(raw, F.lit("NULL")),
-                                 F.lit(f" to {target}")))
+    return F.when(cond, F.concat(F.lit(f"not a valid {target}: "), F.coalesce(raw, F.lit("NULL"))))
 
 
 def to_bool(c: Column) -> tuple[Column, Column]:
@@ -65,8 +66,7 @@ def to_bool(c: Column) -> tuple[Column, Column]:
 def to_int(c: Column, spark_type: str = "int") -> tuple[Column, Column]:
     """``int(float(s.strip()))`` - truncates toward zero, accepts exponents
     and digit underscores, rejects inf/nan and Java's ``1d``/``1f`` suffixes.
-    Values outside the target type raise under ANSI, like an out-of-range
-    insert does."""
+    Values outside the target type are errors like any other."""
     s = py_strip(c)
     # Cheap screen first: only characters a decimal float literal can hold
     # (this rules out Java's d/f suffixes, hex, Infinity and NaN), then the
@@ -77,8 +77,12 @@ def to_int(c: Column, spark_type: str = "int") -> tuple[Column, Column]:
     digits = F.when(has_us, F.replace(s, F.lit("_"), F.lit(""))).otherwise(s)
     as_double = digits.try_cast("double")
     ok = plain & as_double.isNotNull() & F.when(has_us, s.rlike(_PY_FLOAT)).otherwise(F.lit(True))
-    value = F.when(ok, as_double.cast(spark_type))
-    return value, _err(c.isNotNull() & ~F.coalesce(ok, F.lit(False)), c, "int")
+    low, high = _INT_RANGES[spark_type]
+    fits = (as_double > F.lit(float(low) - 1)) & (as_double < F.lit(float(high) + 1)) if spark_type != "bigint" else \
+        (as_double >= F.lit(float(low))) & (as_double < F.lit(float(high) + 1))
+    ok = F.coalesce(ok & fits, F.lit(False))
+    value = F.when(ok, as_double.try_cast(spark_type))
+    return value, _err(c.isNotNull() & ~ok, c, "int")
 
 
 def to_json_value(c: Column) -> tuple[Column, Column]:
@@ -102,13 +106,13 @@ def copy_cast(c: Column, spec: ColumnSpec) -> tuple[Column, Column]:
         s = F.trim(c)
         value = F.coalesce(
             F.when(s.rlike(r"^[0-9]{8}$"), F.try_to_timestamp(s, F.lit("yyyyMMdd")).cast("date")),
-            s.try_cast("date"))
+            F.when(s.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), s.try_cast("date")))  # the cast alone takes 1970 or trailing text
         return value, _err(c.isNotNull() & value.isNull(), c, "date")
     if kind == "vc":
         n = spec.length
         too_long = F.length(F.rtrim(c)) > n
         value = F.when(F.length(c) > n, F.substring(c, 1, n)).otherwise(c)
-        return value, F.when(too_long, F.concat(F.lit(f"value too long for VARCHAR({n}): "),
+        return value, F.when(too_long, F.concat(F.lit(f"over {n} characters (first 40): "),
                                                  F.substring(c, 1, 40)))
     if kind == "text":
         return c, F.lit(None).cast("string")

@@ -11,8 +11,9 @@ check is a query.  Two forms exist:
 Scale notes: every check aggregates map-side before it shuffles (a hot key
 collapses to one row per task), FK checks deduplicate child keys before they
 meet the parent keys and stack all FK columns of a child that point to one
-parent into a single scan, and wide (string) keys are first grouped by a 64-bit hash so only
-candidate duplicates move with their full text.
+parent into a single scan, ``validate_tables`` reads a table twice however
+many keys it has, and of wide (string) keys only candidate duplicates move
+with their full text.
 """
 from __future__ import annotations
 
@@ -61,9 +62,10 @@ def duplicate_keys(df: DataFrame, cols, count_col: str = "n", skip_nulls: bool =
     """Key values that occur more than once, with their count.
 
     ``skip_nulls`` exempts rows with a NULL key part (unique-constraint
-    semantics).  For text keys the rows are first grouped by a 64-bit hash of
-    the key (8 bytes shuffled per distinct hash and task); only rows whose
-    hash repeats are grouped again by their full value, which is exact.
+    semantics).  Text keys are first counted by a 64-bit hash; the hashes that
+    repeat set bits in a bitmap of fixed size, and only rows whose bit is set
+    are shuffled and grouped by their full value, which is exact.  (With very
+    many repeated values the bitmap fills up and lets more rows pass.)
     """
     cols = list(cols)
     src = df.select(*[_q(c) for c in cols])
@@ -71,13 +73,31 @@ def duplicate_keys(df: DataFrame, cols, count_col: str = "n", skip_nulls: bool =
         src = src.where(reduce(lambda a, b: a & b, [_q(c).isNotNull() for c in cols]))
     if _is_wide(df, cols):
         h = F.xxhash64(*[_q(c) for c in cols])
-        hashed = src.withColumn("_h", h)
-        repeated = hashed.groupBy("_h").count().where("count > 1").select("_h")
-        src = hashed.join(repeated, "_h", "left_semi").drop("_h")
+        repeated = src.groupBy(h.alias("_h")).count().where("count > 1").select("_h")
+        word, bit = _bit_place(h)
+        src = src.where(F.get(_bitmap(repeated, "_h"), word).bitwiseAND(bit) != 0)
     return (src.groupBy(*[_q(c) for c in cols]).agg(F.count(F.lit(1)).alias(count_col))
                .where(F.col(count_col) > 1))
 
 
+#: bits of the bitmap of repeated hashes
+BITMAP_BITS = 1 << 20
+
+
+def _bit_place(h: Column) -> tuple[Column, Column]:
+    at = F.pmod(h, F.lit(BITMAP_BITS))
+    return F.floor(at / 64).cast("int"), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(at, F.lit(64)).cast("int"))
+
+
+def _bitmap(hashes: DataFrame, col: str) -> Column:
+    """Bitmap of the hashes as one array of 64-bit words (a scalar subquery)."""
+    word, bit = _bit_place(F.col(col))
+    words = hashes.groupBy(word.alias("_w")).agg(F.bit_or(bit).alias("_b"))
+    every = hashes.sparkSession.range(BITMAP_BITS // 64).join(words, F.col("id") == F.col("_w"), "left")
+    return every.agg(F.transform(F.array_sort(F.collect_list(F.struct("id", F.coalesce("_b", F.lit(0).cast("long")).alias("b")))),
+                                 lambda x: x["b"])).scalar()
+
+
 def null_key_rows(df: DataFrame, cols) -> DataFrame:
     return df.where(reduce(lambda a, b: a | b, [_q(c).isNull() for c in cols]))
 
@@ -224,55 +244,90 @@ def column_report(df: DataFrame, target: TableContract) -> DataFrame:
 
 # --- C6 --------------------------------------------------------------------
 
+def row_checks(df: DataFrame, target: TableContract) -> DataFrame | None:
+    """What the rows of one table show by themselves, in one scan and one
+    aggregation: (table_name, constraint_name, parent, columns, key, n) with a
+    row per missing value and over-long text column (C4, C5; parent and key
+    NULL) and one per distinct foreign key value (C2; not yet looked up)."""
+    have = set(df.columns)
+    found = []
+
+    def probe(when: Column, constraint: str, column: str, parent=None, key=None):
+        text = F.lit(None).cast("string")
+        found.append(F.when(when, F.struct(
+            F.lit(constraint).alias("constraint_name"), (text if parent is None else F.lit(parent)).alias("parent"),
+            F.lit(column).alias("columns"), (text if key is None else key.cast("string")).alias("key"))))
+    for c in target.columns:
+        if c.name in have and not c.nullable:
+            probe(_q(c.name).isNull(), "not_null", c.name)
+        if c.name in have and c.kind == "vc" and c.length:
+            probe(F.length(_q(c.name)) > c.length, f"max_length_{c.length}", c.name)
+    for fk in target.foreign_keys:
+        for col in fk.columns:
+            probe(_q(col).isNotNull(), f"foreign_key:{fk.ref_table}.{fk.ref_columns[0]}", col,
+                  f"{fk.ref_table}.{fk.ref_columns[0]}", _q(col))
+    if not found:
+        return None
+    rows = df.select(F.explode(F.filter(F.array(*found), lambda x: x.isNotNull())).alias("r")).select("r.*")
+    return (rows.groupBy("constraint_name", "parent", "columns", "key").agg(F.count(F.lit(1)).alias("n"))
+                .withColumn("table_name", F.lit(target.name)))
+
+
 def validate_tables(frames: dict[str, DataFrame], contracts: dict[str, TableContract],
                     parents: dict[str, DataFrame] | None = None,
                     new_rows: dict[str, DataFrame] | None = None) -> DataFrame:
-    """All checks for a set of staged tables, in constraint order: keys,
-    uniques, column checks, then foreign keys (after every table is staged, so
-    circular references such as concept <-> domain resolve).
+    """All checks for a set of staged tables: keys, uniques, column checks and
+    foreign keys (looked up among all tables staged, so circular references
+    such as concept <-> domain resolve).
+
+    Each table is read once for its key and once for everything its rows show
+    (``row_checks``); the distinct foreign key values of all tables then meet
+    the distinct keys of all their parents in a single join.
 
     ``parents`` supplies referenced tables that are not part of ``frames``
     (e.g. shared tables for a cohort load); a referenced table that is in
-    neither is skipped.  ``new_rows`` (appends) limits the row-local checks -
-    NOT NULL, length and foreign keys - to the appended rows: published rows
-    passed them already and parents only grow.  Key and unique checks always
-    see the whole table.
+    neither is an error.  ``new_rows`` (appends) limits the row-local checks to
+    the appended rows - published rows passed them and parents only grow - and
+    the key and unique checks to keys that occur among them.
     """
     spark = next(iter(frames.values())).sparkSession
     lookup = dict(parents or {})
     lookup.update(frames)
-    local = dict(frames)
-    local.update(new_rows or {})
-    reports = []
-    shared_keys: dict[tuple[str, str], DataFrame] = {}
+    new_rows = new_rows or {}
+    reports, rows, wanted = [], [], {}
     for name, df in frames.items():
         t = contracts[name]
+        local = new_rows.get(name, df)
+
+        def among_new(cols):
+            if name not in new_rows:
+                return df
+            keys = local.select(*[_q(c) for c in cols]).distinct()
+            return df.select(*[_q(c) for c in cols]).join(keys, list(cols), "left_semi")
         if t.primary_key:
             pk = list(t.primary_key)
-            # PK columns are NOT NULL columns: the column report counts NULLs
+            # PK columns are NOT NULL columns: the row checks count NULLs
             nulls_checked = all(not t.column(c).nullable for c in pk)
-            if len(pk) == 1 and not _is_wide(df, pk):
-                # one grouping definition serves the duplicate check and,
-                # for tables referenced by foreign keys, the parent key set
-                # of the FK join (one row per key, no extra distinct)
-                counts = key_counts(df, pk)
-                shared_keys[(name, pk[0])] = counts.where(F.col("n") >= 1).select(pk[0])
-                reports.append(pk_report(df, t, include_nulls=not nulls_checked, counts=counts))
-            else:
-                reports.append(pk_report(df, t, include_nulls=not nulls_checked))
+            reports.append(pk_report(among_new(pk), t, include_nulls=not nulls_checked))
         for u in t.uniques:
-            reports.append(unique_report(df, t, u))
-        reports.append(column_report(local[name], t))
-    # group single-column FKs by their parent key
-    groups: dict[tuple[str, str], dict[str, list[str]]] = {}
-    for name, df in frames.items():
-        for fk in contracts[name].foreign_keys:
+            reports.append(unique_report(among_new(u), t, u))
+        for fk in t.foreign_keys:
             if fk.ref_table not in lookup:
-                continue
-            groups.setdefault((fk.ref_table, fk.ref_columns[0]), {}).setdefault(name, []).extend(fk.columns)
-    for (parent, pkey), edges in groups.items():
-        reports.append(fk_report(local, lookup[parent], pkey, edges, parent,
-                                 parent_keys=shared_keys.get((parent, pkey))))
+                raise KeyError(f"{name}.{','.join(fk.columns)} refers to {fk.ref_table}, which is neither checked nor given as a parent")
+            wanted[(fk.ref_table, fk.ref_columns[0])] = lookup[fk.ref_table]
+        found = row_checks(local, t)
+        if found is not None:
+            rows.append(found)
+    if rows:
+        stacked = reduce(lambda a, b: a.unionByName(b), rows)
+        if wanted:
+            keys = reduce(lambda a, b: a.unionByName(b), [
+                df.select(F.lit(f"{parent}.{key}").alias("parent"), _q(key).cast("string").alias("key"))
+                  .where(F.col("key").isNotNull()).distinct().withColumn("_there", F.lit(True))
+                for (parent, key), df in wanted.items()])
+            # a left join on unique keys, not left_anti: see fk_report
+            stacked = stacked.join(keys, ["parent", "key"], "left").where(F.col("parent").isNull() | F.col("_there").isNull())
+        reports.append(stacked.select(*VIOLATION_COLUMNS))
     if not reports:
         return empty_report(spark)
     return reduce(lambda a, b: a.unionByName(b), reports)

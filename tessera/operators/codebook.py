@@ -1,9 +1,7 @@
 """Codebook merge.
 
-The reference loops over books and questions in one process and stops at the
-first repeated question name.  Here every book is one row, questions are
-exploded in parallel, and duplicates are found with one grouped count; the
-merge reports every duplicate before it raises.
+Every book is one row, questions are exploded in parallel, and duplicates are
+found with one grouped count; the merge reports every duplicate when it fails.
 """
 from __future__ import annotations
 
@@ -20,8 +18,8 @@ def questions(books: DataFrame) -> DataFrame:
     q = books.select("codebook", F.explode(json_items(F.col("doc"), "$.questions")).alias("question"))
     name = F.try_variant_get("question", "$.name", "string")
     return q.select(
-        F.when(name.isNull(), F.raise_error(F.concat(F.lit("question without name in codebook "),
-                                                     F.col("codebook"))))
+        F.when(name.isNull(), F.raise_error(F.concat(F.col("codebook"),
+                                                     F.lit(": a question has no name"))))
          .otherwise(name).alias("name"),
         "codebook", "question")
 
@@ -44,13 +42,13 @@ def duplicate_names(items: DataFrame, name_col: str = "name", book_col: str = "c
 
 def merge(books: DataFrame) -> DataFrame:
     """A3: all questions of all books keyed by name, tagged with their book.
-    Raises listing every duplicate name (the reference raises on the first)."""
+    Evaluating the result fails, with a list of all of them, if names repeat
+    (names are registry data: as many as there are questions in the books)."""
     items = questions(books)
-    dups = duplicate_names(items).limit(50).collect()
-    if dups:
-        listed = ", ".join(f"{r['name']} ({r['books']})" for r in dups)
-        raise ValueError(f"Duplicate question detected: {listed}")
-    return items
+    repeated = duplicate_names(items).agg(F.array_join(F.array_sort(F.collect_list(
+        F.concat("name", F.lit(" in "), "books"))), "; ").alias("all")).scalar()
+    name = F.when(repeated != "", F.raise_error(F.concat(F.lit("question names used more than once: "), repeated)))
+    return items.withColumn("name", name.otherwise(F.col("name")))
 
 
 def unregistered(items: DataFrame, local_concept: DataFrame) -> DataFrame:

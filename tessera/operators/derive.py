@@ -10,8 +10,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from . import navigate
-from .joins import broadcast_if_bounded
 
 
 def _q(c: str) -> Column:
@@ -32,12 +32,14 @@ def union_cohorts(frames: dict[str, DataFrame], tag_col: str = "cohort") -> Data
 
 def enrich_concepts(df: DataFrame, concept: DataFrame, columns, take=("concept_name",),
                     concept_key: str = "concept_id") -> DataFrame:
-    """Name (or otherwise describe) every ``*_concept_id`` column.
-
-    The vocabulary is large, so it is first cut to the ids this frame uses
-    (stacked, deduplicated ids; semi-join), which usually makes the joined
-    side small enough for AQE to broadcast after measuring it.  One left join
-    per column then attaches the attributes as ``<column>__<attr>``.
+    """Name (or otherwise describe) every ``*_concept_id`` column: one left
+    join per column attaches the attributes as ``<column>__<attr>``.
+
+    The vocabulary is first cut to the ids that the frame uses (stacked,
+    deduplicated, semi-join) and the cut is written to the shared checkpoint
+    folder, so it is worked out once for all columns, the frame is read twice
+    in all, and Spark knows the size of what it joins.  Rows with a NULL id
+    are spread (see ``navigate.many_to_one``).
     """
     columns = list(columns)
     if not columns:
@@ -45,13 +47,21 @@ def enrich_concepts(df: DataFrame, concept: DataFrame, columns, take=("concept_n
     ktype = dict(concept.dtypes)[concept_key]
     used = (df.select(F.explode(F.array(*[_q(c).cast(ktype) for c in columns])).alias(concept_key))
               .where(F.col(concept_key).isNotNull()).distinct())
-    subset = concept.select(concept_key, *take).join(used, concept_key, "left_semi")
+    subset = cut_lineage(concept.select(concept_key, *take).join(used, concept_key, "left_semi"), "concepts")
     out = df
     for c in columns:
         out = navigate.many_to_one(out, subset, c, concept_key, list(take), prefix=f"{c}__")
     return out
 
 
+def drug_strength(strength: DataFrame, concept: DataFrame) -> DataFrame:
+    """Drug strength rows with the names of the five concepts they refer
+    to (drug, ingredient and the three units)."""
+    refs = ["drug_concept_id", "ingredient_concept_id", "amount_unit_concept_id",
+            "numerator_unit_concept_id", "denominator_unit_concept_id"]
+    return enrich_concepts(strength, concept, [c for c in refs if c in strength.columns])
+
+
 def synonyms(concept: DataFrame, concept_synonym: DataFrame) -> DataFrame:
     """Concept rows with each synonym and its language's name."""
     syn = navigate.many_to_one(concept_synonym, concept, "language_concept_id", "concept_id",
@@ -64,15 +74,15 @@ def synonyms(concept: DataFrame, concept_synonym: DataFrame) -> DataFrame:
 
 def map_source_codes(events: DataFrame, mapping: DataFrame, code_col: str, date_col: Column | str,
                      take=("target_concept_id",), vocabulary_col: str | None = None,
-                     valid_only: bool = True, mapping_max_rows: int | None = None) -> DataFrame:
+                     valid_only: bool = True, hint_broadcast: bool = False) -> DataFrame:
     """Source code -> target concept valid on the event's date.
 
     Equi-join on the code (and vocabulary when given) with the validity
-    window as a join condition, LEFT so unmapped events stay.  With
-    ``mapping_max_rows`` the mapping is broadcast after a bounded count
-    proves its size, so the event side is never shuffled on a
-    low-cardinality code; otherwise a hot code on the event side is split by
-    AQE's skew-join handling.
+    window as a join condition, LEFT so unmapped events stay.  Spark
+    broadcasts the mapping when its statistics, or AQE's measurement, show
+    that it is small; else a hot code on the event side is split by AQE's
+    skew-join handling.  ``hint_broadcast`` is for a caller who knows the
+    mapping's size where Spark cannot.
     """
     m = mapping
     if valid_only and "invalid_reason" in mapping.columns:
@@ -81,8 +91,8 @@ def map_source_codes(events: DataFrame, mapping: DataFrame, code_col: str, date_
     if vocabulary_col:
         keep.append("source_vocabulary_id")
     m = m.select(*[F.col(c).alias(f"_m_{c}") for c in dict.fromkeys(keep)])
-    if mapping_max_rows is not None:
-        m = broadcast_if_bounded(m, mapping_max_rows)
+    if hint_broadcast:
+        m = F.broadcast(m)
     d = F.col(date_col) if isinstance(date_col, str) else date_col
     cond = (events[f"`{code_col}`"] == F.col("_m_source_code")) & \
         d.between(F.col("_m_valid_start_date"), F.col("_m_valid_end_date"))
@@ -95,17 +105,17 @@ def map_source_codes(events: DataFrame, mapping: DataFrame, code_col: str, date_
 # R5 ----------------------------------------------------------------------
 
 def route_fields(wide: DataFrame, local_concept: DataFrame, id_cols, cohort: int | Column,
-                 registry_max_rows: int = 1_000_000) -> DataFrame:
+                 hint_broadcast: bool = False) -> DataFrame:
     """Unpivot a wide record to (ids..., source_field_name, value), then attach
     the local concept and target ``table`` registered for the field.  The
     caller splits by ``table``.  ``unpivot`` is a narrow operation.
 
     The join key is the field name, which has only as many values as there
-    are fields, so a shuffle join would send all unpivoted rows to a handful
-    of tasks.  The registry is broadcast once a bounded count proves it holds
-    at most ``registry_max_rows`` rows (a registry that large has enough
-    distinct keys for a shuffle join to spread).  The join is left so
-    unknown fields surface with a NULL concept."""
+    are fields.  A registry is small, so Spark broadcasts it on its statistics
+    or AQE's measurement; should it not, the fields of a record are large
+    partitions that AQE's skew-join handling splits.  ``hint_broadcast`` is for
+    a caller who knows the registry's size where Spark cannot.  The join is
+    left so unknown fields surface with a NULL concept."""
     id_cols = list(id_cols)
     value_cols = [c for c in wide.columns if c not in id_cols]
     long = wide.select(*[_q(c) for c in id_cols],
@@ -114,7 +124,8 @@ def route_fields(wide: DataFrame, local_concept: DataFrame, id_cols, cohort: int
     reg = local_concept.where(F.col("is_active"))
     reg = reg.where(F.col("cohort") == (cohort if isinstance(cohort, Column) else F.lit(cohort)))
     reg = reg.select("source_field_name", "concept_id", F.col("table").alias("target_table"))
-    reg = broadcast_if_bounded(reg, registry_max_rows)
+    if hint_broadcast:
+        reg = F.broadcast(reg)
     return navigate.many_to_one(long, reg, "source_field_name", "source_field_name",
                                 ["concept_id", "target_table"])
 
@@ -142,19 +153,17 @@ def rollup(events: DataFrame, key: str, edges: DataFrame, descendant: str, ances
 # R7 ----------------------------------------------------------------------
 
 def related(concept_relationship: DataFrame, relationship_id: str | DataFrame,
-            as_of: Column | None = None, ids_max_rows: int = 100_000) -> DataFrame:
+            as_of: Column | None = None) -> DataFrame:
     """Valid (concept_id_1 -> concept_id_2) edges of one relationship.
 
     ``relationship_id`` is an id, or a one-column frame of ids such as
-    ``reverse_of(...)``; that frame is a slice of the relationship table and
-    is broadcast only after a bounded count proves it small, so the edge
-    table is never shuffled for the lookup.  ``as_of`` keeps edges whose
+    ``reverse_of(...)``; how it meets the edges is left to Spark's statistics
+    and AQE.  ``as_of`` keeps edges whose
     validity window contains that date.
     """
     e = concept_relationship.where(F.col("invalid_reason").isNull())
     if isinstance(relationship_id, DataFrame):
         ids = relationship_id.select(F.col(relationship_id.columns[0]).alias("_rid")).distinct()
-        ids = broadcast_if_bounded(ids, ids_max_rows)
         e = e.join(ids, F.col("relationship_id") == F.col("_rid"), "left_semi")
     else:
         e = e.where(F.col("relationship_id") == relationship_id)
@@ -172,21 +181,35 @@ def reverse_of(relationship: DataFrame, relationship_id: str) -> DataFrame:
 
 # R10 ---------------------------------------------------------------------
 
-def attribute(records: DataFrame, participants: DataFrame, key, dest_col: str = "dest",
-              matched: str = "cohort", unmatched: str = "orphan") -> DataFrame:
-    """Identifier attribution: tag each record ``cohort`` when its key has a
-    participant, else ``orphan``.  Participants are counted per key first, so
-    ``_matches`` carries the join multiplicity without duplicating records."""
+def attribute(records: DataFrame, participants: DataFrame, key, errors: DataFrame | None = None,
+              dest_col: str = "dest", matched: str = "cohort", faulty: str = "identifier_errors",
+              unmatched: str = "orphan") -> DataFrame:
+    """Identifier attribution: tag each record with where it goes - the
+    ``matched`` destination when its key has a participant, ``faulty`` when it
+    has none but the key is listed in ``errors`` (or is NULL), else
+    ``unmatched``.  ``_matches`` is the number of participants of the key;
+    they are counted per key first, so records are not duplicated."""
     key = [key] if isinstance(key, str) else list(key)
     counts = participants.groupBy(*[_q(k) for k in key]).agg(F.count(F.lit(1)).alias("_matches"))
     out = navigate.many_to_one(records, counts, key, key, ["_matches"])
-    return out.withColumn(dest_col, F.when(F.col("_matches").isNull(), unmatched).otherwise(matched))
+    bad = reduce(lambda a, b: a | b, [_q(k).isNull() for k in key])
+    if errors is not None:
+        listed = errors.select(*[_q(k) for k in key]).distinct().withColumn("_listed", F.lit(True))
+        out = navigate.many_to_one(out, listed, key, key, ["_listed"])
+        bad = bad | F.col("_listed").isNotNull()
+    dest = F.when(F.col("_matches").isNotNull(), matched)
+    dest = dest.when(bad, faulty).otherwise(unmatched) if errors is not None else dest.otherwise(unmatched)
+    return out.withColumn(dest_col, dest).drop("_listed")
 
 
 def route_counts(attributed: DataFrame, dest_col: str = "dest", count_col: str = "n") -> DataFrame:
-    """Rows per destination as a LEFT JOIN would produce them."""
-    w = F.coalesce(F.col("_matches"), F.lit(1))
-    return attributed.groupBy(dest_col).agg(F.sum(w).cast("long").alias(count_col))
+    """Records per destination; a record with several participants is one."""
+    return attributed.groupBy(dest_col).agg(F.count(F.lit(1)).alias(count_col))
+
+
+def route(attributed: DataFrame, dest_col: str = "dest", names=("cohort", "identifier_errors", "orphan")) -> dict[str, DataFrame]:
+    """The records of each destination, to be written there together."""
+    return {n: attributed.where(F.col(dest_col) == n).drop(dest_col, "_matches") for n in names}
 
 
 # R11 ---------------------------------------------------------------------
@@ -233,15 +256,17 @@ def overlay_corrections(df: DataFrame, red: DataFrame, key: str, value_col: str,
 
 def source_lineage(source_logs: DataFrame, instruments: DataFrame, endpoints: DataFrame,
                    apis: DataFrame, assessments: DataFrame, machines: DataFrame,
-                   places: DataFrame) -> DataFrame:
-    """source_logs -> instrument (assessment, machine, place) and -> endpoint
-    -> api; every hop a left join on a declared key."""
+                   places: DataFrame, cohorts: DataFrame | None = None) -> DataFrame:
+    """source_logs -> instrument (assessment, machine, place, cohort) and ->
+    endpoint -> api; every hop a left join on a declared key."""
     inst = navigate.path(source_logs, [
         (instruments.select("id", "assessment_id", "machine_id", "place_id", "cohort_id"),
          "instrument_id", "id", ["assessment_id", "machine_id", "place_id", "cohort_id"])])
     inst = navigate.many_to_one(inst, assessments, "assessment_id", "id", ["name"], "assessment_")
     inst = navigate.many_to_one(inst, machines, "machine_id", "id", ["name"], "machine_")
     inst = navigate.many_to_one(inst, places, "place_id", "id", ["city", "state"], "place_")
+    if cohorts is not None:
+        inst = navigate.many_to_one(inst, cohorts, "cohort_id", "id", ["cohort_name", "schema_name"])
     return navigate.path(inst, [
         (endpoints, "endpoint_id", "id", ["api_id", "path", "method"]),
         (apis, "api_id", "id", ["name"])])

@@ -26,13 +26,26 @@ def many_to_one(child: DataFrame, parent: DataFrame, fk, pk, take=None, prefix:
     ``take`` selects the parent columns to bring (default: all but the key);
     they are renamed with ``prefix``.  Only the key and the taken columns are
     read from the parent, so the scan is pruned.
+
+    In a left join, rows whose key may be NULL find no parent but would all be
+    sent to one task; a second join key, which numbers such rows by a hash and
+    is 0 for all others, spreads them.
     """
     fk, pk = ([fk] if isinstance(fk, str) else list(fk)), ([pk] if isinstance(pk, str) else list(pk))
     take = [c for c in (take if take is not None else parent.columns) if c not in pk]
     right = parent.select(*[_q(p).alias(f"__k{i}") for i, p in enumerate(pk)],
                           *[_q(c).alias(prefix + c) for c in take])
-    cond = reduce(lambda a, b: a & b, [child[f"`{f}`"] == right[f"__k{i}"] for i, f in enumerate(fk)])
-    return child.join(right, cond, how).drop(*[f"__k{i}" for i in range(len(pk))])
+    keys = [f"__k{i}" for i in range(len(pk))]
+    cond = reduce(lambda a, b: a & b, [child[f"`{f}`"] == right[k] for f, k in zip(fk, keys)])
+    optional = [f for f in fk if child.schema[f].nullable]
+    if how == "left" and optional:
+        plain = [c for c, t in child.dtypes if c not in fk and not t.startswith(("map", "variant"))][:3]  # enough, and read anyway
+        absent = reduce(lambda a, b: a | b, [_q(f).isNull() for f in optional])
+        child = child.withColumn("__spread", F.when(absent, 1 + F.pmod(F.xxhash64(*[_q(c) for c in plain or fk]), F.lit(4096))).otherwise(0))
+        # 0 for every key; not a constant, which Spark would take out of the join
+        right = right.withColumn("__zero", F.when(_q("__k0").isNull(), F.lit(-1).cast("long")).otherwise(F.lit(0).cast("long")))
+        cond = reduce(lambda a, b: a & b, [child[f"`{f}`"] == right[k] for f, k in zip(fk, keys)]) & (child["__spread"] == right["__zero"])
+    return child.join(right, cond, how).drop(*keys, "__spread", "__zero")
 
 
 def _ordered(*cols):

@@ -2,9 +2,11 @@
 
 A window with no PARTITION BY pulls every row into one task, and a window
 partitioned by a hot key pulls that key's rows into one task.  The operators
-here range-partition on the full ordering (so a hot key spreads over many
-partitions), work inside each partition, and repair partition boundaries with
-a table of at most one row per partition.
+here cut the full ordering into ranges of similar size, work inside each
+range with ordinary windows, and link the ranges by a table of at most one
+row per range (and group).  The bounds of the ranges are taken once, from a
+bounded sample of rows, and written into the plan as literals; they decide
+how even the ranges are, never the result.
 
 * ``assign_ids`` - dense 1..N identity in a given order (K2 RESTART IDENTITY).
 * ``previous_in_order`` - columns of the preceding row within a group (the
@@ -16,112 +18,45 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_POS_BITS = 33  # monotonically_increasing_id: partition id << 33 | row position
+#: ranges at most (a row is compared with each bound), and sampled rows per range
+MOST_RANGES, SAMPLE_PER_RANGE = 512, 20
 
 
-def _partitions(df: DataFrame, n: int | None) -> int:
-    return int(n or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-def _range_sorted(df: DataFrame, order, n: int | None) -> DataFrame:
-    """Range partitioning with an explicit partition count (AQE does not
-    coalesce it, so partition ids are stable) and rows sorted inside each
-    partition; ``_mid`` then numbers rows in global order per partition."""
-    ordered = df.repartitionByRange(_partitions(df, n), *order).sortWithinPartitions(*order)
-    mid = F.monotonically_increasing_id()
-    return (ordered.withColumn("_mid", mid)
-                   .withColumn("_pid", F.shiftright(F.col("_mid"), _POS_BITS))
-                   .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))))
-
-
-def _per_partition(x: DataFrame, order, *aggs: Column) -> DataFrame:
-    """One row per range partition of ``x`` (a ``_range_sorted`` frame): the
-    given aggregates plus ``_head``, the partition's first order key.
-
-    The main branch and this one must see the same partitioning, but range
-    bounds come from sampling, so two separate range shuffles may split the
-    rows differently.  The tie-break below mentions every column, which makes
-    this branch's exchange identical to the main branch's, so Spark computes
-    the shuffle once and reuses it; ``_check_head`` then fails the job (rather
-    than return wrong rows) if the two ever disagree.
-    """
-    data_cols = [c for c in x.columns if c not in ("_mid", "_pid", "_pos")]
-    every = F.xxhash64(*[F.col(f"`{c}`") for c in data_cols])
-    pos = F.struct(F.col("_pos"), every)
-    return x.groupBy("_pid").agg(*aggs, F.min_by(F.struct(*order), pos).alias("_head"))
-
-
-def _check_head(order) -> Column:
-    """TRUE, or a task failure on a partition's first row whose key is not
-    the ``_head`` recorded for that partition."""
-    mine = F.struct(*order)
-    bad = (F.col("_pos") == 0) & ~F.coalesce(F.col("_head").eqNullSafe(mine), F.lit(False))
-    return F.when(bad, F.raise_error(F.lit("range partitions differ between two evaluations "
-                                           "of the same shuffle"))).otherwise(F.lit(True))
+def _range_of(df: DataFrame, keys: list[str], ranges: int | None) -> Column:
+    """Number of the range that a row's ``keys`` (columns of ``df``) lie in."""
+    n = min(MOST_RANGES, int(ranges or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    fields = df.select(*keys).schema.fields
+    sample = df.select(*keys).orderBy(F.rand(17)).limit(n * SAMPLE_PER_RANGE).orderBy(*keys).collect()
+    bounds = sample[SAMPLE_PER_RANGE::SAMPLE_PER_RANGE]
+    if not bounds:
+        return F.lit(0)
+    literals = F.array(*[F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields)]) for row in bounds])
+    mine = F.struct(*[F.col(k) for k in keys])
+    return F.size(F.filter(literals, lambda b: b <= mine))
 
 
 def assign_ids(df: DataFrame, order, id_col: str = "id", start: int = 1,
                partitions: int | None = None, id_type: str = "int") -> DataFrame:
     """Dense identity ``start..start+N-1`` following ``order``.
 
-    One range shuffle; per-partition row counts (one row per partition) are
-    turned into offsets on a tiny frame and broadcast - its size is bounded
-    by the partition count, not by the data.  Rows that tie on ``order`` are
-    ordered by a hash of the whole row (any order is valid for ROW_NUMBER;
-    this one is reproducible), which also lets range partitioning split a
-    heavily repeated order value across tasks instead of sending it to one.
+    One shuffle of the rows, by range; the offset of a range is the number of
+    rows in the ranges before it, at most one row per range and broadcast.
+    Rows that tie on ``order`` are ordered by a hash of the whole row (any
+    order is valid for ROW_NUMBER; this one is reproducible), which the ranges
+    take in, so a heavily repeated order value is cut up too.
     """
-    order = [F.col(o) if isinstance(o, str) else o for o in order]
-    order.append(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
-    x = _range_sorted(df, order, partitions)
-    counts = _per_partition(x, order, F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", "_head", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    out = x.join(F.broadcast(offsets), "_pid", "left").where(_check_head(order))
-    ident = (F.col("_off") + F.col("_pos") + F.lit(start)).cast(id_type)
-    return out.withColumn(id_col, ident).drop("_mid", "_pid", "_pos", "_off", "_head")
-
-
-def _lag_in_partition(group, carry: dict[str, str]):
-    """Arrow function for ``mapInArrow``: LAG(1) of the ``carry`` sources
-    within runs of equal ``group`` values, over one partition's rows in their
-    sorted order, plus ``_first`` (no predecessor inside the partition).  The
-    last row of a batch is carried into the next batch of the same
-    partition."""
-    def run(batches):
-        import pyarrow as pa
-        import pyarrow.compute as pc
-
-        tail = None  # last row of the previous batch (a one-row batch)
-        for b in batches:
-            n = b.num_rows
-            if n == 0:
-                continue
-            same = None
-            for g in group:
-                col = b.column(g)
-                before = pa.concat_arrays([tail.column(g) if tail is not None else pa.nulls(1, col.type),
-                                           col.slice(0, n - 1)])
-                eq = pc.fill_null(pc.equal(col, before), False)
-                eq = pc.or_(eq, pc.and_(pc.is_null(col), pc.is_null(before)))  # NULL groups are one group
-                same = eq if same is None else pc.and_(same, eq)
-            if same is None:
-                same = pa.array([True] * n)
-            if tail is None:  # the partition's first row has no predecessor here
-                same = pa.concat_arrays([pa.array([False]), same.slice(1)])
-            arrays = [b.column(i) for i in range(b.num_columns)]
-            names = list(b.schema.names)
-            for out, src in carry.items():
-                col = b.column(src)
-                before = pa.concat_arrays([tail.column(src) if tail is not None else pa.nulls(1, col.type),
-                                           col.slice(0, n - 1)])
-                arrays.append(pc.if_else(same, before, pa.nulls(n, col.type)))
-                names.append(out)
-            arrays.append(pc.invert(same))
-            names.append("_first")
-            tail = b.slice(n - 1, 1)
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
-    return run
+    names = [f"_o{i}" for i in range(len(order))]
+    x = df.select("*", *[(F.col(o) if isinstance(o, str) else o).alias(n) for o, n in zip(order, names)],
+                  F.xxhash64(*[F.col(f"`{c}`") for c, t in df.dtypes if not t.startswith(("map", "variant"))]).alias("_tie"))
+    keys = [*names, "_tie"]
+    x = x.withColumn("_range", _range_of(x, keys, partitions))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (x.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+               .select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")))
+    at = F.row_number().over(Window.partitionBy("_range").orderBy(*keys))
+    out = x.withColumn("_at", at).join(F.broadcast(offsets), "_range")
+    ident = (F.col("_off") + F.col("_at") - 1 + F.lit(start)).cast(id_type)
+    return out.withColumn(id_col, ident).drop("_range", "_off", "_at", *keys)
 
 
 def previous_in_order(df: DataFrame, group, order, carry: dict[str, str],
@@ -130,41 +65,24 @@ def previous_in_order(df: DataFrame, group, order, carry: dict[str, str],
     same ``group`` under ``order`` (NULL for a group's first row) - LAG(1).
 
     ``order`` should be a total order within the group (add a unique id as
-    the last column).  The data are range-partitioned on group + order, so a
-    group holding a third of all rows is spread over many tasks.  Inside a
-    partition the rows are sorted, so LAG is one sequential pass over Arrow
-    batches (``mapInArrow``, a narrow step): a window partitioned by (task,
-    group) would need a second full shuffle, since the planner cannot know
-    the rows are already placed.  The first row of each (partition, group)
-    takes its predecessor from the last row of the nearest non-empty earlier
-    partition when that row belongs to the same group.
+    the last column).  Rows are dealt by (group, range of group and order), so
+    a group holding a third of all rows is spread over many tasks; LAG runs
+    inside each, and the first row of a range takes its predecessor from the
+    last row of the group's nearest earlier range.  That table has one row per
+    group and range and is joined on the partitioning the window needs anyway.
     """
-    from pyspark.sql import types as T
-
     group, order = list(group), list(order)
-    base = _range_sorted(df, [*group, *order], partitions)
-    fields = {f.name: f for f in base.schema.fields}
-    schema = T.StructType([*base.schema.fields,
-                           *[T.StructField(out, fields[src].dataType, True) for out, src in carry.items()],
-                           T.StructField("_first", T.BooleanType(), False)])
-    x = base.mapInArrow(_lag_in_partition(group, carry), schema)
-    keys = [F.col(c) for c in [*group, *order]]
-    # last row of every non-empty partition (<= one row per partition)
-    last = _per_partition(base, keys,
-                          F.max_by(F.struct(*[F.col(g) for g in group], *[F.col(s) for s in carry.values()]),
-                                   F.col("_pos")).alias("_last"))
-    # predecessor partition = nearest earlier non-empty partition
-    prev = Window.orderBy("_pid")
-    edges = last.select(F.col("_pid"), "_head", F.lag("_last").over(prev).alias("_edge"))
-    y = x.join(F.broadcast(edges), "_pid", "left").where(_check_head(keys))
-    same = None
-    for i, g in enumerate(group):
-        cond = F.col("_edge").getField(g).eqNullSafe(F.col(g))
-        same = cond if same is None else same & cond
-    fix = F.col("_first") & F.col("_edge").isNotNull() & same
-    for out, src in carry.items():
-        y = y.withColumn(out, F.when(fix, F.col("_edge").getField(src)).otherwise(F.col(out)))
-    return y.drop("_mid", "_pid", "_pos", "_first", "_edge", "_head")
+    x = df.withColumn("_range", _range_of(df, [*group, *order], partitions))
+    x = x.withColumn("_group", F.struct(*[F.col(g) for g in group]))  # equal where NULLs meet, unlike the columns
+    own = Window.partitionBy("_group", "_range").orderBy(*order)
+    carried = F.struct(*[F.col(src).alias(out) for out, src in carry.items()])
+    ends = x.groupBy("_group", "_range").agg(F.max_by(carried, F.struct(*[F.col(o) for o in order])).alias("_last"))
+    edges = ends.select("_group", "_range", F.lag("_last").over(Window.partitionBy("_group").orderBy("_range")).alias("_edge"))
+    y = (x.withColumn("_first", F.row_number().over(own) == 1).withColumn("_lag", F.lag(carried).over(own))
+         .join(edges, ["_group", "_range"], "left"))
+    for out in carry:
+        y = y.withColumn(out, F.when(F.col("_first"), F.col("_edge")[out]).otherwise(F.col("_lag")[out]))
+    return y.select(*df.columns, *carry)
 
 
 def eras(df: DataFrame, group, day: Column | str, gap_days: int,

@@ -18,6 +18,7 @@ from ..operators import checks, codebook, derive, navigate, sequence
 from ..session import scratch_path
 from ..sinks.warehouse import upsert_frames
 from ..sources.vocab import read_vocab_file
+from . import load_queries
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -246,11 +247,11 @@ def cascade_delete(spark, d):
 
 # R2 ----------------------------------------------------------------------
 def cohort_union(spark, d):
+    """Every market segment as a cohort."""
     c = table(spark, d, "customer")
-    return derive.union_cohorts({
-        "cohort_1": c.where(F.col("c_mktsegment") == "BUILDING").select("c_custkey"),
-        "cohort_2": c.where(F.col("c_mktsegment") == "MACHINERY").select("c_custkey"),
-    })
+    segments = [r[0] for r in c.select("c_mktsegment").distinct().collect()]  # cohorts are schemas: a registry
+    return derive.union_cohorts({f"cohort_{s.lower()}": c.where(F.col("c_mktsegment") == s).select("c_custkey")
+                                 for s in segments})
 
 
 # A2 A3 -------------------------------------------------------------------
@@ -330,7 +331,7 @@ def mapping_validity_join(spark, d):
                             F.make_date("y", F.lit(1), F.lit(1)).alias("valid_start_date"),
                             F.make_date("y", F.lit(12), F.lit(31)).alias("valid_end_date")))
     out = derive.map_source_codes(o, mapping, "o_orderpriority", F.to_date("o_orderdate"),
-                                  take=("target_concept_id",), valid_only=False, mapping_max_rows=100_000)
+                                  take=("target_concept_id",), valid_only=False)
     return out.select("o_orderkey", F.col("target_concept_id").alias("target_id"))
 
 
@@ -401,6 +402,7 @@ def row_counts(spark, d):
 
 
 QUERIES = {
+    **load_queries.QUERIES,
     "scan_tsv_nation": scan_tsv_nation,
     "null_tokens_orders": null_tokens_orders,
     "coerce_int_lineitem": coerce_int_lineitem,
@@ -438,6 +440,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    **load_queries.ORACLE_SQL,
     "scan_tsv_nation": "SELECT n_nationkey, n_name, n_regionkey FROM nation",
     "null_tokens_orders": "SELECT o_orderkey, CASE WHEN o_orderpriority IN ('5-LOW','4-NOT SPECIFIED') "
                           "THEN NULL ELSE o_orderpriority END AS priority FROM orders",
@@ -504,8 +507,7 @@ ORACLE_SQL = {
         "LEFT JOIN e p ON e.preceding_id = p.event_id"),
     "cascade_delete": "SELECT l.doc_id, l.quality, l.toxic FROM labels l WHERE EXISTS "
                       "(SELECT 1 FROM documents d WHERE d.doc_id = l.doc_id AND d.lang = 'en')",
-    "cohort_union": "SELECT 'cohort_1' AS cohort, c_custkey FROM customer WHERE c_mktsegment = 'BUILDING' "
-                    "UNION ALL SELECT 'cohort_2' AS cohort, c_custkey FROM customer WHERE c_mktsegment = 'MACHINERY'",
+    "cohort_union": "SELECT 'cohort_' || lower(c_mktsegment) AS cohort, c_custkey FROM customer WHERE c_mktsegment IS NOT NULL",
     "codebook_duplicates": "SELECT p_name AS name, count(*) AS n, string_agg(DISTINCT p_brand, ',' ORDER BY p_brand) "
                            "AS books FROM part GROUP BY p_name HAVING count(*) > 1",
     "concept_rollup": "SELECT r_name AS ancestor, count(*) AS n FROM customer "
@@ -539,7 +541,7 @@ ORACLE_SQL = {
         "AND relationship_id IN (SELECT reverse_relationship_id FROM r WHERE relationship_id = 'Supplies') "
         "GROUP BY concept_id_1",
     "quarantine_split": "SELECT CASE WHEN l.doc_id IS NULL THEN 'orphan' ELSE 'cohort' END AS dest, "
-                        "count(*) AS n FROM documents d LEFT JOIN labels l USING (doc_id) GROUP BY 1",
+                        "count(*) AS n FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l USING (doc_id) GROUP BY 1",
     "red_overlay": "SELECT event_id, CASE WHEN value < 0 OR value > 200 THEN NULL ELSE value END AS value, "
                    "(value < 0 OR value > 200) AS is_red FROM events",
     "checksum_dedupe": "SELECT min(doc_id) AS doc_id, sha256(text) AS checksum FROM documents GROUP BY text",

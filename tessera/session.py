@@ -8,7 +8,6 @@ absent, which is the situation in unit tests and on a laptop.
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -60,7 +59,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     Read from the session; only when the cluster names none (tests, laptops)
-    a private folder is created and registered as the checkpoint directory.
+    a folder beside the session's warehouse is used and registered as the
+    checkpoint directory.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -71,18 +71,25 @@ def shared_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder "
                                "(HDFS/object store) that every executor can reach")
-        configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        configured = f"{warehouse}-scratch-{uuid.uuid4().hex}"
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh, never reused path under the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A fresh, never reused path under the shared folder, deleted when the
+    driver ends."""
+    path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into the shared folder (never a local checkpoint),
-    so a lost executor does not force recomputation from the sources."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
+    """``df`` written under the shared folder and read back (never a local
+    checkpoint): a lost executor does not force recomputation from the
+    sources, and Spark knows the size of the result."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,8 +9,8 @@ A table is the list of data folders named by the newest manifest.  Appends
 add a folder; replace, upsert and delete write a new full folder.  A change
 to any number of tables becomes visible with one small manifest file written
 under a temporary name and renamed into place, so a failed multi-table load
-publishes nothing - the all-or-nothing of the reference's single transaction.
-Staged folders of a failed load are removed.
+publishes nothing.  Staged folders of a failed load are removed; its full
+violation report stays under ``<schema>/_violations``.
 
 Staged data are also the lineage cut: checks read the written Parquet, not
 the source pipeline again.
@@ -19,22 +19,28 @@ from __future__ import annotations
 
 import json
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import COHORT_PREFIX, TableContract, tables
-from ..operators.checks import validate_tables
+from ..operators.checks import fk_report, stacked_keys, validate_tables
 from ..operators.columns import conform, default_value
+from ..operators.navigate import cascade_survivors, following_rows
 from ..sources import fs
 
 
 class ViolationsFound(Exception):
-    def __init__(self, report_rows):
-        self.rows = report_rows
+    """A load broke constraints.  ``totals`` has a row per table, constraint
+    and columns with the number of broken keys and of rows; the full report
+    (``checks.VIOLATION_COLUMNS``) stays at ``path``."""
+
+    def __init__(self, totals, path: str):
+        self.totals, self.path = totals, path
         super().__init__("constraint violations: " + "; ".join(
-            f"{r['table_name']}.{r['columns']} {r['constraint_name']} key={r['key']} n={r['n']}"
-            for r in report_rows))
+            f"{r['table_name']}.{r['columns']} {r['constraint_name']}: {r['n_keys']} keys, {r['n_rows']} rows"
+            for r in totals) + f" (full report: {path})")
 
 
 def schema_type_of(schema: str) -> str:
@@ -79,7 +85,7 @@ class Warehouse:
         n = base + 1
         doc = json.dumps({"version": n, "layer": self.layer, "schema": schema, "tables": entries},
                          sort_keys=True)
-        if not fs.write_text_atomic(self.spark, f"{self._manifest_dir(schema)}/{n:012d}.json", doc):
+        if not fs.write_text_once(self.spark, f"{self._manifest_dir(schema)}/{n:012d}.json", doc):
             raise RuntimeError(f"{schema}: concurrent publish, manifest {n} exists; retry the load")
         return n
 
@@ -92,7 +98,8 @@ class Warehouse:
             self._publish(schema, base, {**entries, **missing})
 
     def drop_schema(self, schema: str) -> None:
-        """K8: drop a schema with all its tables."""
+        """K8: drop a schema with all its tables, and its catalog views."""
+        self.spark.sql(f"DROP DATABASE IF EXISTS `{self.database(schema)}` CASCADE")
         fs.delete(self.spark, self.schema_path(schema))
 
     def schemas(self, prefix: str = "") -> list[str]:
@@ -169,13 +176,34 @@ class Warehouse:
     def _read_staged(self, schema: str, table: str, path: str) -> DataFrame:
         return self.spark.read.schema(self.contracts(schema)[table].spark_schema).parquet(path)
 
+    def require_clean(self, schema: str, report: DataFrame) -> None:
+        """Write a violation report beside the schema's tables; raise with its
+        totals if it has rows, else remove it."""
+        path = f"{self.schema_path(schema)}/_violations/{uuid.uuid4().hex}"
+        seen = Observation(f"violations_{uuid.uuid4().hex[:8]}")
+        report.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+        if not seen.get["rows"]:
+            fs.delete(self.spark, path)
+            return
+        # one row per declared constraint at most
+        totals = (self.spark.read.parquet(path).groupBy("table_name", "constraint_name", "columns")
+                  .agg(F.count(F.lit(1)).alias("n_keys"), F.sum("n").alias("n_rows"))
+                  .orderBy("table_name", "constraint_name", "columns").collect())
+        raise ViolationsFound(totals, path)
+
     def commit(self, schema: str, writes: dict[str, DataFrame], mode: str = "append",
-               check: bool = True, parents: dict[str, DataFrame] | None = None) -> dict[str, int]:
+               check: bool = True, parents: dict[str, DataFrame] | None = None,
+               snapshot: tuple[int, dict[str, list[str]]] | None = None, clear=()) -> dict[str, int]:
         """Stage every frame, check the resulting tables, then publish all of
         them with one manifest.  ``mode`` is ``append`` (K1) or ``overwrite``
-        (K2 and every rewrite).  Returns rows written per table."""
+        (K2 and every rewrite).  Returns rows written per table.
+
+        ``snapshot`` is the ``manifest`` that the frames were derived from; the
+        publish fails if another one has been published since.  Tables named in
+        ``clear`` are emptied with it.  An overwritten table is also checked
+        against the tables that refer to it."""
         contracts = self.contracts(schema)
-        base, entries = self.manifest(schema)
+        base, entries = snapshot or self.manifest(schema)
         if base == 0:
             raise KeyError(f"{self.layer}.{schema} does not exist; create the schema first")
         staged: dict[str, str] = {}
@@ -189,19 +217,18 @@ class Warehouse:
             for table, path in staged.items():
                 old = entries.get(table, []) if mode == "append" else []
                 new_entries[table] = [*old, path]
+            for table in clear:
+                new_entries[table] = []
             if check:
-                frames = {t: (self.spark.read.schema(contracts[t].spark_schema).parquet(*new_entries[t])
-                              if new_entries[t] else self.spark.createDataFrame([], contracts[t].spark_schema))
-                          for t in staged}
+                frames = {t: self.read(schema, t, new_entries) for t in [*staged, *clear]}
                 appended = ({t: self._read_staged(schema, t, p) for t, p in staged.items()}
                             if mode == "append" else None)
-                report = validate_tables(frames, {t: contracts[t] for t in frames},
-                                         parents={**self._published(schema, new_entries, contracts),
-                                                  **(parents or {})},
-                                         new_rows=appended)
-                bad = report.limit(20).collect()
-                if bad:
-                    raise ViolationsFound(bad)
+                known = {**self._published(schema, new_entries, contracts), **(parents or {})}
+                report = validate_tables(frames, {t: contracts[t] for t in frames}, parents=known, new_rows=appended)
+                if mode != "append":
+                    for orphans in self._left_behind(schema, new_entries, [*staged, *clear]):
+                        report = report.unionByName(orphans)
+                self.require_clean(schema, report)
             self._publish(schema, base, new_entries)
             return counts
         except BaseException:
@@ -210,41 +237,122 @@ class Warehouse:
             raise
 
     def _published(self, schema, entries, contracts) -> dict[str, DataFrame]:
-        out = {}
-        for t, paths in entries.items():
-            if t in contracts:
-                out[t] = (self.spark.read.schema(contracts[t].spark_schema).parquet(*paths) if paths
-                          else self.spark.createDataFrame([], contracts[t].spark_schema))
+        """Tables that this schema's keys may refer to: its own, and those of
+        the shared schema."""
+        out = {t: self.read(schema, t, entries) for t in entries if t in contracts}
         if schema != "shared":
-            shared = Warehouse(self.spark, self.root, self.layer)
-            if shared.manifest("shared")[0]:
-                for t in ("concept", "domain", "vocabulary", "instruments", "endpoints"):
-                    try:
-                        out.setdefault(t, shared.read("shared", t))
-                    except KeyError:
-                        pass
+            wanted = {fk.ref_table for c in contracts.values() for fk in c.foreign_keys} - set(out)
+            _, shared = self.manifest("shared")
+            out.update({t: self.read("shared", t, shared) for t in wanted if t in shared})
         return out
 
+    def _referring(self, schema: str, table: str):
+        """(schema, child table, foreign keys) of the published tables that
+        refer to a table of ``schema``; shared tables are referred to from
+        every schema of the layer."""
+        for s in (self.schemas() if schema == "shared" else [schema]):
+            _, entries = self.manifest(s)
+            for child, c in self.contracts(s).items():
+                keys = [fk for fk in c.foreign_keys if fk.ref_table == table]
+                if keys and child in entries and (s == schema or table not in self.contracts(s)):
+                    yield s, child, keys
+
+    def _left_behind(self, schema: str, new_entries, changed):
+        """Reports on keys of unchanged tables that no longer have a parent."""
+        for table in changed:
+            parent = self.read(schema, table, new_entries)
+            for s, child, keys in self._referring(schema, table):
+                if s == schema and child in changed:
+                    continue
+                rows = self.read(s, child, new_entries if s == schema else None)
+                columns = [c for fk in keys for c in fk.columns]
+                yield fk_report({child: rows}, parent, keys[0].ref_columns[0], {child: columns}, table)
+
+    def _still_referred_to(self, schema: str, kept: dict, gone: dict):
+        """Reports on kept rows that refer to rows about to go."""
+        for table, lost in gone.items():
+            for s, child, keys in self._referring(schema, table):
+                rows = kept[child] if s == schema and child in kept else self.read(s, child)
+                ref = keys[0].ref_columns[0]
+                lost_keys = lost.select(F.col(ref).alias("key")).distinct()
+                stacked = stacked_keys(rows, [c for fk in keys for c in fk.columns], dict(lost.dtypes)[ref])
+                yield stacked.join(lost_keys, "key").select(
+                    F.lit(child).alias("table_name"), F.lit(f"foreign_key:{table}.{ref}").alias("constraint_name"),
+                    F.col("column").alias("columns"), F.col("key").cast("string").alias("key"), "n")
+
     # -- K1 / K2 / K3 / K5 / K6 ----------------------------------------
     def append(self, schema: str, writes: dict[str, DataFrame], check: bool = True) -> dict[str, int]:
         return self.commit(schema, writes, "append", check)
 
-    def replace(self, schema: str, writes: dict[str, DataFrame], check: bool = True) -> dict[str, int]:
-        return self.commit(schema, writes, "overwrite", check)
+    def replace(self, schema: str, writes: dict[str, DataFrame], check: bool = True, snapshot=None, clear=()) -> dict[str, int]:
+        return self.commit(schema, writes, "overwrite", check, snapshot=snapshot, clear=clear)
+
+    def upsert(self, schema: str, table: str, source: DataFrame, key: str, update_cols,
+               preserve=("created_at",), touch: str | None = "updated_at") -> dict[str, int]:
+        """K3 through the sink: merge ``source`` into the published table."""
+        snapshot = self.manifest(schema)
+        merged = upsert_frames(self.read(schema, table, snapshot[1]), source, key, update_cols, preserve, touch,
+                               self.contracts(schema)[table])
+        return self.replace(schema, {table: merged}, snapshot=snapshot)
 
-    def delete_where(self, schema: str, table: str, predicate, check: bool = False) -> int:
+    def delete_where(self, schema: str, table: str, predicate) -> int:
         """K6: remove rows matching ``predicate``; rows where it is NULL stay."""
-        current = self.read(schema, table)
-        kept = current.where(~F.coalesce(predicate, F.lit(False)))
-        before = current.count()
-        after = self.commit(schema, {table: kept}, "overwrite", check)[table]
-        return before - after
+        return self.delete_rows(schema, {table: predicate})[table]
+
+    def delete_rows(self, schema: str, predicates: dict) -> dict[str, int]:
+        """Remove the rows matching each table's predicate, in one
+        publish.  Rows that refer to a removed one go too where their key is
+        declared ON DELETE CASCADE (and so on from there); any other reference
+        that would be left without its parent fails the delete (RESTRICT).
+        Returns rows removed per table, those of cascades included."""
+        snapshot = self.manifest(schema)
+        entries, contracts = snapshot[1], self.contracts(schema)
+        kept, gone = {}, {}
+        for table, predicate in predicates.items():
+            current = self.read(schema, table, entries)
+            hit = F.coalesce(predicate, F.lit(False))
+            kept[table], gone[table] = current.where(~hit), current.where(hit)
+        todo = list(predicates)
+        while todo:  # at most once per declared cascade
+            table = todo.pop()
+            for s, child, keys in self._referring(schema, table):
+                for fk in keys:
+                    if not fk.cascade or s != schema or child == table:
+                        continue
+                    rows = kept.get(child, self.read(schema, child, entries))
+                    lost = following_rows(rows, gone[table], list(fk.columns), list(fk.ref_columns))
+                    kept[child] = cascade_survivors(rows, gone[table], list(fk.columns), list(fk.ref_columns))
+                    gone[child] = gone[child].unionByName(lost) if child in gone else lost
+                    todo.append(child)
+        reports = list(self._still_referred_to(schema, kept, gone))
+        if reports:
+            self.require_clean(schema, reduce(lambda a, b: a.unionByName(b), reports))
+        before = {t: self.read(schema, t, entries).count() for t in kept}
+        after = self.replace(schema, kept, check=False, snapshot=snapshot)
+        return {t: before[t] - after[t] for t in kept}
+
+    def vacuum(self, schema: str, keep: int = 1) -> list[str]:
+        """Delete the data folders that none of the newest ``keep`` versions
+        names; an explicit call, for when no reader is on an older version."""
+        folder = self._manifest_dir(schema)
+        names = sorted(n for n in fs.list_names(self.spark, folder) if n.endswith(".json") and n[:-5].isdigit())
+        live = set()
+        for n in names[-keep:]:
+            for paths in json.loads(fs.read_text(self.spark, f"{folder}/{n}"))["tables"].values():
+                live.update(paths)
+        dead = [f"{self.schema_path(schema)}/{t}/{v}" for t in self.contracts(schema)
+                for v in fs.list_names(self.spark, f"{self.schema_path(schema)}/{t}")]
+        dead = [p for p in dead if p not in live]
+        for p in dead:
+            fs.delete(self.spark, p)
+        for n in names[:-keep]:
+            fs.delete(self.spark, f"{folder}/{n}")
+        return dead
 
 
 def upsert_frames(target: DataFrame, source: DataFrame, key: str, update_cols,
                   preserve=("created_at",), touch: str | None = "updated_at",
-                  contract: TableContract | None = None,
-                  small_source_rows: int | None = None) -> DataFrame:
+                  contract: TableContract | None = None) -> DataFrame:
     """INSERT ... ON CONFLICT (key) DO UPDATE as a full outer join.
 
     Matched rows take the source's ``update_cols`` (except ``preserve``) and
@@ -252,20 +360,7 @@ def upsert_frames(target: DataFrame, source: DataFrame, key: str, update_cols,
     defaults for the columns the source lacks; other target rows are kept.
     Keys are unique on both sides (checked by the caller), so the join is
     1:1 and cannot skew.
-
-    With ``small_source_rows``, a source proven (by a bounded count) to hold
-    at most that many rows has its keys broadcast: target rows it does not
-    touch pass through a broadcast anti-join without any shuffle, and only
-    the matched target rows meet the source in the outer join.
     """
-    if small_source_rows is not None:
-        keys = source.select(key)
-        if keys.limit(small_source_rows + 1).count() <= small_source_rows:
-            kb = F.broadcast(keys)
-            untouched = target.join(kb, key, "left_anti")
-            touched = target.join(kb, key, "left_semi")
-            merged = upsert_frames(touched, source, key, update_cols, preserve, touch, contract)
-            return untouched.unionByName(merged)
     update_cols = [c for c in update_cols if c != key]
     s = source.select(F.col(key).alias("_s_key"), *[F.col(c).alias(f"_s_{c}") for c in update_cols],
                       F.lit(True).alias("_s_present"))

@@ -21,11 +21,12 @@ def read_codebooks(spark: SparkSession, folder: str, names=CODEBOOKS) -> DataFra
     any read; malformed JSON raises when the documents are evaluated."""
     missing = [n for n in names if not fs.exists(spark, codebook_path(folder, n))]
     if missing:
-        raise FileNotFoundError(f"Codebook file not found for {', '.join(missing)}")
+        raise FileNotFoundError(f"{folder} has no codebook file for: {', '.join(missing)}")
     paths = [codebook_path(folder, n) for n in names]
-    raw = spark.read.option("wholetext", "true").text(paths)
-    book = F.regexp_extract(F.col("_metadata.file_name"), r"^Codebook_(.*)\.json$", 1)
+    raw = spark.read.text(paths, wholetext=True)
+    # the name is in the file's path: a book may be a folder of part files
+    book = F.regexp_extract(F.col("_metadata.file_path"), r"/Codebook_([^/]*)\.json(/[^/]*)?$", 1)
     doc = F.when(F.try_parse_json("value").isNull(),
-                 F.raise_error(F.concat(F.lit("Error loading codebook JSON for "), book)))\
+                 F.raise_error(F.concat(book, F.lit(": the codebook file is not JSON"))))\
         .otherwise(F.parse_json("value"))
     return raw.select(book.alias("codebook"), doc.alias("doc"))

@@ -41,9 +41,16 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
-def write_text_atomic(spark: SparkSession, path: str, text: str) -> bool:
-    """Write a small file under a temporary name, then rename it into place.
-    Returns False when the final name already exists (another writer won)."""
+def write_text_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Publish a small file under a name that must not exist yet; False when
+    another writer has it.
+
+    The text is written under a temporary name and renamed without leave to
+    overwrite.  HDFS (and stores with an atomic rename, such as ABFS with a
+    hierarchical namespace) check and rename in one step, so one of several
+    writers wins.  A local folder checks and renames one after the other.  On
+    stores whose rename is a copy (S3) publishing needs one writer at a time.
+    """
     fs, final = _fs(spark, path)
     jvm = spark.sparkContext._jvm
     tmp = jvm.org.apache.hadoop.fs.Path(path + ".tmp-" + jvm.java.util.UUID.randomUUID().toString())
@@ -52,13 +59,24 @@ def write_text_atomic(spark: SparkSession, path: str, text: str) -> bool:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
-    if fs.exists(final):
-        fs.delete(tmp, False)
-        return False
-    ok = bool(fs.rename(tmp, final))
-    if not ok:
+    options = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 1)
+    options[0] = getattr(jvm.org.apache.hadoop.fs, "Options$Rename").NONE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        final.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        context.rename(tmp, final, options)
+        return True
+    except Exception as e:
         fs.delete(tmp, False)
-    return ok
+        if "FileAlreadyExists" in str(e) or fs.exists(final):
+            return False
+        raise
+
+
+def rename(spark: SparkSession, old: str, new: str) -> None:
+    fs, p = _fs(spark, old)
+    if not fs.rename(p, _fs(spark, new)[1]):
+        raise OSError(f"cannot rename {old} to {new}")
 
 
 def delete(spark: SparkSession, path: str) -> bool:

@@ -10,7 +10,8 @@ from . import fs
 
 
 def read_delimited(spark: SparkSession, path: str, tokens=NULL_TOKENS, sep: str = ",") -> DataFrame:
-    """Every column text; the NULL tokens become NULL (exact match)."""
+    """Every column text; the NULL tokens become NULL (exact match).  Rows
+    with too few fields are filled with NULLs."""
     raw = (spark.read
            .option("header", "true")
            .option("sep", sep)
@@ -22,7 +23,7 @@ def read_delimited(spark: SparkSession, path: str, tokens=NULL_TOKENS, sep: str
            .option("ignoreTrailingWhiteSpace", "false")
            .option("nullValue", "\u0000never\u0000")
            .option("emptyValue", "")
-           .option("mode", "FAILFAST")
+           .option("mode", "PERMISSIVE")  # a short row is filled with NULLs
            .csv(path))
     return raw.select(*[null_tokens(F.col(f"`{c}`"), tokens).alias(c) for c in raw.columns])
 
@@ -40,9 +41,9 @@ def read_input(spark: SparkSession, path: str, typed: DataFrame | None = None) -
     if typed is not None:
         return from_typed(typed)
     if not fs.exists(spark, path):
-        raise FileNotFoundError(f"File not found: {path}")
+        raise FileNotFoundError(f"no input at {path}")
     if suffix == "csv":
         return read_delimited(spark, path)
     if suffix in ("xlsx", "xls"):
         raise ValueError("spreadsheet input: parse it to a DataFrame and pass it as `typed`")
-    raise ValueError(f"Unsupported file type: .{suffix!r} (expected .csv / .xlsx / .xls)")
+    raise ValueError(f"{path}: neither delimited text (csv) nor a spreadsheet (xlsx, xls)")

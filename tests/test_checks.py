@@ -1,5 +1,7 @@
 import random
+from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera import contracts
@@ -70,5 +72,45 @@ def test_clean_tables_have_no_violations(spark):
                                     "valid_end_date date, standard_concept string, invalid_reason string") \
         .withColumn("valid_start_date", F.current_date()).withColumn("valid_end_date", F.current_date())
     domain = spark.createDataFrame([("Drug", "Drug", 1)], "domain_id string, domain_name string, domain_concept_id int")
-    rep = checks.validate_tables({"concept": concept, "domain": domain}, {"concept": conc, "domain": dom})
-    assert rep.count() == 0
+    others = {"vocabulary": spark.createDataFrame([("V",)], "vocabulary_id string"),
+              "concept_class": spark.createDataFrame([("C",)], "concept_class_id string")}
+    frames, both = {"concept": concept, "domain": domain}, {"concept": conc, "domain": dom}
+    assert checks.validate_tables(frames, both, others).count() == 0
+    with pytest.raises(KeyError, match="vocabulary"):  # a parent that nobody gives is an error, not a clean table
+        checks.validate_tables(frames, both, {"concept_class": others["concept_class"]})
+
+
+def test_validate_tables_against_brute_force(spark):
+    """Keys, missing values, lengths and keys to several parents, counted."""
+    rnd = random.Random(3)
+    parent = contracts.ad_hoc("p", "id int!, name vc3", pk="id")
+    child = contracts.ad_hoc("c", "id int!, a int, b bigint!, t vc4", pk="id", fks=["a -> x.p.id", "b -> x.q.k"])
+    p = [(i, "abcd"[:rnd.randrange(5)]) for i in range(20)] + [(3, "x")]
+    c = [(rnd.randrange(60), rnd.choice([None, *range(25)]), rnd.choice([None, *range(8)]), "x" * rnd.randrange(7)) for _ in range(80)]
+    frames = {"p": spark.createDataFrame(p, "id int, name string"), "c": spark.createDataFrame(c, "id int, a int, b bigint, t string")}
+    q = spark.createDataFrame([(i,) for i in range(5)] + [(None,)], "k bigint")
+    got = rows(checks.validate_tables(frames, {"p": parent, "c": child}, {"q": q}))
+    want = Counter()
+    for name, data in (("p", p), ("c", c)):
+        for k, n in Counter(r[0] for r in data).items():
+            if n > 1:
+                want[(name, "primary_key", "id", '{"id":%d}' % k)] = n
+    for i, name in p:
+        want[("p", "max_length_3", "name", None)] += len(name) > 3
+    for _, a, b, t in c:
+        want[("c", "max_length_4", "t", None)] += len(t) > 4
+        want[("c", "not_null", "b", None)] += b is None
+        if a is not None and a > 19:
+            want[("c", "foreign_key:p.id", "a", str(a))] += 1
+        if b is not None and b > 4:
+            want[("c", "foreign_key:q.k", "b", str(b))] += 1
+    assert sorted(map(str, got)) == sorted(str((*k, n)) for k, n in want.items() if n)
+
+
+def test_appended_rows_are_checked_against_published_keys(spark):
+    t = contracts.ad_hoc("t", "id int!, code vc9", pk="id", uniques=["code"])
+    old = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b2")], "id int, code string")
+    new = spark.createDataFrame([(3, "c"), (1, "b")], "id int, code string")
+    got = rows(checks.validate_tables({"t": old.unionByName(new)}, {"t": t}, new_rows={"t": new}), "constraint_name", "key", "n")
+    # the repeated 2 was published before and is not among the new keys
+    assert got == [("primary_key", '{"id":1}', 2), ("unique", '{"code":"b"}', 2)]

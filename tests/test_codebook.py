@@ -30,8 +30,16 @@ def test_duplicates_across_and_within_books(spark, workdir):
     books = read_codebooks(spark, folder, ["A", "B"])
     dups = codebook.duplicate_names(codebook.questions(books)).collect()
     assert [(r.name, r.n, r.books) for r in dups] == [("q1", 3, "A,B")]
-    with pytest.raises(ValueError, match="Duplicate question detected: q1"):
-        codebook.merge(books)
+    with pytest.raises(PySparkException, match="q1 in A,B"):
+        codebook.merge(books).collect()
+
+
+def test_merge_lists_every_duplicate(spark, workdir):
+    names = [{"name": f"q{i}"} for i in range(70)]
+    folder = _books(workdir, {"A": {"questions": names}, "B": {"questions": names}})
+    with pytest.raises(PySparkException) as e:
+        codebook.merge(read_codebooks(spark, folder, ["A", "B"])).collect()
+    assert all(f"q{i} in A,B" in str(e.value) for i in range(70))
 
 
 def test_missing_file_and_malformed_json(spark, workdir):
@@ -39,13 +47,13 @@ def test_missing_file_and_malformed_json(spark, workdir):
     with pytest.raises(FileNotFoundError, match="B"):
         read_codebooks(spark, folder, ["A", "B"])
     folder = _books(os.path.join(workdir, "m"), {"A": {}}, raw={"A": "{not json"})
-    with pytest.raises(PySparkException, match="Error loading codebook JSON for A"):
+    with pytest.raises(PySparkException, match="A: the codebook file is not JSON"):
         read_codebooks(spark, folder, ["A"]).collect()
 
 
 def test_question_without_name_fails(spark, workdir):
     folder = _books(workdir, {"A": {"questions": [{"label": "x"}]}})
-    with pytest.raises(PySparkException, match="question without name"):
+    with pytest.raises(PySparkException, match="a question has no name"):
         codebook.questions(read_codebooks(spark, folder, ["A"])).collect()
 
 

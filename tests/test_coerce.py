@@ -29,11 +29,24 @@ def test_int_null_passes(spark):
     assert _apply(spark, [None], C.to_int) == [(None, None)]
 
 
-def test_int_overflow_raises(spark):
+def test_int_out_of_range_is_an_error_value(spark):
+    for text in ("3000000000", "-2147483649", "1e400", "-1e400", "9999999999"):
+        (v, e), = _apply(spark, [text], C.to_int)
+        assert v is None and text in e
+    edges = {"2147483647": 2147483647, "-2147483648": -2147483648, "2147483647.9": 2147483647}
+    assert [v for v, _ in _apply(spark, list(edges), C.to_int)] == list(edges.values())
     df = spark.createDataFrame([("3000000000",)], "s string")
     v, e = C.to_int(F.col("s"))
-    with pytest.raises(PySparkException):
+    with pytest.raises(PySparkException, match="not a valid int"):
         df.select(C.strict(v, e)).collect()
+    (v, e), (w, f) = _apply(spark, ["9223372036854775808", "-9223372036854775808"], lambda c: C.to_int(c, "bigint"))
+    assert v is None and e is not None and w == -9223372036854775808 and f is None
+
+
+def test_copy_dates_are_strict(spark):
+    bad = ["1970", "2020-01", "2020-01-01 junk", "2020-01-01T99", "2020-1-1", "20200231", "2020-02-31", "x"]
+    for v, e in _apply(spark, bad, lambda c: C.copy_cast(c, ColumnSpec("d", "date"))):
+        assert v is None and e is not None
 
 
 def test_bool_tokens(spark):
@@ -48,7 +61,7 @@ def test_bool_tokens(spark):
 def test_strict_raises_on_bad_cell(spark):
     df = spark.createDataFrame([("y",)], "s string")
     v, e = C.to_bool(F.col("s"))
-    with pytest.raises(PySparkException, match="Cannot coerce"):
+    with pytest.raises(PySparkException, match="not a valid bool"):
         df.select(C.strict(v, e)).collect()
 
 

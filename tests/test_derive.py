@@ -65,7 +65,19 @@ def test_attribute_and_counts_follow_join_multiplicity(spark):
     parts = spark.createDataFrame([("b1", "s1"), ("b1", "s2"), ("b2", "s3")], "barcode string, subject_id string")
     att = derive.attribute(recs, parts, "barcode")
     assert rows(att, "barcode", "dest") == [("b1", "cohort"), ("b2", "cohort"), ("b3", "orphan")]
-    assert rows(derive.route_counts(att)) == [("cohort", 3), ("orphan", 1)]
+    assert rows(derive.route_counts(att)) == [("cohort", 2), ("orphan", 1)]  # records, not matches
+
+
+def test_three_way_routing(spark):
+    recs = spark.createDataFrame([("b1", 1), ("b1", 2), ("b2", 3), ("b3", 4), (None, 5), (None, 6)], "barcode string, v int")
+    parts = spark.createDataFrame([("b1", "s1"), ("b1", "s2")], "barcode string, subject_id string")
+    errors = spark.createDataFrame([("b3",), ("b3",), ("b1",)], "barcode string")
+    att = derive.attribute(recs, parts, "barcode", errors)
+    assert rows(derive.route_counts(att)) == [("cohort", 2), ("identifier_errors", 3), ("orphan", 1)]
+    routed = derive.route(att)
+    assert {k: sorted(r.v for r in df.collect()) for k, df in routed.items()} == {
+        "cohort": [1, 2], "identifier_errors": [4, 5, 6], "orphan": [3]}
+    assert routed["orphan"].columns == recs.columns
 
 
 def test_checksum_dedupe_and_red_flags(spark):

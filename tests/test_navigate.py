@@ -71,13 +71,3 @@ def test_child_counts_and_cascade(cdm):
     assert rows(left, "visit_occurrence_id") == [(9,), (10,)]
     follow = navigate.following_rows(cdm["visit_occurrence"], deleted, "person_id", "person_id")
     assert rows(follow, "visit_occurrence_id") == [(7,), (8,)]
-
-
-def test_broadcast_if_bounded_only_below_the_bound(spark):
-    from tessera.operators.joins import broadcast_if_bounded
-    small = spark.range(5)
-    big = spark.range(50)
-    hinted = lambda df: "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
-    assert hinted(broadcast_if_bounded(small, 10))
-    assert not hinted(broadcast_if_bounded(big, 10))
-    assert broadcast_if_bounded(big, 10).count() == 50

@@ -5,7 +5,8 @@ import os
 import pytest
 
 import __spark_entry__ as E
-from tessera.plans.inspect import summary
+from tessera.plans import queries
+from .plan_summary import summary
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
@@ -21,7 +22,7 @@ def _shuffled_cols(s):
 
 def test_every_scan_is_pruned(spark):
     full = {"lineitem": 11, "orders": 6, "customer": 5, "events": 6, "documents": 5, "part": 6}
-    for name in E.queries():
+    for name in queries.QUERIES:
         if name in ("scan_tsv_nation", "column_checks_documents"):
             continue  # reads a written file / checks every column on purpose
         for table, cols, _ in _q(spark, name)["scans"]:

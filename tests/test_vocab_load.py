@@ -79,7 +79,7 @@ def test_key_violations_block_publish(spark, workdir):
     folder = write_vocab(os.path.join(workdir, "v"), {"CONCEPT.csv": lines})
     with pytest.raises(ViolationsFound) as e:
         jobs.load_vocabulary(wh, folder)
-    kinds = {(r["constraint_name"], r["columns"]) for r in e.value.rows}
+    kinds = {(r["constraint_name"], r["columns"]) for r in e.value.totals}
     assert ("primary_key", "concept_id") in kinds
     assert ("foreign_key:domain.domain_id", "domain_id") in kinds
     assert wh.read("shared", "concept").count() == 0
