@@ -17,10 +17,13 @@ from .common import let, stored, without
 
 SPACE = "[\\x20\\x09-\\x0D]+"
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-#: rule name -> failure, from the measures of a document
+#: rule name -> failure, from the measures of a document; a gross failure
+#: breaks two rules
 RULES = {
     "symbols": "10 * n_symbols > n_words",
+    "mostly_symbols": "n_symbols > n_words",
     "dup_lines": "100 * n_dup_lines > 30 * n_lines",
+    "mostly_dup_lines": "100 * n_dup_lines > 60 * n_lines",
     "word_length": "word_chars < 3 * n_words OR word_chars > 12 * n_words",
     "repetition": "100 * n_repeat_words > 30 * n_words",
 }

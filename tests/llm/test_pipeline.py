@@ -11,7 +11,8 @@ from .test_jaccard import brute as near_copies
 from .test_mixing import edf
 from .test_quality import brute as measures, shrunk
 
-RULES = {"symbols": lambda w, c, s, d, r, n: 10 * s > w, "dup_lines": lambda w, c, s, d, r, n: 100 * d > 30 * n,
+RULES = {"symbols": lambda w, c, s, d, r, n: 10 * s > w, "mostly_symbols": lambda w, c, s, d, r, n: s > w,
+         "dup_lines": lambda w, c, s, d, r, n: 100 * d > 30 * n, "mostly_dup_lines": lambda w, c, s, d, r, n: 100 * d > 60 * n,
          "word_length": lambda w, c, s, d, r, n: c < 3 * w or c > 12 * w, "repetition": lambda w, c, s, d, r, n: 100 * r > 30 * w}
 
 
