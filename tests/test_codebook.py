@@ -57,6 +57,16 @@ def test_question_without_name_fails(spark, workdir):
         codebook.questions(read_codebooks(spark, folder, ["A"])).collect()
 
 
+def test_documents_over_several_lines(spark, workdir):
+    text = json.dumps({"questions": [{"name": "q1"}, {"name": "q2"}]}, indent=1)
+    folder = _books(workdir, {"A": {}}, raw={"A": text})
+    os.makedirs(os.path.join(folder, "Codebook_B.json"))  # a book may be a folder of part files
+    with open(os.path.join(folder, "Codebook_B.json", "part-0"), "w") as f:
+        f.write(text.replace("q", "p"))
+    items = codebook.merge(read_codebooks(spark, folder, ["A", "B"]))
+    assert sorted((r.name, r.codebook) for r in items.collect()) == [("p1", "B"), ("p2", "B"), ("q1", "A"), ("q2", "A")]
+
+
 def test_unregistered_questions(spark, workdir):
     folder = _books(workdir, {"A": {"questions": [{"name": "q1"}, {"name": "q2"}]}})
     items = codebook.merge(read_codebooks(spark, folder, ["A"]))

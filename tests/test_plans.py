@@ -1,6 +1,7 @@
 """Plan shapes the design depends on (checked on the physical plan, so a
 regression in join order, pruning or pre-aggregation fails a test)."""
 import os
+import time
 
 import pytest
 
@@ -82,3 +83,41 @@ def test_fk_check_joins_distinct_keys_not_rows(spark):
     join_at = plan.index("Join ")
     assert "Aggregate [column" in plan[join_at:]  # the aggregate sits under the join
     assert "LeftAnti" not in plan
+
+
+@pytest.fixture()
+def no_broadcast(spark):
+    """Plans as for large tables."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_validation_reads_each_table_twice(spark, no_broadcast):
+    began = time.time()
+    df = E.queries()["validate_star"](spark, SF)
+    s = summary(df)
+    assert time.time() - began < 6  # plan building; it was half a minute of scans and shuffles
+    tables = [t for t, _, _ in s["scans"]]
+    assert tables.count("lineitem") <= 2 and max(map(tables.count, tables)) <= 3
+    assert len(s["shuffles"]) <= 24
+
+
+def test_only_candidate_duplicates_carry_text(spark, no_broadcast):
+    from tessera.operators import checks
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    s = summary(checks.duplicate_keys(docs, ["text"], skip_nulls=True))
+    assert sum("text" in cols for _, cols in s["shuffles"]) <= 1  # the grouping of the rows that pass the bitmap
+    plan = checks.duplicate_keys(docs, ["text"], skip_nulls=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert "scalar-subquery" in plan and "LeftSemi" not in plan
+
+
+def test_enrichment_reads_the_fact_twice(spark, no_broadcast):
+    s = _q(spark, "drug_strength_names")
+    assert [t for t, _, _ in s["scans"]].count("lineitem") == 1  # and once for the ids in use, written beforehand
+
+
+def test_optional_keys_are_spread(spark, no_broadcast):
+    s = _q(spark, "source_lineage")
+    assert any("__spread" in p for p, _ in s["shuffles"])
