@@ -62,7 +62,7 @@ def test_documents_over_several_lines(spark, workdir):
     folder = _books(workdir, {"A": {}}, raw={"A": text})
     os.makedirs(os.path.join(folder, "Codebook_B.json"))  # a book may be a folder of part files
     with open(os.path.join(folder, "Codebook_B.json", "part-0"), "w") as f:
-        f.write(text.replace("q", "p"))
+        f.write(text.replace("q1", "p1").replace("q2", "p2"))
     items = codebook.merge(read_codebooks(spark, folder, ["A", "B"]))
     assert sorted((r.name, r.codebook) for r in items.collect()) == [("p1", "B"), ("p2", "B"), ("q1", "A"), ("q2", "A")]
 
