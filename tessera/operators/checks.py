@@ -102,29 +102,18 @@ def null_key_rows(df: DataFrame, cols) -> DataFrame:
     return df.where(reduce(lambda a, b: a | b, [_q(c).isNull() for c in cols]))
 
 
-def key_counts(df: DataFrame, pk) -> DataFrame:
-    """Rows per non-NULL key value (the grouping behind a key check)."""
-    pk = list(pk)
-    notnull = reduce(lambda a, b: a & b, [_q(c).isNotNull() for c in pk])
-    return df.where(notnull).groupBy(*[_q(c) for c in pk]).agg(F.count(F.lit(1)).alias("n"))
-
-
-def pk_report(df: DataFrame, target: TableContract, pk=None, include_nulls: bool = True,
-              counts: DataFrame | None = None) -> DataFrame:
+def pk_report(df: DataFrame, target: TableContract, pk=None, include_nulls: bool = True) -> DataFrame:
     """Primary key must be unique and not NULL.
 
     Duplicates are counted over rows whose key has no NULL part
     (``IsNotNull`` reaches the Parquet reader); the NULL-key branch pushes
     ``IsNull`` down, so row groups whose statistics show no NULLs are
     skipped.  ``include_nulls=False`` leaves NULL keys to the NOT NULL column
-    check when that runs anyway; ``counts`` passes a shared ``key_counts``.
+    check when that runs anyway.
     """
     pk = list(pk or target.primary_key)
-    if counts is not None:
-        dup = counts.where(F.col("n") > 1)
-    else:
-        notnull = reduce(lambda a, b: a & b, [_q(c).isNotNull() for c in pk])
-        dup = duplicate_keys(df.where(notnull), pk)
+    notnull = reduce(lambda a, b: a & b, [_q(c).isNotNull() for c in pk])
+    dup = duplicate_keys(df.where(notnull), pk)
     out = _report(dup, target.name, "primary_key", pk, _key_json(pk), F.col("n"))
     if include_nulls:
         nulls = null_key_rows(df, pk).agg(F.count(F.lit(1)).alias("n")).where("n > 0")

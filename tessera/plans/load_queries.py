@@ -344,6 +344,29 @@ def source_lineage(spark, d):
     return out.select("id", "assessment_name", "machine_name", "place_city", "cohort_name", "schema_name", "path", F.col("name").alias("api_name"))
 
 
+# R4 R6 -------------------------------------------------------------------
+def mapping_by_vocabulary(spark, d):
+    """Codes looked up with their vocabulary; invalid mappings do not count."""
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate")
+    mapping = lines.select(F.col("l_returnflag").alias("source_code"), F.col("l_linestatus").alias("source_vocabulary_id")).distinct().select(
+        "*", F.concat("source_vocabulary_id", "source_code").alias("target_concept_id"), F.lit("1995-01-01").cast("date").alias("valid_start_date"),
+        F.lit("1999-12-31").cast("date").alias("valid_end_date"), F.when(F.col("source_code") == "R", "D").alias("invalid_reason"))
+    out = derive.map_source_codes(lines, mapping, "l_returnflag", F.to_date("l_shipdate"), vocabulary_col="l_linestatus")
+    return out.select("l_orderkey", "l_linenumber", "target_concept_id")
+
+
+def rollup_levels(spark, d):
+    """Customers per ancestor of their nation, one level up at most."""
+    nation = table(spark, d, "nation")
+
+    def level(name, n):
+        return F.struct(name.alias("ancestor"), F.lit(n).alias("min_levels_of_separation"))
+    edges = nation.select(F.col("n_nationkey").alias("descendant"), F.explode(F.array(
+        level(F.col("n_name"), 0), level(F.concat(F.lit("region "), F.col("n_regionkey").cast("string")), 1),
+        level(F.lit("world"), 2))).alias("e")).select("descendant", "e.*")
+    return derive.rollup(table(spark, d, "customer"), "c_nationkey", edges, "descendant", "ancestor", max_levels=1)
+
+
 # R10 ---------------------------------------------------------------------
 def route_records(spark, d):
     """Documents routed to three places and read back from there: labelled
@@ -362,7 +385,7 @@ def route_records(spark, d):
 QUERIES = {f.__name__: f for f in (
     scan_tsv_orders, csv_lineitem, typed_customer, codebook_merge, codebook_items, unregistered_questions, load_vocabulary_parts,
     replace_local_concepts, upsert_into_table, custom_vocabularies, delete_cascade_survivors, promoted_cohorts, validate_documents,
-    nav_order_lines, nav_following_events, drug_strength_names, concept_synonyms, source_lineage, route_records)}
+    nav_order_lines, nav_following_events, mapping_by_vocabulary, rollup_levels, drug_strength_names, concept_synonyms, source_lineage, route_records)}
 
 ORACLE_SQL = {
     "scan_tsv_orders": "SELECT o_orderkey, o_orderdate::DATE AS o_orderdate, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE "
@@ -419,6 +442,10 @@ ORACLE_SQL = {
                       "LEFT JOIN customer ON c_custkey = user_id AND event_type <> 'error' LEFT JOIN nation n ON n.n_nationkey = c_nationkey "
                       "LEFT JOIN region m ON m.r_regionkey = c_nationkey % 5 LEFT JOIN region h ON h.r_regionkey = c_custkey % 5 "
                       "LEFT JOIN nation e ON e.n_nationkey = event_id % 25 LEFT JOIN region a ON a.r_regionkey = e.n_regionkey",
+    "mapping_by_vocabulary": "SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag <> 'R' AND l_shipdate::DATE BETWEEN DATE '1995-01-01' "
+                             "AND DATE '1999-12-31' THEN l_linestatus || l_returnflag END AS target_concept_id FROM lineitem",
+    "rollup_levels": "SELECT n_name AS ancestor, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1 "
+                     "UNION ALL SELECT 'region ' || n_regionkey, count(*) FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1",
     "route_records": "SELECT doc_id, lang, CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN 'cohort' "
                      "WHEN doc_id % 7 = 0 THEN 'identifier_errors' ELSE 'orphan' END AS dest FROM documents",
 }
