@@ -233,19 +233,26 @@ def column_report(df: DataFrame, target: TableContract) -> DataFrame:
 
 # --- C6 --------------------------------------------------------------------
 
+def _all_of(frames: list[DataFrame]) -> DataFrame:
+    """Union of frames with the same columns, in pairs: each union is analysed
+    with all below it, so a chain of them takes long to build."""
+    while len(frames) > 1:
+        frames = [frames[i].union(frames[i + 1]) if i + 1 < len(frames) else frames[i] for i in range(0, len(frames), 2)]
+    return frames[0]
+
+
 def row_checks(df: DataFrame, target: TableContract) -> DataFrame | None:
     """What the rows of one table show by themselves, in one scan and one
     aggregation: (table_name, constraint_name, parent, columns, key, n) with a
     row per missing value and over-long text column (C4, C5; parent and key
     NULL) and one per distinct foreign key value (C2; not yet looked up)."""
     have = set(df.columns)
-    found = []
+    names, found = [], []
 
-    def probe(when: Column, constraint: str, column: str, parent=None, key=None):
-        text = F.lit(None).cast("string")
-        found.append(F.when(when, F.struct(
-            F.lit(constraint).alias("constraint_name"), (text if parent is None else F.lit(parent)).alias("parent"),
-            F.lit(column).alias("columns"), (text if key is None else key.cast("string")).alias("key"))))
+    def probe(when: Column, constraint: str, column: str, parent: str | None = None, key: Column | None = None):
+        found.append(F.when(when, F.struct(F.lit(len(names)).alias("probe"),
+                                           (F.lit(None) if key is None else key).cast("string").alias("key"))))
+        names.append((constraint, parent, column))
     for c in target.columns:
         if c.name in have and not c.nullable:
             probe(_q(c.name).isNull(), "not_null", c.name)
@@ -257,9 +264,13 @@ def row_checks(df: DataFrame, target: TableContract) -> DataFrame | None:
                   f"{fk.ref_table}.{fk.ref_columns[0]}", _q(col))
     if not found:
         return None
-    rows = df.select(F.explode(F.filter(F.array(*found), lambda x: x.isNotNull())).alias("r")).select("r.*")
-    return (rows.groupBy("constraint_name", "parent", "columns", "key").agg(F.count(F.lit(1)).alias("n"))
-                .withColumn("table_name", F.lit(target.name)))
+    rows = df.select(F.explode(F.array(*found)).alias("r")).where(F.col("r").isNotNull()).select("r.probe", "r.key")
+    counted = rows.groupBy("probe", "key").agg(F.count(F.lit(1)).alias("n"))
+
+    def named(i):
+        return F.get(F.array(*[F.lit(x[i]).cast("string") for x in names]), F.col("probe"))
+    return counted.select(F.lit(target.name).alias("table_name"), named(0).alias("constraint_name"), named(1).alias("parent"),
+                          named(2).alias("columns"), "key", "n")
 
 
 def validate_tables(frames: dict[str, DataFrame], contracts: dict[str, TableContract],
@@ -308,15 +319,13 @@ def validate_tables(frames: dict[str, DataFrame], contracts: dict[str, TableCont
         if found is not None:
             rows.append(found)
     if rows:
-        stacked = reduce(lambda a, b: a.unionByName(b), rows)
+        stacked = _all_of(rows)
         if wanted:
-            keys = reduce(lambda a, b: a.unionByName(b), [
+            keys = _all_of([
                 df.select(F.lit(f"{parent}.{key}").alias("parent"), _q(key).cast("string").alias("key"))
                   .where(F.col("key").isNotNull()).distinct().withColumn("_there", F.lit(True))
                 for (parent, key), df in wanted.items()])
             # a left join on unique keys, not left_anti: see fk_report
             stacked = stacked.join(keys, ["parent", "key"], "left").where(F.col("parent").isNull() | F.col("_there").isNull())
         reports.append(stacked.select(*VIOLATION_COLUMNS))
-    if not reports:
-        return empty_report(spark)
-    return reduce(lambda a, b: a.unionByName(b), reports)
+    return _all_of(reports) if reports else empty_report(spark)

@@ -5,8 +5,7 @@ partitioned by a hot key pulls that key's rows into one task.  The operators
 here cut the full ordering into ranges of similar size, work inside each
 range with ordinary windows, and link the ranges by a table of at most one
 row per range (and group).  The bounds of the ranges are taken once, from a
-bounded sample of rows, and written into the plan as literals; they decide
-how even the ranges are, never the result.
+bounded sample of rows; they decide how even the ranges are, never the result.
 
 * ``assign_ids`` - dense 1..N identity in a given order (K2 RESTART IDENTITY).
 * ``previous_in_order`` - columns of the preceding row within a group (the
@@ -18,21 +17,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: ranges at most (a row is compared with each bound), and sampled rows per range
-MOST_RANGES, SAMPLE_PER_RANGE = 512, 20
+#: ranges at most, and sampled rows per range
+MOST_RANGES, SAMPLE_PER_RANGE = 1024, 20
 
 
 def _range_of(df: DataFrame, keys: list[str], ranges: int | None) -> Column:
-    """Number of the range that a row's ``keys`` (columns of ``df``) lie in."""
-    n = min(MOST_RANGES, int(ranges or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    fields = df.select(*keys).schema.fields
-    sample = df.select(*keys).orderBy(F.rand(17)).limit(n * SAMPLE_PER_RANGE).orderBy(*keys).collect()
-    bounds = sample[SAMPLE_PER_RANGE::SAMPLE_PER_RANGE]
-    if not bounds:
-        return F.lit(0)
-    literals = F.array(*[F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields)]) for row in bounds])
+    """Number of the range that a row's ``keys`` (columns of ``df``) lie in:
+    the bounds at or below them, counted by binary search.  The bounds, taken
+    from a sample, are a literal of the plan (as JSON, whose rounding of times
+    does no harm), so every use of the column sees the same ones."""
+    n = min(MOST_RANGES, int(ranges or 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    sample = df.select(F.struct(*keys).alias("k")).orderBy(F.rand(17)).limit(n * SAMPLE_PER_RANGE)
+    every = F.filter(F.array_sort(F.collect_list("k")), lambda x, i: (i > 0) & (i % SAMPLE_PER_RANGE == 0))
+    bounds = sample.agg(every.alias("b"))
+    kind = bounds.schema["b"].dataType.simpleString()
+    bounds = F.from_json(F.lit(bounds.select(F.to_json("b")).first()[0]), kind)
     mine = F.struct(*[F.col(k) for k in keys])
-    return F.size(F.filter(literals, lambda b: b <= mine))
+
+    def further(at: Column, step: Column) -> Column:
+        return F.when(F.get(bounds, at + step - 1) <= mine, at + step).otherwise(at)
+    steps = [1 << i for i in reversed(range(n.bit_length()))]
+    return F.aggregate(F.array(*[F.lit(x) for x in steps]), F.lit(0), further)
 
 
 def assign_ids(df: DataFrame, order, id_col: str = "id", start: int = 1,
