@@ -52,22 +52,14 @@ def number_in_groups(df: DataFrame, groups: list[str], key: str, out: str) -> Da
     offset comes from a prefix sum over the bucket counts.  Rows with equal
     keys are ordered by their other columns.
     """
-    other = [c for c in df.columns if c != key]
-    df = df.withColumn("_md5", md5_key(key)).withColumn("_bucket", F.substring("_md5", 1, 3))
-    at = [*groups, "_bucket"]
-    order = [F.col("_md5"), *[F.col(c) for c in other if c not in groups
-                              and not dict(df.dtypes)[c].startswith(("map", "variant"))]]
-    local = df.withColumn("_local", F.row_number().over(Window.partitionBy(*at).orderBy(*order)) - 1)
-    before = Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (df.groupBy(*at).agg(F.count(F.lit(1)).alias("_n"))
-               .select(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(at)], "_n"))
-    before = (Window.partitionBy(*[f"_o{i}" for i in range(len(groups))]).orderBy(f"_o{len(groups)}")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = offsets.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    cond = None
-    for i, c in enumerate(at):
-        same = local[c].eqNullSafe(offsets[f"_o{i}"])
-        cond = same if cond is None else cond & same
-    return (local.join(offsets, cond)
-            .withColumn(out, (F.col("_local") + F.col("_before")).cast("long"))
-            .drop("_md5", "_bucket", "_local", "_before", *[f"_o{i}" for i in range(len(at))]))
+    other = [c for c, t in df.dtypes if c != key and c not in groups and not t.startswith(("map", "variant"))]
+    at = F.struct(*[F.col(c) for c in groups])
+    # one struct to deal by: the window and the join need the same dealing, and NULLs are equal in it
+    df = df.withColumn("_md5", md5_key(key)).withColumn("_at", F.struct(at.alias("group"), F.substring("_md5", 1, 3).alias("bucket")))
+    order = ["_md5", *other]
+    local = df.withColumn("_local", F.row_number().over(Window.partitionBy("_at").orderBy(*order)) - 1)
+    before = Window.partitionBy("_at.group").orderBy("_at.bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (df.groupBy("_at").agg(F.count(F.lit(1)).alias("_n"))
+               .select("_at", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")))
+    return (local.join(offsets, "_at").withColumn(out, (F.col("_local") + F.col("_before")).cast("long"))
+            .drop("_md5", "_at", "_local", "_before"))
