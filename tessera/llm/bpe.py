@@ -37,7 +37,7 @@ TREE_LEAF, WINDOW = 2048, 64
 MARGIN = 4
 #: distinct words that a Python worker keeps (twice as many in passing), and
 #: characters of texts encoded together
-CACHED_WORDS, TOGETHER = 200_000, 500_000
+CACHED_WORDS, TOGETHER = 100_000, 500_000
 
 
 def default_path() -> str:

@@ -35,7 +35,8 @@ BANDS = VALUES // BAND
 STEP = 16
 #: classes and shingles per chunk of a bucket
 CHUNK, CHUNK_SHINGLES = 128, 400_000
-CACHED_WORDS = 500_000
+#: word hashes that a worker remembers
+CACHED_WORDS = 100_000
 
 
 class _Hashes(dict):
