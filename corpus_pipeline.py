@@ -31,8 +31,8 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    clean = secrets.redact_secrets(docs.withColumn("_old", F.char_length("text")))
-    moved = F.char_length("text") - F.col("_old")
+    clean = secrets.redact_secrets(docs.withColumn("__t_old", F.char_length("text")))
+    moved = F.char_length("text") - F.col("__t_old")
     return clean.withColumn("n_chars", F.when(moved == 0, F.col("n_chars")).otherwise(
         F.char_length("text").cast("long"))).select(*docs.columns)
 

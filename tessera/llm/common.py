@@ -55,11 +55,11 @@ def number_in_groups(df: DataFrame, groups: list[str], key: str, out: str) -> Da
     other = [c for c, t in df.dtypes if c != key and c not in groups and not t.startswith(("map", "variant"))]
     at = F.struct(*[F.col(c) for c in groups])
     # one struct to deal by: the window and the join need the same dealing, and NULLs are equal in it
-    df = df.withColumn("_md5", md5_key(key)).withColumn("_at", F.struct(at.alias("group"), F.substring("_md5", 1, 3).alias("bucket")))
-    order = ["_md5", *other]
-    local = df.withColumn("_local", F.row_number().over(Window.partitionBy("_at").orderBy(*order)) - 1)
-    before = Window.partitionBy("_at.group").orderBy("_at.bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (df.groupBy("_at").agg(F.count(F.lit(1)).alias("_n"))
-               .select("_at", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")))
-    return (local.join(offsets, "_at").withColumn(out, (F.col("_local") + F.col("_before")).cast("long"))
-            .drop("_md5", "_at", "_local", "_before"))
+    df = df.withColumn("__t_md5", md5_key(key)).withColumn("__t_at", F.struct(at.alias("group"), F.substring("__t_md5", 1, 3).alias("bucket")))
+    order = ["__t_md5", *other]
+    local = df.withColumn("__t_local", F.row_number().over(Window.partitionBy("__t_at").orderBy(*order)) - 1)
+    before = Window.partitionBy("__t_at.group").orderBy("__t_at.bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (df.groupBy("__t_at").agg(F.count(F.lit(1)).alias("__t_n"))
+               .select("__t_at", F.coalesce(F.sum("__t_n").over(before), F.lit(0)).alias("__t_before")))
+    return (local.join(offsets, "__t_at").withColumn(out, (F.col("__t_local") + F.col("__t_before")).cast("long"))
+            .drop("__t_md5", "__t_at", "__t_local", "__t_before"))

@@ -124,9 +124,9 @@ def scan_licenses(docs: DataFrame, text: str = "text") -> DataFrame:
         F.when(line.rlike(ordered_pattern(ids)), F.struct(F.lit(r).alias("rule"), F.lit(lic).alias("license"),
                                                           F.lit(v).alias("verdict")))
         for r, lic, v, ids in RULES]), lambda h: h.isNotNull()))
-    docs = docs.withColumn("_hits", F.when(F.size("sentence_ids") > 0, hits))
-    return (docs.withColumn("rules", F.coalesce(F.transform("_hits", lambda h: h["rule"]), F.array().cast("array<string>")))
-            .withColumn("licenses", F.coalesce(F.array_distinct(F.transform("_hits", lambda h: h["license"])),
+    docs = docs.withColumn("__t_hits", F.when(F.size("sentence_ids") > 0, hits))
+    return (docs.withColumn("rules", F.coalesce(F.transform("__t_hits", lambda h: h["rule"]), F.array().cast("array<string>")))
+            .withColumn("licenses", F.coalesce(F.array_distinct(F.transform("__t_hits", lambda h: h["license"])),
                                                F.array().cast("array<string>")))
-            .withColumn("license", F.get("_hits", F.lit(0))["license"])
-            .withColumn("verdict", F.get("_hits", F.lit(0))["verdict"]).drop("_hits"))
+            .withColumn("license", F.get("__t_hits", F.lit(0))["license"])
+            .withColumn("verdict", F.get("__t_hits", F.lit(0))["verdict"]).drop("__t_hits"))

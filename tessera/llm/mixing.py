@@ -38,7 +38,7 @@ def source_ticks(docs: DataFrame, source: str, resolution: int,
     rows = rows.select(
         "_s", F.size("_s").alias("_k"),
         F.aggregate("_s", F.lit(0).cast("long"), lambda a, x: a + x["_n"]).alias("_all"))
-    rows = rows.select("_k", "_all", F.explode("_s").alias("_r")).select("_k", "_all", "_r._source", "_r._n")
+    rows = rows.select("_k", "_all", F.explode("_s").alias("__t_r")).select("_k", "_all", "__t_r._source", "__t_r._n")
     if weights is None:
         w = (F.lit(smoothing - 1).cast(big) * F.col("_k") * F.col("_n") + F.col("_all")).cast(big)
     else:
@@ -64,7 +64,7 @@ def source_ticks(docs: DataFrame, source: str, resolution: int,
                                        lambda o: o["i"]).alias("_plus"))
     return one.select(F.explode(F.transform("_s", lambda x, i: F.struct(
         x["source"].alias("source"), x["n"].alias("n"),
-        (x["base"] + F.array_contains("_plus", i).cast("long")).alias("ticks")))).alias("_r")).select("_r.*")
+        (x["base"] + F.array_contains("_plus", i).cast("long")).alias("ticks")))).alias("__t_r")).select("__t_r.*")
 
 
 def period(ticks: DataFrame, resolution: int) -> DataFrame:
@@ -120,19 +120,19 @@ def mix(docs: DataFrame, source: str = "source", key: str = "doc_id",
     plan = plan.withColumn("_end", F.floor(last / F.col("ticks")) * m
                            + F.get("slots", (last % F.col("ticks")).cast("int")))
     plan = plan.withColumn("_stop", plan.select(F.max("_end")).scalar()).select(
-        F.col("source").alias("_psource"), F.col("n").alias("_pn"), F.col("ticks").alias("_pticks"),
-        F.col("slots").alias("_pslots"),
+        F.col("source").alias("__t_psource"), F.col("n").alias("__t_pn"), F.col("ticks").alias("__t_pticks"),
+        F.col("slots").alias("__t_pslots"),
         ((F.floor(F.col("_stop") / m) * F.col("ticks")
-          + F.size(F.filter("slots", lambda s: s <= F.col("_stop") % m))) * block_rows).alias("_prows"))
-    numbered = number_in_groups(docs, [source], key, "_r")
+          + F.size(F.filter("slots", lambda s: s <= F.col("_stop") % m))) * block_rows).alias("__t_prows"))
+    numbered = number_in_groups(docs, [source], key, "__t_r")
     # at most ``resolution`` sources, checked above, and ``resolution`` slots in all
-    rows = numbered.join(F.broadcast(plan), F.col(source).eqNullSafe(F.col("_psource")))
+    rows = numbered.join(F.broadcast(plan), F.col(source).eqNullSafe(F.col("__t_psource")))
     rows = rows.withColumn("epoch", F.explode(F.sequence(
-        F.lit(0).cast("long"), F.floor((F.col("_prows") - 1 - F.col("_r")) / F.col("_pn")))))
-    p = F.col("epoch") * F.col("_pn") + F.col("_r")
+        F.lit(0).cast("long"), F.floor((F.col("__t_prows") - 1 - F.col("__t_r")) / F.col("__t_pn")))))
+    p = F.col("epoch") * F.col("__t_pn") + F.col("__t_r")
     rows = rows.withColumn("block", F.floor(p / block_rows)).withColumn("place", (p % block_rows).cast("int"))
-    rows = rows.withColumn("slot", F.floor(F.col("block") / F.col("_pticks")) * m
-                           + F.get("_pslots", (F.col("block") % F.col("_pticks")).cast("int")))
+    rows = rows.withColumn("slot", F.floor(F.col("block") / F.col("__t_pticks")) * m
+                           + F.get("__t_pslots", (F.col("block") % F.col("__t_pticks")).cast("int")))
     return rows.select(*docs.columns, *ADDED)
 
 

@@ -62,13 +62,13 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     line_counts = let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n"),
                                                 F.size(F.array_distinct(x)).cast("long").alias("d")))
     docs = without(docs, ADDED)
-    docs = docs.select("*", counts.alias("_w"), line_counts.alias("_l"),
+    docs = docs.select("*", counts.alias("__t_w"), line_counts.alias("__t_l"),
                        F.char_length(F.translate(t, " \t\n\x0b\x0c\r", "")).cast("long").alias("word_chars"),
                        (F.char_length(t) - F.char_length(F.translate(t, "#*$%&|<>", ""))).cast("long").alias("n_symbols"))
-    return (docs.withColumn("n_words", F.col("_w.n")).withColumn("n_repeat_words", F.col("_w.r"))
-            .withColumn("n_lines", F.col("_l.n")).withColumn("n_dup_lines", F.col("_l.n") - F.col("_l.d"))
+    return (docs.withColumn("n_words", F.col("__t_w.n")).withColumn("n_repeat_words", F.col("__t_w.r"))
+            .withColumn("n_lines", F.col("__t_l.n")).withColumn("n_dup_lines", F.col("__t_l.n") - F.col("__t_l.d"))
             .withColumn("base_failed", F.expr("n_words < 50 OR 100 * n_repeat_words > 50 * n_words"))
-            .drop("_w", "_l"))
+            .drop("__t_w", "__t_l"))
 
 
 def host_rates(measured: DataFrame, host: str) -> DataFrame:
@@ -78,7 +78,7 @@ def host_rates(measured: DataFrame, host: str) -> DataFrame:
     beta(m*s, (1-m)*s), s = m(1-m)/v - 1; where v is 0 or s not positive the
     prior weighs as much as one average host."""
     fails = [F.sum(F.expr(rule).cast("long")).alias(f"f_{r}") for r, rule in RULES.items()]
-    hosts = measured.groupBy(F.col(host).alias("_host")).agg(F.count(F.lit(1)).alias("n"), *fails)
+    hosts = measured.groupBy(F.col(host).alias("__t_host")).agg(F.count(F.lit(1)).alias("n"), *fails)
     moments = hosts.select(F.struct(
         F.avg("n").alias("n"),
         *[F.avg(F.col(f"f_{r}") / F.col("n")).alias(f"m_{r}") for r in RULES],
@@ -108,13 +108,13 @@ def verdicts(measured: DataFrame, host: str = "source") -> DataFrame:
     table is written too, so that Spark knows its size when it picks the join."""
     rows = stored(measured, "quality")
     hosts = stored(host_rates(rows, host).select(
-        "_host", *[(F.col(f"rate_{r}") >= HOST_LIMIT).alias(f"_strict_{r}") for r in RULES]), "hosts")
-    rows = rows.join(hosts, F.col(host).eqNullSafe(F.col("_host")), "left")
+        "__t_host", *[(F.col(f"rate_{r}") >= HOST_LIMIT).alias(f"__t_strict_{r}") for r in RULES]), "hosts")
+    rows = rows.join(hosts, F.col(host).eqNullSafe(F.col("__t_host")), "left")
     failed = {r: F.expr(rule) for r, rule in RULES.items()}
     n_failed, rejects = F.lit(0), F.lit(False)
     for r, f in failed.items():
         n_failed = n_failed + f.cast("int")
-        rejects = rejects | (f & F.col(f"_strict_{r}"))
+        rejects = rejects | (f & F.col(f"__t_strict_{r}"))
     rows = rows.withColumn("n_failed", n_failed).withColumn("host_rejects", rejects)
     rows = rows.withColumn("kept", ~F.col("base_failed") & ~F.col("host_rejects") & (F.col("n_failed") < 2))
-    return rows.drop("_host", *[f"_strict_{r}" for r in RULES])
+    return rows.drop("__t_host", *[f"__t_strict_{r}" for r in RULES])

@@ -35,8 +35,8 @@ CASES = [MIT, MIT.replace("The above", "x. The above"), "Licensed under the Apac
 
 
 def test_against_sentence_by_sentence(spark):
-    rows = [(i, t, "x") for i, t in enumerate(CASES)] + [(0, CASES[0], "x")]
-    df = spark.createDataFrame(rows, "doc_id long, text string, license string")
+    rows = [(i, t, "x", "y") for i, t in enumerate(CASES)] + [(0, CASES[0], "x", "y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, license string, _hits string")
     got = licenses.scan_licenses(df).collect()
     assert len(got) == len(rows)
     for r in got:

@@ -68,6 +68,15 @@ def test_odd_tables(spark):
         mixing.mix(made(spark, {"a": 1, "b": 1, "c": 1})[0], resolution=2).collect()
 
 
+def test_clashing_columns(spark):
+    df, rows = made(spark, {"a": 5, "b": 3})
+    names = ["_r", "_at", "_md5", "_n", "n", "ticks", "slots", "epoch", "_source", "bucket", "group"]
+    wide = df.selectExpr("*", *[f"'x' AS {n}" for n in names])
+    got = mixing.mix(wide, block_rows=1).collect()
+    assert {r.doc_id for r in got} == {r[0] for r in rows} and all(r["_at"] == r["n"] == "x" and r.epoch != "x" for r in got)
+    assert mixing.mixed_order(wide).columns == [c for c in wide.columns if c not in mixing.ADDED]
+
+
 def test_mixed_order(spark):
     df, rows = made(spark, {"a": 40, "b": 40})
     out = mixing.mixed_order(df.drop("slot"), partitions=3, block_rows=2)

@@ -60,7 +60,7 @@ def test_host_verdicts(spark):
         for i in range(n):
             rows.append((len(rows), clean(rng) + (" # * $ %" * 5 if i < bad else ""), host))
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    rates = {r["_host"]: r.rate_symbols for r in quality.host_rates(quality.measure(df), "source").collect()}
+    rates = {r["__t_host"]: r.rate_symbols for r in quality.host_rates(quality.measure(df), "source").collect()}
     want = shrunk({"good": (1, 60), "bad": (40, 60), None: (0, 40), "tiny": (1, 1)})
     assert rates.keys() == want.keys() and all(abs(rates[h] - want[h]) < 1e-9 for h in want)
     assert want["tiny"] < 1  # shrunk
@@ -70,6 +70,14 @@ def test_host_verdicts(spark):
         assert r.kept == (not r.host_rejects)  # clean documents stay, whatever their host
 
 
+def test_clashing_columns(spark):
+    names = ["_w", "_l", "_host", "_strict_symbols", "n", "kept", "N_LINES", "h", "i"]
+    df = spark.createDataFrame([(1, "some text", "s")], "doc_id long, text string, source string").selectExpr(
+        "*", *[f"'x' AS {n}" for n in names])
+    r, = quality.judge(df).collect()
+    assert r["_w"] == r["_host"] == r["n"] == "x" and r.kept is False and r.n_words == 2 and r.n_lines == 1
+
+
 def test_no_rows_and_one_host(spark):
     df = spark.createDataFrame([(1, None, None), (1, None, None)], "doc_id long, text string, source string")
     assert [(r.n_words, r.kept) for r in quality.judge(df).collect()] == [(0, False)] * 2
