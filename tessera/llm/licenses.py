@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from .common import let, without
 
-#: normalised sentence -> identifier (fixed values: wording of public licences)
+#: normalised sentence -> identifier (fixed values: wording of public licences).  Where the wording has a break
+#: inside ('Identifier: MIT', 'software; you can', 'v. 2.0'), the parts between the breaks are sentences too.
 SENTENCES = {
     "licensed under the apache license version 2 0": "apache2_notice",
     "licensed under the apache license version 2 0 the license": "apache2_notice",
@@ -56,22 +57,43 @@ SENTENCES = {
     "this work is licensed under a creative commons attribution sharealike 4 0 international license": "ccbysa4_notice",
     "this work is licensed under a creative commons attribution noncommercial 4 0 international license": "ccbync4_notice",
     "all rights reserved": "reserved",
+    "spdx license identifier": "spdx_tag",
+    "apache 2 0": "name_apache2",
+    "mit": "name_mit",
+    "gpl 3 0 only": "name_gpl3",
+    "gpl 3 0 or later": "name_gpl3",
+    "gpl 2 0 only": "name_gpl2",
+    "bsd 3 clause": "name_bsd3",
+    "bsd 2 clause": "name_bsd2",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version": "gpl3_later",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version": "gpl2_later",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation": "gpl_terms",
+    "either version 3 of the license or at your option any later version": "version3_later",
+    "either version 2 of the license or at your option any later version": "version2_later",
+    "this program is distributed in the hope that it will be useful but without any warranty": "gpl_warranty",
+    "this source code form is subject to the terms of the mozilla public license v": "mpl2_notice",
 }
-#: (rule, licence, verdict, identifiers that occur in this order), first match first
+#: (rule, licence, verdict, identifiers that occur in this order), first match first; a rule with two wordings has two lines
 RULES = [
     ("apache2_header", "Apache-2.0", "permissive", ["apache2_notice", "apache2_use", "apache2_warranty"]),
     ("mit_text", "MIT", "permissive", ["mit_grant", "mit_condition", "mit_warranty"]),
     ("bsd3_text", "BSD-3-Clause", "permissive", ["bsd_grant", "bsd_source", "bsd_binary", "bsd_names"]),
     ("bsd2_text", "BSD-2-Clause", "permissive", ["bsd_grant", "bsd_source", "bsd_binary"]),
     ("gpl3_header", "GPL-3.0-or-later", "copyleft", ["gpl3_later", "gpl_warranty"]),
+    ("gpl3_header", "GPL-3.0-or-later", "copyleft", ["gpl_terms", "version3_later", "gpl_warranty"]),
     ("gpl2_header", "GPL-2.0-or-later", "copyleft", ["gpl2_later", "gpl_warranty"]),
+    ("gpl2_header", "GPL-2.0-or-later", "copyleft", ["gpl_terms", "version2_later", "gpl_warranty"]),
     ("ccbync4", "CC-BY-NC-4.0", "restricted", ["ccbync4_notice"]),
     ("gpl3_later", "GPL-3.0-or-later", "copyleft", ["gpl3_later"]),
+    ("gpl3_later", "GPL-3.0-or-later", "copyleft", ["gpl_terms", "version3_later"]),
     ("gpl3", "GPL-3.0", "copyleft", ["gpl3_notice"]),
     ("gpl3_spdx", "GPL-3.0", "copyleft", ["spdx_gpl3"]),
+    ("gpl3_spdx", "GPL-3.0", "copyleft", ["spdx_tag", "name_gpl3"]),
     ("gpl2_later", "GPL-2.0-or-later", "copyleft", ["gpl2_later"]),
+    ("gpl2_later", "GPL-2.0-or-later", "copyleft", ["gpl_terms", "version2_later"]),
     ("gpl2", "GPL-2.0", "copyleft", ["gpl2_notice"]),
     ("gpl2_spdx", "GPL-2.0", "copyleft", ["spdx_gpl2"]),
+    ("gpl2_spdx", "GPL-2.0", "copyleft", ["spdx_tag", "name_gpl2"]),
     ("ccbysa4", "CC-BY-SA-4.0", "copyleft", ["ccbysa4_notice"]),
     ("mpl2", "MPL-2.0", "copyleft", ["mpl2_notice"]),
     ("isc", "ISC", "permissive", ["isc_grant"]),
@@ -79,17 +101,22 @@ RULES = [
     ("apache2_copy", "Apache-2.0", "permissive", ["apache2_notice", "apache2_copy"]),
     ("apache2", "Apache-2.0", "permissive", ["apache2_notice"]),
     ("apache2_spdx", "Apache-2.0", "permissive", ["spdx_apache2"]),
+    ("apache2_spdx", "Apache-2.0", "permissive", ["spdx_tag", "name_apache2"]),
     ("mit_titled", "MIT", "permissive", ["mit_title", "mit_grant"]),
     ("mit", "MIT", "permissive", ["mit_notice"]),
     ("mit_spdx", "MIT", "permissive", ["spdx_mit"]),
+    ("mit_spdx", "MIT", "permissive", ["spdx_tag", "name_mit"]),
     ("bsd3_spdx", "BSD-3-Clause", "permissive", ["spdx_bsd3"]),
+    ("bsd3_spdx", "BSD-3-Clause", "permissive", ["spdx_tag", "name_bsd3"]),
     ("bsd2_spdx", "BSD-2-Clause", "permissive", ["spdx_bsd2"]),
+    ("bsd2_spdx", "BSD-2-Clause", "permissive", ["spdx_tag", "name_bsd2"]),
     ("unlicense", "Unlicense", "permissive", ["unlicense_notice"]),
     ("reserved", "proprietary", "restricted", ["reserved"]),
 ]
 ADDED = ["sentence_ids", "rules", "licenses", "license", "verdict"]
 #: every known sentence holds one of these
-HINT = "(?i)licen[sc]e|permission|redistribut|free software|copyright|public domain|warrant|rights reserved|gnu general"
+HINT = "(?i)licen[sc]e|permission|redistribut|free software|copyright|public domain|warrant|rights reserved|gnu general" \
+    r"|^[^a-zA-Z0-9]*(mit|apache.2.0|gpl.[23].0.(only|or.later)|bsd.[23].clause)[^a-zA-Z0-9]*$"
 
 
 def sentence_ids(text: Column, sentences: dict[str, str] = SENTENCES, hint: str = HINT) -> Column:

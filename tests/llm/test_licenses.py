@@ -50,3 +50,48 @@ def test_every_known_sentence_passes_the_prefilter():
     assert all(re.search(licenses.HINT, s) for s in licenses.SENTENCES)
     used = {i for r in licenses.RULES for i in r[3]}
     assert used <= set(licenses.SENTENCES.values())
+
+
+APACHE = ("Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the "
+          "License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable "
+          "law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT "
+          "WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.")
+BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+       "conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and "
+       "the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of "
+       "conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.")
+BSD3 = BSD + (" 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+              "products derived from this software without specific prior written permission.")
+GPL = ("This program is free software%s you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+       "published by the Free Software Foundation%s either version %d of the License, or (at your option) any later version.")
+NO_WARRANTY = (" This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied "
+               "warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU General Public License for more details.")
+CC = "This work is licensed under a Creative Commons Attribution%s 4.0 International License."
+ISC = ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+       "provided that the above copyright notice and this permission notice appear in all copies.")
+#: the standard text of every rule
+STANDARD = {
+    "apache2_header": APACHE.replace("LICENSE-2.0 ", "LICENSE-2.0\n\n"), "mit_text": MIT, "bsd3_text": BSD3, "bsd2_text": BSD,
+    "gpl3_header": GPL % (":", ",", 3) + NO_WARRANTY, "gpl2_header": GPL % (";", ";", 2) + NO_WARRANTY,
+    "gpl3_later": GPL % (":", ",", 3), "gpl2_later": GPL % (";", ";", 2), "ccbync4": CC % "-NonCommercial",
+    "gpl3": "Licensed under the GNU General Public License, version 3.", "gpl2": "Licensed under the GNU General Public License, version 2.",
+    "ccbysa4": CC % "-ShareAlike", "ccby4": CC % "", "isc": ISC,
+    "mpl2": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+            "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "apache2_copy": "Licensed under the Apache License, Version 2.0 (the \"License\"); You may obtain a copy of the License at "
+                    "http://www.apache.org/licenses/LICENSE-2.0", "apache2": "Licensed under the Apache License, Version 2.0.",
+    "mit_titled": MIT.split(" The above")[0], "mit": "This project is licensed under the MIT License.",
+    "unlicense": "This is free and unencumbered software released into the public domain.", "reserved": "All rights reserved.",
+    **{f"{r}_spdx": f"// SPDX-License-Identifier: {n}\nint main();" for r, n in (
+        ("apache2", "Apache-2.0"), ("mit", "MIT"), ("gpl3", "GPL-3.0-only"), ("gpl2", "GPL-2.0-only"), ("bsd3", "BSD-3-Clause"),
+        ("bsd2", "BSD-2-Clause"))},
+}
+
+
+def test_standard_text_of_every_rule(spark):
+    assert {r[0] for r in licenses.RULES} == set(STANDARD)
+    df = spark.createDataFrame([*STANDARD.items(), ("gpl3_spdx", "SPDX-License-Identifier: GPL-3.0-or-later")], "rule string, text string")
+    for r in licenses.scan_licenses(df).collect():
+        assert r.rule in r.rules and list(r.rules) == slow(r.text)[1], (r.rule, r.rules)
+    names = spark.createDataFrame([("We list: MIT\nBSD-3-Clause\nmit",), ("Mit dem Zug. mit",)], "text string")
+    assert [r.license for r in licenses.scan_licenses(names).collect()] == [None, None]
