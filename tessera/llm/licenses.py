@@ -1,8 +1,8 @@
 """Licence recognition by sentences and ordered rules.
 
 Texts are cut into sentences, each is normalised (lower case, letters and
-digits only) and looked up among known licence sentences; the identifiers
-found, in the order of the text, are matched against licence rules, the more
+digits only) and looked up among known licence sentences, also where it is
+wrapped over lines, with comment marks before them; the identifiers found, in the order of the text, are matched against licence rules, the more
 specific first.  Only DataFrame functions are used.
 """
 from __future__ import annotations
@@ -116,19 +116,34 @@ RULES = [
 ADDED = ["sentence_ids", "rules", "licenses", "license", "verdict"]
 #: every known sentence holds one of these
 HINT = "(?i)licen[sc]e|permission|redistribut|free software|copyright|public domain|warrant|rights reserved|gnu general" \
-    r"|^[^a-zA-Z0-9]*(mit|apache.2.0|gpl.[23].0.(only|or.later)|bsd.[23].clause)[^a-zA-Z0-9]*$"
+    r"|^[^a-zA-Z0-9]*(apache.2.0|gpl.[23].0.(only|or.later)|bsd.[23].clause)[^a-zA-Z0-9]*$" \
+    r"|(?-i:^[\x20\t\r*/#>-]*(MIT|mit)[\x20\t\r*/#>-]*$)"
 
 
 def sentence_ids(text: Column, sentences: dict[str, str] = SENTENCES, hint: str = HINT) -> Column:
     """Identifiers of the known sentences of a text, in order.  A sentence
-    ends at a line feed, or at . ! ? ; : before a space, tab or carriage return."""
+    ends at . ! ? ; : before white space, at a line without letters and
+    digits, or at any line feed; it may also go on over single line feeds
+    and the comment marks around them.  Of the known sentences that begin at
+    one place the longest counts."""
+    low = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    low = F.regexp_replace(F.concat(F.lit("\n"), low), "\n[^a-z0-9\n]+", "\n")  # comment marks
+    # letters and digits, ' ' for what is between, '|' where a sentence ends and '~' for a line feed
+    line = F.regexp_replace(F.regexp_replace(low, "[.!?;:](?=[ \t\r\n])", "\n\n"), "[^a-z0-9\n]+", " ")
+    line = F.regexp_replace(F.regexp_replace(F.trim(line), "[ \n]*\n ?\n[ \n]*", "|"), " ?\n ?", "~")
+    line = F.concat(F.lit("|"), line, F.lit("|"))
+
+    def wording(named: bool) -> str:
+        return "|".join(s.replace(" ", "[ ~]") for s in sorted(sentences, key=len, reverse=True)
+                        if sentences[s].startswith("name_") == named)
+
+    # the short name of a licence ('mit', a German word too) says something right after the tag only
+    found = F.regexp_extract_all(line, F.lit(
+        f"(?:(?<=[|~]spdx license identifier)[|~](?:{wording(True)})|[|~](?:{wording(False)}))(?=[|~])"), F.lit(0))
     known = F.create_map(*[F.lit(x) for pair in sentences.items() for x in pair])
-    parts = F.split(F.regexp_replace(text, "[.!?;:][ \t\r]+", "\n"), "\n")
-    parts = F.filter(parts, lambda s: s.rlike(hint))
-    found = F.transform(parts, lambda s: F.try_element_at(
-        known, F.trim(F.regexp_replace(F.translate(s, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"),
-                                       "[^a-z0-9]+", " "))))
-    return F.when(text.rlike(hint), F.filter(found, lambda x: x.isNotNull())).otherwise(F.array().cast("array<string>"))
+    # the words of a hint may stand on two lines
+    return F.when(text.rlike(hint.replace(" ", "[^a-zA-Z0-9]+")), F.transform(
+        found, lambda s: F.try_element_at(known, F.translate(F.substr(s, F.lit(2)), "~", " ")))).otherwise(F.array().cast("array<string>"))
 
 
 def ordered_pattern(ids: list[str]) -> str:

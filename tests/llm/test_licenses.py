@@ -1,4 +1,5 @@
 import re
+import textwrap
 
 from tessera.llm import licenses
 
@@ -95,3 +96,29 @@ def test_standard_text_of_every_rule(spark):
         assert r.rule in r.rules and list(r.rules) == slow(r.text)[1], (r.rule, r.rules)
     names = spark.createDataFrame([("We list: MIT\nBSD-3-Clause\nmit",), ("Mit dem Zug. mit",)], "text string")
     assert [r.license for r in licenses.scan_licenses(names).collect()] == [None, None]
+
+
+def test_wrapped_and_commented_texts(spark):
+    rows = []
+    for rule, text in STANDARD.items():
+        for width in (30, 72):
+            for first, mark, last in (("", "", ""), ("", "# ", ""), ("/*\n", " * ", "\n */"), ("", "// ", ""), ("", ";; ", ""), ("", "> ", " \r")):
+                parts = [textwrap.fill(p, width, break_long_words=False, break_on_hyphens=False) for p in text.split("\n")]
+                body = "\n".join(parts).split("\n")
+                rows.append((rule, "Head line\n\n" + first + "\n".join((mark + x).rstrip(" ") for x in body) + last + "\nint x;"))
+    for r in licenses.scan_licenses(spark.createDataFrame(rows, "rule string, text string")).collect():
+        assert r.rule in r.rules, r.text
+
+
+def test_what_ends_a_sentence(spark):
+    cases = {"All rights\nreserved": ["reserved"], "# All\r\n# rights\r\n# reserved.\r\n# x": ["reserved"],
+             "All rights\n\nreserved": [], "All rights\n#\n# reserved": [], "All rights.\nreserved": [], "All rights\nreserved it": [],
+             "MIT License\nCopyright 2020 A\nAll rights reserved": ["mit_title", "reserved"],
+             "x\nThe\nMIT License\nMIT License": ["mit_title", "mit_title"], "all rights reserved|all rights reserved": [],
+             "x all rights reserved": [], "All rights reserved\nAll rights reserved!": ["reserved", "reserved"],
+             "All rights reserved. " * 3 + "\n \n" * 30_000: ["reserved"] * 3, "~All rights reserved~": ["reserved"],
+             "SPDX-License-Identifier: LGPL-2.1\nMIT\nAll rights reserved. Mit. mit\nMIT": ["spdx_tag", "reserved"],
+             "<!-- SPDX-License-Identifier: MIT -->": ["spdx_tag", "name_mit"], "/*\n * SPDX-License-Identifier: MIT\n */": ["spdx_tag", "name_mit"]}
+    df = spark.createDataFrame([(t,) for t in cases], "text string")
+    for r in licenses.scan_licenses(df).collect():
+        assert list(r.sentence_ids) == cases[r.text], r.text[:60]
