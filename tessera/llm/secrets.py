@@ -24,11 +24,18 @@ KINDS = (*BASE, "novel")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # as [0-9a-f]+, which ends with its run, kept from 24 characters on
-SENSITIVE = re.compile(r"password|passwd|pwd|secret|token|api_?key|access_?key|private_?key|credential|bearer|authorization",
+SENSITIVE = re.compile(r"password|passwd|pwd|secret|token|api_?key|access_?key|private[ _]?key|credential|bearer|authorization",
                        re.I | re.A)
 STRING = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+PEM = re.compile(r"-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----")
+#: lines of a PEM body whose end is missing
+PEM_LINES = re.compile(r"(?:[^A-Za-z0-9+/]{0,48}[A-Za-z0-9+/=]{16,})*")
+#: from the end of a sensitive word in a name to its value, in one run
+VALUE = re.compile(r"[^=]*=+(?=[A-Za-z0-9+/_=-]{16})")
+#: what may stand between the lines of a value
+LINE_END = re.compile(r"[^A-Za-z0-9]*\n[^A-Za-z0-9]*")
 #: a text without any of these has no span (RE2 pattern, a superset of the above)
-HINT = (r"(?i:password|passwd|pwd|secret|token|api_?key|access_?key|private_?key|credential|bearer|authorization)"
+HINT = (r"(?i:password|passwd|pwd|secret|token|api_?key|access_?key|private[ _]?key|credential|bearer|authorization)"
         r"|AKIA|[0-9a-f]{24}")
 #: identifiers that prime the dictionary
 IDENTIFIERS = (
@@ -64,26 +71,71 @@ def novelty(before: str, string: str, after: str) -> float:
     return (len(c.compress(around + own)) - len(c.compress(around))) / max(1, len(own))
 
 
+def _pem_bodies(text: str):
+    """Spans between the marks of PEM private keys; of a key without its end
+    mark, the lines that look like one."""
+    end = 0
+    for m in PEM.finditer(text):
+        if m.end() < end:
+            continue
+        b = m.end()
+        end = text.find("-----", b)  # an end mark or the next key
+        while end >= 0 and not text.startswith(("-----END", "-----BEGIN"), end):
+            end = text.find("-----", end + 1)
+        if end < 0 or text.startswith("-----BEGIN", end):
+            end = PEM_LINES.match(text, b).end()
+        if STRING.search(text, b, end):
+            yield b, end
+
+
 def find(text: str) -> list[tuple[str, int, int]]:
     """Spans (kind, start, end) of a text in code points, by start, then kind
-    in the order of KINDS.  Novel spans lie outside the others."""
+    in the order of KINDS.  Novel spans lie outside the others.
+
+    Measured are the bodies of PEM private keys; values behind '=' in a run
+    that has a sensitive word before it; runs within REACH after a sensitive
+    word, on its line or a later one; and the next line of a novel run."""
     found = [("assign", *m.span()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
     found += [("access", *m.span()) for m in ACCESS.finditer(text) if len(m[0]) >= 20]
     found += [("hex", *m.span()) for m in HEX.finditer(text)]
     taken = sorted((s, e) for _, s, e in found)
     sensitive = [m.end() for m in SENSITIVE.finditer(text)]
-    k = t = 0
+
+    def novel(s: int, e: int) -> bool:
+        return novelty(text[max(0, s - CONTEXT):s], text[s:e], text[e:e + CONTEXT]) >= NOVELTY
+    bodies = [(s, e) for s, e in _pem_bodies(text) if novelty("", text[s:e], "") >= NOVELTY] if sensitive else []
+    t = 0
+    for s, e in bodies:  # around the other spans
+        at = s
+        while t < len(taken) and taken[t][0] < e:
+            found += [("novel", at, taken[t][0])] if taken[t][0] > at else []
+            at = max(at, taken[t][1])
+            t += 1
+        found += [("novel", at, e)] if e > at else []
+    taken = sorted(taken + bodies)
+    k = t = w = 0
+    reach = last = -1  # the end of the taken spans so far, and of the last novel run
     for m in STRING.finditer(text) if sensitive else ():
         s, e = m.span()
         while k + 1 < len(sensitive) and sensitive[k + 1] <= s:
             k += 1
-        while t < len(taken) and taken[t][1] <= s:
+        while w < len(sensitive) and sensitive[w] <= s:
+            w += 1
+        near = sensitive[k] <= s <= sensitive[k] + REACH or 0 <= last <= s <= last + REACH and LINE_END.fullmatch(text, last, s)
+        word = sensitive[w] if w < len(sensitive) and sensitive[w] < e else -1  # the first that ends inside
+        value = VALUE.match(text, word, e) if word >= 0 else None
+        if value:
+            s = value.end()
+        elif not near or word >= 0 and ("=" in m[0] or text[e:e + 1] == ":") and not any(c.isdigit() for c in m[0]):
+            continue  # far from any, or a name
+        while t < len(taken) and taken[t][0] < e:
+            reach = max(reach, taken[t][1])
             t += 1
-        near = sensitive[k] <= s <= sensitive[k] + REACH and "\n" not in text[sensitive[k]:s]
-        if not near or any(a < e for a, _ in taken[t:t + 1]) or not any(c.isdigit() for c in m[0]):
+        if reach > s:
             continue
-        if novelty(text[max(0, s - CONTEXT):s], m[0], text[e:e + CONTEXT]) >= NOVELTY:
+        if novel(s, e):
             found.append(("novel", s, e))
+            last = e
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0])))
 
 
