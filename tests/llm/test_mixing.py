@@ -83,3 +83,32 @@ def test_mixed_order(spark):
     got = [r.source for r in out.collect()]
     assert out.columns == ["doc_id", "source", "text"] and sorted(got) == sorted(r[1] for r in rows)
     assert all(abs(got[:k].count("a") - k / 2) <= 2 for k in range(len(got)))
+
+
+def test_many_sources(spark):
+    n = {"s%04d" % i: 1 for i in range(1200)}
+    df, _ = made(spark, n)
+    ticks = {r.source: r.ticks for r in mixing.source_ticks(df, "source").collect()}  # more than 1,000 sources
+    assert set(ticks) == set(n) and set(ticks.values()) == {50}
+    sizes = {"s%03d" % i: 1 for i in range(120)} | {"big": 60}
+    df, rows = made(spark, sizes)
+    ticks = {r.source: r.ticks for r in mixing.source_ticks(df, "source").collect()}
+    m, all_rows, k = sum(ticks.values()), len(rows), len(sizes)
+    assert m == 50 * k
+    for s, c in sizes.items():  # three quarters of the share and a quarter of an equal share
+        target = m * (3 * c / all_rows + 1 / k) / 4
+        assert abs(ticks[s] - target) <= target / 50 + 2
+    got = mixing.mix(df, block_rows=1).collect()
+    assert {r.doc_id for r in got} == {r[0] for r in rows}
+    slots = sorted(r.slot for r in got)
+    assert slots == list(range(len(slots)))
+    given = dict.fromkeys(sizes, 0)
+    for t, r in enumerate(sorted(got, key=lambda r: r.slot)):
+        given[r.source] += 1
+        assert all(abs(given[s] - a * (t + 1) / m) < 1 for s, a in ticks.items())
+
+
+def test_few_sources_have_a_period_of_1000(spark):
+    df, _ = made(spark, {"s%d" % i: i + 1 for i in range(20)})
+    both = [sorted(map(tuple, mixing.source_ticks(df, "source", r).collect())) for r in (None, 1000)]
+    assert both[0] == both[1] and sum(x[2] for x in both[0]) == 1000
