@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard, licenses, lm, mixing, packing, quality, secrets, sharding, vectors
+from . import bpe, infill, jaccard, language, licenses, lm, mixing, packing, quality, resample, secrets, sharding, vectors
 from .common import table
 
 
@@ -189,8 +189,27 @@ def op10_pack_ids(spark, d):
     return packing.pack_documents(table(spark, d, "documents"))
 
 
+# 11 ----------------------------------------------------------------------
+def op11_fill_in_middle(spark, d):
+    made = infill.restore(infill.infill(table(spark, d, "documents").select("doc_id", "text")))
+    return made.select("doc_id", F.col("n_chars").alias("n"), "form", "prefix_chars", "middle_chars",
+                       F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
+
+
+# 12 ----------------------------------------------------------------------
+def op12_language_id(spark, d):
+    return language.identify(table(spark, d, "documents").select("doc_id", "text", "lang")).drop("lang")
+
+
+# 13 ----------------------------------------------------------------------
+def op13_resample_target(spark, d):
+    drawn = resample.resample(table(spark, d, "documents").select("doc_id", "text"), table(spark, d, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {f.__name__: f for f in (op1_bpe_roundtrip, op2_mix_sources, op3_embedding_neardup, op4_license_scan, op5_shard_jump, op6_secret_scan,
-                                   op7_quality_hosts, op8_ngram_jaccard, op9_context_mixing, op10_pack_ids)}
+                                   op7_quality_hosts, op8_ngram_jaccard, op9_context_mixing, op10_pack_ids, op11_fill_in_middle,
+                                   op12_language_id, op13_resample_target)}
 
 ORACLE_SQL = {
     "op2_mix_sources": _OP2_SQL,
