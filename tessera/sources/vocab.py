@@ -50,6 +50,7 @@ def scan_raw(spark: SparkSession, path: str, header: list[str]) -> DataFrame:
           .option("nullValue", "")
           .option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", _CORRUPT)
+          .option("columnPruning", "false")  # a row's width counts whatever columns are asked for
           .option("enforceSchema", "true")
           .schema(schema)
           .csv(path))

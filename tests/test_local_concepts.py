@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.plans import jobs
 from tessera.sinks import ViolationsFound, Warehouse
+from tessera.sources.local_files import read_delimited
 
 
 def _csv(workdir, name, lines):
@@ -141,3 +142,42 @@ def test_dry_run_still_coerces_every_cell(spark, workdir):
     wh = _wh(spark, workdir)
     with pytest.raises(PySparkException, match="not a valid bool"):
         jobs.load_local_concepts(wh, _csv(workdir, "bad.csv", ["id,is_active", "1,y"]), dry_run=True)
+
+
+def test_rows_wider_than_the_header_are_errors(spark, workdir):
+    for n, row in enumerate(["2,b,EXTRA,MORE", "2,b,x", '2,"b,c",x', '2,b,', '2,"a ""q"", b",c,']):
+        path = _csv(workdir, f"long{n}.csv", ["id,dataset", "1,a", row])
+        with pytest.raises(PySparkException, match="more fields than the header"):
+            read_delimited(spark, path).select("id").collect()
+    wh = _wh(spark, workdir)
+    with pytest.raises(PySparkException, match="more fields"):
+        jobs.load_local_concepts(wh, path)
+    assert wh.read("shared", "local_concept").count() == 0
+
+
+def test_short_rows_are_filled(spark, workdir):
+    path = _csv(workdir, "short.csv", ["a,b,c", "1", '2,"x,""y"""', "3,x,z", '"4, 5"'])
+    assert [tuple(r) for r in read_delimited(spark, path).collect()] == [
+        ("1", None, None), ("2", 'x,"y"', None), ("3", "x", "z"), ("4, 5", None, None)]
+    assert read_delimited(spark, _csv(workdir, "one.csv", ["a", "1", "2"])).collect() == [("1",), ("2",)]
+
+
+def test_unclosed_quotes_are_errors(spark, workdir):
+    path = _csv(workdir, "open.csv", ["id,dataset", '4,"unclosed', "5,c"])
+    with pytest.raises(ValueError, match="unclosed quote"):
+        read_delimited(spark, path)
+    # of several files one
+    folder = os.path.join(workdir, "many.csv")
+    os.makedirs(folder)
+    for n, line in enumerate(['1,"a"', '2,"b']):
+        _csv(folder, f"p{n}.csv", ["id,dataset", line])
+    with pytest.raises(ValueError, match="1 of the files.*p1.csv"):
+        read_delimited(spark, folder)
+
+
+def test_fields_over_several_lines(spark, workdir):
+    path = _csv(workdir, "lines.csv", ["id,dataset", '1,"a', 'b, ""q""', 'c"', "2,d"])
+    assert [tuple(r) for r in read_delimited(spark, path).collect()] == [("1", 'a\nb, "q"\nc'), ("2", "d")]
+    bad = _csv(workdir, "lines2.csv", ["id,dataset", '1,"a', 'b",c', "2,d"])
+    with pytest.raises(PySparkException, match="more fields"):
+        read_delimited(spark, bad).collect()
