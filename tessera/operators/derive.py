@@ -10,8 +10,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.variant import canonical_json
 from ..session import cut_lineage
-from . import navigate
+from . import intervals, navigate
 
 
 def _q(c: str) -> Column:
@@ -74,32 +75,32 @@ def synonyms(concept: DataFrame, concept_synonym: DataFrame) -> DataFrame:
 
 def map_source_codes(events: DataFrame, mapping: DataFrame, code_col: str, date_col: Column | str,
                      take=("target_concept_id",), vocabulary_col: str | None = None,
-                     valid_only: bool = True, hint_broadcast: bool = False) -> DataFrame:
+                     valid_only: bool = True, hint_broadcast: bool = False, bucket_days: int = 30) -> DataFrame:
     """Source code -> target concept valid on the event's date.
 
-    Equi-join on the code (and vocabulary when given) with the validity
-    window as a join condition, LEFT so unmapped events stay.  Spark
+    The join is on code, vocabulary when given, and date bucket (see
+    ``intervals.window_join``), so a code that holds most events is spread
+    over the buckets of its dates; LEFT so unmapped events stay.  Spark
     broadcasts the mapping when its statistics, or AQE's measurement, show
-    that it is small; else a hot code on the event side is split by AQE's
-    skew-join handling.  ``hint_broadcast`` is for a caller who knows the
+    that it is small.  ``hint_broadcast`` is for a caller who knows the
     mapping's size where Spark cannot.
     """
     m = mapping
     if valid_only and "invalid_reason" in mapping.columns:
         m = m.where(F.col("invalid_reason").isNull())
-    keep = ["source_code", "valid_start_date", "valid_end_date", *take]
-    if vocabulary_col:
-        keep.append("source_vocabulary_id")
-    m = m.select(*[F.col(c).alias(f"_m_{c}") for c in dict.fromkeys(keep)])
-    if hint_broadcast:
-        m = F.broadcast(m)
+    keys = {code_col: "source_code", **({vocabulary_col: "source_vocabulary_id"} if vocabulary_col else {})}
     d = F.col(date_col) if isinstance(date_col, str) else date_col
-    cond = (events[f"`{code_col}`"] == F.col("_m_source_code")) & \
-        d.between(F.col("_m_valid_start_date"), F.col("_m_valid_end_date"))
-    if vocabulary_col:
-        cond = cond & (events[f"`{vocabulary_col}`"] == F.col("_m_source_vocabulary_id"))
-    joined = events.join(m, cond, "left")
-    return joined.select(*[_q(c) for c in events.columns], *[F.col(f"_m_{t}").alias(t) for t in take])
+    return intervals.window_join(events, m, keys, d, "valid_start_date", "valid_end_date", take, bucket_days, hint_broadcast)
+
+
+def overlapping_mappings(mapping: DataFrame, valid_only: bool = True) -> DataFrame:
+    """Mappings whose validity begins before an earlier one of the same code
+    and vocabulary has ended; events in the overlap are mapped twice."""
+    m = mapping
+    if valid_only and "invalid_reason" in mapping.columns:
+        m = m.where(F.col("invalid_reason").isNull())
+    keys = [c for c in ("source_code", "source_vocabulary_id") if c in m.columns]
+    return intervals.overlapping(m, keys, "valid_start_date", "valid_end_date")
 
 
 # R5 ----------------------------------------------------------------------
@@ -214,23 +215,27 @@ def route(attributed: DataFrame, dest_col: str = "dest", names=("cohort", "ident
 
 # R11 ---------------------------------------------------------------------
 
-def checksum(payload: Column) -> Column:
-    """SHA-256 hex digest of a text (or JSON-serialised) payload."""
-    return F.sha2(payload, 256)
+def checksum(payload: Column, canonical: bool = False, is_text: bool = True) -> Column:
+    """SHA-256 hex digest of a text payload, or with ``canonical`` of the
+    canonical form of a JSON one (``functions.variant.canonical_json``)."""
+    return F.sha2(canonical_json(payload, is_text) if canonical else payload, 256)
 
 
-def dedupe_by_checksum(df: DataFrame, payload: str, id_col: str, checksum_col: str = "checksum") -> DataFrame:
-    """One row per distinct payload: the smallest id and the checksum.
+def dedupe_by_checksum(df: DataFrame, payload: str, id_col: str, checksum_col: str = "checksum",
+                       canonical: bool = False) -> DataFrame:
+    """One row per distinct payload: the smallest id and the checksum.  With
+    ``canonical`` JSON payloads (text or VARIANT) that differ only in key
+    order, blanks or the spelling of numbers are one.
 
     Grouping is on the 64-character digest computed map-side, so the shuffle
     moves digests, not payloads; a payload repeated a billion times becomes
     one partial row per task.
     """
-    return (df.select(_q(id_col), checksum(_q(payload)).alias(checksum_col))
-              .groupBy(checksum_col).agg(F.min(id_col).alias(id_col)))
+    digest = checksum(_q(payload), canonical, dict(df.dtypes)[payload] != "variant")
+    return df.select(_q(id_col), digest.alias(checksum_col)).groupBy(checksum_col).agg(F.min(id_col).alias(id_col))
 
 
-# R12 ---------------------------------------------------------------------
+# R12 (by field: corrections.py) ------------------------------------------
 
 def red_flags(df: DataFrame, value_col: str, low, high, flag_col: str = "is_red") -> DataFrame:
     """Split values outside [low, high]: the value is withheld (NULL) and the
@@ -241,10 +246,13 @@ def red_flags(df: DataFrame, value_col: str, low, high, flag_col: str = "is_red"
 
 
 def overlay_corrections(df: DataFrame, red: DataFrame, key: str, value_col: str,
-                        red_key: str | None = None) -> DataFrame:
-    """Apply a red-flag table's corrections: ``coalesce(new_value,
-    original_value)`` replaces the value where a correction row exists."""
+                        red_key: str | None = None, field_col: str = "field_name") -> DataFrame:
+    """Apply a red-flag table's corrections to one field: ``coalesce(new_value,
+    original_value)`` replaces the value where a correction row of that field
+    exists.  Where the red table has no ``field_col`` all its rows are of it."""
     red_key = red_key or key
+    if field_col in red.columns:
+        red = red.where(_q(field_col) == value_col)
     fixes = red.select(_q(red_key).alias(key),
                        F.coalesce("new_value", "original_value").alias("_fixed"))
     out = navigate.many_to_one(df, fixes, key, key, ["_fixed"])
@@ -282,3 +290,31 @@ def link_facts(fact_relationship: DataFrame, left: DataFrame, left_domain: int,
                                  (F.col("domain_concept_id_2") == right_domain))
     a = fr.join(left.withColumnRenamed(left_id, "fact_id_1"), "fact_id_1")
     return a.join(right.withColumnRenamed(right_id, "fact_id_2"), "fact_id_2")
+
+
+def event_directory(tables: dict) -> DataFrame:
+    """One stacked table of everything that a link may point at: (field
+    concept, event_id, event_table, *carried columns).  ``tables`` maps the
+    concept id that stands for a table's key to (table name, frame, key column,
+    {carried name: column}); carried names are the same for all of them."""
+    parts = [df.select(F.lit(concept).alias("field_concept_id"), _q(key).cast("long").alias("event_id"), F.lit(name).alias("event_table"),
+                       *[_q(c).alias(out) for out, c in sorted(carry.items())])
+             for concept, (name, df, key, carry) in tables.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def link_episode_events(links: DataFrame, directory: DataFrame, episode: DataFrame | None = None,
+                        event_id: str = "event_id", field: str = "episode_event_field_concept_id") -> DataFrame:
+    """``episode_event`` rows resolved.  The field concept of a link says
+    which table and key its event id means, so one join on (field concept,
+    event id) with the stacked directory serves links to any number of tables;
+    a join per table would read the links once for each.  Links whose event
+    does not exist stay, with NULL ``event_table`` and carried columns.
+
+    With ``episode`` (its ``episode_id`` unique) its other columns are added.
+    """
+    take = [c for c in directory.columns if c not in ("field_concept_id", "event_id")]
+    out = navigate.many_to_one(links, directory, [field, event_id], ["field_concept_id", "event_id"], take)
+    if episode is not None:
+        out = navigate.many_to_one(out, episode, "episode_id", "episode_id")
+    return out

@@ -1,0 +1,59 @@
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from tessera.operators import corrections, derive
+
+from .conftest import rows
+
+TABLE = "id int, value_as_number double, range_low double, note string"
+RED = "id int, field_name string, original_value string, original_error string, new_value string, new_error string, status int"
+
+
+def _table(spark):
+    return spark.createDataFrame([(1, 6.0, 2.0, "a"), (2, 50.0, None, "b"), (3, 9.0, 1.0, "c"), (4, 1.0, 1.0, None)], TABLE)
+
+
+def test_each_correction_goes_to_its_own_field(spark):
+    red = spark.createDataFrame([
+        (1, "range_low", "2", "below 3", "4", None, 1), (2, "value_as_number", "50", "above 40", None, None, 0),
+        (3, "value_as_number", "9", "above 8", "7.5", "checked", 1), (3, "range_low", "1", "below 2", "2.5", None, 2),
+        (9, "range_low", "1", "e", "2", None, 1)], RED)
+    got = corrections.overlay_fields(_table(spark), red, ["id"], ["value_as_number", "range_low"])
+    assert rows(got, "id", "value_as_number", "value_as_number_error", "value_as_number_status", "range_low", "range_low_error", "range_low_status") == [
+        (1, 6.0, None, None, 4.0, None, 1), (2, 50.0, "above 40", 0, None, None, None),
+        (3, 7.5, "checked", 1, 2.5, None, 2), (4, 1.0, None, None, 1.0, None, None)]
+    only = corrections.overlay_fields(_table(spark), red, ["id"], ["value_as_number", "range_low"], statuses=[2])
+    assert rows(only, "id", "value_as_number", "range_low") == [(1, 6.0, 2.0), (2, 50.0, None), (3, 9.0, 2.5), (4, 1.0, 1.0)]
+    # the one-field overlay passes over corrections of other fields
+    one = derive.overlay_corrections(_table(spark), red, "id", "value_as_number")
+    assert rows(one, "id", "value_as_number") == [(1, 6.0), (2, 50.0), (3, 7.5), (4, 1.0)]
+
+
+def test_latest_correction_counts(spark):
+    red = spark.createDataFrame([(1, "note", "a", None, "x", None, 1, 5), (1, "note", "a", None, "y", None, 0, 9)], RED + ", updated_on int")
+    table = _table(spark)
+    assert rows(corrections.overlay_fields(table, red, ["id"], ["note"]).where("id = 1"), "note") == [("x",)]
+    assert rows(corrections.overlay_fields(table, red, ["id"], ["note"], stamp="updated_on").where("id = 1"), "note") == [("y",)]
+
+
+def test_unknown_fields_and_bad_values_are_errors(spark):
+    with pytest.raises(PySparkException, match="unknown field: colour"):
+        corrections.overlay_fields(_table(spark), spark.createDataFrame([(1, "colour", "1", None, None, None, 0)], RED), ["id"], ["note"]).collect()
+    with pytest.raises(PySparkException):
+        corrections.overlay_fields(_table(spark), spark.createDataFrame([(1, "range_low", "1", None, "much", None, 0)], RED), ["id"],
+                                   ["range_low"]).collect()
+    red = spark.createDataFrame([("t", "note"), ("t", "colour"), ("u", "note"), (None, None)], "table string, field_name string")
+    assert rows(corrections.unknown_fields(red, {"t": ["note"]})) == [("t", "colour"), ("u", "note"), (None, None)]
+
+
+def test_red_rows_follow_json_rules(spark):
+    registry = spark.createDataFrame([("value_as_number", '{"min": 2, "max": 10}'), ("range_low", '{"max": 1.5}'), ("note", None), (None, "{}"),
+                                      ("other", "{}")], "source_field_name string, source_field_range string")
+    for reg in (registry, registry.withColumn("source_field_range", F.parse_json("source_field_range"))):
+        red = corrections.red_rows(_table(spark), ["id"], ["value_as_number", "range_low"], corrections.field_ranges(reg))
+        assert rows(red) == [(1, "range_low", "2.0", "above 1.5"), (2, "value_as_number", "50.0", "above 10.0"),
+                             (4, "value_as_number", "1.0", "below 2.0")]
+    for bad in ("[1, 2]", '{"min": "low"}'):
+        with pytest.raises(PySparkException):
+            corrections.field_ranges(spark.createDataFrame([("f", bad)], "source_field_name string, source_field_range string")).collect()

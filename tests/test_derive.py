@@ -162,3 +162,28 @@ def test_relationship_traversal_brute_force(spark):
             want[p].add(s)
     got = rows(Q.relationship_traversal(spark, sf))
     assert got == sorted((p, len(s)) for p, s in want.items())
+
+
+def test_canonical_checksums(spark):
+    same = ['{"a":1,"b":[1.50, "x\\"1.0"]}', '{ "b" : [15e-1,"x\\"1.0"], "a":1.0 }', '{"b":[1.5,"x\\u00221.0"],"a":1e0}']
+    other = ['{"a":1,"b":[1.5,"x\\"1"]}', '{"a":"1","b":[1.5,"x\\"1.0"]}', "not json", '"not json"', "null", '{"a":1,"a":2}', "\\\\1.0", "10.01", "10"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*same, *other, None, "-0.0", "0", "100.0", "1e2"])], "id int, payload string")
+    got = rows(derive.dedupe_by_checksum(df, "payload", "id", canonical=True), "id")
+    # text that is no JSON is the JSON string of itself; 0 and -0.0, 100.0 and 1e2 are one
+    want = [0, 3, 4, 5, 7, 8, 9, 10, 11, 12, 13, 15]
+    assert [i for i, in got] == want
+    variant = df.where("id < 3").withColumn("payload", F.parse_json("payload"))
+    assert rows(derive.dedupe_by_checksum(variant, "payload", "id", canonical=True), "id") == [(0,)]
+
+
+def test_episode_events_of_many_tables(spark):
+    visits = spark.createDataFrame([(1, "v1"), (2, "v2")], "visit_id int, label string")
+    meas = spark.createDataFrame([(1, "m1"), (100, "m2")], "measurement_id long, name string")
+    links = spark.createDataFrame([(7, 1, 10), (7, 1, 20), (8, 100, 20), (8, 55, 10), (8, 1, 30), (9, None, 10)],
+                                  "episode_id long, event_id long, episode_event_field_concept_id int")
+    directory = derive.event_directory({10: ("visit", visits, "visit_id", {"what": "label"}), 20: ("measurement", meas, "measurement_id", {"what": "name"})})
+    episode = spark.createDataFrame([(7, "cancer"), (8, "flu")], "episode_id long, kind string")
+    got = derive.link_episode_events(links, directory, episode)
+    assert rows(got, "episode_id", "event_id", "event_table", "what", "kind") == [
+        (7, 1, "measurement", "m1", "cancer"), (7, 1, "visit", "v1", "cancer"), (8, 1, None, None, "flu"), (8, 55, None, None, "flu"),
+        (8, 100, "measurement", "m2", "flu"), (9, None, None, None, None)]
