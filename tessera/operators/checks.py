@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..contracts import TableContract
+from ..session import cut_lineage
 
 VIOLATION_COLUMNS = ["table_name", "constraint_name", "columns", "key", "n"]
 
@@ -62,10 +63,12 @@ def duplicate_keys(df: DataFrame, cols, count_col: str = "n", skip_nulls: bool =
     """Key values that occur more than once, with their count.
 
     ``skip_nulls`` exempts rows with a NULL key part (unique-constraint
-    semantics).  Text keys are first counted by a 64-bit hash; the hashes that
-    repeat set bits in a bitmap of fixed size, and only rows whose bit is set
-    are shuffled and grouped by their full value, which is exact.  (With very
-    many repeated values the bitmap fills up and lets more rows pass.)
+    semantics).  Text keys are first counted by a 64-bit hash.  The hashes that
+    repeat are written and counted, and become a bitmap of BITS_PER_VALUE bits
+    for each; only rows whose bit is set are shuffled and grouped by their full
+    value, which is exact.  Of rows that do not repeat, one in BITS_PER_VALUE
+    passes, however many values do.  Without repeated hashes nothing else runs;
+    beyond MOST_REPEATED of them a semi join takes the place of the bitmap.
     """
     cols = list(cols)
     src = df.select(*[_q(c) for c in cols])
@@ -73,27 +76,34 @@ def duplicate_keys(df: DataFrame, cols, count_col: str = "n", skip_nulls: bool =
         src = src.where(reduce(lambda a, b: a & b, [_q(c).isNotNull() for c in cols]))
     if _is_wide(df, cols):
         h = F.xxhash64(*[_q(c) for c in cols])
-        repeated = src.groupBy(h.alias("_h")).count().where("count > 1").select("_h")
-        word, bit = _bit_place(h)
-        src = src.where(F.get(_bitmap(repeated, "_h"), word).bitwiseAND(bit) != 0)
+        repeated = cut_lineage(src.groupBy(h.alias("_h")).count().where("count > 1").select("_h"), "repeated")
+        n = repeated.count()
+        if n == 0:
+            src = src.where(F.lit(False))
+        elif n > MOST_REPEATED:
+            src = src.withColumn("_h", h).join(repeated, "_h", "left_semi").drop("_h")
+        else:
+            bits = max(1 << 16, BITS_PER_VALUE * n) // 64 * 64
+            word, bit = _bit_place(h, bits)
+            src = src.where(F.get(_bitmap(repeated, "_h", bits), word).bitwiseAND(bit) != 0)
     return (src.groupBy(*[_q(c) for c in cols]).agg(F.count(F.lit(1)).alias(count_col))
                .where(F.col(count_col) > 1))
 
 
-#: bits of the bitmap of repeated hashes
-BITMAP_BITS = 1 << 20
+#: bits of the bitmap per repeated hash, and hashes for which there is one (16 MB)
+BITS_PER_VALUE, MOST_REPEATED = 16, 1 << 23
 
 
-def _bit_place(h: Column) -> tuple[Column, Column]:
-    at = F.pmod(h, F.lit(BITMAP_BITS))
+def _bit_place(h: Column, bits: int) -> tuple[Column, Column]:
+    at = F.pmod(h, F.lit(bits))
     return F.floor(at / 64).cast("int"), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(at, F.lit(64)).cast("int"))
 
 
-def _bitmap(hashes: DataFrame, col: str) -> Column:
+def _bitmap(hashes: DataFrame, col: str, bits: int) -> Column:
     """Bitmap of the hashes as one array of 64-bit words (a scalar subquery)."""
-    word, bit = _bit_place(F.col(col))
+    word, bit = _bit_place(F.col(col), bits)
     words = hashes.groupBy(word.alias("_w")).agg(F.bit_or(bit).alias("_b"))
-    every = hashes.sparkSession.range(BITMAP_BITS // 64).join(words, F.col("id") == F.col("_w"), "left")
+    every = hashes.sparkSession.range(bits // 64).join(words, F.col("id") == F.col("_w"), "left")
     return every.agg(F.transform(F.array_sort(F.collect_list(F.struct("id", F.coalesce("_b", F.lit(0).cast("long")).alias("b")))),
                                  lambda x: x["b"])).scalar()
 

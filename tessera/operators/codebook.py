@@ -1,14 +1,17 @@
 """Codebook merge.
 
 Every book is one row, questions are exploded in parallel, and duplicates are
-found with one grouped count; the merge reports every duplicate when it fails.
+found with one grouped count; a merge that fails leaves a report of all of them.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.variant import json_items
+from ..session import scratch_path
 
 
 def questions(books: DataFrame) -> DataFrame:
@@ -40,15 +43,27 @@ def duplicate_names(items: DataFrame, name_col: str = "name", book_col: str = "c
                     .where("n > 1"))
 
 
-def merge(books: DataFrame) -> DataFrame:
+class RepeatedNames(ValueError):
+    """Question names that occur more than once: ``total`` of them, a row each
+    (name, n, books) at ``path``."""
+
+    def __init__(self, total: int, path: str):
+        self.total, self.path = total, path
+        super().__init__(f"question names used more than once: {total} (report: {path})")
+
+
+def merge(books: DataFrame, report_path: str | None = None) -> DataFrame:
     """A3: all questions of all books keyed by name, tagged with their book.
-    Evaluating the result fails, with a list of all of them, if names repeat
-    (names are registry data: as many as there are questions in the books)."""
+    Names that repeat are an error; they are written as a report
+    (``duplicate_names``) under ``report_path``, by default in the shared
+    folder, and only their number reaches the driver."""
     items = questions(books)
-    repeated = duplicate_names(items).agg(F.array_join(F.array_sort(F.collect_list(
-        F.concat("name", F.lit(" in "), "books"))), "; ").alias("all")).scalar()
-    name = F.when(repeated != "", F.raise_error(F.concat(F.lit("question names used more than once: "), repeated)))
-    return items.withColumn("name", name.otherwise(F.col("name")))
+    path = report_path or scratch_path(books.sparkSession, "repeated-names")
+    seen = Observation(f"repeated_{uuid.uuid4().hex[:8]}")
+    duplicate_names(items).observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    if seen.get["n"]:
+        raise RepeatedNames(seen.get["n"], path)
+    return items
 
 
 def unregistered(items: DataFrame, local_concept: DataFrame) -> DataFrame:

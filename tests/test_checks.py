@@ -114,3 +114,23 @@ def test_appended_rows_are_checked_against_published_keys(spark):
     got = rows(checks.validate_tables({"t": old.unionByName(new)}, {"t": t}, new_rows={"t": new}), "constraint_name", "key", "n")
     # the repeated 2 was published before and is not among the new keys
     assert got == [("primary_key", '{"id":1}', 2), ("unique", '{"code":"b"}', 2)]
+
+
+def test_repeated_texts_by_bitmap_and_by_join(spark, monkeypatch):
+    texts = [f"t{i % 700}" if i < 1400 else f"u{i}" for i in range(4000)] + [None] * 5
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    want = sorted((f"t{i}", 2) for i in range(700))
+    assert sorted(map(tuple, checks.duplicate_keys(df, ["t"], skip_nulls=True).collect())) == want
+    monkeypatch.setattr(checks, "MOST_REPEATED", 10)
+    assert sorted(map(tuple, checks.duplicate_keys(df, ["t"], skip_nulls=True).collect())) == want
+    assert checks.duplicate_keys(df.distinct(), ["t"]).collect() == []
+
+
+def test_bitmap_grows_with_the_repeated_values(spark):
+    """Of texts that do not repeat few reach the exact grouping, however many others do."""
+    h = spark.range(60_000).selectExpr("xxhash64(concat('r', id)) AS _h")
+    bits = checks.BITS_PER_VALUE * 60_000 // 64 * 64
+    other = spark.range(60_000).selectExpr("xxhash64(concat('o', id)) AS h")
+    word, bit = checks._bit_place(F.col("h"), bits)
+    passed = other.where(F.get(checks._bitmap(h, "_h", bits), word).bitwiseAND(bit) != 0).count()
+    assert passed < 60_000 / 12

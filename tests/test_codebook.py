@@ -30,16 +30,19 @@ def test_duplicates_across_and_within_books(spark, workdir):
     books = read_codebooks(spark, folder, ["A", "B"])
     dups = codebook.duplicate_names(codebook.questions(books)).collect()
     assert [(r.name, r.n, r.books) for r in dups] == [("q1", 3, "A,B")]
-    with pytest.raises(PySparkException, match="q1 in A,B"):
-        codebook.merge(books).collect()
+    with pytest.raises(codebook.RepeatedNames, match="more than once: 1 ") as e:
+        codebook.merge(books)
+    assert [tuple(r) for r in spark.read.parquet(e.value.path).collect()] == [("q1", 3, "A,B")]
 
 
 def test_merge_lists_every_duplicate(spark, workdir):
     names = [{"name": f"q{i}"} for i in range(70)]
     folder = _books(workdir, {"A": {"questions": names}, "B": {"questions": names}})
-    with pytest.raises(PySparkException) as e:
-        codebook.merge(read_codebooks(spark, folder, ["A", "B"])).collect()
-    assert all(f"q{i} in A,B" in str(e.value) for i in range(70))
+    path = os.path.join(workdir, "report")
+    with pytest.raises(codebook.RepeatedNames) as e:
+        codebook.merge(read_codebooks(spark, folder, ["A", "B"]), path)
+    assert e.value.total == 70 and e.value.path == path and path in str(e.value)
+    assert {tuple(r) for r in spark.read.parquet(path).collect()} == {(f"q{i}", 2, "A,B") for i in range(70)}
 
 
 def test_missing_file_and_malformed_json(spark, workdir):
