@@ -14,6 +14,7 @@ from ..functions.variant import json_field, json_items
 from ..operators import checks, codebook, columns, derive, navigate
 from ..session import scratch_path
 from ..sinks import Warehouse
+from ..sinks.warehouse import together
 from ..sources import fs
 from ..sources.codebook import read_codebooks
 from ..sources.local_files import from_typed, read_delimited
@@ -156,8 +157,8 @@ def _vocabulary_files(spark, d, folder):
             F.col("l_partkey").alias("drug_concept_id"), F.col("l_partkey").alias("ingredient_concept_id"),
             F.col("l_quantity").alias("amount_value"), F.col("l_linenumber").alias("box_size"), *dates, none),
     }
-    for name, df in frames.items():
-        write_tsv(df.select(*[F.col(c).cast("string").alias(c) for c in df.columns]), f"{folder}/{name}")
+    together(spark, {name: lambda name=name, df=df: write_tsv(
+        df.select(*[F.col(c).cast("string").alias(c) for c in df.columns]), f"{folder}/{name}") for name, df in frames.items()})
 
 
 def load_vocabulary_parts(spark, d):
@@ -216,13 +217,16 @@ def upsert_into_table(spark, d):
 
 # K5 K6 -------------------------------------------------------------------
 def custom_vocabularies(spark, d):
-    """Each region as a custom vocabulary, one of them removed again."""
+    """Each brand, type and size of part as a custom vocabulary, all in one
+    append; one of them removed again."""
     wh = Warehouse(spark, scratch_path(spark, "warehouse"))
     jobs.setup_layer(wh)
-    regions = table(spark, d, "region").orderBy("r_regionkey").collect()  # a registry: one vocabulary per region
-    for r in regions:
-        jobs.add_custom_vocabulary(wh, 2_000_000_000 + r.r_regionkey, f"V{r.r_regionkey}", r.r_name, r.r_name, None, "v1")
-    jobs.remove_custom_vocabulary(wh, 2_000_000_000 + regions[0].r_regionkey, f"V{regions[0].r_regionkey}")
+    kinds = table(spark, d, "part").groupBy("p_brand", "p_type", "p_size").agg(F.min("p_partkey").alias("first"))
+    name = F.concat_ws(" ", "p_brand", "p_type", F.col("p_size").cast("string"))
+    jobs.add_custom_vocabularies(wh, kinds.select(
+        (F.col("first") + 2_000_000_000).cast("int").alias("concept_id"), F.concat(F.lit("V"), F.col("first").cast("string")).alias("vocabulary_id"),
+        name.alias("concept_name"), name.alias("vocabulary_name"), F.lit(None).cast("string").alias("reference"), F.lit("v1").alias("version")))
+    jobs.remove_custom_vocabulary(wh, 2_000_000_000, "V0")
     return wh.read("shared", "vocabulary").join(
         wh.read("shared", "concept"), F.col("vocabulary_concept_id") == F.col("concept_id"), "full").select(
         "concept_id", "concept_name", "vocabulary_name", "vocabulary_version")
@@ -248,32 +252,42 @@ def delete_cascade_survivors(spark, d):
 
 # K7 K8 S8 S9 P6 P7 R1 A1 -------------------------------------------------
 def promoted_cohorts(spark, d):
-    """A cohort schema per market segment with its persons, promoted from
-    bronze through silver to gold, one cohort dropped from gold; the rows of
-    every table that each layer lists."""
+    """A cohort schema per market segment with its persons and their visits,
+    checked on the way from bronze through silver to gold, one cohort dropped
+    from gold; the rows of every table that each layer lists."""
     root = scratch_path(spark, "warehouse")
-    cust = table(spark, d, "customer")
+    cust, orders = table(spark, d, "customer"), table(spark, d, "orders")
     segments = [r[0] for r in cust.select("c_mktsegment").distinct().orderBy("c_mktsegment").collect()]  # one schema each
     layers = {name: Warehouse(spark, root, name) for name in ("bronze", "silver", "gold")}
     cohorts = [f"cohort_{s.lower()}" for s in segments]
     jobs.setup_layer(layers["bronze"], cohorts)
-    for segment, cohort in zip(segments, cohorts):
+    part = table(spark, d, "part").where("p_partkey = 0")  # the concept that persons and visits refer to
+    layers["bronze"].append("shared", {"concept": part.select(
+        F.col("p_partkey").cast("int").alias("concept_id"), F.col("p_name").alias("concept_name"), F.lit("Part").alias("domain_id"),
+        F.col("p_brand").alias("vocabulary_id"), F.col("p_type").alias("concept_class_id"), F.lit("0").alias("concept_code"),
+        F.lit("1970-01-01").cast("date").alias("valid_start_date"), F.lit("2099-12-31").cast("date").alias("valid_end_date"))}, check=False)
+
+    def load(segment, cohort):
         own = cust.where(F.col("c_mktsegment") == segment)
         person = own.select(F.col("c_custkey").cast("int").alias("person_id"), F.lit(0).alias("gender_concept_id"),
                             F.lit(1970).alias("year_of_birth"), F.lit(0).alias("race_concept_id"), F.lit(0).alias("ethnicity_concept_id"))
-        layers["bronze"].append(cohort, {"person": person}, check=False)
+        visits = orders.join(own, F.col("o_custkey") == F.col("c_custkey"), "left_semi").select(
+            F.col("o_orderkey").cast("int").alias("visit_occurrence_id"), F.col("o_custkey").cast("int").alias("person_id"),
+            F.lit(0).alias("visit_concept_id"), F.to_date("o_orderdate").alias("visit_start_date"),
+            F.to_date("o_orderdate").alias("visit_end_date"), F.lit(0).alias("visit_type_concept_id"))
+        layers["bronze"].append(cohort, {"person": person, "visit_occurrence": visits})
+    together(spark, {c: lambda s=s, c=c: load(s, c) for s, c in zip(segments, cohorts)})
     for src, dst in (("bronze", "silver"), ("silver", "gold")):
-        for cohort in layers[src].cohorts():
-            jobs.promote(layers[src], layers[dst], cohort, check=False)
+        jobs.promote(layers[src], layers[dst], "shared", check=False)
+        together(spark, {c: lambda c=c: jobs.promote(layers[src], layers[dst], c) for c in layers[src].cohorts()})
     layers["gold"].drop_schema(cohorts[0])
     parts = []
     for name, wh in layers.items():
         for cohort in wh.cohorts():
-            _, entries = wh.manifest(cohort)
-            for t in ("person", "red_measurement", "source_logs"):
-                rows = wh.read(cohort, t, entries).agg(F.count(F.lit(1)).alias("n")) if t in entries else None
-                if rows is not None:
-                    parts.append(rows.select(F.lit(name).alias("layer"), F.lit(cohort).alias("cohort"), F.lit(t).alias("tbl"), "n"))
+            for t in ("person", "visit_occurrence", "red_measurement", "source_logs"):
+                if t in wh.tables(cohort):
+                    parts.append(wh.read(cohort, t).agg(F.count(F.lit(1)).alias("n")).select(
+                        F.lit(name).alias("layer"), F.lit(cohort).alias("cohort"), F.lit(t).alias("tbl"), "n"))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
@@ -410,15 +424,17 @@ ORACLE_SQL = {
     "upsert_into_table": "SELECT (p_partkey + 1)::INT AS id, CASE WHEN p_size > 25 THEN upper(p_name) ELSE p_name END AS source_field_name, "
                          "CASE WHEN p_size % 2 = 1 THEN p_brand END AS dataset, TRUE AS is_active, "
                          "CASE WHEN p_size % 2 = 1 THEN '{}' END AS range, TRUE AS ordered FROM part WHERE p_size % 2 = 1 OR p_size > 25",
-    "custom_vocabularies": "SELECT (2000000000 + r_regionkey)::INT AS concept_id, r_name AS concept_name, r_name AS vocabulary_name, "
-                           "'v1' AS vocabulary_version FROM region WHERE r_regionkey > (SELECT min(r_regionkey) FROM region)",
+    "custom_vocabularies": "SELECT (2000000000 + min(p_partkey))::INT AS concept_id, p_brand || ' ' || p_type || ' ' || p_size AS concept_name, "
+                           "p_brand || ' ' || p_type || ' ' || p_size AS vocabulary_name, 'v1' AS vocabulary_version FROM part "
+                           "GROUP BY p_brand, p_type, p_size HAVING min(p_partkey) > 0",
     "delete_cascade_survivors": "SELECT event_id::INT AS measurement_id, event_type AS field_name FROM events "
                                 "WHERE event_type <> 'view' AND NOT coalesce(value > 50, FALSE)",
-    "promoted_cohorts": "WITH c AS (SELECT c_mktsegment AS s, count(*) AS n FROM customer GROUP BY 1) "
-                        "SELECT layer, 'cohort_' || lower(s) AS cohort, tbl, CASE WHEN tbl = 'person' THEN n ELSE 0 END AS n "
-                        "FROM c, (VALUES ('bronze', 'person'), ('bronze', 'red_measurement'), ('bronze', 'source_logs'), ('silver', 'person'), "
-                        "('silver', 'red_measurement'), ('gold', 'person')) v(layer, tbl) "
-                        "WHERE layer <> 'gold' OR s > (SELECT min(s) FROM c)",
+    "promoted_cohorts": "WITH c AS (SELECT c_mktsegment AS s, count(*) AS n FROM customer GROUP BY 1), "
+                        "o AS (SELECT c_mktsegment AS s, count(*) AS m FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1) "
+                        "SELECT layer, 'cohort_' || lower(s) AS cohort, tbl, CASE tbl WHEN 'person' THEN n WHEN 'visit_occurrence' THEN coalesce(m, 0) ELSE 0 END AS n "
+                        "FROM c LEFT JOIN o USING (s), (VALUES ('bronze', 'person'), ('bronze', 'visit_occurrence'), ('bronze', 'red_measurement'), "
+                        "('bronze', 'source_logs'), ('silver', 'person'), ('silver', 'visit_occurrence'), ('silver', 'red_measurement'), "
+                        "('gold', 'person'), ('gold', 'visit_occurrence')) v(layer, tbl) WHERE layer <> 'gold' OR s > (SELECT min(s) FROM c)",
     "validate_documents": "SELECT 'documents' AS table_name, 'foreign_key:labels.doc_id' AS constraint_name, 'doc_id' AS columns, "
                           "doc_id::VARCHAR AS key, count(*) AS n FROM documents WHERE doc_id IS NOT NULL AND doc_id NOT IN "
                           "(SELECT doc_id FROM labels WHERE doc_id IS NOT NULL) GROUP BY doc_id "

@@ -18,7 +18,7 @@ from ..operators import checks, codebook, derive, navigate, sequence
 from ..session import scratch_path
 from ..sinks.warehouse import upsert_frames
 from ..sources.vocab import read_vocab_file
-from . import load_queries
+from . import clinical_queries, load_queries
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -403,6 +403,7 @@ def row_counts(spark, d):
 
 QUERIES = {
     **load_queries.QUERIES,
+    **clinical_queries.QUERIES,
     "scan_tsv_nation": scan_tsv_nation,
     "null_tokens_orders": null_tokens_orders,
     "coerce_int_lineitem": coerce_int_lineitem,
@@ -441,6 +442,7 @@ QUERIES = {
 
 ORACLE_SQL = {
     **load_queries.ORACLE_SQL,
+    **clinical_queries.ORACLE_SQL,
     "scan_tsv_nation": "SELECT n_nationkey, n_name, n_regionkey FROM nation",
     "null_tokens_orders": "SELECT o_orderkey, CASE WHEN o_orderpriority IN ('5-LOW','4-NOT SPECIFIED') "
                           "THEN NULL ELSE o_orderpriority END AS priority FROM orders",

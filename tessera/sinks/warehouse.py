@@ -1,26 +1,23 @@
-"""Versioned Parquet tables per layer and schema.
-
-Layout under ``root``::
-
-    <layer>/<schema>/<table>/v-<uuid>/part-*.parquet     data, written by tasks
-    <layer>/<schema>/_manifest/<n>.json                  current data folders
-
-A table is the list of data folders named by the newest manifest.  Appends
-add a folder; replace, upsert and delete write a new full folder.  A change
-to any number of tables becomes visible with one small manifest file written
-under a temporary name and renamed into place, so a failed multi-table load
-publishes nothing.  Staged folders of a failed load are removed; its full
-violation report stays under ``<schema>/_violations``.
-
-Staged data are also the lineage cut: checks read the written Parquet, not
-the source pipeline again.
+"""Parquet tables per layer and schema.
+
+A table is the folder ``<root>/<layer>/<schema>/<table>``, written and read by
+Spark's own Parquet source; there is nothing else to it.  A load of one or
+more tables first writes all of them to the shared folder, at the same time,
+checks what was written together with what is there, and only then appends to
+or overwrites the tables from it.  A load that breaks a constraint leaves the
+tables untouched and its violation report under ``<schema>/_violations``.
+
+One job at a time writes a schema, as for any folder that Spark overwrites; a
+driver that dies between the writes of a load leaves some tables written, and
+the load is run again as a replace.
 """
 from __future__ import annotations
 
-import json
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +25,7 @@ from ..contracts import COHORT_PREFIX, TableContract, tables
 from ..operators.checks import fk_report, stacked_keys, validate_tables
 from ..operators.columns import conform, default_value
 from ..operators.navigate import cascade_survivors, following_rows
+from ..session import scratch_path
 from ..sources import fs
 
 
@@ -48,7 +46,7 @@ def schema_type_of(schema: str) -> str:
         return schema
     if schema.startswith(COHORT_PREFIX):
         return "cohort"
-    raise ValueError(f"Unsupported schema name: {schema}")
+    raise ValueError(f"{schema!r} is neither shared, orphan nor a cohort ({COHORT_PREFIX}...)")
 
 
 def cluster_key(target: TableContract) -> list[str]:
@@ -57,6 +55,15 @@ def cluster_key(target: TableContract) -> list[str]:
     return list(target.primary_key)
 
 
+def together(spark: SparkSession, jobs: dict) -> dict:
+    """Run independent Spark jobs at the same time; their results by name."""
+    if len(jobs) < 2:
+        return {name: job() for name, job in jobs.items()}
+    with ThreadPoolExecutor(min(16, len(jobs))) as pool:
+        running = {name: pool.submit(inheritable_thread_target(spark)(job)) for name, job in jobs.items()}
+        return {name: f.result() for name, f in running.items()}
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str, layer: str = "bronze"):
         self.spark, self.root, self.layer = spark, root.rstrip("/"), layer
@@ -65,90 +72,68 @@ class Warehouse:
     def schema_path(self, schema: str) -> str:
         return f"{self.root}/{self.layer}/{schema}"
 
+    def table_path(self, schema: str, table: str) -> str:
+        return f"{self.schema_path(schema)}/{table}"
+
     def contracts(self, schema: str) -> dict[str, TableContract]:
         """The layer's table set for this schema (raises for unsupported)."""
         return tables(schema_type_of(schema), self.layer)
 
-    def _manifest_dir(self, schema: str) -> str:
-        return f"{self.schema_path(schema)}/_manifest"
-
-    def manifest(self, schema: str) -> tuple[int, dict[str, list[str]]]:
-        names = [n for n in fs.list_names(self.spark, self._manifest_dir(schema))
-                 if n.endswith(".json") and n[:-5].isdigit()]
-        if not names:
-            return 0, {}
-        latest = max(names, key=lambda n: int(n[:-5]))
-        doc = json.loads(fs.read_text(self.spark, f"{self._manifest_dir(schema)}/{latest}"))
-        return int(latest[:-5]), doc["tables"]
-
-    def _publish(self, schema: str, base: int, entries: dict[str, list[str]]) -> int:
-        n = base + 1
-        doc = json.dumps({"version": n, "layer": self.layer, "schema": schema, "tables": entries},
-                         sort_keys=True)
-        if not fs.write_text_once(self.spark, f"{self._manifest_dir(schema)}/{n:012d}.json", doc):
-            raise RuntimeError(f"{schema}: concurrent publish, manifest {n} exists; retry the load")
-        return n
+    def _require(self, schema: str) -> None:
+        if not fs.exists(self.spark, self.schema_path(schema)):
+            raise KeyError(f"{self.layer}.{schema} does not exist; create the schema first")
 
     # -- K7 / K8 / S8 ---------------------------------------------------
     def create_schema(self, schema: str) -> None:
-        """K7: register every table of the layer's contract (empty) if absent."""
-        base, entries = self.manifest(schema)
-        missing = {t: [] for t in self.contracts(schema) if t not in entries}
-        if missing or base == 0:
-            self._publish(schema, base, {**entries, **missing})
+        """K7: a folder for every table of the layer's contract, if absent."""
+        for table in self.contracts(schema):
+            fs.make_dir(self.spark, self.table_path(schema, table))
 
     def drop_schema(self, schema: str) -> None:
-        """K8: drop a schema with all its tables, and its catalog views."""
+        """K8: drop a schema with all its tables, and its catalog entries."""
         self.spark.sql(f"DROP DATABASE IF EXISTS `{self.database(schema)}` CASCADE")
         fs.delete(self.spark, self.schema_path(schema))
 
     def schemas(self, prefix: str = "") -> list[str]:
-        """Schemas of this layer that have a manifest, by prefix."""
-        return [s for s in fs.list_names(self.spark, f"{self.root}/{self.layer}")
-                if s.startswith(prefix) and fs.exists(self.spark, self._manifest_dir(s))]
+        """Schemas of this layer, by prefix."""
+        return [s for s in fs.list_names(self.spark, f"{self.root}/{self.layer}") if s.startswith(prefix)]
 
     def cohorts(self) -> list[str]:
         return self.schemas(COHORT_PREFIX)
 
+    def tables(self, schema: str) -> list[str]:
+        """The tables of the contract that the schema has."""
+        there = set(fs.list_names(self.spark, self.schema_path(schema)))
+        return [t for t in self.contracts(schema) if t in there]
+
+    def has_rows(self, schema: str, table: str) -> bool:
+        """Whether a table has data files (a listing, no job)."""
+        return any(not n.startswith(("_", ".")) for n in fs.list_names(self.spark, self.table_path(schema, table)))
+
     # -- reads ----------------------------------------------------------
-    def read(self, schema: str, table: str, entries: dict[str, list[str]] | None = None) -> DataFrame:
-        target = self.contracts(schema)[table]
-        if entries is None:
-            _, entries = self.manifest(schema)
-        if table not in entries:
+    def read(self, schema: str, table: str) -> DataFrame:
+        target, path = self.contracts(schema)[table], self.table_path(schema, table)
+        if not fs.exists(self.spark, path):
             raise KeyError(f"{self.layer}.{schema}.{table} does not exist; create the schema first")
-        paths = entries[table]
-        if not paths:
-            return self.spark.createDataFrame([], target.spark_schema)
-        return self.spark.read.schema(target.spark_schema).parquet(*paths)
+        return self.spark.read.schema(target.spark_schema).parquet(path)
 
     def frames(self, schema: str) -> dict[str, DataFrame]:
-        _, entries = self.manifest(schema)
-        return {t: self.read(schema, t, entries) for t in entries}
+        return {t: self.read(schema, t) for t in self.tables(schema)}
 
     # -- SQL access -----------------------------------------------------
     def database(self, schema: str) -> str:
         return f"{self.layer}_{schema}"
 
     def register(self, schema: str) -> str:
-        """Expose the current version of every table to SQL as
-        ``<layer>_<schema>.<table>`` views (e.g. ``bronze_cohort_101.person``).
-        Each view reads the published data folders; re-register after a
-        publish to move the views to the new version."""
+        """Make every table known to SQL as ``<layer>_<schema>.<table>`` (e.g.
+        ``bronze_cohort_101.person``): external tables on the folders.
+        Register again after a load, as Spark remembers a table's files."""
         db = self.database(schema)
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
-        _, entries = self.manifest(schema)
-        for table, paths in entries.items():
-            target = self.contracts(schema)[table]
-            cols = ", ".join(f"CAST(`{c.name}` AS {c.spark_type.simpleString()}) AS `{c.name}`"
-                             for c in target.columns)
-            if paths:
-                body = " UNION ALL ".join(f"SELECT {cols} FROM parquet.`{p}`" for p in paths)
-            else:
-                nulls = ", ".join(f"CAST(NULL AS {c.spark_type.simpleString()}) AS `{c.name}`"
-                                  for c in target.columns)
-                body = f"SELECT {nulls} WHERE false"
-            self.spark.sql(f"CREATE OR REPLACE VIEW `{db}`.`{table}` AS {body}")
+        for table in self.tables(schema):
+            self.spark.sql(f"DROP TABLE IF EXISTS `{db}`.`{table}`")
+            self.spark.sql(f"CREATE TABLE `{db}`.`{table}` ({self.contracts(schema)[table].ddl()}) USING PARQUET "
+                           f"LOCATION '{self.table_path(schema, table)}'")
         return db
 
     def registered_cohorts(self) -> list[str]:
@@ -156,25 +141,19 @@ class Warehouse:
         prefix = f"{self.layer}_{COHORT_PREFIX}"
         return sorted(d.name[len(self.layer) + 1:] for d in self.spark.catalog.listDatabases(f"{prefix}*"))
 
-    # -- staging --------------------------------------------------------
-    def _stage(self, schema: str, table: str, df: DataFrame) -> tuple[str, int]:
-        """Write one new data folder; returns it with the number of rows written.
-
-        Rows are sorted inside each task by the table's cluster key
-        (``person_id`` for clinical tables, else the primary key), so Parquet
-        row-group min/max statistics prune lookups and joins by that key;
-        there is no extra shuffle.  The row count is an observed metric of
-        the write itself (A1), not a second pass."""
-        path = f"{self.schema_path(schema)}/{table}/v-{uuid.uuid4().hex}"
+    # -- loads ----------------------------------------------------------
+    def _write(self, schema: str, table: str, df: DataFrame, path: str, mode: str = "errorifexists") -> int:
+        """Write rows with Spark; their number is an observed metric of the
+        write itself (A1), not a second pass.  Rows are sorted inside each
+        task by the table's cluster key (``person_id`` for clinical tables,
+        else the primary key), so Parquet's statistics prune lookups and joins
+        by that key; there is no extra shuffle."""
         key = cluster_key(self.contracts(schema)[table])
         if key:
             df = df.sortWithinPartitions(*key)
-        seen = Observation(f"staged_{table}_{uuid.uuid4().hex[:8]}")
-        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
-        return path, int(seen.get["rows"])
-
-    def _read_staged(self, schema: str, table: str, path: str) -> DataFrame:
-        return self.spark.read.schema(self.contracts(schema)[table].spark_schema).parquet(path)
+        seen = Observation(f"rows_{table}_{uuid.uuid4().hex[:8]}")
+        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode).parquet(path)
+        return int(seen.get["rows"])
 
     def require_clean(self, schema: str, report: DataFrame) -> None:
         """Write a violation report beside the schema's tables; raise with its
@@ -191,82 +170,64 @@ class Warehouse:
                   .orderBy("table_name", "constraint_name", "columns").collect())
         raise ViolationsFound(totals, path)
 
-    def commit(self, schema: str, writes: dict[str, DataFrame], mode: str = "append",
-               check: bool = True, parents: dict[str, DataFrame] | None = None,
-               snapshot: tuple[int, dict[str, list[str]]] | None = None, clear=()) -> dict[str, int]:
-        """Stage every frame, check the resulting tables, then publish all of
-        them with one manifest.  ``mode`` is ``append`` (K1) or ``overwrite``
-        (K2 and every rewrite).  Returns rows written per table.
-
-        ``snapshot`` is the ``manifest`` that the frames were derived from; the
-        publish fails if another one has been published since.  Tables named in
-        ``clear`` are emptied with it.  An overwritten table is also checked
-        against the tables that refer to it."""
+    def commit(self, schema: str, writes: dict[str, DataFrame], mode: str = "append", check: bool = True,
+               parents: dict[str, DataFrame] | None = None) -> dict[str, int]:
+        """Write every frame to the shared folder, check the tables as they
+        would become, then append to (K1) or overwrite (K2 and every rewrite)
+        them.  Returns rows written per table.  An overwritten table is also
+        checked against the tables that refer to it."""
         contracts = self.contracts(schema)
-        base, entries = snapshot or self.manifest(schema)
-        if base == 0:
-            raise KeyError(f"{self.layer}.{schema} does not exist; create the schema first")
-        staged: dict[str, str] = {}
-        counts: dict[str, int] = {}
+        self._require(schema)
+        for table in writes:
+            if table not in contracts:
+                raise KeyError(f"{self.layer}.{schema} has no table {table!r}")
+        rows = {t: conform(df, contracts[t]) for t, df in writes.items()}
+        if mode == "append" and not check:  # nothing to wait for
+            return together(self.spark, {t: lambda t=t: self._write(schema, t, rows[t], self.table_path(schema, t), "append") for t in rows})
+        staged = {t: scratch_path(self.spark, t) for t in rows}
         try:
-            for table, df in writes.items():
-                if table not in contracts:
-                    raise KeyError(f"{self.layer}.{schema} has no table {table!r}")
-                staged[table], counts[table] = self._stage(schema, table, conform(df, contracts[table]))
-            new_entries = dict(entries)
-            for table, path in staged.items():
-                old = entries.get(table, []) if mode == "append" else []
-                new_entries[table] = [*old, path]
-            for table in clear:
-                new_entries[table] = []
+            counts = together(self.spark, {t: lambda t=t: self._write(schema, t, rows[t], staged[t]) for t in rows})
+            new = {t: self.spark.read.schema(contracts[t].spark_schema).parquet(path) for t, path in staged.items()}
             if check:
-                frames = {t: self.read(schema, t, new_entries) for t in [*staged, *clear]}
-                appended = ({t: self._read_staged(schema, t, p) for t, p in staged.items()}
-                            if mode == "append" else None)
-                known = {**self._published(schema, new_entries, contracts), **(parents or {})}
-                report = validate_tables(frames, {t: contracts[t] for t in frames}, parents=known, new_rows=appended)
-                if mode != "append":
-                    for orphans in self._left_behind(schema, new_entries, [*staged, *clear]):
-                        report = report.unionByName(orphans)
+                append = mode == "append"
+                whole = {t: self.read(schema, t).unionByName(df) if append and self.has_rows(schema, t) else df for t, df in new.items()}
+                known = {**self._parents(schema), **whole, **(parents or {})}
+                report = validate_tables(whole, {t: contracts[t] for t in whole}, parents=known, new_rows=new if append else None)
+                for orphans in [] if append else self._left_behind(schema, whole):
+                    report = report.unionByName(orphans)
                 self.require_clean(schema, report)
-            self._publish(schema, base, new_entries)
+            together(self.spark, {t: lambda t=t: new[t].write.mode(mode).parquet(self.table_path(schema, t)) for t in new})
             return counts
-        except BaseException:
+        finally:
             for path in staged.values():
                 fs.delete(self.spark, path)
-            raise
 
-    def _published(self, schema, entries, contracts) -> dict[str, DataFrame]:
+    def _parents(self, schema: str) -> dict[str, DataFrame]:
         """Tables that this schema's keys may refer to: its own, and those of
         the shared schema."""
-        out = {t: self.read(schema, t, entries) for t in entries if t in contracts}
+        out = self.frames(schema)
         if schema != "shared":
-            wanted = {fk.ref_table for c in contracts.values() for fk in c.foreign_keys} - set(out)
-            _, shared = self.manifest("shared")
-            out.update({t: self.read("shared", t, shared) for t in wanted if t in shared})
+            wanted = {fk.ref_table for c in self.contracts(schema).values() for fk in c.foreign_keys} - set(out)
+            out.update({t: self.read("shared", t) for t in self.tables("shared") if t in wanted})
         return out
 
     def _referring(self, schema: str, table: str):
-        """(schema, child table, foreign keys) of the published tables that
+        """(schema, child table, foreign keys) of the tables with rows that
         refer to a table of ``schema``; shared tables are referred to from
         every schema of the layer."""
         for s in (self.schemas() if schema == "shared" else [schema]):
-            _, entries = self.manifest(s)
             for child, c in self.contracts(s).items():
                 keys = [fk for fk in c.foreign_keys if fk.ref_table == table]
-                if keys and child in entries and (s == schema or table not in self.contracts(s)):
+                if keys and (s == schema or table not in self.contracts(s)) and self.has_rows(s, child):
                     yield s, child, keys
 
-    def _left_behind(self, schema: str, new_entries, changed):
-        """Reports on keys of unchanged tables that no longer have a parent."""
-        for table in changed:
-            parent = self.read(schema, table, new_entries)
+    def _left_behind(self, schema: str, changed: dict[str, DataFrame]):
+        """Reports on keys of unchanged tables that would no longer have a parent."""
+        for table, parent in changed.items():
             for s, child, keys in self._referring(schema, table):
-                if s == schema and child in changed:
-                    continue
-                rows = self.read(s, child, new_entries if s == schema else None)
-                columns = [c for fk in keys for c in fk.columns]
-                yield fk_report({child: rows}, parent, keys[0].ref_columns[0], {child: columns}, table)
+                if s != schema or child not in changed:
+                    columns = [c for fk in keys for c in fk.columns]
+                    yield fk_report({child: self.read(s, child)}, parent, keys[0].ref_columns[0], {child: columns}, table)
 
     def _still_referred_to(self, schema: str, kept: dict, gone: dict):
         """Reports on kept rows that refer to rows about to go."""
@@ -284,32 +245,28 @@ class Warehouse:
     def append(self, schema: str, writes: dict[str, DataFrame], check: bool = True) -> dict[str, int]:
         return self.commit(schema, writes, "append", check)
 
-    def replace(self, schema: str, writes: dict[str, DataFrame], check: bool = True, snapshot=None, clear=()) -> dict[str, int]:
-        return self.commit(schema, writes, "overwrite", check, snapshot=snapshot, clear=clear)
+    def replace(self, schema: str, writes: dict[str, DataFrame], check: bool = True) -> dict[str, int]:
+        return self.commit(schema, writes, "overwrite", check)
 
     def upsert(self, schema: str, table: str, source: DataFrame, key: str, update_cols,
                preserve=("created_at",), touch: str | None = "updated_at") -> dict[str, int]:
-        """K3 through the sink: merge ``source`` into the published table."""
-        snapshot = self.manifest(schema)
-        merged = upsert_frames(self.read(schema, table, snapshot[1]), source, key, update_cols, preserve, touch,
-                               self.contracts(schema)[table])
-        return self.replace(schema, {table: merged}, snapshot=snapshot)
+        """K3 through the sink: merge ``source`` into the table."""
+        merged = upsert_frames(self.read(schema, table), source, key, update_cols, preserve, touch, self.contracts(schema)[table])
+        return self.replace(schema, {table: merged})
 
     def delete_where(self, schema: str, table: str, predicate) -> int:
         """K6: remove rows matching ``predicate``; rows where it is NULL stay."""
         return self.delete_rows(schema, {table: predicate})[table]
 
     def delete_rows(self, schema: str, predicates: dict) -> dict[str, int]:
-        """Remove the rows matching each table's predicate, in one
-        publish.  Rows that refer to a removed one go too where their key is
-        declared ON DELETE CASCADE (and so on from there); any other reference
-        that would be left without its parent fails the delete (RESTRICT).
-        Returns rows removed per table, those of cascades included."""
-        snapshot = self.manifest(schema)
-        entries, contracts = snapshot[1], self.contracts(schema)
-        kept, gone = {}, {}
+        """Remove the rows matching each table's predicate.  Rows that
+        refer to a removed one go too where their key is declared ON DELETE
+        CASCADE (and so on from there); any other reference that would be left
+        without its parent fails the delete (RESTRICT).  Returns rows removed
+        per table, those of cascades included."""
+        contracts, kept, gone = self.contracts(schema), {}, {}
         for table, predicate in predicates.items():
-            current = self.read(schema, table, entries)
+            current = self.read(schema, table)
             hit = F.coalesce(predicate, F.lit(False))
             kept[table], gone[table] = current.where(~hit), current.where(hit)
         todo = list(predicates)
@@ -319,7 +276,7 @@ class Warehouse:
                 for fk in keys:
                     if not fk.cascade or s != schema or child == table:
                         continue
-                    rows = kept.get(child, self.read(schema, child, entries))
+                    rows = kept.get(child, self.read(schema, child))
                     lost = following_rows(rows, gone[table], list(fk.columns), list(fk.ref_columns))
                     kept[child] = cascade_survivors(rows, gone[table], list(fk.columns), list(fk.ref_columns))
                     gone[child] = gone[child].unionByName(lost) if child in gone else lost
@@ -327,28 +284,10 @@ class Warehouse:
         reports = list(self._still_referred_to(schema, kept, gone))
         if reports:
             self.require_clean(schema, reduce(lambda a, b: a.unionByName(b), reports))
-        before = {t: self.read(schema, t, entries).count() for t in kept}
-        after = self.replace(schema, kept, check=False, snapshot=snapshot)
+        before = together(self.spark, {t: self.read(schema, t).count for t in kept if t in contracts})
+        after = self.replace(schema, kept, check=False)
         return {t: before[t] - after[t] for t in kept}
 
-    def vacuum(self, schema: str, keep: int = 1) -> list[str]:
-        """Delete the data folders that none of the newest ``keep`` versions
-        names; an explicit call, for when no reader is on an older version."""
-        folder = self._manifest_dir(schema)
-        names = sorted(n for n in fs.list_names(self.spark, folder) if n.endswith(".json") and n[:-5].isdigit())
-        live = set()
-        for n in names[-keep:]:
-            for paths in json.loads(fs.read_text(self.spark, f"{folder}/{n}"))["tables"].values():
-                live.update(paths)
-        dead = [f"{self.schema_path(schema)}/{t}/{v}" for t in self.contracts(schema)
-                for v in fs.list_names(self.spark, f"{self.schema_path(schema)}/{t}")]
-        dead = [p for p in dead if p not in live]
-        for p in dead:
-            fs.delete(self.spark, p)
-        for n in names[:-keep]:
-            fs.delete(self.spark, f"{folder}/{n}")
-        return dead
-
 
 def upsert_frames(target: DataFrame, source: DataFrame, key: str, update_cols,
                   preserve=("created_at",), touch: str | None = "updated_at",

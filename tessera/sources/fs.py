@@ -1,7 +1,7 @@
 """Driver-side path checks through the cluster's Hadoop filesystem.
 
-Only metadata calls (exists, list, small manifest files) go through here; row
-data is always read and written by Spark tasks.
+Only metadata calls (exists, list, make, rename, delete) go through here; data
+are always read and written by Spark tasks.
 """
 from __future__ import annotations
 
@@ -31,46 +31,9 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(st.getPath().getName() for st in fs.listStatus(p))
 
 
-def read_text(spark: SparkSession, path: str) -> str:
+def make_dir(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
-    jvm = spark.sparkContext._jvm
-    stream = fs.open(p)
-    try:
-        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-
-
-def write_text_once(spark: SparkSession, path: str, text: str) -> bool:
-    """Publish a small file under a name that must not exist yet; False when
-    another writer has it.
-
-    The text is written under a temporary name and renamed without leave to
-    overwrite.  HDFS (and stores with an atomic rename, such as ABFS with a
-    hierarchical namespace) check and rename in one step, so one of several
-    writers wins.  A local folder checks and renames one after the other.  On
-    stores whose rename is a copy (S3) publishing needs one writer at a time.
-    """
-    fs, final = _fs(spark, path)
-    jvm = spark.sparkContext._jvm
-    tmp = jvm.org.apache.hadoop.fs.Path(path + ".tmp-" + jvm.java.util.UUID.randomUUID().toString())
-    out = fs.create(tmp, False)
-    try:
-        out.write(bytearray(text.encode("utf-8")))
-    finally:
-        out.close()
-    options = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 1)
-    options[0] = getattr(jvm.org.apache.hadoop.fs, "Options$Rename").NONE
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-        final.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
-    try:
-        context.rename(tmp, final, options)
-        return True
-    except Exception as e:
-        fs.delete(tmp, False)
-        if "FileAlreadyExists" in str(e) or fs.exists(final):
-            return False
-        raise
+    fs.mkdirs(p)
 
 
 def rename(spark: SparkSession, old: str, new: str) -> None:
