@@ -78,14 +78,10 @@ def duplicate_keys(df: DataFrame, cols, count_col: str = "n", skip_nulls: bool =
         h = F.xxhash64(*[_q(c) for c in cols])
         repeated = cut_lineage(src.groupBy(h.alias("_h")).count().where("count > 1").select("_h"), "repeated")
         n = repeated.count()
-        if n == 0:
-            src = src.where(F.lit(False))
-        elif n > MOST_REPEATED:
+        if n > MOST_REPEATED:
             src = src.withColumn("_h", h).join(repeated, "_h", "left_semi").drop("_h")
         else:
-            bits = max(1 << 16, BITS_PER_VALUE * n) // 64 * 64
-            word, bit = _bit_place(h, bits)
-            src = src.where(F.get(_bitmap(repeated, "_h", bits), word).bitwiseAND(bit) != 0)
+            src = src.where(may_be_among(h, repeated, "_h", n))
     return (src.groupBy(*[_q(c) for c in cols]).agg(F.count(F.lit(1)).alias(count_col))
                .where(F.col(count_col) > 1))
 
@@ -108,6 +104,17 @@ def _bitmap(hashes: DataFrame, col: str, bits: int) -> Column:
                                  lambda x: x["b"])).scalar()
 
 
+def may_be_among(h: Column, hashes: DataFrame, col: str, n: int) -> Column:
+    """Whether a 64-bit hash is among ``n`` written ones, or one of the few
+    others (one in BITS_PER_VALUE) that the bitmap lets pass; everything passes
+    where there are more than MOST_REPEATED."""
+    if n == 0 or n > MOST_REPEATED:
+        return F.lit(n > 0)
+    bits = max(1 << 16, BITS_PER_VALUE * n) // 64 * 64
+    word, bit = _bit_place(h, bits)
+    return F.get(_bitmap(hashes, col, bits), word).bitwiseAND(bit) != 0
+
+
 def null_key_rows(df: DataFrame, cols) -> DataFrame:
     return df.where(reduce(lambda a, b: a | b, [_q(c).isNull() for c in cols]))
 
