@@ -23,7 +23,7 @@ def op1_bpe_roundtrip(spark, d):
 # 2 -----------------------------------------------------------------------
 def op2_mix_sources(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "source")
-    return mixing.mix(docs)
+    return mixing.mix(docs, apart=F.monotonically_increasing_id())  # of a scan: the same in every reading
 
 
 _OP2_SQL = """
@@ -65,14 +65,17 @@ def op3_embedding_neardup(spark, d):
 
 
 # 4 -----------------------------------------------------------------------
-def op4_license_scan(spark, d):
-    found = licenses.scan_licenses(table(spark, d, "documents"))
+def licence_columns(found):
     return found.select("doc_id", F.size("sentence_ids").cast("long").alias("n_sentences"),
                         F.array_join("sentence_ids", ",").alias("sentence_ids"),
                         F.array_join("rules", ",").alias("rules"),
                         F.array_join("licenses", ",").alias("licenses"), "license", "verdict")
 
 
+def op4_license_scan(spark, d):
+    return licence_columns(licenses.scan_licenses(table(spark, d, "documents")))
+
+
 def _quoted(items) -> str:
     return "[" + ", ".join("'" + x + "'" for x in items) + "]"
 
@@ -85,15 +88,34 @@ def _op4_sql() -> str:
     def first(column):
         return "CASE " + " ".join(f"WHEN regexp_matches(line, '{licenses.ordered_pattern(ids)}') THEN '{rule[column]}'"
                                   for *rule, ids in licenses.RULES) + " END"
+
+    def ids_of(names, what):
+        return f"list_transform({what}, lambda p: ({_quoted(names.values())})[list_position({_quoted(names)}, p)])"
+    # ends of sentences are doubled, as the pattern has no look-around: each sentence takes one of a pair
+    whole, tagged = licenses.wordings("(?: |~~)")
+    names = {t: i for t, i in licenses.SENTENCES.items() if i.startswith("name_")}
+    alone = {t: i for t, i in licenses.SENTENCES.items() if not i.startswith("name_")}
+    tag = f"{licenses.TAG}(?:~~|[|][|])"
+    hint = licenses.HINT.replace(" ", "[^a-zA-Z0-9]+")
     return f"""
-WITH p AS (SELECT doc_id, list_filter(string_split(regexp_replace(coalesce(text, ''), '[.!?;:][ \\t\\r]+', chr(10), 'g'), chr(10)),
-                                      lambda x: regexp_matches(x, '{licenses.HINT}')) AS parts FROM documents),
-s AS (SELECT doc_id, list_transform(parts, lambda x: trim(regexp_replace(
-        translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+', ' ', 'g'))) AS ss FROM p),
-i AS (SELECT doc_id, list_filter(list_transform(ss, lambda x: ({_quoted(licenses.SENTENCES.values())})[
-        list_position({_quoted(licenses.SENTENCES)}, x)]), lambda x: x IS NOT NULL) AS ids FROM s),
+WITH t AS (SELECT doc_id, CASE WHEN regexp_matches(text, '{hint}') THEN regexp_replace(chr(10) ||
+             translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '\n[^a-z0-9\n]+', chr(10), 'g') ELSE '' END AS low FROM documents),
+p AS (SELECT doc_id, regexp_replace(regexp_replace(low, '[.!?;:]([ \t\r\n])', chr(10) || chr(10) || '\1', 'g'), '[^a-z0-9\n]+', ' ', 'g') AS low FROM t),
+n AS (SELECT doc_id, '||' || regexp_replace(regexp_replace(trim(low, ' '), '[ \n]*\n ?\n[ \n]*', '||', 'g'), ' ?\n ?', '~~', 'g') || '||' AS line FROM p),
+f AS (SELECT doc_id, list_transform(regexp_extract_all(line, '[|~](?:{tag}{tagged}|{whole})[|~]'), lambda s: s[2:-2]) AS found FROM n),
+s AS (SELECT doc_id, flatten(list_transform(found, lambda s: CASE WHEN regexp_matches(s, '^{tag}.') THEN
+        [['spdx_tag'], CASE WHEN list_contains({_quoted(names)}, replace(regexp_replace(s, '^{tag}', ''), '~~', ' '))
+         THEN {ids_of(names, "[replace(regexp_replace(s, '^" + tag + "', ''), '~~', ' ')]")}
+         ELSE ['choice'] || {ids_of(names, "string_split_regex(replace(regexp_replace(s, '^" + tag + "', ''), '~~', ' '), ' (?:or|and) ')")} END]
+      WHEN list_contains({_quoted(alone)}, replace(s, '~~', ' ')) THEN [{ids_of(alone, "[replace(s, '~~', ' ')]")}]
+      ELSE [[replace(s, '~~', ' ')]] END)) AS ids FROM f),
+b AS (SELECT doc_id, list_transform(ids, lambda x: CASE WHEN regexp_matches(x[1], '{licenses.AROUND[0]}') THEN
+        regexp_replace(regexp_replace(x[1], '{licenses.AROUND[0]}', ''), '{licenses.AROUND[1]}', '') END) AS bare, ids FROM s),
+i AS (SELECT doc_id, flatten(list_transform(range(1, len(ids) + 1), lambda k: CASE WHEN bare[k] IS NULL THEN ids[k]
+        WHEN list_contains({_quoted(licenses.NOTICES)}, bare[k]) THEN {ids_of(licenses.NOTICES, "[bare[k]]")}
+        ELSE ['choice'] || {ids_of(licenses.NOTICES, "string_split_regex(bare[k], '" + licenses.BETWEEN + "')")} END)) AS ids FROM b),
 l AS (SELECT doc_id, ids, ' ' || coalesce(array_to_string(ids, '  '), '') || ' ' AS line FROM i)
-SELECT doc_id, len(ids)::BIGINT AS n_sentences, coalesce(array_to_string(ids, ','), '') AS sentence_ids,
+SELECT doc_id, coalesce(len(ids), 0)::BIGINT AS n_sentences, coalesce(array_to_string(ids, ','), '') AS sentence_ids,
        coalesce(array_to_string(list_filter([{pick(0)}], lambda x: x IS NOT NULL), ','), '') AS rules,
        coalesce((SELECT string_agg(x, ',' ORDER BY j) FROM (
           SELECT x, min(j) AS j FROM (SELECT unnest([{pick(1)}]) AS x, unnest(range({len(licenses.RULES)})) AS j)
