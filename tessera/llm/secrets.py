@@ -4,7 +4,9 @@ Besides the patterns, strings in a sensitive context are measured by the
 bytes they add to the zstandard frame of the text around them, compressed
 with a dictionary of identifiers common in code.  Words, paths and names
 that occur in the surroundings or the dictionary add little; random strings
-add about their length and are reported as ``novel``.
+add about their length and are reported as ``novel``.  Strings that read like
+words, once cut at signs and changes of case, are not measured: no dictionary
+holds them all.
 """
 from __future__ import annotations
 
@@ -24,8 +26,8 @@ KINDS = (*BASE, "novel")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # as [0-9a-f]+, which ends with its run, kept from 24 characters on
-SENSITIVE = re.compile(r"password|passwd|pwd|secret|token|api_?key|access_?key|private[ _]?key|credential|bearer|authorization",
-                       re.I | re.A)
+SENSITIVE = re.compile(r"password|passwd|passphrase|pass_phrase|pwd|secret|token|api[_ -]?key|access[_ -]?key|private[_ -]?key"
+                       r"|credential|bearer|authorization", re.I | re.A)
 STRING = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 PEM = re.compile(r"-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----")
 #: lines of a PEM body whose end is missing
@@ -35,7 +37,8 @@ VALUE = re.compile(r"[^=]*=+(?=[A-Za-z0-9+/_=-]{16})")
 #: what may stand between the lines of a value
 LINE_END = re.compile(r"[^A-Za-z0-9]*\n[^A-Za-z0-9]*")
 #: a text without any of these has no span (RE2 pattern, a superset of the above)
-HINT = (r"(?i:password|passwd|pwd|secret|token|api_?key|access_?key|private[ _]?key|credential|bearer|authorization)"
+HINT = (r"(?i:password|passwd|passphrase|pass_phrase|pwd|secret|token|api[_ -]?key|access[_ -]?key|private[_ -]?key"
+        r"|credential|bearer|authorization)"
         r"|AKIA|[0-9a-f]{24}")
 #: identifiers that prime the dictionary
 IDENTIFIERS = (
@@ -49,6 +52,19 @@ IDENTIFIERS = (
     "path file directory index value name type length size count number result error message exception handler "
     "manager factory builder provider controller repository test_ _test get_ set_ is_ has_ from_ to_ __init__ main"
 )
+#: fixed values: the pairs of letters that most words of English, German, French and Spanish are made of
+PAIRS = frozenset((
+    "th he in er an re on at en nd ti es or te of ed is it al ar st to nt ng se ha as ou io le ve co me de hi ri ro "
+    "ic ne ea ra ce li ch ll be ma si om ur ca el ta la ns di fo ho pe ec pr no ct us ac ot il tr ly nc et ut ss so "
+    "rs un lo wa ge ie wh ee wi em ad ol rt po we na ul ni ts mo ow pa im mi ai sh ir su id os iv ia am fi ci vi pl "
+    "ig tu ev ld ry mp fe bl ab gh ty op wo sa ay ex ke fr oo av ag if ap gr od bo sp rd do uc bu ei ov by rm ep tt "
+    "oc fa ef cu rn sc gi da yo cr cl du ga qu ue ff ba ey ls va um pp ua up lu go ht ru ug ds lt pi rc rr eg au ck "
+    "ew mu br bi pt ak pu ui rg ib tl ny ki rk ys").split())
+#: pieces of a name or path: words in capitals, words, numbers
+PIECES = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
+#: least share of the letters in pieces of three or more, and of their pairs
+#: among PAIRS, and the most digits, of a string that reads like words
+IN_WORDS, COMMON_PAIRS, MOST_DIGITS = 0.85, 0.7, 4
 #: characters of context on either side, how far ahead the sensitive word may
 #: be, and the least share of its own length that a novel string adds
 CONTEXT, REACH, NOVELTY = 256, 48, 0.6
@@ -71,6 +87,19 @@ def novelty(before: str, string: str, after: str) -> float:
     return (len(c.compress(around + own)) - len(c.compress(around))) / max(1, len(own))
 
 
+def reads_like_words(string: str) -> bool:
+    """Whether a string is a name or a path: cut at changes of case and at
+    signs, its letters stand in words, and these have the pairs of letters
+    that words have."""
+    pieces = PIECES.findall(string)
+    letters, digits = sum(c.isalpha() for c in string), sum(c.isdigit() for c in string)
+    long = [p.lower() for p in pieces if len(p) > 2 and not p[0].isdigit()]
+    if digits > MOST_DIGITS or not letters or sum(map(len, long)) < IN_WORDS * letters:
+        return False
+    pairs = [p[i:i + 2] for p in long for i in range(len(p) - 1)]
+    return sum(x in PAIRS for x in pairs) >= COMMON_PAIRS * len(pairs)
+
+
 def _pem_bodies(text: str):
     """Spans between the marks of PEM private keys; of a key without its end
     mark, the lines that look like one."""
@@ -102,7 +131,7 @@ def find(text: str) -> list[tuple[str, int, int]]:
     sensitive = [m.end() for m in SENSITIVE.finditer(text)]
 
     def novel(s: int, e: int) -> bool:
-        return novelty(text[max(0, s - CONTEXT):s], text[s:e], text[e:e + CONTEXT]) >= NOVELTY
+        return not reads_like_words(text[s:e]) and novelty(text[max(0, s - CONTEXT):s], text[s:e], text[e:e + CONTEXT]) >= NOVELTY
     bodies = [(s, e) for s, e in _pem_bodies(text) if novelty("", text[s:e], "") >= NOVELTY] if sensitive else []
     t = 0
     for s, e in bodies:  # around the other spans

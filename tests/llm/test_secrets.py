@@ -60,6 +60,37 @@ def test_names_with_values():
     assert novel("password " + "-" * 40 + " access_key=" + "x" * 40) == []
 
 
+#: ordinary words, names and paths behind sensitive words
+ORDINARY = [
+    "the secret of /usr/local/share/applications/default", "token manager: AuthenticationSuccessHandlerFactory",
+    "secret recipe is supercalifragilisticexpialidocious", "credential: internationalization-localization-module",
+    "password: see docs/getting-started/configuration_reference", "bearer of GeschwindigkeitsbegrenzungsSchild news",
+    "private key handling in org/apache/commons/codec/binary/Base64InputStream", "api key: getCustomerAccountInformationById2",
+    "token is anticonstitutionnellement", "secret: AbstractSingletonProxyFactoryBean", "passphrase = correct-horse-battery-staple",
+    "access_key_rotation_enabled_by_default access key policies/iam-service-linked-roles", "PASSWORD_RESET_CONFIRMATION_TEMPLATE token",
+    "authorization header: responsabilidades-administrativas", "pwd: /home/developer/projects/analytics-engine/source"]
+
+
+def test_ordinary_words_are_left_alone():
+    assert [t for t in ORDINARY if novel(t)] == []
+
+
+def test_random_strings_are_found():
+    """Of strings of every make nearly all are found, however they are spelled."""
+    rng = random.Random(11)
+    makes = [string.ascii_letters + string.digits + "+/", string.ascii_letters, string.ascii_lowercase + string.digits, string.ascii_lowercase,
+             string.ascii_uppercase + string.digits]
+    for letters in makes:
+        found = sum(novel(f"credential: {v}") == [v] for v in ("".join(rng.choices(letters, k=rng.randrange(20, 44))) for _ in range(200)))
+        assert found >= 190, (letters, found)
+
+
+def test_other_spellings_of_sensitive_words():
+    value = "Zk93" + b64(9, 24).replace("/", "x").replace("+", "y")
+    for before in ("api-key: ", "passphrase: ", "Api Key = ", "access-key=", "pass_phrase: ", "private-key: "):
+        assert any(s <= len(before) < e for _, s, e in secrets.find(before + value)) and re.search(secrets.HINT, before), before
+
+
 def test_values_on_later_lines():
     one, two = b64(5, 30), b64(6, 30)
     assert novel(f'{{"private_key":\n    "{one}"}}') == [one]
