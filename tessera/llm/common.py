@@ -44,19 +44,34 @@ def md5_key(key) -> Column:
     return F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")))
 
 
-def number_in_groups(df: DataFrame, groups: list[str], key: str, out: str) -> DataFrame:
+#: what rows without a key are ordered by, and the buckets that they are dealt to
+_NO_KEY = "d41d8cd98f00b204e9800998ecf8427e"  # md5 of an empty text
+SPREAD = 4096
+
+
+def number_in_groups(df: DataFrame, groups: list[str], key: str, out: str, apart: Column | None = None) -> DataFrame:
     """Add ``out``: 0, 1, 2 ... within each group, in the order of md5(key).
 
     A group may hold any share of all rows, so no window sees a whole group:
     rows are numbered inside 4,096 md5 buckets of a group and each bucket's
     offset comes from a prefix sum over the bucket counts.  Rows with equal
-    keys are ordered by their other columns.
+    keys are ordered by their other columns.  Rows without a key, of which
+    there may be very many, come where an empty text would and are dealt to
+    SPREAD buckets of their own, by ``apart``: an expression with the same
+    value for a row whenever ``df`` is read, by default a hash of the other
+    columns, which leaves rows that are equal throughout in one bucket.
     """
     other = [c for c, t in df.dtypes if c != key and c not in groups and not t.startswith(("map", "variant"))]
     at = F.struct(*[F.col(c) for c in groups])
+    none = F.coalesce(F.col(key).cast("string"), F.lit("")) == ""
+    apart = apart if apart is not None else F.xxhash64(*[F.col(f"`{c}`") for c in other] or [F.lit(0)])
+    prefix = F.substring("__t_md5", 1, 3)
+    # in the order of md5: before the rows without a key, these, and behind them
+    bucket = (F.when(none, F.concat(F.lit(_NO_KEY), F.lpad(F.pmod(apart, F.lit(SPREAD)).cast("string"), 4, "0")))
+              .when((prefix == _NO_KEY[:3]) & (F.col("__t_md5") > _NO_KEY), F.concat(prefix, F.lit("f"))).otherwise(prefix))
     # one struct to deal by: the window and the join need the same dealing, and NULLs are equal in it
-    df = df.withColumn("__t_md5", md5_key(key)).withColumn("__t_at", F.struct(at.alias("group"), F.substring("__t_md5", 1, 3).alias("bucket")))
-    order = ["__t_md5", *other]
+    df = df.withColumn("__t_md5", md5_key(key)).withColumn("__t_at", F.struct(at.alias("group"), bucket.alias("bucket")))
+    order = ["__t_md5", *[F.col(f"`{c}`") for c in other]]
     local = df.withColumn("__t_local", F.row_number().over(Window.partitionBy("__t_at").orderBy(*order)) - 1)
     before = Window.partitionBy("__t_at.group").orderBy("__t_at.bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (df.groupBy("__t_at").agg(F.count(F.lit(1)).alias("__t_n"))

@@ -117,7 +117,7 @@ def period(ticks: DataFrame, resolution: int | None = None) -> DataFrame:
 
 def mix(docs: DataFrame, source: str = "source", key: str = "doc_id",
         weights: dict[str, int] | None = None, block_rows: int = 8,
-        resolution: int | None = None, smoothing: int = 4) -> DataFrame:
+        resolution: int | None = None, smoothing: int = 4, apart: Column | None = None) -> DataFrame:
     """Every row of ``docs`` with its places in the mixture: ``epoch`` (0 for
     the first time the row is used), ``block`` (of its source's stream),
     ``slot`` (of the whole mixture) and ``place`` in the block.
@@ -128,7 +128,8 @@ def mix(docs: DataFrame, source: str = "source", key: str = "doc_id",
     target more than once, and after every slot each source is within one
     block of its (rounded) target.  A null source is a source; rows with
     equal keys each have their place; an empty table gives no rows.  Input
-    columns named like the added ones are replaced.
+    columns named like the added ones are replaced.  ``apart`` tells rows
+    without a key apart that are equal in all columns (``number_in_groups``).
     """
     docs = without(docs, ADDED)
     plan = period(source_ticks(docs, source, resolution, weights, smoothing), resolution)
@@ -141,7 +142,7 @@ def mix(docs: DataFrame, source: str = "source", key: str = "doc_id",
         F.col("slots").alias("__t_pslots"), m.alias("__t_pperiod"),
         ((F.floor(F.col("_stop") / m) * F.col("ticks")
           + F.size(F.filter("slots", lambda s: s <= F.col("_stop") % m))) * block_rows).alias("__t_prows"))
-    numbered = number_in_groups(docs, [source], key, "__t_r")
+    numbered = number_in_groups(docs, [source], key, "__t_r", apart)
     # a row per source and the slots of one period
     rows = numbered.join(F.broadcast(plan), F.col(source).eqNullSafe(F.col("__t_psource")))
     rows = rows.withColumn("epoch", F.explode(F.sequence(

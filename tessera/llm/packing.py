@@ -155,7 +155,8 @@ def pack(pieces: DataFrame, groups: int, row: int = ROW, pad: int = 50_256) -> D
     padded with ``pad``), the documents and pieces in it, ``cu_seqlens`` (the
     start of each piece and the end of the last) and ``resets`` (one bit per
     id, set where positions start from 0 again)."""
-    spread = F.pmod(F.xxhash64("doc_id", "piece", "ids"), F.lit(groups)).cast("int")
+    # by the place in the input as well, so that equal rows are dealt out too
+    spread = F.pmod(F.xxhash64("doc_id", "piece", "ids", F.monotonically_increasing_id()), F.lit(groups)).cast("int")
     return without(pieces, ["pack_group"]).withColumn("pack_group", spread).groupBy("pack_group").applyInArrow(_pack(row, pad), PACKED)
 
 

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import number_in_groups, without
+from .common import number_in_groups, stored, without
 
 
 def jump(keys: np.ndarray, shards: int) -> np.ndarray:
@@ -57,6 +57,7 @@ def shard_documents(docs: DataFrame, shards: int) -> DataFrame:
     rows = docs.select(
         "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text).alias("text_crc32"), F.lit("key").alias("law"))
-    rows = shard(shard(rows, shards), shards + 1, out="grown_shard")
-    return (number_in_groups(rows, ["shard"], "doc_id", "slot")
+    # written without the texts: rows without an id are told apart by their place in it
+    rows = stored(shard(shard(rows, shards), shards + 1, out="grown_shard"), "sharded")
+    return (number_in_groups(rows, ["shard"], "doc_id", "slot", F.monotonically_increasing_id())
             .select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"))

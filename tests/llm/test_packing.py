@@ -83,3 +83,13 @@ def test_query(spark):
     assert sorted(own.items()) == whole([(r.doc_id, r.text) for r in table(spark, d, "documents").collect()])
     used = sum(r.n_ids for r in packed.collect())
     assert used >= 0.97 * packing.ROW * (packed.count() - 1)
+
+
+def test_equal_rows_go_to_all_groups(spark):
+    from tessera.llm import packing
+    df = spark.range(40_000).selectExpr("cast(null as long) AS doc_id", "cast(null as string) AS text").repartition(4)
+    packed = packing.pack(packing.token_pieces(df), 8).collect()
+    by = {}
+    for r in packed:
+        by[r.pack_group] = by.get(r.pack_group, 0) + len(r.doc_ids)
+    assert sorted(by) == list(range(8)) and sum(by.values()) == 40_000 and max(by.values()) < 6000

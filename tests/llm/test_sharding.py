@@ -49,3 +49,30 @@ def test_more_shards_take_rows_only_into_themselves(spark):
         b = {r.doc_id: r.shard for r in sharding.shard(df, n + 1).collect()}
         moved = [k for k in a if a[k] != b[k]]
         assert all(b[k] == n for k in moved) and abs(len(moved) - 2000 / (n + 1)) < 5 * np.sqrt(2000 / (n + 1))
+
+
+def test_equal_rows_without_id_are_spread(spark):
+    """40,000 equal rows without an id: no bucket of the numbering holds many."""
+    from pyspark.sql import functions as F
+
+    from tessera.llm import common
+    df = spark.range(40_000).selectExpr("cast(null as long) AS doc_id", "'t' AS text").repartition(4)
+    out = sharding.shard_documents(df, 8).collect()
+    assert sorted(r.slot for r in out) == list(range(40_000)) and len({r.shard for r in out}) == 1
+    rows = spark.range(40_000).selectExpr("cast(null as long) AS doc_id", "id % 2 AS g")
+    got = common.number_in_groups(rows, ["g"], "doc_id", "n", F.monotonically_increasing_id())
+    plan = got._jdf.queryExecution().analyzed().toString()
+    assert "4096" in plan and sorted((r.g, r.n) for r in got.collect()) == [(g, n) for g in (0, 1) for n in range(20_000)]
+
+
+def test_rows_without_id_come_where_an_empty_text_would(spark):
+    import hashlib
+
+    from tessera.llm import common
+    keys = [None, "", *map(str, range(3000))]
+    got = common.number_in_groups(spark.createDataFrame([(k, 1) for k in keys], "k string, g int").repartition(3), ["g"], "k", "n").collect()
+    want = sorted(keys, key=lambda k: hashlib.md5((k or "").encode()).hexdigest())
+    at = {r.k: r.n for r in got}
+    assert sorted(at.values()) == list(range(len(keys)))
+    assert [k for k in want if k] == sorted((k for k in keys if k), key=at.get)
+    assert abs(at[None] - at[""]) == 1 and min(at[None], at[""]) == want.index(None)
