@@ -330,17 +330,18 @@ def encode(docs: DataFrame, path: str | None = None, text: str = "text", out: st
     path = path or default_path()
     small_batches(docs)
     docs = without(docs, [out])
-    keep = [c for c in docs.columns if c != text]
+    keep = [F.col(f"`{c}`") for c in docs.columns if c != text]
     size = F.coalesce(F.char_length(text), F.lit(0))
     short = docs.filter(size <= leaf_chars).select(*keep, encode_column(path)(F.col(text)).alias(out))
-    long = docs.filter(size > leaf_chars).withColumn("_key", F.sha2(text, 256))
-    cut = long.select("_key", text).mapInArrow(_cut(leaf_chars), "_key string, _leaf int, _lo long, _text string")
+    long = docs.filter(size > leaf_chars).withColumn("__t_key", F.sha2(text, 256))
+    cut = long.select(F.col("__t_key").alias("_key"), text).mapInArrow(_cut(leaf_chars), "_key string, _leaf int, _lo long, _text string")
     coded = (cut.dropDuplicates(["_key", "_leaf"]).select("_key", "_leaf", "_lo", "_text")
              .mapInArrow(_encode_leaves(path), "_key string, _leaf int, _text string, _ids binary, _starts binary, _ends binary"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     whole = (coded.repartition(parts, "_key").sortWithinPartitions("_key", "_leaf")
              .mapInArrow(_join_leaves(path), "_key string, _found array<int>"))
-    long = long.drop(text).join(whole, "_key").select(*keep, F.col("_found").alias(out))
+    whole = whole.select(F.col("_key").alias("__t_key"), F.col("_found").alias("__t_found"))
+    long = long.drop(text).join(whole, "__t_key").select(*keep, F.col("__t_found").alias(out))
     return short.unionByName(long)
 
 

@@ -83,3 +83,12 @@ def test_query_digests(spark):
         assert r.n_tokens == len(ids)
         assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(t.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_columns_named_like_inner_ones(spark):
+    from tessera.llm import bpe
+    rows = [(1, "short text", "k1", "f1"), (2, "long words " * 9000, "k2", "f2"), (None, None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _key string, _found string")
+    got = sorted(bpe.decode(bpe.encode(df)).collect(), key=lambda r: r.doc_id or 0)
+    assert [(r.doc_id, r._key, r._found) for r in got] == [(None, None, None), (1, "k1", "f1"), (2, "k2", "f2")]
+    assert got[2].decoded.startswith("long</w> words</w> long</w>") and len(got[2].ids) == 18_000
