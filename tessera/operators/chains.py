@@ -13,9 +13,10 @@ driver.
 """
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -25,6 +26,13 @@ class CycleFound(ValueError):
     """A hierarchy that must have none contains a cycle."""
 
 
+def _written(df: DataFrame, *counts: Column):
+    """``df`` written to the shared folder, and counts observed by that write."""
+    seen = Observation(f"round_{uuid.uuid4().hex[:8]}")
+    out = cut_lineage(df.observe(seen, *[c.alias(str(i)) for i, c in enumerate(counts)]), "round")
+    return out, *[seen.get[str(i)] for i in range(len(counts))]
+
+
 def follow(edges: DataFrame, node: str, target: str) -> DataFrame:
     """(node, root, depth, cycle, on_cycle) for every node that occurs in
     ``edges`` (node -> target, a NULL target ends a chain).
@@ -39,7 +47,7 @@ def follow(edges: DataFrame, node: str, target: str) -> DataFrame:
     point at one are a skewed key of a join between two written tables, which
     AQE splits.
     """
-    pairs = edges.select(F.col(node).alias("node"), F.col(target).alias("at")).where("node IS NOT NULL")
+    pairs = cut_lineage(edges.select(F.col(node).alias("node"), F.col(target).alias("at")).where("node IS NOT NULL"), "references")
     ends = pairs.where("at IS NOT NULL").select(F.col("at").alias("node"), F.lit(None).cast(dict(pairs.dtypes)["at"]).alias("at"))
     state = cut_lineage(pairs.unionByName(ends).groupBy("node").agg(F.min("at").alias("at"))
                         .select("node", F.coalesce("at", "node").alias("at"), F.col("at").isNull().alias("done"),
@@ -49,9 +57,9 @@ def follow(edges: DataFrame, node: str, target: str) -> DataFrame:
         # what a pointer meets: a finished node ends the chain, another one is skipped over
         met = state.select(F.col("node").alias("at"), F.col("at").alias("_at"), F.col("hops").alias("_hops"), F.col("done").alias("_done"))
         open_ = state.where("NOT done")
-        step = cut_lineage(open_.join(met, "at").select(
-            "node", F.col("_at").alias("at"), F.col("_done").alias("done"), (F.col("hops") + F.col("_hops")).alias("hops")), "chains")
-        left, ended = step.agg(F.count_if(~F.col("done")), F.count_if("done")).first()
+        step, left, ended = _written(open_.join(met, "at").select(
+            "node", F.col("_at").alias("at"), F.col("_done").alias("done"), (F.col("hops") + F.col("_hops")).alias("hops")),
+            F.count_if(~F.col("done")), F.count_if("done"))
         finished.append(step.where("done").select("node", F.col("at").alias("root"), F.col("hops").alias("depth")))
         # finished nodes stay to be met
         state = step.unionByName(reduce(DataFrame.unionByName, finished[:-1]).select(
@@ -93,12 +101,12 @@ def closure(edges: DataFrame, child: str, parent: str, itself: bool = True, most
     ancestor at level 0.  A hierarchy with a cycle has no most levels and is
     an error (``CycleFound``); ``most_levels`` stops after so many rounds.
     """
-    step = cut_lineage(edges.select(F.col(child).alias("d"), F.col(parent).alias("a"))
-                       .where("d IS NOT NULL AND a IS NOT NULL").distinct(), "edges")
+    counts = F.count_if(F.col("a") == F.col("d")), F.count(F.lit(1))
+    step, loops, n = _written(edges.select(F.col(child).alias("d"), F.col(parent).alias("a"))
+                              .where("d IS NOT NULL AND a IS NOT NULL").distinct(), *counts)
     up = step.select(F.col("d").alias("a"), F.col("a").alias("_next"))
     levels, found, k = [], step, 1
     while True:
-        loops, n = found.agg(F.count_if(F.col("a") == F.col("d")), F.count(F.lit(1))).first()
         if loops:
             raise CycleFound(f"{loops} nodes are their own ancestors, {k} levels up")
         if not n:
@@ -106,7 +114,7 @@ def closure(edges: DataFrame, child: str, parent: str, itself: bool = True, most
         levels.append(found.withColumn("k", F.lit(k)))
         if k == most_levels:
             break
-        found = cut_lineage(found.join(up, "a").select("d", F.col("_next").alias("a")).distinct(), "levels")
+        found, loops, n = _written(found.join(up, "a").select("d", F.col("_next").alias("a")).distinct(), *counts)
         k += 1
     if itself:
         levels.append(step.select("d").union(step.select("a")).distinct().select("d", F.col("d").alias("a"), F.lit(0).alias("k")))

@@ -69,20 +69,20 @@ def overlay_fields(df: DataFrame, red: DataFrame, keys, fields, statuses=None, s
                      F.when(F.col("new_value").isNotNull(), F.col("new_error") if "new_error" in have else F.lit(None).cast("string"))
                      .otherwise(F.col("original_error") if "original_error" in have else F.lit(None).cast("string")).alias("error"),
                      status.alias("status"))
-    known = F.when(F.col("field_name").isin(*df.columns), F.col("field_name")).otherwise(
-        F.raise_error(F.concat(F.lit("correction of an unknown field: "), F.coalesce("field_name", F.lit("NULL")))))
-    fixes = red.withColumn("field_name", known).where(F.col("field_name").isin(*fields))
-    if statuses is not None:
-        fixes = fixes.where(status.isin(*statuses))
+    fixes = red if statuses is None else red.where(status.isin(*statuses))
+    field = F.coalesce("field_name", F.lit("NULL"))
     last = F.struct(_q(stamp) if stamp else F.lit(0), status, entry)
     per_record = fixes.groupBy(*[_q(k) for k in keys]).agg(*[
-        F.max_by(F.when(F.col("field_name") == f, entry), F.when(F.col("field_name") == f, last)).alias(f"__fix_{f}") for f in fields])
-    out = navigate.many_to_one(df, per_record, keys, keys, [f"__fix_{f}" for f in fields])
+        F.max_by(F.when(field == f, entry), F.when(field == f, last)).alias(f"__fix_{f}") for f in fields],
+        F.max(F.when(~field.isin(*df.columns), field)).alias("__fix"))
+    out = navigate.many_to_one(df, per_record, keys, keys, [*[f"__fix_{f}" for f in fields], "__fix"])
+    # raised where a value is shown: as a filter it could be moved to rows that are no corrections
+    unknown = F.raise_error(F.concat(F.lit("correction of an unknown field: "), "__fix"))
     for f in fields:
         fix = F.col(f"`__fix_{f}`")
-        out = (out.withColumn(f, F.when(fix.isNotNull(), fix["value"].cast(types[f])).otherwise(_q(f)))
+        out = (out.withColumn(f, F.when(F.col("__fix").isNotNull(), unknown).when(fix.isNotNull(), fix["value"].cast(types[f])).otherwise(_q(f)))
                .withColumn(f + error_suffix, fix["error"]).withColumn(f + status_suffix, fix["status"]))
-    return out.drop(*[f"__fix_{f}" for f in fields])
+    return out.drop("__fix", *[f"__fix_{f}" for f in fields])
 
 
 def unknown_fields(red: DataFrame, tables: dict[str, list[str]], table_col: str = "table") -> DataFrame:

@@ -275,7 +275,7 @@ def promoted_cohorts(spark, d):
             F.col("o_orderkey").cast("int").alias("visit_occurrence_id"), F.col("o_custkey").cast("int").alias("person_id"),
             F.lit(0).alias("visit_concept_id"), F.to_date("o_orderdate").alias("visit_start_date"),
             F.to_date("o_orderdate").alias("visit_end_date"), F.lit(0).alias("visit_type_concept_id"))
-        layers["bronze"].append(cohort, {"person": person, "visit_occurrence": visits})
+        layers["bronze"].append(cohort, {"person": person, "visit_occurrence": visits}, check=False)
     together(spark, {c: lambda s=s, c=c: load(s, c) for s, c in zip(segments, cohorts)})
     for src, dst in (("bronze", "silver"), ("silver", "gold")):
         jobs.promote(layers[src], layers[dst], "shared", check=False)

@@ -60,8 +60,10 @@ def read_delimited(spark: SparkSession, path: str, tokens=NULL_TOKENS, sep: str
     bare = F.regexp_replace(_CORRUPT, f'(^|{s})"[^"]*+(?:""[^"]*+)*+"', "$1")
     long = F.char_length(F.regexp_replace(bare, f"[^{s}]", "")) + 1 > len(names)
     stop = F.raise_error(F.concat(F.lit(f"{path}: a row has more fields than the header ({len(names)}): "), F.substring(_CORRUPT, 1, 80)))
-    return raw.select(*[F.when(F.coalesce(long, F.lit(False)), stop).otherwise(null_tokens(F.col(f"c{i}"), tokens)).alias(c)
-                        for i, c in enumerate(names)])
+    # one check a row, whatever columns are asked for
+    fields = F.struct(*[null_tokens(F.col(f"c{i}"), tokens).alias(f"c{i}") for i in range(len(names))])
+    return raw.select(F.when(F.coalesce(long, F.lit(False)), stop).otherwise(fields).alias("f")).select(
+        *[F.col(f"f.c{i}").alias(c) for i, c in enumerate(names)])
 
 
 def from_typed(df: DataFrame) -> DataFrame:
