@@ -16,7 +16,8 @@ def components(edges: DataFrame) -> DataFrame:
     a constant factor and stars vanish at once), and the edges to those
     between the nodes left.  Aggregations combine before they shuffle, and
     the joins are on one row per node, so that a node with many edges is only
-    a skewed join key.  Every round is written to the shared folder.
+    a skewed join key, which AQE splits.  Every round is written to the shared
+    folder.
     """
     edges = stored(edges.select("a", "b").where("a != b").distinct(), "edges")
     maps, turn = [], 0
@@ -24,8 +25,9 @@ def components(edges: DataFrame) -> DataFrame:
         def ranked(c):
             return F.struct(F.xxhash64(F.col(c), F.lit(turn)).alias("h"), F.col(c).alias("n"))
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        near = (both.groupBy("a").agg(F.min(ranked("b")).alias("m"))
-                .select("a", F.least("m", ranked("a")).alias("m")))
+        # written, so that the join reads both sides as they were shuffled and AQE can split a node with many edges
+        near = stored(both.groupBy("a").agg(F.min(ranked("b")).alias("m"))
+                      .select("a", F.least("m", ranked("a")).alias("m")), "nearest")
         far = (both.join(near.select(F.col("a").alias("b"), "m"), "b").groupBy("a").agg(F.min("m").alias("f"))
                .join(near, "a").select(F.col("a").alias("node"), F.least("f", "m")["n"].alias("root")))
         far = stored(far, "contraction")

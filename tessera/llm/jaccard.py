@@ -8,9 +8,10 @@ soon as the posterior probability that its similarity reaches the threshold
 falls below ``TOLERANCE`` (uniform prior; with m of n values equal it is the
 chance of at most m successes in n + 1 trials at the threshold).  What is
 left is verified on the whole shingle sets.  A pair that meets in several
-buckets is handled in the first.  Large buckets are cut into chunks and each
-two chunks meet in a block of their own, so no task holds a whole bucket and
-pairs never become rows.
+buckets is handled in the first.  Large buckets are cut into chunks, each
+packed into one record, and each two chunks meet in a block of their own, so
+no task holds a whole bucket and pairs never become rows.  The number of
+chunks grows with the root of a bucket, and so do the copies of a text.
 """
 from __future__ import annotations
 
@@ -20,9 +21,11 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.checks import may_be_among
 from .common import stored
 from .components import components
 
@@ -33,8 +36,9 @@ VALUES, BAND = 96, 4
 BANDS = VALUES // BAND
 #: values compared between two looks at the posterior
 STEP = 16
-#: classes and shingles per chunk of a bucket
-CHUNK, CHUNK_SHINGLES = 128, 400_000
+#: classes and shingles that a bucket may hold before it is cut, and shingles
+#: that a chunk is to stay under however large the bucket
+CHUNK, CHUNK_SHINGLES, MOST_SHINGLES = 512, 1_600_000, 8_000_000
 #: word hashes that a worker remembers
 CACHED_WORDS = 100_000
 
@@ -136,46 +140,63 @@ def _features(batches):
             names=[*rest.schema.names, "_key", "n_shingles", "_sig"])
 
 
-def _runs(batches, last: str, rows: int):
-    """Tables of whole groups: rows arrive sorted by group, ``last`` is the
-    group column, and a table is cut only between two groups."""
-    held = []
+def _flat(batches):
+    """One row per member of the chunk records."""
     for batch in batches:
+        members = batch.column("_members")
+        parent, flat = pc.list_parent_indices(members), members.flatten()
+        rest = batch.drop_columns(["_members"]).take(parent)
+        yield pa.RecordBatch.from_arrays([*rest.columns, *flat.flatten()], names=[*rest.schema.names, *[f.name for f in flat.type]])
+
+
+def _runs(batches, rows: int):
+    """Tables of whole blocks, whose rows lie together; a table is cut only
+    between two blocks."""
+    held, n = [], 0
+    for batch in _flat(batches):
         held.append(batch)
-        if sum(b.num_rows for b in held) < rows:
+        n += batch.num_rows
+        if n < rows:
             continue
         t = pa.Table.from_batches(held)
-        g = t.column(last).to_numpy(zero_copy_only=False)
-        cut = int(np.searchsorted(g, g[-1], "left"))
-        if cut:
+        block = t.column("_block").to_numpy(zero_copy_only=False)
+        others = np.flatnonzero(block != block[-1])
+        if len(others):
+            cut = int(others[-1]) + 1
             yield t.slice(0, cut)
-            held = t.slice(cut).combine_chunks().to_batches()
-    if held:
-        t = pa.Table.from_batches(held)
-        if t.num_rows:
-            yield t
+            held, n = t.slice(cut).combine_chunks().to_batches(), t.num_rows - cut
+    if n:
+        yield pa.Table.from_batches(held)
 
 
 def _matrix(t: pa.Table) -> np.ndarray:
     return np.frombuffer(b"".join(t.column("_sig").to_pylist()), np.uint16).reshape(t.num_rows, VALUES)
 
 
-def _columns(t: pa.Table):
-    return [t.column(c).to_numpy(zero_copy_only=False) for c in ("_band", "_block", "_side")]
+def _pairs(t: pa.Table):
+    return surviving_pairs(_matrix(t), *[t.column(c).to_numpy(zero_copy_only=False) for c in ("_band", "_block", "_side")])
 
 
 def _prune(batches):
-    for t in _runs(batches, "_block", 4096):
-        band, block, side = _columns(t)
-        i, j = surviving_pairs(_matrix(t), band, block, side)
+    for t in _runs(batches, 4096):
+        i, j = _pairs(t)
         if len(i):
-            yield from t.take(pa.array(np.unique(np.concatenate([i, j])))).combine_chunks().to_batches()
+            on = t.take(pa.array(np.unique(np.concatenate([i, j])))).select(["_bucket", "_chunk", "_key"])
+            yield from on.combine_chunks().to_batches()
+
 
+def _find(root: np.ndarray, b: int) -> int:
+    while root[b] != b:
+        root[b] = root[root[b]]
+        b = root[b]
+    return b
 
-def _verify(batches):
+
+def _verify(count: bool):
+    """Exact links of every block.  Without ``count``, pairs that links found
+    before already join are passed over, and only ``_to`` is of use."""
     def exact(t: pa.Table):
-        band, block, side = _columns(t)
-        i, j = surviving_pairs(_matrix(t), band, block, side)
+        i, j = _pairs(t)
         if not len(i):
             return None
         sets = [shingles(x) for x in t.column("_text").to_pylist()]
@@ -189,93 +210,123 @@ def _verify(batches):
         i, j = i[order], j[order]
         for a, lo in zip(*np.unique(i, return_index=True)):
             js = j[lo:np.searchsorted(i, a, "right")]
+            if not count:
+                mine = _find(root, a)
+                js = np.array([b for b in js if _find(root, b) != mine], np.int64)
             mark[ids[starts[a]:starts[a + 1]]] = 1
-            shared = np.array([mark[ids[starts[b]:starts[b + 1]]].sum() for b in js])
+            shared = np.array([mark[ids[starts[b]:starts[b + 1]]].sum() for b in js], np.int64)
             mark[ids[starts[a]:starts[a + 1]]] = 0
             # shared / (both - shared) >= 4/5, in whole numbers
             js = js[9 * shared >= 4 * (sizes[a] + sizes[js])]
             if len(js):
                 links[a] += weight[js].sum()
                 links[js] += weight[a]
-                for b in np.append(js, a):  # the forest of the block
-                    while root[b] != b:
-                        root[b] = root[root[b]]
-                        b = root[b]
-                    r = a
-                    while root[r] != r:
-                        r = root[r]
-                    root[max(b, r)] = min(b, r)
-        for b in range(t.num_rows):
-            root[b] = root[root[b]]
+                for b in js:  # the forest of the block
+                    x, y = sorted((_find(root, a), _find(root, b)))
+                    root[y] = x
         on = np.flatnonzero(links)
         keys = t.column("_key").to_pylist()
         return pa.RecordBatch.from_pydict({
             "_key": [keys[k] for k in on], "_links": pa.array(links[on], pa.int64()),
-            "_to": [keys[root[k]] for k in on]}) if len(on) else None
+            "_to": [keys[_find(root, k)] for k in on]}) if len(on) else None
+
+    def run(batches):
+        for t in _runs(batches, 256):
+            block = t.column("_block").to_numpy()
+            cuts = [0, *(np.flatnonzero(block[1:] != block[:-1]) + 1), t.num_rows]
+            for lo, hi in zip(cuts, cuts[1:]):
+                out = exact(t.slice(lo, hi - lo))
+                if out is not None:
+                    yield out
+    return run
 
-    for t in _runs(batches, "_block", 256):
-        block = t.column("_block").to_numpy()
-        cuts = [0, *(np.flatnonzero(block[1:] != block[:-1]) + 1), t.num_rows]
-        for lo, hi in zip(cuts, cuts[1:]):
-            out = exact(t.slice(lo, hi - lo))
-            if out is not None:
-                yield out
+
+def _row_digest(docs: DataFrame, key: str, text_digest: Column) -> Column:
+    """The same for rows that are equal in every column, other columns by a 64-bit hash."""
+    rest = [F.col(f"`{c}`") for c, t in docs.dtypes if not t.startswith(("map", "variant"))]
+    return F.md5(F.concat_ws(":", text_digest, F.xxhash64(*rest).cast("string"), F.col(key).cast("string")))
 
 
 def features(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document, written to the shared folder: its key, the digest
-    of its text, its shingle class, number of shingles and signature."""
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.md5(F.coalesce(F.col(text), F.lit(""))).alias("_digest"),
+    """One row per document, written to the shared folder: its key, the digests
+    of its text and of the whole row, its shingle class, number of shingles and
+    signature."""
+    digest = F.md5(F.coalesce(F.col(text), F.lit("")))
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), digest.alias("_digest"), _row_digest(docs, key, digest).alias("_whole"),
                        F.col(text).alias("_text"))
-    return stored(rows.mapInArrow(_features, "doc_id long, _digest string, _key binary, n_shingles int, _sig binary")
+    return stored(rows.mapInArrow(_features, "doc_id long, _digest string, _whole string, _key binary, n_shingles int, _sig binary")
                   .withColumn("_row", F.monotonically_increasing_id()), "shingles")
 
 
-def links(rows: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
+_AT = ("_bucket", "_chunk", "_chunks", "_band")
+
+
+def _blocks(members: DataFrame) -> DataFrame:
+    """Chunk records dealt to their blocks, those of a block one after the
+    other: of a bucket of one chunk the record itself, else one record per
+    chunk and other chunk.  ``_side`` is -1 where a chunk meets itself."""
+    parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rest = [c for c in members.columns if c not in _AT]
+    packed = stored(members.groupBy(*_AT).agg(F.collect_list(F.struct(*rest)).alias("_members")), "chunks")
+    lone = packed.where("_chunks = 1").withColumn("_other", F.lit(0))
+    many = packed.where("_chunks > 1").withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)))
+    block = F.xxhash64("_bucket", F.least("_chunk", "_other"), F.greatest("_chunk", "_other"))
+    side = F.when(F.col("_chunk") == F.col("_other"), -1).otherwise((F.col("_chunk") > F.col("_other")).cast("int"))
+
+    def placed(df):
+        return df.select("_bucket", "_chunk", "_band", block.alias("_block"), side.alias("_side"), "_members")
+    return placed(lone).unionByName(placed(many).repartition(parts, "_block").sortWithinPartitions("_block"))
+
+
+def links(rows: DataFrame, docs: DataFrame, text: str = "text", count: bool = True) -> DataFrame:
     """(_key, _links, _to): per block, the classes with links, the number of
     documents linked there and a class of the block that links lead to."""
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    classes = rows.where("_key IS NOT NULL").groupBy("_key").agg(
+    classes = stored(rows.where("_key IS NOT NULL").groupBy("_key").agg(
         F.count(F.lit(1)).alias("_copies"), F.min("_digest").alias("_digest"),
-        F.first("n_shingles").alias("_n"), F.first("_sig").alias("_sig"))
-    classes = stored(classes, "classes")
+        F.first("n_shingles").alias("_n"), F.first("_sig").alias("_sig")), "classes")
     bands = classes.select("_key", "_n", F.posexplode(F.array(*[
         F.substring("_sig", 2 * BAND * b + 1, 2 * BAND) for b in range(BANDS)])).alias("_band", "_value"))
     bands = bands.select("_key", "_n", "_band", F.xxhash64("_band", "_value").alias("_bucket"))
-    shared = bands.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_c"), F.sum("_n").alias("_all")).where("_c > 1")
-    chunks = F.greatest(F.ceil(F.col("_c") / CHUNK), F.ceil(F.col("_all") / CHUNK_SHINGLES)).cast("int")
-    members = (bands.join(shared, "_bucket").withColumn("_chunks", chunks)
-               .withColumn("_chunk", F.pmod(F.xxhash64("_key", "_bucket"), F.col("_chunks")).cast("int"))
-               .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1))))
-    block = F.xxhash64("_bucket", F.least("_chunk", "_other"), F.greatest("_chunk", "_other"))
-    side = F.when(F.col("_chunk") == F.col("_other"), F.lit(-1)).otherwise((F.col("_chunk") > F.col("_other")).cast("int"))
-    members = members.select("_key", block.alias("_block"), "_band", side.cast("int").alias("_side"))
-    kind = "_block long, _band int, _side int, _key binary, _copies long, _digest string, _sig binary"
-    near = stored(members.join(classes.drop("_n"), "_key").select("_block", "_band", "_side", "_key", "_copies", "_digest", "_sig")
-                  .repartition(parts, "_block").sortWithinPartitions("_block").mapInArrow(_prune, kind), "candidates")
+    large = F.greatest(F.col("_c") / CHUNK, F.col("_all") / CHUNK_SHINGLES)
+    chunks = F.greatest(F.ceil(F.sqrt(large)), F.ceil(F.col("_all") / MOST_SHINGLES)).cast("int")
+    # written, so that AQE can split a bucket with many members in the join
+    shared = stored(bands.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_c"), F.sum("_n").alias("_all")).where("_c > 1")
+                    .select("_bucket", chunks.alias("_chunks")), "buckets")
+    # members of other buckets need not be shuffled
+    bands = bands.where(may_be_among(F.col("_bucket"), shared, "_bucket", shared.count()))
+    members = bands.join(shared, "_bucket").select(
+        "_bucket", F.pmod(F.xxhash64("_key", "_bucket"), F.col("_chunks")).cast("int").alias("_chunk"), "_chunks", "_band", "_key")
+    members = stored(members, "members")
+    near = _blocks(members.join(classes.select("_key", "_sig"), "_key")).mapInArrow(_prune, "_bucket long, _chunk int, _key binary").distinct()
+    near = stored(near.join(members, ["_bucket", "_chunk", "_key"])
+                  .join(classes.select("_key", "_copies", "_digest", "_sig"), "_key"), "candidates")
+    # few texts are wanted; copies of a text are put together before they are shuffled
+    wanted = stored(near.select("_digest").distinct().withColumn("_h", F.xxhash64("_digest")), "wanted")
     texts = docs.select(F.md5(F.coalesce(F.col(text), F.lit(""))).alias("_digest"), F.col(text).alias("_text"))
-    wanted = near.select("_digest").distinct()
-    texts = texts.join(wanted, "_digest", "left_semi").dropDuplicates(["_digest"])
-    return stored(near.join(texts, "_digest").select("_block", "_band", "_side", "_key", "_copies", "_sig", "_text")
-                  .repartition(parts, "_block").sortWithinPartitions("_block")
-                  .mapInArrow(_verify, "_key binary, _links long, _to binary"), "links")
+    texts = texts.where(may_be_among(F.xxhash64("_digest"), wanted, "_h", wanted.count())).dropDuplicates(["_digest"])
+    texts = texts.join(wanted.select("_digest"), "_digest", "left_semi")
+    return stored(_blocks(near.join(texts, "_digest").drop("_digest"))
+                  .mapInArrow(_verify(count), "_key binary, _links long, _to binary"), "links")
 
 
-def join_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def join_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", count: bool = True) -> DataFrame:
     """One row per document: ``doc_id``, ``n_shingles``, ``n_links`` (other
-    documents at a similarity of 0.8 or more), ``component_id`` (smallest id
-    reached by links, its own included) and ``kept`` (one document of each
-    component: the one with the smallest id).
+    documents at a similarity of 0.8 or more; without ``count``, which saves
+    the pairs that links already join, only a lower bound), ``component_id``
+    (smallest id reached by links, its own included) and ``kept`` (one document
+    of each component: the one with the smallest id).
 
     Texts are compared as sets of word 5-grams.  Null, empty and blank texts
     have no shingles, link with nothing and are kept.  Documents without id
-    follow those with one; of equal rows one is kept.  Extra columns are ignored.
+    follow those with one; of rows with the same id the one with the smallest
+    digest of all its columns is kept, of equal rows one.  Extra columns have
+    no other part in it.
     """
     rows = features(docs, key, text)
-    found = links(rows, docs, text)
+    found = links(rows, docs, text, count)
     roots = components(found.select(F.col("_key").alias("a"), F.col("_to").alias("b")))
-    # nulls last, then the order of the rows as written
-    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")
+    # nulls last, then the whole row, then the order of the rows as written
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_whole", "_row")
     classes = rows.where("_key IS NOT NULL").groupBy("_key").agg(
         F.count(F.lit(1)).alias("_copies"), F.min(first).alias("_first"))
     classes = (classes.join(found.groupBy("_key").agg(F.sum("_links").alias("_links")), "_key", "left")
@@ -283,21 +334,21 @@ def join_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
                .withColumn("_root", F.coalesce("_root", "_key")))
     classes = stored(classes, "joined")
     tops = classes.groupBy("_root").agg(F.min("_first").alias("_top"))
-    classes = classes.join(tops, "_root").select(
-        "_key", "_top", (F.col("_copies") - 1 + F.coalesce("_links", F.lit(0))).alias("_n"))
-    out = rows.drop("_sig").join(classes, "_key", "left")
-    alone = F.col("_top").isNull()
-    return out.select(
-        "doc_id", "n_shingles", F.coalesce("_n", F.lit(0)).cast("long").alias("n_links"),
-        F.when(alone, F.col("doc_id")).otherwise(F.col("_top.doc_id")).alias("component_id"),
-        (alone | (F.col("_top._row") == F.col("_row"))).alias("kept"), "_digest", "_row")
+    classes = stored(classes.join(tops, "_root").select(
+        "_key", "_top", (F.col("_copies") - 1 + F.coalesce("_links", F.lit(0))).alias("_n")), "tops")
+    shown = ("doc_id", "n_shingles", "n_links", "component_id", "kept", "_digest", "_whole", "_row")
+    linked = rows.drop("_sig").join(classes, "_key").withColumns({
+        "n_links": F.col("_n"), "component_id": F.col("_top.doc_id"), "kept": F.col("_top._row") == F.col("_row")})
+    blank = rows.where("_key IS NULL").withColumns({
+        "n_links": F.lit(0).cast("long"), "component_id": F.col("doc_id"), "kept": F.lit(True)})
+    return linked.select(*shown).unionByName(blank.select(*shown))
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that ``join_documents`` keeps, all columns.  Rows
-    with the same id and text count as one."""
-    def row(id_, digest):
-        return F.md5(F.concat(F.coalesce(id_.cast("long").cast("string"), F.lit("")), F.lit(":"), digest)).alias("_row")
-    kept = join_documents(docs, key, text).where("kept").select(row(F.col("doc_id"), F.col("_digest"))).distinct()
-    rows = docs.withColumn("_row", row(F.col(key), F.md5(F.coalesce(F.col(text), F.lit("")))))
-    return rows.join(kept, "_row", "left_semi").dropDuplicates(["_row"]).select(*docs.columns)
+    equal in every column count as one, also where their text is blank."""
+    kept = join_documents(docs, key, text, count=False).where("kept").select(F.col("_whole").alias("__t_whole")).distinct()
+    digest = _row_digest(docs, key, F.md5(F.coalesce(F.col(text), F.lit(""))))
+    # equal rows are put together before they are shuffled, then join where they lie
+    rows = docs.withColumn("__t_whole", digest).dropDuplicates(["__t_whole"])
+    return rows.join(kept, "__t_whole", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -4,6 +4,8 @@ import random
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from tessera.llm import jaccard
 from tessera.llm.components import components
 
@@ -117,3 +119,60 @@ def test_query(spark):
     want = brute([(r.doc_id, r.text) for r in table(spark, d, "documents").collect()])
     got = QUERIES["op8_ngram_jaccard"](spark, d).collect()
     assert {r.doc_id: (r.n_links, r.class_id) for r in got} == want
+
+
+def near_copies_of_one(n, seed=6):
+    rng = random.Random(seed)
+    first = ["w%d" % rng.randrange(4000) for _ in range(120)]
+    out = []
+    for i in range(n):
+        t = list(first)
+        t[rng.randrange(len(t))] = "x%d" % i
+        out.append((i, " ".join(t)))
+    return out
+
+
+def test_rows_of_a_large_group_do_not_grow_with_its_square(spark, monkeypatch):
+    """Rows and bytes that are dealt to blocks for 500, 1,000 and 2,000 near copies."""
+    sizes = []
+    real = jaccard._blocks
+
+    def counted(members):
+        blocks = real(members)
+        rows, texts = blocks.agg(F.count(F.lit(1)), F.sum(F.size("_members"))).first()
+        sizes[-1].append((rows, texts))
+        return blocks
+    monkeypatch.setattr(jaccard, "_blocks", counted)
+    monkeypatch.setattr(jaccard, "CHUNK", 40)
+    for n in (500, 1000, 2000):
+        sizes.append([])
+        df = spark.createDataFrame(near_copies_of_one(n), "doc_id long, text string")
+        got = jaccard.join_documents(df).collect()
+        # pruning drops a pair in some hundred thousand here, which is its tolerance
+        assert all(r.n_links <= n - 1 and r.component_id == 0 for r in got) and sum(r.n_links for r in got) > 0.99999 * n * (n - 1)
+    for phase in (0, 1):
+        for small, large in zip(sizes, sizes[1:]):
+            assert large[phase][0] < 2.5 * small[phase][0], sizes
+            assert large[phase][1] < 3.2 * small[phase][1], sizes  # copies of members: by the root of the group
+
+
+def test_keep_one_of_a_large_group_in_chunks(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "CHUNK", 40)
+    rows = near_copies_of_one(600) + [(1000 + i, t + " tail of its own here now and then " * 20) for i, t in near_copies_of_one(2)]
+    kept = jaccard.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
+    want = {c for _, c in brute(rows).values()}
+    assert {r.doc_id for r in kept.collect()} == want
+
+
+def test_which_row_stays(spark):
+    """Of rows that differ only in other columns the same one stays, whatever the order; columns named like inner ones stay."""
+    text = "a b c d e f g h"
+    rows = [(1, text, s, i) for i, s in enumerate("zyx")] + [(1, text, "z", 0)] * 400 + [(2, text + " i", "q", 9), (3, "  ", "blank", 1), (3, "  ", "blank", 1)]
+    schema = "doc_id long, text string, source string, _row int"
+    found = set()
+    for seed in range(3):
+        random.Random(seed).shuffle(rows)
+        got = jaccard.keep_one(spark.createDataFrame(rows, schema).repartition(3)).collect()
+        assert sorted(r.doc_id for r in got) == [1, 3] and got[0].asDict().keys() == {"doc_id", "text", "source", "_row"}
+        found.add(next((r.source, r._row) for r in got if r.doc_id == 1))
+    assert len(found) == 1 and found <= {("z", 0), ("y", 1), ("x", 2)}
