@@ -9,8 +9,9 @@ calibrated on a bounded sample, as the quantile of the distances at which
 neighbours exactly on the threshold, in random directions, are found.
 Pairs met in a cell are verified in double precision.
 
-Work on a cell is cut into blocks of bounded size, computed as matrix
-products; a block yields one row per linked vector, never its pairs.
+Vectors of each length have an index of their own.  Work on a cell is cut into
+blocks of bounded size, computed as matrix products; a block yields one row
+per linked vector, never its pairs.
 """
 from __future__ import annotations
 
@@ -18,6 +19,7 @@ import heapq
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,8 +30,13 @@ THRESHOLD = 0.93
 #: share of the farthest neighbours that count which the traversal is to meet
 #: from one side alone; nearer ones, and pairs met from either side, do better
 RECALL = 0.99
-#: rows that the codebooks and the stop are fitted on, and codewords per half
-SAMPLE, LEAST_WORDS, MOST_WORDS, CELL_ROWS = 8192, 8, 256, 64
+#: rows that the codebooks and the stop of all lengths are fitted on (up to
+#: MOST_SAMPLE for large books), codewords per half, and vectors per cell that
+#: their number aims at: up to 4e9 vectors of a length the grid grows with them
+SAMPLE, MOST_SAMPLE, LEAST_WORDS, MOST_WORDS, CELL_ROWS = 8192, 65_536, 8, 4096, 256
+#: lengths that get an index, those with most vectors; the vectors of any other
+#: length (and label) lie in one cell and meet in its blocks
+INDEXED = 16
 #: residents and visitors of a block
 RESIDENTS, VISITORS = 1024, 4096
 
@@ -38,7 +45,7 @@ def kmeans(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     rng = np.random.default_rng(7)
     centres = x[rng.choice(len(x), min(k, len(x)), replace=False)].copy()
     for _ in range(rounds):
-        near = _squares(x, centres).argmin(axis=1)
+        near = np.concatenate([_squares(x[i:i + 4096], centres).argmin(axis=1) for i in range(0, len(x), 4096)])
         sums = np.zeros_like(centres)
         np.add.at(sums, near, x)
         n = np.bincount(near, minlength=len(centres))
@@ -50,6 +57,16 @@ def _squares(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.maximum((x ** 2).sum(1)[:, None] - 2 * x @ centres.T + (centres ** 2).sum(1)[None], 0)
 
 
+class OneCell:
+    """The index of lengths that have none: everything in cell 0."""
+
+    def visits(self, x):
+        return [np.zeros(1, np.int32)] * len(x)
+
+    def goes(self, x, cells):
+        return np.ones((len(x), len(cells)), bool)
+
+
 class MultiIndex:
     """Two codebooks and the distance at which a traversal may stop."""
 
@@ -62,11 +79,8 @@ class MultiIndex:
         aside -= (aside * sample).sum(1, keepdims=True) * sample
         length = np.linalg.norm(aside, axis=1, keepdims=True)
         near = threshold * sample + np.sqrt(1 - threshold ** 2) * aside / np.where(length > 0, length, 1)
-        home = self.cells(near)
-        a, b = self.distances(sample)
-        i = np.arange(len(sample))
-        over = a[i, home // self.width] + b[i, home % self.width] - a.min(1) - b.min(1)
-        self.stop = float(np.quantile(over, recall)) if len(sample) else 0.0
+        over = [self.detours(sample[i:i + 4096], self.cells(near[i:i + 4096])) for i in range(0, len(sample), 4096)]
+        self.stop = float(np.quantile(np.concatenate(over), recall)) if len(sample) else 0.0
 
     @property
     def width(self) -> int:
@@ -79,11 +93,24 @@ class MultiIndex:
         a, b = self.distances(x)
         return a.argmin(1) * self.width + b.argmin(1)
 
+    def detours(self, x: np.ndarray, cells: np.ndarray) -> np.ndarray:
+        """How much farther than its own each vector's given cell is."""
+        a, b = self.distances(x)
+        i = np.arange(len(x))
+        return a[i, cells // self.width] + b[i, cells % self.width] - a.min(1) - b.min(1)
+
+    def goes(self, x: np.ndarray, cells: np.ndarray) -> np.ndarray:
+        """Whether each vector (rows) visits each cell (columns), as ``visits`` has it."""
+        a, b = self.distances(x)
+        d = a[:, cells // self.width] + b[:, cells % self.width]
+        return d <= (a.min(1) + b.min(1))[:, None] + self.stop
+
     def visits(self, x: np.ndarray) -> list[np.ndarray]:
         """For each vector the cells to visit, nearest first; the first is its own."""
         out = []
-        for a, b in zip(*self.distances(x)):
-            out.append(np.array(self._walk(a, b), dtype=np.int32))
+        for i in range(0, len(x), 1024):
+            for a, b in zip(*self.distances(x[i:i + 1024])):
+                out.append(np.array(self._walk(a, b), dtype=np.int32))
         return out
 
     def _walk(self, a: np.ndarray, b: np.ndarray) -> list[int]:
@@ -114,18 +141,26 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _assign(index):
+def _assign(shared):
+    """Adds the cells that each vector visits; batches hold vectors of all lengths."""
     def run(batches):
         for batch in batches:
+            vec = batch.column("_vec")
+            widths = pc.list_value_length(vec).to_numpy(zero_copy_only=False)
+            visits = [None] * batch.num_rows
+            for w in np.unique(widths):
+                at = np.flatnonzero(widths == w)
+                index = shared.value.get(int(w), OneCell())
+                for i, cells in zip(at, index.visits(_unit(_vectors(vec.take(pa.array(at)))))):
+                    visits[i] = cells
             if batch.num_rows:
-                visits = index.value.visits(_unit(_vectors(batch.column("_vec"))))
                 offsets = np.concatenate([[0], np.cumsum([len(v) for v in visits])]).astype(np.int32)
                 cells = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(visits)))
                 yield pa.RecordBatch.from_arrays([*batch.columns, cells], names=[*batch.schema.names, "_visits"])
     return run
 
 
-def link_block(own: dict, guests: dict, threshold: float):
+def link_block(own: dict, guests: dict, threshold: float, index):
     """Links between the residents of a cell and vectors that visit it, as
     (links of residents, links of visitors, forest).
 
@@ -135,7 +170,7 @@ def link_block(own: dict, guests: dict, threshold: float):
     near = own["vec"] @ guests["vec"].T >= threshold
     near &= own["id"][:, None] != guests["id"][None, :]
     homes, at = np.unique(guests["home"], return_inverse=True)
-    goes = np.array([np.isin(homes, v) for v in own["visits"]]).reshape(len(own["id"]), len(homes))
+    goes = index.goes(own["vec"], homes)
     weights = near * guests["copies"][None, :]
     to_own = (weights * ~goes[:, at]).sum(axis=1)
     to_guests = (near * own["copies"][:, None]).sum(axis=0)
@@ -159,20 +194,20 @@ def _forest(near: np.ndarray, own: np.ndarray, guests: np.ndarray) -> list[tuple
         a, b = a2, b2
 
 
-def _verify(threshold: float):
+def _verify(threshold: float, shared):
     def run(t: pa.Table) -> pa.Table:
         vec = _unit(_vectors(t.column("_vec")))
+        index = shared.value.get(vec.shape[1], OneCell())
         ids, copies = t.column("_id").to_numpy(), t.column("_copies").to_numpy()
-        home, visits = t.column("_home").to_numpy(), t.column("_visits").to_pylist()
+        home = t.column("_home").to_numpy()
         guest = t.column("_guest").to_numpy(zero_copy_only=False).astype(bool)
 
         def side(on):
-            at = np.flatnonzero(on)
-            return {"vec": vec[at], "id": ids[at], "copies": copies[at], "home": home[at], "visits": [visits[i] for i in at]}
+            return {"vec": vec[on], "id": ids[on], "copies": copies[on], "home": home[on]}
         own, guests = side(~guest), side(guest)
         links, edges = {}, []
         if len(own["id"]) and len(guests["id"]):
-            to_own, to_guests, edges = link_block(own, guests, threshold)
+            to_own, to_guests, edges = link_block(own, guests, threshold, index)
             for who, n in ((own["id"], to_own), (guests["id"], to_guests)):
                 for i in np.flatnonzero(n):
                     links[int(who[i])] = links.get(int(who[i]), 0) + int(n[i])
@@ -183,41 +218,53 @@ def _verify(threshold: float):
     return run
 
 
+def fit(points: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> dict[int, MultiIndex]:
+    """An index for each of the INDEXED lengths with most vectors, fitted on
+    MOST_SAMPLE vectors in all at most."""
+    width = F.size("_vec")
+    sizes = points.groupBy(width.alias("w")).count().orderBy(F.desc("count"), "w").limit(INDEXED).collect()
+    words = {r.w: int(np.clip(np.sqrt(r["count"] / CELL_ROWS), LEAST_WORDS, MOST_WORDS)) for r in sizes if r.w > 1}
+    out = {}
+    for w, k in words.items():
+        n = min(max(SAMPLE, 16 * k), MOST_SAMPLE) // len(words)
+        drawn = points.where(width == w).select("_vec").orderBy(F.xxhash64("_vec")).limit(n).toArrow().column("_vec")
+        out[w] = MultiIndex(_unit(_vectors(drawn)), k, threshold, recall)
+    return out
+
+
 def near_duplicates(table: DataFrame, key: str = "vec_id", vector: str = "embedding", label: str = "label",
                     threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """One row per vector: ``vec_id``, ``n_links``, ``component_id`` (smallest
     id reached by links, its own included) and ``kept`` (the smallest id of
     its component).
 
-    Only vectors of equal labels link.  Null labels, null or empty vectors,
-    zeros, null or non-finite components, and vectors of another length than
-    most (by the sample) link with nothing.  Equal vectors of a label are one
-    point with copies.  Keys are expected to be unique; extra columns are ignored.
+    Only vectors of equal labels and lengths link.  Null labels and ids, null
+    or empty vectors, zeros, and null or non-finite components link with
+    nothing.  Equal vectors of a label are one point with copies.  A repeated
+    id keeps a row for each of its vectors, linked by what the vector links
+    with; extra columns are ignored.
     """
     spark = table.sparkSession
+    kind = "float" if dict(table.dtypes)[vector] == "array<float>" else "double"
     rows = table.select(F.col(key).cast("long").alias("_id"), F.col(label).alias("_label"),
-                        F.transform(F.col(vector).cast("array<double>"), lambda x: x + 0.0).alias("_vec"))  # -0 is 0
+                        F.transform(F.col(vector).cast(f"array<{kind}>"), lambda x: (x + F.lit(0.0).cast(kind)).cast(kind)).alias("_vec"))  # -0 is 0
     finite = F.forall("_vec", lambda x: x.isNotNull() & (F.abs(x) < float("inf")) & ~F.isnan(x))
-    valid = rows.where(F.col("_label").isNotNull() & F.coalesce(finite, F.lit(False))
-                       & F.exists("_vec", lambda x: x != 0) & F.col("_id").isNotNull())
-    points = stored(valid.groupBy("_label", "_vec").agg(F.min("_id").alias("_id"), F.count(F.lit(1)).alias("_copies")), "points")
-    size = points.count()
-    sample = (points.select("_vec").orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE).toArrow()
-              .column("_vec").to_pylist())  # at most SAMPLE vectors
-    ids = rows.select(F.col("_id").alias(key))
-    if not sample:
-        return ids.select(key, F.lit(0).cast("long").alias("n_links"), F.col(key).alias("component_id"), F.lit(True).alias("kept"))
-    widths = [len(v) for v in sample]
-    width = max(set(widths), key=lambda w: (widths.count(w), w))
-    words = int(np.clip(np.sqrt(size / CELL_ROWS), LEAST_WORDS, MOST_WORDS))
-    index = MultiIndex(_unit(np.array([v for v in sample if len(v) == width])), words, threshold, recall)
-    shared = spark.sparkContext.broadcast(index)  # 2 * MOST_WORDS half vectors at most
-
-    points = points.where(F.size("_vec") == width)
-    schema = "_label " + dict(points.dtypes)["_label"] + ", _vec array<double>, _id long, _copies long, _visits array<int>"
-    points = stored(points.select("_label", "_vec", "_id", "_copies").repartition("_id")
-                    .mapInArrow(_assign(shared), schema).withColumn("_home", F.get("_visits", F.lit(0))), "visits")
-    visits = points.select("_label", "_id", F.explode("_visits").alias("_cell"), "_home")
+    fit_for = (F.col("_label").isNotNull() & F.coalesce(finite, F.lit(False))
+               & F.coalesce(F.exists("_vec", lambda x: x != 0), F.lit(False)) & F.col("_id").isNotNull())
+    valid = rows.where(fit_for)
+    alone = rows.where(~fit_for).select(F.col("_id").alias(key), F.lit(0).cast("long").alias("n_links"),
+                                        F.col("_id").alias("component_id"), F.lit(True).alias("kept"))
+    # a point's own number, as ids may repeat; lengths are kept apart with the labels
+    points = (valid.groupBy("_label", "_vec").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_copies"))
+              .withColumn("_label", F.struct(F.col("_label").alias("label"), F.size("_vec").alias("width"))))
+    points = stored(points.withColumn("_id", F.monotonically_increasing_id()), "points")
+    indexes = fit(points, threshold, recall)
+    shared = spark.sparkContext.broadcast(indexes)  # 2 * MOST_WORDS half vectors each, at most
+
+    schema = f"_label {dict(points.dtypes)['_label']}, _vec array<{kind}>, _first long, _copies long, _id long, _visits array<int>"
+    visited = stored(points.select("_label", "_vec", "_first", "_copies", "_id").repartition("_id")
+                     .mapInArrow(_assign(shared), schema).withColumn("_home", F.get("_visits", F.lit(0))), "visits")
+    visits = visited.select("_label", "_id", F.explode("_visits").alias("_cell"), "_home")
     # the blocks of each cell, from the counts of those who live there and visit
     cells = visits.groupBy("_label", "_cell").agg(
         F.sum((F.col("_cell") == F.col("_home")).cast("long")).alias("_own"), F.count(F.lit(1)).alias("_all"))
@@ -235,21 +282,22 @@ def near_duplicates(table: DataFrame, key: str = "vec_id", vector: str = "embedd
     part, rest = spread("_r", "_v")
     own = placed.where("_cell = _home").select("_label", "_id", "_cell", part.alias("_rp"), rest.alias("_vp"),
                                                F.lit(False).alias("_guest"))
-    blocks = own.unionByName(guests).join(points.select("_id", "_vec", "_copies", "_home", "_visits"), "_id")
+    blocks = own.unionByName(guests).join(visited.select("_id", "_vec", "_copies", "_home"), "_id")
     found = stored(blocks.groupBy("_label", "_cell", "_rp", "_vp").applyInArrow(
-        _verify(threshold), "_id long, _links long, _to long"), "links")
+        _verify(threshold, shared), "_id long, _links long, _to long"), "links")
     roots = components(found.select(F.col("_id").alias("a"), F.col("_to").alias("b")))
-    near = (points.select("_id", "_copies").join(found.groupBy("_id").agg(F.sum("_links").alias("_links")), "_id", "left")
+    near = (points.select("_id", "_copies", "_first").join(found.groupBy("_id").agg(F.sum("_links").alias("_links")), "_id", "left")
             .join(roots.select(F.col("node").alias("_id"), F.col("root").alias("_root")), "_id", "left")
             .withColumn("_root", F.coalesce("_root", "_id")))
     near = stored(near.withColumn("_n", F.col("_copies") - 1 + F.coalesce("_links", F.lit(0))), "joined")
-    tops = near.groupBy("_root").agg(F.min("_id").alias("_top"))
+    tops = near.groupBy("_root").agg(F.min("_first").alias("_top"))
     near = near.join(tops, "_root").select(F.col("_id").alias("_point"), "_n", "_top")
-    # every vector to its point: by label and vector, through the digest of both
+    # every vector to its point: by label and vector, through the digest of both; the points are written, so that
+    # AQE can split a vector with very many copies
     digest = F.xxhash64("_label", "_vec")
-    owner = (points.select(digest.alias("_h"), F.col("_label").alias("_pl"), F.col("_vec").alias("_pv"), F.col("_id").alias("_point"))
-             .join(near, "_point"))
-    out = rows.join(owner, (digest == F.col("_h")) & (F.col("_label") == F.col("_pl")) & (F.col("_vec") == F.col("_pv")), "left")
-    return out.select(
-        F.col("_id").alias(key), F.coalesce("_n", F.lit(0)).cast("long").alias("n_links"),
-        F.coalesce("_top", "_id").alias("component_id"), F.coalesce(F.col("_top") == F.col("_id"), F.lit(True)).alias("kept"))
+    owner = stored(points.select(F.col("_label.label").alias("_pl"), F.col("_vec").alias("_pv"), F.col("_id").alias("_point"))
+                   .withColumn("_h", F.xxhash64("_pl", "_pv")).join(near, "_point"), "owners")
+    out = valid.join(owner, (digest == F.col("_h")) & (F.col("_label") == F.col("_pl")) & (F.col("_vec") == F.col("_pv")))
+    out = out.select(F.col("_id").alias(key), F.col("_n").cast("long").alias("n_links"), F.col("_top").alias("component_id"),
+                     (F.col("_top") == F.col("_id")).alias("kept"))
+    return out.unionByName(alone)

@@ -67,13 +67,28 @@ def test_odd_vectors(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in vectors.near_duplicates(df).collect()}
     assert got.pop(1) == (2, 1, True) and got.pop(2) == (2, 1, False) and got.pop(12) == (2, 1, False)
-    for i in (13, 14):  # equal vectors of an odd length: not indexed
-        assert got.pop(i) == (0, i, True)
+    assert got.pop(13) == (1, 13, True) and got.pop(14) == (1, 13, False)  # of another length
     assert got == {i: (0, i, True) for i in (3, 4, 5, 6, 7, 8, 9, 10, 11)}
     assert vectors.near_duplicates(df.limit(0)).collect() == []
     assert [tuple(r) for r in vectors.near_duplicates(df.where("vec_id = 6")).collect()] == [(6, 0, 6, True)]
 
 
+def test_lengths_have_indexes_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "INDEXED", 2)
+    rng = np.random.default_rng(5)
+    rows = [(1000 * k + i, v, 1, "x") for k, (dims, n) in enumerate([(64, 60), (32, 40), (16, 30), (1, 6), (7, 5)])
+            for i, v in enumerate(spread(rng, n, n // 3, 3, dims))]
+    rows += [(9000 + i, [0.5] * 48, 1, "odd") for i in range(5)]
+    rows += [(3, rows[70][1], 1, "an id again")]
+    got = [(r.vec_id, r.n_links, r.component_id) for r in vectors.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()]
+    unique = [(i, v, (lab, len(v))) for i, v, lab, _ in rows[:-1]] + [(99_999, rows[-1][1], (1, 32))]
+    want = brute(unique)
+    assert len(got) == len(rows) and all((4, 9000) == (n, c) for i, n, c in got if i >= 9000)
+    odd = {(i, n) for i, n, _ in got if i not in (3,)}
+    assert odd == {(i, n) for i, (n, _) in want.items() if i not in (3, 99_999)}
+    assert sorted(n for i, n, _ in got if i == 3) == sorted([want[3][0], want[99_999][0]])
+
+
 def test_traversal_is_in_order():
     rng = np.random.default_rng(3)
     x = np.array(spread(rng, 400, 50, 20), dtype=float)
@@ -85,6 +100,7 @@ def test_traversal_is_in_order():
         got = d.ravel()[cells]
         assert cells[0] == m.cells(x[i:i + 1])[0] and (np.diff(got) >= 0).all()
         assert len(cells) == (d <= d.min() + m.stop).sum() and len(set(cells.tolist())) == len(cells)
+        assert set(np.flatnonzero(m.goes(x[i:i + 1], np.arange(81))[0])) == set(cells.tolist())
 
 
 def test_query(spark):
