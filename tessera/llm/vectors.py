@@ -268,9 +268,10 @@ def near_duplicates(table: DataFrame, key: str = "vec_id", vector: str = "embedd
     # the blocks of each cell, from the counts of those who live there and visit
     cells = visits.groupBy("_label", "_cell").agg(
         F.sum((F.col("_cell") == F.col("_home")).cast("long")).alias("_own"), F.count(F.lit(1)).alias("_all"))
-    cells = cells.where("_own > 0 AND _all > 1").select(
+    # written, so that AQE can split a cell that very many visit in the join
+    cells = stored(cells.where("_own > 0 AND _all > 1").select(
         "_label", "_cell", F.ceil(F.col("_own") / RESIDENTS).cast("int").alias("_r"),
-        F.ceil(F.col("_all") / VISITORS).cast("int").alias("_v"))
+        F.ceil(F.col("_all") / VISITORS).cast("int").alias("_v")), "cells")
     placed = visits.join(cells, ["_label", "_cell"])
 
     def spread(mine, others):
