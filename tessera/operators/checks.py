@@ -201,7 +201,9 @@ def fk_report(children: dict[str, DataFrame], parent: DataFrame, parent_key: str
     # join: the optimizer pushes anti-joins below the aggregation of the
     # stacked keys, which would join every child row instead of one row per
     # distinct key.
-    missing = (stacked.join(keys.withColumn("_parent", F.lit(True)), "key", "left")
+    # Merged, never broadcast: the keys are as many as the parent's rows, and
+    # checks of several schemas run at the same time in one driver.
+    missing = (stacked.join(keys.withColumn("_parent", F.lit(True)).hint("merge"), "key", "left")
                       .where(F.col("_parent").isNull()))
     return missing.select(
         "table_name", F.concat(F.lit(f"foreign_key:{parent_name}.{parent_key}")).alias("constraint_name"),
@@ -320,7 +322,7 @@ def validate_tables(frames: dict[str, DataFrame], contracts: dict[str, TableCont
             if name not in new_rows:
                 return df
             keys = local.select(*[_q(c) for c in cols]).distinct()
-            return df.select(*[_q(c) for c in cols]).join(keys, list(cols), "left_semi")
+            return df.select(*[_q(c) for c in cols]).join(keys.hint("merge"), list(cols), "left_semi")
         if t.primary_key:
             pk = list(t.primary_key)
             # PK columns are NOT NULL columns: the row checks count NULLs
@@ -342,7 +344,7 @@ def validate_tables(frames: dict[str, DataFrame], contracts: dict[str, TableCont
                 df.select(F.lit(f"{parent}.{key}").alias("parent"), _q(key).cast("string").alias("key"))
                   .where(F.col("key").isNotNull()).distinct().withColumn("_there", F.lit(True))
                 for (parent, key), df in wanted.items()])
-            # a left join on unique keys, not left_anti: see fk_report
-            stacked = stacked.join(keys, ["parent", "key"], "left").where(F.col("parent").isNull() | F.col("_there").isNull())
+            # a left join on unique keys, not left_anti, and merged: see fk_report
+            stacked = stacked.join(keys.hint("merge"), ["parent", "key"], "left").where(F.col("parent").isNull() | F.col("_there").isNull())
         reports.append(stacked.select(*VIOLATION_COLUMNS))
     return _all_of(reports) if reports else empty_report(spark)

@@ -271,7 +271,8 @@ def promoted_cohorts(spark, d):
         own = cust.where(F.col("c_mktsegment") == segment)
         person = own.select(F.col("c_custkey").cast("int").alias("person_id"), F.lit(0).alias("gender_concept_id"),
                             F.lit(1970).alias("year_of_birth"), F.lit(0).alias("race_concept_id"), F.lit(0).alias("ethnicity_concept_id"))
-        visits = orders.join(own, F.col("o_custkey") == F.col("c_custkey"), "left_semi").select(
+        # merged: five broadcasts of customers at once would fill the driver
+        visits = orders.join(own.hint("merge"), F.col("o_custkey") == F.col("c_custkey"), "left_semi").select(
             F.col("o_orderkey").cast("int").alias("visit_occurrence_id"), F.col("o_custkey").cast("int").alias("person_id"),
             F.lit(0).alias("visit_concept_id"), F.to_date("o_orderdate").alias("visit_start_date"),
             F.to_date("o_orderdate").alias("visit_end_date"), F.lit(0).alias("visit_type_concept_id"))

@@ -237,7 +237,7 @@ class Warehouse:
                 ref = keys[0].ref_columns[0]
                 lost_keys = lost.select(F.col(ref).alias("key")).distinct()
                 stacked = stacked_keys(rows, [c for fk in keys for c in fk.columns], dict(lost.dtypes)[ref])
-                yield stacked.join(lost_keys, "key").select(
+                yield stacked.join(lost_keys.hint("merge"), "key").select(
                     F.lit(child).alias("table_name"), F.lit(f"foreign_key:{table}.{ref}").alias("constraint_name"),
                     F.col("column").alias("columns"), F.col("key").cast("string").alias("key"), "n")
 

@@ -85,6 +85,19 @@ def test_fk_check_joins_distinct_keys_not_rows(spark):
     assert "LeftAnti" not in plan
 
 
+def test_keys_of_parents_are_never_broadcast(spark):
+    """They are as many as the parent's rows, and the driver would hold them."""
+    from tessera import contracts
+    from tessera.operators import checks
+    child = spark.createDataFrame([(1, 1), (2, 3)], "c_id long, p_id long")
+    parent = spark.createDataFrame([(1,), (2,)], "p_id long")
+    own = {"child": contracts.ad_hoc("child", "c_id bigint!, p_id bigint", pk="c_id", fks=["p_id -> x.parent.p_id"])}
+    for report in (checks.fk_report({"child": child}, parent, "p_id", {"child": ["p_id"]}, "parent"),
+                   checks.validate_tables({"child": child}, own, {"parent": parent}, new_rows={"child": child})):
+        assert "Broadcast" not in report._jdf.queryExecution().executedPlan().toString()
+        assert [(r.columns, r.key, r.n) for r in report.collect()] == [("p_id", "3", 1)]
+
+
 @pytest.fixture()
 def no_broadcast(spark):
     """Plans as for large tables."""
