@@ -173,6 +173,18 @@ def stacked_keys(child: DataFrame, columns, key_type: str | None = None) -> Data
                  .groupBy("column", "key").agg(F.count(F.lit(1)).alias("n")))
 
 
+#: keys that one task of a join of keys is to hold
+KEYS_PER_TASK = 1_000_000
+
+
+def _key_tasks(frames: list[DataFrame]) -> int:
+    """Tasks for a join of the frames' keys: by their rows (Parquet counts them
+    from its footers), as key columns compress so well that AQE, which goes by
+    bytes, gives a task more keys the larger the table is."""
+    rows = _all_of([df.select(F.lit(1).alias("_one")) for df in frames]).count()
+    return max(1, -(-rows // KEYS_PER_TASK))
+
+
 def fk_report(children: dict[str, DataFrame], parent: DataFrame, parent_key: str,
               edges: dict[str, list[str]], parent_name: str,
               parent_keys: DataFrame | None = None) -> DataFrame:
@@ -192,11 +204,12 @@ def fk_report(children: dict[str, DataFrame], parent: DataFrame, parent_key: str
         parts.append(stacked_keys(children[table], cols, ktype).withColumn("table_name", F.lit(table)))
     if not parts:
         return empty_report(parent.sparkSession)
-    stacked = reduce(lambda a, b: a.unionByName(b), parts)
+    tasks = _key_tasks([parent, *[children[t] for t, cols in edges.items() for _ in cols]])
+    stacked = reduce(lambda a, b: a.unionByName(b), parts).repartition(tasks, "key")
     if parent_keys is not None:  # already one row per key
-        keys = parent_keys.select(_q(parent_key).alias("key"))
+        keys = parent_keys.select(_q(parent_key).alias("key")).repartition(tasks, "key")
     else:
-        keys = parent.select(_q(parent_key).alias("key")).where(F.col("key").isNotNull()).distinct()
+        keys = parent.select(_q(parent_key).alias("key")).where(F.col("key").isNotNull()).repartition(tasks, "key").distinct()
     # A left join on unique parent keys plus a NULL filter, not a left_anti
     # join: the optimizer pushes anti-joins below the aggregation of the
     # stacked keys, which would join every child row instead of one row per

@@ -98,6 +98,16 @@ def test_keys_of_parents_are_never_broadcast(spark):
         assert [(r.columns, r.key, r.n) for r in report.collect()] == [("p_id", "3", 1)]
 
 
+def test_tasks_that_join_keys_follow_the_rows(spark, monkeypatch):
+    """Not the bytes: sorted keys compress to next to nothing."""
+    from tessera.operators import checks
+    monkeypatch.setattr(checks, "KEYS_PER_TASK", 10, raising=False)
+    child, parent = spark.range(40).selectExpr("id AS p_id"), spark.range(38).selectExpr("id AS p_id")
+    report = checks.fk_report({"child": child}, parent, "p_id", {"child": ["p_id"]}, "parent")
+    assert report._jdf.queryExecution().executedPlan().toString().count(", 8), REPARTITION_BY_NUM") == 2
+    assert sorted((r.columns, r.key, r.n) for r in report.collect()) == [("p_id", "38", 1), ("p_id", "39", 1)]
+
+
 @pytest.fixture()
 def no_broadcast(spark):
     """Plans as for large tables."""
