@@ -22,6 +22,8 @@ from .common import without
 #: ids per row, and the bytes of text that a packing group is meant to hold
 #: (a document has no more ids than bytes, its end counted)
 ROW, GROUP_BYTES = 2048, 8_000_000
+#: documents that a task turns into ids at a time, and characters beyond which it starts anew
+STEP_DOCS, STEP_CHARS = 256, 1_000_000
 PACKED = ("pack_group int, pack_row int, n_ids int, ids binary, doc_ids array<long>, pieces array<int>, "
           "cu_seqlens array<int>, resets binary")
 
@@ -96,19 +98,28 @@ def _pieces(path: str, row: int, end: int):
     with ``end``.  Ids are stored in two bytes each, low byte first."""
     def run(batches):
         enc = encoding(path)
-        for batch in batches:
-            docs, nos, sizes, ids = [], [], [], []
-            for doc, text in zip(*[c.to_pylist() for c in batch.columns]):
-                own = np.array([*enc.encode_ordinary(text or ""), end], dtype="<u2")
+        for part in (b.slice(lo, STEP_DOCS) for b in batches for lo in range(0, b.num_rows, STEP_DOCS)):
+            docs, nos, sizes, ids, chars = [], [], [], [], 0
+
+            def made():
+                return pa.RecordBatch.from_arrays(
+                    [pa.array(docs, pa.int64()), pa.array(nos, pa.int32()), pa.array(sizes, pa.int32()), pa.array(ids, pa.binary())],
+                    names=["doc_id", "piece", "n_ids", "ids"])
+            for doc, text in zip(*part.columns):
+                text = text.as_py() or ""
+                own = np.array([*enc.encode_ordinary(text), end], dtype="<u2")
                 for no, lo in enumerate(range(0, len(own), row)):
-                    part = own[lo:lo + row]
-                    docs.append(doc)
+                    piece = own[lo:lo + row]
+                    docs.append(doc.as_py())
                     nos.append(no)
-                    sizes.append(len(part))
-                    ids.append(part.tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(docs, pa.int64()), pa.array(nos, pa.int32()), pa.array(sizes, pa.int32()), pa.array(ids, pa.binary())],
-                names=["doc_id", "piece", "n_ids", "ids"])
+                    sizes.append(len(piece))
+                    ids.append(piece.tobytes())
+                chars += len(text)
+                if chars > STEP_CHARS:
+                    yield made()
+                    docs, nos, sizes, ids, chars = [], [], [], [], 0
+            if docs:
+                yield made()
     return run
 
 

@@ -93,3 +93,17 @@ def test_equal_rows_go_to_all_groups(spark):
     for r in packed:
         by[r.pack_group] = by.get(r.pack_group, 0) + len(r.doc_ids)
     assert sorted(by) == list(range(8)) and sum(by.values()) == 40_000 and max(by.values()) < 6000
+
+
+def test_ids_are_made_a_few_documents_at_a_time():
+    import pyarrow as pa
+    docs = [(i, f"text {i} " * (i % 5)) for i in range(1000)] + [(1000, "long " * 4000), (1001, None), (None, "")]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array([i for i, _ in docs], pa.int64()), "text": pa.array([t for _, t in docs], pa.string())})
+    made = list(packing._pieces(packing.default_path(), 64, 50256)(iter([batch])))
+    assert max(len(set(b.column("doc_id").to_pylist())) for b in made) <= 256
+    own = {}
+    for b in made:
+        for r in b.to_pylist():
+            assert r["n_ids"] == len(r["ids"]) // 2 <= 64 and r["piece"] == own.setdefault(r["doc_id"], [0, ()])[0]
+            own[r["doc_id"]] = [r["piece"] + 1, own[r["doc_id"]][1] + tuple(np.frombuffer(r["ids"], "<u2").tolist())]
+    assert sorted((-1 if i is None else i, ids) for i, (_, ids) in own.items()) == whole(docs)
