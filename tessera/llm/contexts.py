@@ -21,8 +21,8 @@ import numpy as np
 
 #: a word is frequent from this share of the learning words on (2^-18), so there are 2^18 at most
 SHARE_BITS = 18
-#: occurrences that a place is to hold, and entries that its weights learn from
-PLACE_TOKENS, LEARN_ENTRIES, BLOCKS, RATE = 1_000_000, 100_000, 16, 0.02
+#: occurrences that a place is to hold, and online steps in which its weights learn a depth
+PLACE_TOKENS, BLOCKS, RATE = 1_000_000, 16, 0.02
 OTHER = 0
 DEEP, GATES, STEPS, REACH = 40, 16 * 8 * 8, 33, 10.0
 SYM_BITS, TWO_BITS, ONE_BITS = 19, 17, 28
@@ -188,64 +188,67 @@ class Mixer:
         return x, gate
 
     def mix(self, d, x, gate):
-        logit = np.clip((x * self.weights[gate]).sum(axis=1), -12, 12)
+        logit = np.clip(np.einsum("ij,ij->i", x, self.weights[gate]), -12, 12)
         step = np.rint((np.clip(logit, -REACH, REACH) + REACH) * ((STEPS - 1) / (2 * REACH))).astype(np.int64)
         return 1 / (1 + np.exp(-logit)), d * STEPS + step
 
     def learn(self, symbols: Symbols, key: np.ndarray, n: np.ndarray) -> None:
-        """One online step per block of contexts and depth; an entry weighs its count."""
-        one = key >> np.uint64(SYM_BITS + TWO_BITS)
-        block = (_mix(one, 6) % np.uint64(BLOCKS)).astype(np.int64)
-        for k in range(BLOCKS):
-            mine = np.flatnonzero(block == k)
-            for d, on, bit, own, *counts in levels(symbols, key[mine], n[mine]) if len(mine) else ():
-                x, gate = self.inputs(d, bit, own, *counts, True)
-                weight = n[mine[on]]
-                p, cell = self.mix(d, x, gate)
-                err, total = (bit - p) * weight, np.bincount(gate, weight, GATES)
-                grad = np.stack([np.bincount(gate, err * v, GATES) for v in x.T], 1) / np.maximum(total, 1e-9)[:, None]
-                self.seen += grad ** 2
-                self.weights += RATE * grad / np.sqrt(self.seen)
-                for b in (0, 1):
-                    self.refined[:, b] += np.bincount(cell, weight * (bit == b), len(self.refined))
+        """Learns from all entries (those with n > 0), depth by depth."""
+        self._run(symbols, key, n, True, False)
+
+    def learn_and_score(self, symbols: Symbols, key: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """``learn``, then ``score``, over the same counts."""
+        return self._run(symbols, key, n, True, True)
 
     def score(self, symbols: Symbols, key: np.ndarray, n: np.ndarray) -> np.ndarray:
         """log10 of the probability of each entry's word in its context."""
+        return self._run(symbols, key, n, False, True)
+
+    def _run(self, symbols: Symbols, key: np.ndarray, n: np.ndarray, learn: bool, score: bool) -> np.ndarray:
         out = np.zeros(len(key))
         for d, on, bit, own, *counts in levels(symbols, key, n):
-            p, cell = self.mix(d, *self.inputs(d, bit, own, *counts, False))
-            n0, n1 = self.refined[cell].T
-            # as far as the map has seen bits like these, towards what they were
-            p = (p + (n1 + 20 * p) / (n0 + n1 + 20)) / 2
-            out[on] += np.log10(np.where(bit == 1, p, 1 - p))
+            if learn:
+                self._learn(d, bit, own, counts, n[on])
+            if score:
+                p, cell = self.mix(d, *self.inputs(d, bit, own, *counts, False))
+                n0, n1 = self.refined[cell].T
+                # as far as the map has seen bits like these, towards what they were
+                p = (p + (n1 + 20 * p) / (n0 + n1 + 20)) / 2
+                out[on] += np.log10(np.where(bit == 1, p, 1 - p))
         return out
 
-
-def fitted(symbols: Symbols, key: np.ndarray, n: np.ndarray, entries: int = LEARN_ENTRIES) -> Mixer:
-    """Weights from the learning entries of as many contexts, by hash, as hold
-    about ``entries``; all entries in a place that has no more."""
-    mixer, share = Mixer(), min(1.0, entries / max(1, len(key)))
-    part = _mix(key >> np.uint64(SYM_BITS + TWO_BITS), 7) >> np.uint64(40)
-    on = np.flatnonzero((part < np.uint64(share * (1 << 24))) & (n > 0)) if share < 1 else np.flatnonzero(n > 0)
-    if len(on):
-        mixer.learn(symbols, key[on], n[on])
-    return mixer
-
-
-def answer(symbols: Symbols, bodies: list, entries: int = LEARN_ENTRIES) -> list[np.ndarray]:
+    def _learn(self, d: int, bit, own, counts, weight) -> None:
+        """One online step per block of a depth's entries; an entry weighs its count."""
+        seen = np.flatnonzero(weight)
+        for mine in np.array_split(seen, BLOCKS):
+            if not len(mine):
+                continue
+            b, w = bit[mine], weight[mine]
+            x, gate = self.inputs(d, b, own[mine], *[c[mine] for c in counts], True)
+            p, cell = self.mix(d, x, gate)
+            err, total = (b - p) * w, np.bincount(gate, w, GATES)
+            grad = np.stack([np.bincount(gate, err * v, GATES) for v in x.T], 1) / np.maximum(total, 1e-9)[:, None]
+            self.seen += grad ** 2
+            self.weights += RATE * grad / np.sqrt(self.seen)
+            for side in (0, 1):
+                self.refined[:, side] += np.bincount(cell, w * (b == side), len(self.refined))
+
+
+def answer(symbols: Symbols, bodies: list, learn: bool = True) -> list[np.ndarray]:
     """For the packed entries of each chunk (all that there are of a place):
-    the sums of the scores per document of the chunk."""
+    the sums of the scores per document of the chunk.  The place's weights are
+    learned from all its learning entries, or stay as they begin."""
     asked = [unpack(b) for b in bodies]
     key, of = np.unique(np.concatenate([a[1] for a in asked]), return_inverse=True)
     if not len(key):
         return [np.zeros(a[0]) for a in asked]
-    learn = []
+    own = []
     for _, k, counts, doc, held in asked:
         ends = np.cumsum(counts.astype(np.int64))
         seen = np.concatenate([[0], np.cumsum(~held[doc])])
-        learn.append(seen[ends] - seen[ends - counts])
-    n = np.bincount(of, np.concatenate(learn).astype(np.float64), len(key))
-    score = fitted(symbols, key, n, entries).score(symbols, key, n)
+        own.append(seen[ends] - seen[ends - counts])
+    n = np.bincount(of, np.concatenate(own).astype(np.float64), len(key))
+    score = (Mixer().learn_and_score if learn else Mixer().score)(symbols, key, n)
     out, at = [], 0
     for docs, k, counts, doc, _ in asked:
         own = score[of[at:at + len(k)]]

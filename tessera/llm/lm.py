@@ -15,7 +15,7 @@ mixed and refined in the same way.
 
 The learning words are counted over the corpus; each task then adds its words
 to tables of its own, which are summed, learns weights of the spelling from
-its words, which are averaged, and sums refinements.  In learning, a word or
+all its words, which are averaged, and sums refinements.  In learning, a word or
 context does not see one occurrence of itself, so that the weights hold for
 what was not met before.
 """
@@ -40,9 +40,8 @@ ORDERS = len(TABLE_BITS)
 #: slots of a table that travel together
 SEGMENT = 1 << 14
 GATES, STEPS, REACH = 16 * 8 * 8, 33, 8.0
-#: words that one task counts, words that the spelling's weights learn from in
-#: all, words scored together, learning rate
-TASK_WORDS, LEARN_WORDS, BATCH_WORDS, RATE = 400_000, 300_000, 1024, 0.05
+#: words that one task counts or learns from, words of an online step, learning rate
+TASK_WORDS, BATCH_WORDS, RATE = 400_000, 4096, 0.05
 #: words of a part of the joined vocabulary, tokens and documents of a chunk of texts
 PART_WORDS, CHUNK_TOKENS, CHUNK_DOCS, PART_BYTES = 250_000, 500_000, 32_768, 64_000_000
 HELD_WORDS = 1_000_000
@@ -283,9 +282,7 @@ def learn(vocab: DataFrame, size: int):
     shared = spark.sparkContext.broadcast(tables)
     n = GATES * (ORDERS + 1)
     values = np.zeros(n + 1 + 512 * STEPS * 2)
-    share = LEARN_WORDS / max(1, size)
-    drawn = known if share >= 1 else known.where(F.pmod(F.xxhash64("token"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    found = (drawn.coalesce(max(1, -(-min(size, LEARN_WORDS) // (TASK_WORDS // 4)))).mapInArrow(_learn(shared), "at int, value double")
+    found = (split.sortWithinPartitions("token").mapInArrow(_learn(shared), "at int, value double")
              .groupBy("at").agg(F.sum("value").alias("value")).toArrow())
     values[found.column("at").to_numpy()] = found.column("value").to_numpy()
     weights = values[:n] / values[n] if values[n] else np.full(n, 0.3)
@@ -421,7 +418,7 @@ def _chunks(parts: int, symbols, places: int, place_tokens: int):
 _DOCS = pa.list_(pa.struct([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_bytes", pa.int64())]))
 
 
-def _look_up(n: int, v: int, symbols, entries: int):
+def _look_up(n: int, v: int, symbols, entries: int | None):
     """Rows sorted by (place, kind): first the words of a part of the
     vocabulary, then the chunks that ask for them; or all chunks that have
     words in contexts of a place (kind 2)."""
@@ -444,7 +441,7 @@ def _look_up(n: int, v: int, symbols, entries: int):
             names=["chunk", "known", "base", "score", "docs"])
 
     def in_context(held):
-        for chunk, sums in zip([c for c, _ in held], contexts.answer(symbols.value, [b for _, b in held], entries)):
+        for chunk, sums in zip([c for c, _ in held], contexts.answer(symbols.value, [b for _, b in held], entries != 0)):
             none = np.zeros(len(sums)).tobytes()
             yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), *[pa.array([x], pa.binary()) for x in (none, none, sums.tobytes())],
                                               pa.array([None], _DOCS)], names=["chunk", "known", "base", "score", "docs"])
@@ -492,7 +489,7 @@ def _add_up(key: tuple, t: pa.Table) -> pa.Table:
 
 
 def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", share_bits: int = contexts.SHARE_BITS,
-                    place_tokens: int = contexts.PLACE_TOKENS, learn_entries: int = contexts.LEARN_ENTRIES) -> DataFrame:
+                    place_tokens: int = contexts.PLACE_TOKENS, learn_entries: int | None = None) -> DataFrame:
     """One row per document: ``doc_id``, ``held_out`` (crc32 of the id as text
     is a multiple of 10; a null id counts as ''), ``n_tokens``, ``n_known``
     (tokens among the learning ones), ``train_tokens``, ``base_score`` (log10,
@@ -504,7 +501,8 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     64-bit hashes, contexts by hashes of 28 bits and the place.  The vocabulary
     is in the shared folder; texts travel as counts of hashes and as packed
     contexts; no part of the vocabulary is larger than PART_WORDS, and no place
-    larger than ``place_tokens``, on average.
+    larger than ``place_tokens``, on average.  Weights are learned from all
+    learning words and contexts (``learn_entries=0``: those of contexts not at all).
     """
     out = F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))) % 10 == 0
     texts = docs.select(F.col(key).cast("long").alias("doc_id"), out.alias("held_out"),

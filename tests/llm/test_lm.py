@@ -197,6 +197,26 @@ def test_weights_learned_in_a_place_help():
     assert a > b + 0.005
 
 
+def test_weights_learn_from_every_entry_of_a_place():
+    rng = np.random.default_rng(4)
+    symbols = contexts.Symbols(np.arange(1, 65, dtype=np.uint64), np.full(64, 100), 6500)
+    key, n = np.unique((rng.integers(0, 1 << 27, 150_000).astype(np.uint64) << np.uint64(36)) | rng.integers(1, 65, 150_000).astype(np.uint64),
+                       return_counts=True)
+    n[::7] = 0  # held out
+    mixer = contexts.Mixer()
+    both = mixer.learn_and_score(symbols, key, n.astype(float))
+    depth = symbols.depth[(key & np.uint64((1 << contexts.SYM_BITS) - 1)).astype(np.int64)]
+    assert mixer.refined.sum() == (n * depth).sum()
+    assert (both < 0).all() and both[n == 0].mean() > 2 * math.log10(1 / 64)
+
+
+def test_spelling_learns_from_every_known_word(spark, monkeypatch):
+    monkeypatch.setattr(lm, "LEARN_WORDS", 50, raising=False)
+    words = [(f"w{i * 7919}".encode(), i % 3) for i in range(400)]
+    _, learned = lm.learn(spark.createDataFrame(words, "token binary, n long"), len(words))
+    assert learned.value[1].sum() == 8 * sum(n * (len(w) + 1) for w, n in words)
+
+
 def test_probabilities_of_all_bytes_sum_to_one():
     tokens = [b"the", b"then", b"them", b"", b"other"]
     tables = lm.empty_tables()
