@@ -23,6 +23,8 @@ import numpy as np
 SHARE_BITS = 18
 #: occurrences that a place is to hold, and online steps in which its weights learn a depth
 PLACE_TOKENS, BLOCKS, RATE = 1_000_000, 16, 0.02
+#: occurrences or runs that are worked on together, few enough for a processor's cache
+AT_ONCE = 1 << 15
 OTHER = 0
 DEEP, GATES, STEPS, REACH = 40, 16 * 8 * 8, 33, 10.0
 SYM_BITS, TWO_BITS, ONE_BITS = 19, 17, 28
@@ -90,9 +92,10 @@ def place_and_key(one: np.ndarray, two: np.ndarray, three: np.ndarray, symbol: n
     """Place of each occurrence and its packed (context, word): ``one``,
     ``two``, ``three`` are the hashes of the words before it, nearest first,
     ``cuts`` the number of places that the contexts of ``one`` are dealt to."""
-    few = np.minimum(cuts, 64).astype(np.uint64)
-    many = (-(-cuts // 64)).astype(np.uint64)
-    bucket = _mix(two, 1) % few + np.uint64(64) * (_mix(three, 2) % many)
+    bucket, on = np.zeros(len(one), np.uint64), np.flatnonzero(cuts > 1)
+    few = np.minimum(cuts[on], 64).astype(np.uint64)
+    many = (-(-cuts[on] // 64)).astype(np.uint64)
+    bucket[on] = _mix(two[on], 1) % few + np.uint64(64) * (_mix(three[on], 2) % many)
     context = _mix(one ^ _mix(bucket, 3), 4)
     place = (context >> np.uint64(36)) % np.uint64(places)
     key = ((context & np.uint64((1 << ONE_BITS) - 1)) << np.uint64(SYM_BITS + TWO_BITS)
@@ -130,68 +133,53 @@ def unpack(body):
 
 # ------------------------------------------------------- the model of a place
 
-def _sums(group: np.ndarray, node: np.ndarray, n: np.ndarray, bit: np.ndarray):
-    """(zeros, ones) counted at the node of each entry; entries of a group and
-    node lie together."""
-    new = np.empty(len(n), bool)
-    new[0] = True
-    new[1:] = (group[1:] != group[:-1]) | (node[1:] != node[:-1])
-    starts, at = np.flatnonzero(new), np.cumsum(new) - 1
-    ones = np.add.reduceat(n * bit, starts)
-    return (np.add.reduceat(n, starts) - ones)[at], ones[at]
-
-
-def levels(symbols: Symbols, key: np.ndarray, n: np.ndarray):
-    """For every depth: (depth, entries that go that deep, their bit, own
-    probability, zeros and ones after the preceding word, and after the two)."""
-    sym = (key & np.uint64((1 << SYM_BITS) - 1)).astype(np.int64)
-    two = key >> np.uint64(SYM_BITS)
-    one_sym = key >> np.uint64(SYM_BITS + TWO_BITS) << np.uint64(SYM_BITS) | sym.astype(np.uint64)
-    single, of = np.unique(one_sym, return_inverse=True)
-    n_single = np.bincount(of, n, len(single))
-    s_sym = (single & np.uint64((1 << SYM_BITS) - 1)).astype(np.int64)
-    s_one = single >> np.uint64(SYM_BITS)
-    on, s_on = np.arange(len(key)), np.arange(len(single))
-    place = np.empty(len(single), np.int64)
-    for d in range(DEEP):
-        on, s_on = on[symbols.depth[sym[on]] > d], s_on[symbols.depth[s_sym[s_on]] > d]
-        if not len(on):
-            return
-        def at(s):
-            return symbols.path[s] >> np.uint64(DEEP - d), (symbols.path[s] >> np.uint64(DEEP - 1 - d) & np.uint64(1)).astype(np.float64)
-        s_node, s_bit = at(s_sym[s_on])
-        zeros, ones = _sums(s_one[s_on], s_node, n_single[s_on], s_bit)
-        place[s_on] = np.arange(len(s_on))
-        back = place[of[on]]
-        node, bit = at(sym[on])
-        yield d, on, bit, symbols.own(d)[sym[on]], zeros[back], ones[back], *_sums(two[on], node, n[on], bit)
+class Runs:
+    """Entries in the order of their contexts and words.  As symbols are in the
+    order of their paths, those of a context that begin with the same bits lie
+    together: what depends on no more than these is worked out once a run."""
+
+    def __init__(self, symbols: Symbols, group: np.ndarray, sym: np.ndarray, n: np.ndarray):
+        path = symbols.path[sym]
+        #: bits that an entry has in common with the one before, -1 in another context
+        self.common = np.full(len(sym), -1, np.int8)
+        self.common[1:] = np.where(group[1:] == group[:-1], DEEP - np.frexp((path[1:] ^ path[:-1]).astype(np.float64))[1], -1)
+        self.depth = symbols.depth[sym].astype(np.int8)
+        self.before = np.concatenate([[0.0], np.cumsum(n)])
+
+    def at(self, d: int):
+        """The runs with ``d`` + 1 bits in common: first entry, the entry behind
+        the last, whether it is the second of its node, its count and that of
+        the other bit."""
+        starts = np.flatnonzero(self.common <= d)
+        ends = np.append(starts[1:], len(self.common))
+        live = self.depth[starts] > d
+        starts, ends = starts[live], ends[live]
+        second = self.common[starts] == d
+        count = self.before[ends] - self.before[starts]
+        other, k = np.zeros(len(starts)), np.flatnonzero(second)
+        other[k], other[k - 1] = count[k - 1], count[k]
+        return starts, ends, second, count, other
+
+
+#: step of a gate, by how often a context was met
+_MET = np.minimum(np.log2(np.arange(128) + 1), 7).astype(np.int64)
+
+
+def _met(total: np.ndarray) -> np.ndarray:
+    return _MET[np.minimum(total, 127).astype(np.int64)]
 
 
 class Mixer:
-    """Gated weights and the refinement of a place, learned from a part of its contexts."""
+    """Gated weights and the refinement of a place, learned from its entries.
+
+    Probabilities are those of the bit that an entry has; ``sign`` turns their
+    logits into those of a 1."""
 
     def __init__(self):
         self.weights = np.tile(np.array([0.1, 0.2, 0.7, 0.0]), (GATES, 1))
         self.seen = np.full(self.weights.shape, 1e-2)
         self.refined = np.zeros((DEEP * STEPS, 2))
 
-    def inputs(self, d, bit, own, a0, a1, b0, b1, without):
-        """Logits of the predictors and the gate; ``without`` takes one occurrence of the entry itself away."""
-        if without:
-            a0, a1 = np.maximum(a0 - (1 - bit), 0), np.maximum(a1 - bit, 0)
-            b0, b1 = np.maximum(b0 - (1 - bit), 0), np.maximum(b1 - bit, 0)
-        a, b = a0 + a1, b0 + b1
-        p = (a1 + own) / (a + 1)
-        q = (b1 + p) / (b + 1)
-        x = np.stack([np.log(v / (1 - v)) for v in (own, p, q)] + [np.full(len(own), 0.3)], 1)
-        gate = (min(d, 15) * 64 + np.minimum(np.log2(a + 1), 7).astype(np.int64) * 8 + np.minimum(np.log2(b + 1), 7).astype(np.int64))
-        return x, gate
-
-    def mix(self, d, x, gate):
-        logit = np.clip(np.einsum("ij,ij->i", x, self.weights[gate]), -12, 12)
-        step = np.rint((np.clip(logit, -REACH, REACH) + REACH) * ((STEPS - 1) / (2 * REACH))).astype(np.int64)
-        return 1 / (1 + np.exp(-logit)), d * STEPS + step
-
     def learn(self, symbols: Symbols, key: np.ndarray, n: np.ndarray) -> None:
         """Learns from all entries (those with n > 0), depth by depth."""
         self._run(symbols, key, n, True, False)
@@ -205,33 +193,83 @@ class Mixer:
         return self._run(symbols, key, n, False, True)
 
     def _run(self, symbols: Symbols, key: np.ndarray, n: np.ndarray, learn: bool, score: bool) -> np.ndarray:
-        out = np.zeros(len(key))
-        for d, on, bit, own, *counts in levels(symbols, key, n):
+        sym = (key & np.uint64((1 << SYM_BITS) - 1)).astype(np.int64)
+        one = key >> np.uint64(SYM_BITS + TWO_BITS)
+        single, of = np.unique(one << np.uint64(SYM_BITS) | sym.astype(np.uint64), return_inverse=True)
+        s_sym = (single & np.uint64((1 << SYM_BITS) - 1)).astype(np.int64)
+        after_one = Runs(symbols, single >> np.uint64(SYM_BITS), s_sym, np.bincount(of, n, len(single)))
+        after_two = Runs(symbols, key >> np.uint64(SYM_BITS), sym, n)
+        out = np.ones(len(key))  # at the first entry of a run the probability of its bits; 40 of 3e-6 or more
+        for d in range(DEEP):
+            starts, ends, second, count, other = after_two.at(d)
+            if not len(starts):
+                break
+            s, _, _, s_count, s_other = after_one.at(d)
+            run = np.zeros(len(single), np.int64)
+            run[s] = 1
+            run = (np.cumsum(run) - 1)[of[starts]]
+            one_bit = symbols.path[s_sym[s]] >> np.uint64(DEEP - 1 - d) & np.uint64(1) == 1
+            own = symbols.own(d)[s_sym[s]]
+            sign, own = np.where(one_bit, 1.0, -1.0), np.where(one_bit, own, 1 - own)
+            of_own = sign, sign * np.log(own / (1 - own))
             if learn:
-                self._learn(d, bit, own, counts, n[on])
+                of_one = *of_own, *self._after_one(sign, own, np.maximum(s_count - 1, 0), s_other)
+                seen = np.flatnonzero((after_two.depth > d) & (n > 0))
+                firsts = [x[0] for x in np.array_split(seen, BLOCKS) if len(x)]
+                for lo, hi in zip(firsts, [*firsts[1:], len(key)]):
+                    i, j = np.searchsorted(starts, lo, "right") - 1, np.searchsorted(starts, hi)
+                    weight = count[i:j].copy()  # a run may begin or end in another block
+                    for k in {i, j - 1}:
+                        weight[k - i] = after_two.before[min(ends[k], hi)] - after_two.before[max(starts[k], lo)]
+                    self._learn(d, weight, *self._inputs(run[i:j], of_one, np.maximum(count[i:j] - 1, 0), other[i:j]))
             if score:
-                p, cell = self.mix(d, *self.inputs(d, bit, own, *counts, False))
-                n0, n1 = self.refined[cell].T
-                # as far as the map has seen bits like these, towards what they were
-                p = (p + (n1 + 20 * p) / (n0 + n1 + 20)) / 2
-                out[on] += np.log10(np.where(bit == 1, p, 1 - p))
-        return out
-
-    def _learn(self, d: int, bit, own, counts, weight) -> None:
+                of_one = *of_own, *self._after_one(sign, own, s_count, s_other)
+                parent = starts.copy()
+                parent[second] = starts[np.flatnonzero(second) - 1]
+                so_far = out[parent]
+                for lo in range(0, len(starts), AT_ONCE):
+                    on = slice(lo, lo + AT_ONCE)
+                    so_far[on] *= self._score(d, *self._inputs(run[on], of_one, count[on], other[on]))
+                out[starts] = so_far
+        return np.log10(out)
+
+    @staticmethod
+    def _after_one(sign, own, count, other):
+        """Probability after the preceding word, its logit and its part of the gate."""
+        total = count + other
+        return (count + own) / (total + 1), sign * np.log((count + own) / (other + (1 - own))), 8 * _met(total)
+
+    @staticmethod
+    def _inputs(run, of_one, count, other):
+        """Sign, logits of the predictors and the gate of a depth."""
+        sign, own, p, one, gate = [x[run] for x in of_one]
+        return sign, (own, one, sign * np.log((count + p) / (other + (1 - p)))), gate + _met(count + other)
+
+    def _mix(self, d, x, gate):
+        weights = np.ascontiguousarray(self.weights[min(d, 15) * 64:min(d, 15) * 64 + 64].T)
+        logit = 0.3 * weights[3][gate]
+        for w, v in zip(weights, x):
+            logit += w[gate] * v
+        np.clip(logit, -12, 12, out=logit)
+        step = np.rint((np.clip(logit, -REACH, REACH) + REACH) * ((STEPS - 1) / (2 * REACH))).astype(np.int64)
+        return 1 / (1 + np.exp(-logit)), step
+
+    def _learn(self, d: int, weight, sign, x, gate) -> None:
         """One online step per block of a depth's entries; an entry weighs its count."""
-        seen = np.flatnonzero(weight)
-        for mine in np.array_split(seen, BLOCKS):
-            if not len(mine):
-                continue
-            b, w = bit[mine], weight[mine]
-            x, gate = self.inputs(d, b, own[mine], *[c[mine] for c in counts], True)
-            p, cell = self.mix(d, x, gate)
-            err, total = (b - p) * w, np.bincount(gate, w, GATES)
-            grad = np.stack([np.bincount(gate, err * v, GATES) for v in x.T], 1) / np.maximum(total, 1e-9)[:, None]
-            self.seen += grad ** 2
-            self.weights += RATE * grad / np.sqrt(self.seen)
-            for side in (0, 1):
-                self.refined[:, side] += np.bincount(cell, w * (b == side), len(self.refined))
+        p, step = self._mix(d, x, gate)
+        bit, on = sign > 0, slice(min(d, 15) * 64, min(d, 15) * 64 + 64)
+        err, total = (bit - p) * weight, np.bincount(gate, weight, 64)
+        grad = np.stack([*(np.bincount(gate, err * v, 64) for v in x), 0.3 * np.bincount(gate, err, 64)], 1) / np.maximum(total, 1e-9)[:, None]
+        self.seen[on] += grad ** 2
+        self.weights[on] += RATE * grad / np.sqrt(self.seen[on])
+        self.refined[d * STEPS:(d + 1) * STEPS] += np.bincount(2 * step + bit, weight, 2 * STEPS).reshape(STEPS, 2)
+
+    def _score(self, d: int, sign, x, gate) -> np.ndarray:
+        p, step = self._mix(d, x, gate)
+        n0, n1 = self.refined[d * STEPS:(d + 1) * STEPS].T
+        # as far as the map has seen bits like these, towards what they were
+        p = p * (0.5 + 10 / (n0 + n1 + 20))[step] + (0.5 * n1 / (n0 + n1 + 20))[step]
+        return np.where(sign > 0, p, 1 - p)
 
 
 def answer(symbols: Symbols, bodies: list, learn: bool = True) -> list[np.ndarray]:

@@ -22,10 +22,10 @@ what was not met before.
 from __future__ import annotations
 
 import struct
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,12 +44,33 @@ GATES, STEPS, REACH = 16 * 8 * 8, 33, 8.0
 TASK_WORDS, BATCH_WORDS, RATE = 400_000, 4096, 0.05
 #: words of a part of the joined vocabulary, tokens and documents of a chunk of texts
 PART_WORDS, CHUNK_TOKENS, CHUNK_DOCS, PART_BYTES = 250_000, 500_000, 32_768, 64_000_000
-HELD_WORDS = 1_000_000
+#: bytes of text that are cut into words together, words that a task holds before it sends them on
+PIECE_BYTES, HELD_WORDS = 4_000_000, 1_000_000
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 
-def words(text: bytes) -> list[bytes]:
-    return text.lower().split()  # of bytes: ASCII letters, [\x20\x09-\x0D]+
+def words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts (bytes) one after another, and how many each text
+    has: ASCII letters lower-cased, cut at [\x20\x09-\x0D]+."""
+    wide = pa.types.is_large_binary(texts.type)
+    low = pc.ascii_lower(texts.view(pa.large_string() if wide else pa.string()))
+    cut = pc.ascii_split_whitespace(low)
+    found = cut.flatten()
+    real = pc.binary_length(found).to_numpy() > 0  # a text that begins or ends with a space has empty pieces
+    before = np.concatenate([[0], np.cumsum(real)])
+    ends = np.cumsum(pc.list_value_length(cut).to_numpy())
+    return found.filter(pa.array(real)).view(pa.large_binary() if wide else pa.binary()).cast(pa.binary()), np.diff(before[ends], prepend=0)
+
+
+def _some_texts(batch: pa.RecordBatch):
+    """The batch in slices of about PIECE_BYTES of text."""
+    ends = np.cumsum(pc.binary_length(batch.column("text")).to_numpy().astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        upto = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PIECE_BYTES, "right"))
+        upto = max(at + 1, upto)
+        yield batch.slice(at, upto - at)
+        at = upto
 
 
 # ---------------------------------------------------------------- the model
@@ -151,10 +172,11 @@ class Mixer:
         weight = bits.weights(counts)
         for b in range(8):
             node, bit = bits.plane(b)
-            one, inputs, trust = bit.astype(np.float32), [], []
+            itself, inputs, trust = np.stack([bit == 0, bit == 1], 1).astype(np.float32), [], []
             for k, table in enumerate(self.tables):
-                n = table[bits.slots(k, node, table)]
-                n0, n1 = np.maximum(n[:, 0] - (1 - one), 0), np.maximum(n[:, 1] - one, 0)  # without one occurrence
+                # both counts of a slot as one value of 8 bytes
+                n = table.view(np.int64).ravel()[bits.slots(k, node, table)].view(np.float32).reshape(-1, 2)
+                n0, n1 = np.maximum(n - itself, 0).T  # without one occurrence
                 inputs.append(_logit(n0, n1))
                 if k >= ORDERS - 2:
                     trust.append(_trust(n0 + n1, k))
@@ -189,31 +211,39 @@ class Mixer:
 
 def _hash(tokens) -> np.ndarray:
     import xxhash
-    return np.fromiter((xxhash.xxh64_intdigest(t) for t in tokens), np.uint64, len(tokens)).view(np.int64)
+    return np.fromiter(map(xxhash.xxh64_intdigest, tokens), np.uint64, len(tokens)).view(np.int64)
 
 
 def _count_words(batches):
     """(token, n) of the texts of a task: n learning occurrences, 0 for words
     of held-out texts alone."""
-    seen, held = Counter(), set()
-
-    def flush():
-        held.difference_update(seen)
-        tokens = [*seen, *held]
-        for lo in range(0, len(tokens), 50_000):
-            part = tokens[lo:lo + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.binary()), pa.array([seen[t] for t in part], pa.int64())],
-                                             names=["token", "n"])
-        seen.clear()
-        held.clear()
-    for batch in batches:
-        for out, text in zip(batch.column("held_out").to_pylist(), batch.column("text").to_pylist()):
-            own = words(text)
-            own.append(b"")
-            held.update(own) if out else seen.update(own)
-            if len(seen) + len(held) > HELD_WORDS:
-                yield from flush()
-    yield from flush()
+    held, rows = [], 0
+
+    def summed():
+        t = pa.concat_tables(held).group_by("token", use_threads=False).aggregate([("n", "sum")])
+        return pa.table([t.column("token"), t.column("n_sum")], names=["token", "n"])
+
+    def sent(t):
+        return t.combine_chunks().to_batches(50_000)
+    for whole in batches:
+        for batch in _some_texts(whole):
+            for out in (False, True):
+                texts = batch.column("text").filter(pc.equal(batch.column("held_out"), out))
+                if not len(texts):
+                    continue
+                seen = words(texts)[0].value_counts()
+                counts = np.append(seen.field("counts").to_numpy(), len(texts))  # and as many ends
+                held.append(pa.table([pa.concat_arrays([seen.field("values"), pa.array([b""], pa.binary())]),
+                                      pa.array(np.zeros_like(counts) if out else counts)], names=["token", "n"]))
+                rows += len(counts)
+            if rows > 2 * HELD_WORDS:
+                held = [summed()]
+                rows = len(held[0])
+                if rows > HELD_WORDS:
+                    yield from sent(held[0])
+                    held, rows = [], 0
+    if held:
+        yield from sent(summed())
 
 
 def vocabulary(texts: DataFrame) -> DataFrame:
@@ -226,13 +256,13 @@ def _batched(batches, size: int):
     for batch in batches:
         for lo in range(0, batch.num_rows, size):
             part = batch.slice(lo, size)
-            yield part.column("token").to_pylist(), part.column("n").to_numpy()
+            yield part.column("token").to_numpy(zero_copy_only=False).tolist(), part.column("n").to_numpy()
 
 
 def _tables(words: int, groups: int):
     def run(batches):
         tables = empty_tables(words)
-        for tokens, n in _batched(batches, 10_000):
+        for tokens, n in _batched(batches, 40_000):
             if (on := np.flatnonzero(n)).size:
                 count_into(tables, [tokens[i] for i in on], n[on])
         task = TaskContext.get().partitionId() % groups
@@ -340,12 +370,6 @@ def _part(h: np.ndarray, parts: int) -> np.ndarray:
 
 # ------------------------------------------------------ words to documents
 
-class _Ids(dict):
-    def __missing__(self, key):
-        self[key] = n = len(self)
-        return n
-
-
 def _in_context(symbols, h: np.ndarray, tok: np.ndarray, sizes: np.ndarray, places: int, place_tokens: int):
     """Place and key of every word of a chunk by the words before it (before a
     text there are none: hash 0)."""
@@ -353,13 +377,21 @@ def _in_context(symbols, h: np.ndarray, tok: np.ndarray, sizes: np.ndarray, plac
     cuts = np.ones(len(h), np.int64)
     on = symbol > 0
     cuts[on] = np.maximum(1, -(-symbols.counts[symbol[on] - 1].astype(np.int64) // max(1, place_tokens // 2)))
-    first = np.repeat(np.cumsum(sizes) - sizes, sizes)
-    at = np.arange(len(tok))
-
-    def back(k, values, none):
-        return np.where(at - k >= first, values[tok[np.maximum(at - k, 0)]], none)
-    zero = np.uint64(0)
-    return contexts.place_and_key(back(1, h, zero), back(2, h, zero), back(3, h, zero), symbol[tok], back(1, cuts, 1), places)
+    starts = np.cumsum(sizes) - sizes
+
+    def before(values, none):
+        out = np.empty_like(values)
+        out[1:] = values[:-1]
+        out[starts] = none
+        return out
+    one = before(h[tok], 0)
+    two = before(one, 0)
+    three, cuts, symbol = before(two, 0), before(cuts[tok], 1), symbol[tok]
+    place, key = np.empty(len(tok), np.int64), np.empty(len(tok), np.uint64)
+    for lo in range(0, len(tok), contexts.AT_ONCE):
+        on = slice(lo, lo + contexts.AT_ONCE)
+        place[on], key[on] = contexts.place_and_key(one[on], two[on], three[on], symbol[on], cuts[on], places)
+    return place, key
 
 
 def _chunks(parts: int, symbols, places: int, place_tokens: int):
@@ -367,22 +399,28 @@ def _chunks(parts: int, symbols, places: int, place_tokens: int):
     of the chunk's words in that part, and for each the documents with it and
     how often they hold it; part 0 also lists the documents.  And one row per
     place: the chunk's words in context."""
-    def chunk(number, docs, lists):
-        ids = _Ids()
-        tok = np.fromiter((ids[w] for own in lists for w in own), np.int64)
-        sizes = np.array([len(own) for own in lists])
+    def chunk(number, docs, pieces, sizes):
+        sizes = np.array(sizes)
+        coded = pa.chunked_array(pieces, pa.binary()).dictionary_encode().chunks
+        known = coded[0].dictionary  # the same for all
+        tok = np.concatenate([x.indices.to_numpy() for x in coded]).astype(np.int64)
+        lengths = np.concatenate([[0], np.cumsum(pc.binary_length(known).to_numpy()[tok], dtype=np.int64)])
+        ends = np.cumsum(sizes)
+        n_bytes = np.diff(lengths[ends], prepend=0)
+        tok = np.insert(tok, ends, len(known))
+        sizes = sizes + 1
         doc_of, held = np.repeat(np.arange(len(docs)), sizes), np.array([o for _, o in docs], bool)
-        h = _hash(list(ids))
+        h = _hash([*known.to_numpy(zero_copy_only=False), b""])
         place, key = _in_context(symbols.value, h.view(np.uint64), tok, sizes, places, place_tokens)
-        by = np.argsort(place, kind="stable")
+        by = np.argsort(place.astype(np.uint16) if places <= 1 << 16 else place, kind="stable")
         ends = np.searchsorted(place[by], np.arange(places + 1))
         packed = [(p, contexts.pack(key[by[lo:hi]], doc_of[by[lo:hi]], held)) for p, (lo, hi) in enumerate(zip(ends, ends[1:])) if hi > lo]
-        pair, times = np.unique(tok * len(docs) + np.repeat(np.arange(len(docs)), sizes), return_counts=True)
+        pair, times = np.unique(tok * len(docs) + doc_of, return_counts=True)
         part = _part(h, parts)
-        order = np.argsort(part[pair // len(docs)], kind="stable")
+        order = np.argsort(part[pair // len(docs)].astype(np.uint16) if parts <= 1 << 16 else part[pair // len(docs)], kind="stable")
         pair, times = pair[order], times[order]
         of = part[pair // len(docs)]
-        size = np.array([sum(map(len, own)) for own in lists]) + sizes
+        size = n_bytes + sizes
         cuts = np.searchsorted(of, np.arange(parts + 1))
         rows = []
         for p in range(parts):
@@ -399,19 +437,21 @@ def _chunks(parts: int, symbols, places: int, place_tokens: int):
              pa.array(listed + [None] * len(packed), _DOCS)], names=["part", "chunk", "body", "docs"])
 
     def run(batches):
-        number, docs, lists, held = TaskContext.get().partitionId() << 32, [], [], 0
-        for batch in batches:
-            for d, out, text in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "held_out", "text")]):
-                own = words(text)
-                own.append(b"")
-                docs.append((d, out))
-                lists.append(own)
-                held += len(own)
-                if held >= CHUNK_TOKENS or len(docs) == CHUNK_DOCS:
-                    yield chunk(number, docs, lists)
-                    number, docs, lists, held = number + 1, [], [], 0
+        number, docs, pieces, sizes, held = TaskContext.get().partitionId() << 32, [], [], [], 0
+        for whole in batches:
+            for batch in _some_texts(whole):
+                found, own = words(batch.column("text"))
+                at = upto = 0
+                for d, out, n in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "held_out")], own.tolist()):
+                    docs.append((d, out))
+                    sizes.append(n)
+                    held, upto = held + n + 1, upto + n
+                    if held >= CHUNK_TOKENS or len(docs) == CHUNK_DOCS:
+                        yield chunk(number, docs, [*pieces, found[at:upto]], sizes)
+                        number, docs, pieces, sizes, held, at = number + 1, [], [], [], 0, upto
+                pieces.append(found[at:])
         if docs:
-            yield chunk(number, docs, lists)
+            yield chunk(number, docs, pieces, sizes)
     return run
 
 

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tessera.llm import contexts, lm
@@ -210,6 +211,106 @@ def test_weights_learn_from_every_entry_of_a_place():
     assert (both < 0).all() and both[n == 0].mean() > 2 * math.log10(1 / 64)
 
 
+def plain_learned_scores(symbols, key, n):
+    """What a place learns and scores, one entry at a time."""
+    bits = [format(int(p), "040b")[:int(d)] for p, d in zip(symbols.path, symbols.depth)]
+    rows = [(int(k) >> 36, int(k) >> 19, int(k) & (1 << 19) - 1, float(c)) for k, c in zip(key, n)]
+    tables = Counter()
+    for one, two, s, c in rows:
+        for d in range(len(bits[s]) + 1):
+            tables[1, one, bits[s][:d]] += c
+            tables[2, two, bits[s][:d]] += c
+    weights = {}
+    seen_grad, refined, out = {}, Counter(), np.zeros(len(rows))
+
+    def predicted(d, one, two, s, without):
+        code, bit = bits[s], bits[s][d] == "1"
+        p, x, met = symbols.own(d)[s], [], []
+        x.append(math.log(p / (1 - p)))
+        for kind, c in ((1, one), (2, two)):
+            n0, n1 = [max(tables[kind, c, code[:d] + side] - (without and side == code[d]), 0) for side in "01"]
+            p = (n1 + p) / (n0 + n1 + 1)
+            x.append(math.log(p / (1 - p)))
+            met.append(min(int(math.log2(n0 + n1 + 1)), 7))
+        gate = min(d, 15), *met
+        x.append(0.3)
+        logit = max(-12, min(12, sum(a * b for a, b in zip(x, weights.get(gate, [0.1, 0.2, 0.7, 0.0])))))
+        return bit, x, gate, 1 / (1 + math.exp(-logit)), (d, round((max(-10, min(10, logit)) + 10) * 1.6))
+    for d in range(max(map(len, bits))):
+        on = [i for i, r in enumerate(rows) if len(bits[r[2]]) > d]
+        for block in np.array_split([i for i in on if rows[i][3]], contexts.BLOCKS):
+            grad, total = {}, Counter()
+            for i in block:
+                *entry, w = rows[i]
+                bit, x, gate, p, cell = predicted(d, *entry, True)
+                grad[gate] = grad.get(gate, 0) + (bit - p) * w * np.array(x)
+                total[gate] += w
+                refined[cell, bit] += w
+            for gate, g in grad.items():
+                g = g / total[gate]
+                seen_grad[gate] = seen_grad.get(gate, np.full(4, 1e-2)) + g ** 2
+                weights[gate] = weights.get(gate, np.array([0.1, 0.2, 0.7, 0.0])) + contexts.RATE * g / np.sqrt(seen_grad[gate])
+        for i in on:
+            bit, _, _, p, cell = predicted(d, *rows[i][:3], False)
+            n0, n1 = refined[cell, False], refined[cell, True]
+            p = (p + (n1 + 20 * p) / (n0 + n1 + 20)) / 2
+            out[i] += math.log10(p if bit else 1 - p)
+    return out
+
+
+def some_entries(contexts_, of_each, seed=6):
+    rng = np.random.default_rng(seed)
+    symbols = contexts.Symbols(np.arange(1, 65, dtype=np.uint64), rng.integers(1, 300, 64), 20_000)
+    one = rng.integers(0, contexts_, contexts_ * of_each).astype(np.uint64)
+    key, n = np.unique(one << np.uint64(36) | rng.integers(0, 3, len(one)).astype(np.uint64) << np.uint64(19)
+                       | np.minimum(rng.zipf(1.4, len(one)), 64).astype(np.uint64), return_counts=True)
+    n[rng.random(len(n)) < 0.2] = 0  # held out
+    return symbols, key, n.astype(float)
+
+
+def test_learned_scores_equal_a_plain_version():
+    symbols, key, n = some_entries(12, 60)
+    assert np.allclose(contexts.Mixer().learn_and_score(symbols, key, n), plain_learned_scores(symbols, key, n), rtol=1e-9)
+
+
+def test_entries_with_the_same_beginning_are_worked_out_once(monkeypatch):
+    symbols, key, n = some_entries(300, 600)
+    sym, done = (key & np.uint64((1 << 19) - 1)).astype(np.int64), []
+    runs = sum(len({(c, p >> (contexts.DEEP - 1 - d)) for c, p, deep in zip((key >> np.uint64(19)).tolist(), symbols.path[sym].tolist(), symbols.depth[sym]) if deep > d})
+               for d in range(contexts.DEEP))
+
+    class Spy:
+        def __getattr__(self, name):
+            return getattr(np, name)
+
+        def exp(self, x):
+            done.append(len(x))
+            return np.exp(x)
+    monkeypatch.setattr(contexts, "np", Spy())
+    contexts.Mixer().learn_and_score(symbols, key, n)
+    # learned from and scored; a run may lie in two of the blocks of a depth
+    assert runs < 0.7 * symbols.depth[sym].sum() and sum(done) <= 2 * runs + contexts.BLOCKS * contexts.DEEP
+
+
+def test_words_of_odd_texts(monkeypatch):
+    texts = [b"", b"  ", b" a  b\x1c\x1dc\x85 \xff\xfeQ\x0bz\x0cY\r\n", "ÉTÉ \xa0x\u2028Y\x00 \U0001f600A".encode(), b"x" * 300, b"End"] * 3
+    want = [t.lower().split() for t in texts]
+    for kind in (pa.binary(), pa.large_binary()):
+        for lo in (0, 2):  # a slice, too
+            got, sizes = lm.words(pa.array(texts, kind)[lo:])
+            assert got.to_pylist() == [w for t in want[lo:] for w in t] and sizes.tolist() == [len(t) for t in want[lo:]]
+    monkeypatch.setattr(lm, "PIECE_BYTES", 50)
+    batch = pa.RecordBatch.from_arrays([pa.array([i % 4 == 3 for i in range(len(texts))]), pa.array(texts, pa.binary())], names=["held_out", "text"])
+    counts = Counter(w for i, t in enumerate(want) if i % 4 != 3 for w in [*t, b""])
+    for most in (3, 1000):
+        monkeypatch.setattr(lm, "HELD_WORDS", most)
+        got = Counter()
+        for out in lm._count_words([batch, batch.slice(0, 0)]):
+            for w, k in zip(out.column("token").to_pylist(), out.column("n").to_pylist()):
+                got[w] += k
+        assert dict(got) == {w: counts[w] for t in [*want, [b""]] for w in t}
+
+
 def test_spelling_learns_from_every_known_word(spark, monkeypatch):
     monkeypatch.setattr(lm, "LEARN_WORDS", 50, raising=False)
     words = [(f"w{i * 7919}".encode(), i % 3) for i in range(400)]
